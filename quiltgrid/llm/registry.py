@@ -5,11 +5,13 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = {
+    "op1_language_id": "op1_language_id",
     "op2_mixing": "op2_mixing",
     "op4_url_filter": "op4_url_filter",
     "op5_quality_rules": "op5_quality_rules",
     "op6_sharding": "op6_sharding",
     "op7_warc": "op7_warc",
+    "op10_simhash": "op10_simhash",
 }
 
 
