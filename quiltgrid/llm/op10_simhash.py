@@ -197,6 +197,15 @@ def spanning_forest(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> n
     return np.concatenate(kept) if kept else np.empty(0, np.int64)
 
 
+def best_edges(n: int, a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Positions of the cheapest edge of each row that has one."""
+    at = np.argsort(cost, kind="stable")
+    best = np.full(n, len(at))
+    np.minimum.at(best, a[at], np.arange(len(at)))
+    np.minimum.at(best, b[at], np.arange(len(at)))
+    return at[np.unique(best[best < len(at)])]
+
+
 def block_masks(taken: int, budget: int) -> list[int]:
     """The bits that ``taken`` lacks, in ``budget`` + 1 blocks, each together with ``taken``."""
     free = [i for i in range(63, -1, -1) if not taken >> i & 1]
@@ -277,6 +286,8 @@ def _joined(rows: DataFrame, paths: list[tuple[int, ...]], budget: int, sketch_b
             ok = (near <= sketch_bits) & (node[a] != node[b])
             a, b, cost = a[ok], b[ok], near[ok]
         forest = spanning_forest(len(fp), a, b, cost)
+        if sketch_bits is not None:  # links will be verified: each row's best is sent as well
+            forest = np.unique(np.r_[forest, best_edges(len(fp), a, b, cost)])
         weight = chunk["weight"][order]
         degree = np.bincount(a, weight[b], len(fp)) + np.bincount(b, weight[a], len(fp))
         linked = np.flatnonzero(degree)
@@ -384,6 +395,83 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE_WORDS, budget: int = BU
     return own.join(of_print, "fp").select("doc_id", "fp", "component_id", "n_links")
 
 
+# Near copies of whole texts, verified
+
+
+SIMILAR_WORDS, SIMILARITY = 5, 0.8
+#: Fingerprints of single words, by independent hashes, in each of which near copies may
+#: meet; and how many bits of 64 may differ. Near copies of similarity 0.8 change few words
+#: but four in ten of their bits of ``SIMILAR_WORDS``-word fingerprints can differ, so that
+#: no small budget finds them there.
+TABLES, TABLE_BUDGET = 8, 3
+#: A longer fingerprint of shingles, and its differing bits that a link may have: texts of
+#: similarity 0.8 differ in 77 +- 8 bits.
+SKETCH_WORDS, SKETCH_BITS = 8, 96
+
+
+def text_sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, fps, sketch): equal digests mean equal sets of shingles."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+            for a, b in _slices(texts):
+                words, n = hash_shingles(texts[a:b], 1, True)
+                fps = np.stack([majority_bits(mixed(words, k), n) for k in range(TABLES)], 1)
+                grams, m = hash_shingles(texts[a:b], SIMILAR_WORDS, True)
+                sketch = np.stack([majority_bits(mixed(grams, k), m) for k in range(SKETCH_WORDS)], 1)
+                ends = np.cumsum(m)
+                total = lambda x: np.diff(np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)][np.r_[0, ends]])  # noqa: E731  wraps
+                digest = np.stack([total(grams), total(mixed(grams, 99)), m.astype(np.uint64)], 1)
+                binary = lambda x: pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, TABLES * (b - a) + 1, TABLES), pa.int32()), pa.array(fps.ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), binary(digest), lists, binary(sketch)], ["doc_id", "digest", "fps", "sketch"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, fps array<long>, sketch binary")
+
+
+def _verified(edges: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """The ``edges`` (u, v) between documents whose shingle sets have at least this Jaccard similarity."""
+    texts = docs.select("doc_id", "text")
+    pairs = edges.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b")), "v")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            near = []
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                x, y = set(shingles(a, SIMILAR_WORDS)), set(shingles(b, SIMILAR_WORDS))
+                both = len(x & y)
+                near.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, group_id) of every document with an id; groups are named by their least doc_id.
+
+    Documents link if their sets of ``SIMILAR_WORDS``-word shingles are equal, or
+    if they are near in the fingerprints of one table at least and their
+    similarity, then computed from both whole texts, is ``similarity`` or more.
+    Texts without words are equal.
+    """
+    docs = docs.where("doc_id is not null")
+    own = materialize(text_sketches(docs))
+    first = F.min_by(F.struct("doc_id", "fps", "sketch"), "doc_id").alias("r")
+    reps = materialize(own.groupBy("digest").agg(first).select("digest", F.col("r.doc_id").cast("long").alias("node"), "r.fps", "r.sketch"))
+    prints = reps.select("node", "sketch", F.posexplode("fps").alias("tab", "fp"), F.lit(1).alias("weight"))
+    links = near_links(prints, TABLE_BUDGET, SKETCH_BITS).where("other is not null")
+    edges = materialize(links.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct())
+    member = materialize(components(_verified(edges, docs, similarity)))
+    names = reps.select("digest", "node").join(member, "node", "left").select("digest", F.coalesce("component", "node").alias("group_id"))
+    return own.select("doc_id", "digest").join(names, "digest").select("doc_id", "group_id")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")

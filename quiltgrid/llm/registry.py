@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = {
     "op1_language_id": "op1_language_id",
     "op2_mixing": "op2_mixing",
+    "op3_decontamination": "op3_decontamination",
     "op4_url_filter": "op4_url_filter",
     "op5_quality_rules": "op5_quality_rules",
     "op6_sharding": "op6_sharding",
