@@ -12,6 +12,8 @@ MODULES = {
     "op5_quality_rules": "op5_quality_rules",
     "op6_sharding": "op6_sharding",
     "op7_warc": "op7_warc",
+    "op8_token_output": "op8_token_output",
+    "op9_line_dedup": "op9_line_dedup",
     "op10_simhash": "op10_simhash",
 }
 
