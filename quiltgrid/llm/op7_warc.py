@@ -73,7 +73,8 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES,
     )
     total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()["b"]
     files = max(1, round(total / file_bytes))
-    rows = rows.join(revisits, "_row", "left")
+    # Dealt out once, by the row: a task that runs again makes the same file.
+    rows = rows.repartition(files, "_row").join(revisits, "_row", "left")
     url = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     own, is_revisit = _record_id("response", F.col("_row")), F.col("_first").isNotNull()
     uri, date = ("WARC-Target-URI", url), ("WARC-Date", F.lit(DATE))
@@ -85,9 +86,8 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES,
         F.concat(http, F.when(is_revisit, "").otherwise(F.col("payload"))),
     )
     metadata = _record("metadata", [("WARC-Record-ID", _record_id("metadata", F.col("_row"))), date, uri, ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit(END)))
-    out = rows.select("_row", F.explode(F.array(request, answer, metadata)).alias("value"))
-    # Keyed by the row, so that a task that runs again makes the same file.
-    out.repartition(files, "_row").select("value").write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
+    out = rows.select(F.explode(F.array(request, answer, metadata)).alias("value"))
+    out.write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
 RECORDS = T.StructType([
