@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ()
+GROUPS = ("aggregates", "lookups", "tables", "windows")
 
 
 def queries() -> dict:
