@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ("aggregates", "lookups", "tables", "windows")
+GROUPS = ("aggregates", "columns", "compat", "lookups", "tables", "windows")
 
 
 def queries() -> dict:
