@@ -156,7 +156,8 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], tup
 
 
 def identify(docs: DataFrame, model: tuple[list[str], tuple] | None) -> DataFrame:
-    """``docs`` with lang_pred and score, from their text alone."""
+    """``docs`` with lang_pred and score, from their text alone; columns of these names are replaced."""
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -27,6 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quiltgrid.llm.common import table
 
@@ -174,22 +175,24 @@ def _scan(docs: DataFrame, index, item_type: T.DataType) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("item_id", item_type), T.StructField("edits", T.LongType()), T.StructField("end_char", T.LongType())])
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         own = index.value
         for batch in batches:
-            ids, texts = batch["doc_id"], batch["text"]
-            at, rows = 0, []
-            while at < len(batch):
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            at = 0
+            while at < batch.num_rows:
                 some, size, start = [], 0, at
-                while at < len(batch) and (size < SLICE or not some):
-                    some.append(normalised(texts.iloc[at]))
+                while at < batch.num_rows and (size < SLICE or not some):
+                    some.append(normalised(texts[at].as_py()))
                     size += len(some[-1])
                     at += 1
-                rows += [(ids.iloc[start + i], item, edits, end) for i, item, edits, end in own.leaks(some)]
-            yield pd.DataFrame(rows, columns=schema.fieldNames())
+                rows = own.leaks(some)
+                found = ids.take(pa.array([start + r[0] for r in rows], pa.int64()))
+                rest = [pa.array([r[k] for r in rows], kind) for k, kind in ((1, to_arrow_type(item_type)), (2, pa.int64()), (3, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([found, *rest], schema.fieldNames())
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ out by Spark's skew joins; payloads are shuffled once, by unique capture key.
 
 Defined cases: a null html has an empty payload; a null url writes no target;
 line ends in a url are percent-encoded; rows that repeat a page_id are captures of
-their own; of equal payloads with equal smallest page_id the first scanned is the
+their own, as are rows with a null one; of equal payloads with equal smallest page_id the first scanned is the
 response; an empty table writes no records; extra columns are ignored.
 """
 
@@ -85,7 +85,7 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES,
         [("WARC-Record-ID", own), date, uri, ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")), ("WARC-Refers-To", F.when(is_revisit, _record_id("response", F.col("_first")))), ("Content-Type", F.lit("application/http; msgtype=response"))],
         F.concat(http, F.when(is_revisit, "").otherwise(F.col("payload"))),
     )
-    metadata = _record("metadata", [("WARC-Record-ID", _record_id("metadata", F.col("_row"))), date, uri, ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit(END)))
+    metadata = _record("metadata", [("WARC-Record-ID", _record_id("metadata", F.col("_row"))), date, uri, ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(END)))
     out = rows.select(F.explode(F.array(request, answer, metadata)).alias("value"))
     out.write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 

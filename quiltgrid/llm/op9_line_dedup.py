@@ -10,8 +10,9 @@ Spark's skew joins. What comes together is one document's covered lines.
 
 Defined cases: a null text stays null; texts of fewer than three lines have no
 window; windows without any word are not counted; rows that repeat a doc_id are one
-document in different versions: a line goes from all of them; an empty table gives no
-rows; extra columns are kept.
+document in different versions: a line goes from all of them; texts without an id stay
+as they are, though theirs are first occurrences; an empty table gives no rows; extra
+columns are kept, those named n_lines, n_removed or removed with the prefix ``_own_``.
 """
 
 from __future__ import annotations
