@@ -27,7 +27,6 @@ import re
 import sys
 import types
 import zlib
-from collections import ChainMap
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,50 +40,68 @@ SHARD_IDS = 1_000_000
 #: Rounds of replacement, pairs considered in each, and the least count of a pair.
 ROUNDS, PAIRS, LEAST_COUNT = 6, 4096, 16
 #: Encoded pieces that a worker process remembers, from one task to the next.
-MEMORY = 1_000_000
-#: A space that is not a lone one between two other characters.
-ODD_SPACE = re.compile(r"^ | $| \s|[^\S ] ")
+MEMORY = 500_000
+#: Documents that are encoded together.
+TOGETHER = 256
+#: White space other than spaces and line feeds; texts with any are encoded as they are.
+RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 SHARD_SCHEMA = "part int, nth int, before long, n_ids long, doc_ids array<long>, lengths array<long>, first_rule int, rules binary, symbols binary, expansion binary"
 
 
-class Encoder:
-    """Ids of texts, as arrays, by the tokenizers library."""
+def lone_spaces(text: str) -> bool:
+    """Whether there are spaces, each alone between two characters that aren't white space."""
+    return " " in text and not ("  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or RARE_SPACE.search(text))
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        # Kept with the process, as code and globals come anew with each task.
-        kept = sys.modules.setdefault("quiltgrid_pieces", types.ModuleType("quiltgrid_pieces"))
-        self.pieces: dict[str, bytes] = kept.__dict__.setdefault(path, {})
+class Encoder:
+    """Ids of texts, as arrays, by the tokenizers library.
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+    The tokenizer and the pieces already encoded are kept with the process, as code
+    and globals come anew with each task.
+    """
+
+    def __init__(self, path: str):
+        kept = sys.modules.setdefault("quiltgrid_pieces", types.ModuleType("quiltgrid_pieces")).__dict__
+        if path not in kept:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = True
+            vocabulary = tokenizer.get_vocab()
+            n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            for token, i in vocabulary.items():  # byte-level tokens have a character for each byte
+                n_bytes[i] = len(token)
+            kept[path] = (tokenizer, n_bytes, {})
+        self.tokenizer, self.n_bytes, self.pieces = kept[path]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learned(self, new: list[str]) -> dict[str, bytes]:
-        """Encode pieces as one text, and tell them apart by where their tokens end."""
-        found = self.tokenizer.encode(" " + " ".join(new), add_special_tokens=False)
-        ids, token_ends = np.array(found.ids, "<u4"), np.array(found.offsets, np.int64)[:, 1]
-        piece_ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)) + 1)
-        cuts = np.searchsorted(token_ends, piece_ends, "right")
+        """Encode pieces as one text, and tell them apart by the bytes that tokens stand for."""
+        text = " " + " ".join(new)
+        ids = self._encode([text])[0]
+        sizes = np.fromiter((len(p.encode("utf-8", "replace")) for p in new), np.int64, len(new))
+        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes + 1), "right").tolist()
         data = ids.tobytes()
-        return {piece: data[4 * a : 4 * b] for piece, a, b in zip(new, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        text = text or ""
-        first, *rest = text.split(" ")
-        if not rest or ODD_SPACE.search(text):
-            return np.frombuffer(self._whole(text), "<u4")
-        pieces = self.pieces
-        if new := list({p for p in rest if p not in pieces}):
-            learned = self._learned(new)
-            if len(pieces) < MEMORY:  # early pieces are the frequent ones
-                pieces.update(learned)
-            else:
-                pieces = ChainMap(learned, pieces)
-        return np.frombuffer(self._whole(first) + b"".join(map(pieces.__getitem__, rest)), "<u4")
+        return {piece: data[4 * a : 4 * b] for piece, a, b in zip(new, [0, *cuts[:-1]], cuts, strict=True)}
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        texts = [t or "" for t in texts]
+        split = [t.split(" ") for t in texts]
+        apart = [lone_spaces(t) for t in texts]
+        pieces, full = self.pieces, len(self.pieces) >= MEMORY
+        new = list({p for s, ok in zip(split, apart, strict=True) if ok for p in s[1:] if p not in pieces})
+        if new:
+            pieces.update(self._learned(new))
+        heads = self._encode([s[0] if ok else t for s, ok, t in zip(split, apart, texts, strict=True)])
+        find = pieces.__getitem__
+        out = [np.frombuffer(h.tobytes() + b"".join(map(find, s[1:])), "<u4") if ok else h for h, s, ok in zip(heads, split, apart, strict=True)]
+        if full:  # early pieces are the frequent ones and stay
+            for p in new:
+                del pieces[p]
+        return out
 
 
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,14 +192,16 @@ def token_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, sha
 
         end = np.array([end_id], "<u4")
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                held.append(np.concatenate([encode(text.as_py()), end]))
-                owners.append(doc_id)
-                n_held += len(held[-1])
-                if n_held >= shard_ids:
-                    yield shard()
-                    nth, before = nth + 1, before + n_held
-                    held, owners, n_held = [], [], 0
+            for at in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(at, TOGETHER)
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encode(some.column("text").to_pylist()), strict=True):
+                    held.append(np.concatenate([ids, end]))
+                    owners.append(doc_id)
+                    n_held += len(held[-1])
+                    if n_held >= shard_ids:
+                        yield shard()
+                        nth, before = nth + 1, before + n_held
+                        held, owners, n_held = [], [], 0
         if held:
             yield shard()
 

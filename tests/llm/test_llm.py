@@ -345,8 +345,10 @@ def tokenizer():
 def test_encoder_equals_the_library():
     path, t = tokenizer()
     encode = tok.Encoder(path)
-    for text in ("", " ", "a b", " a b ", "a  b", "a\tb c", "it's 's <|endoftext|> x", "a　b c", "é è 1 2", "a\x1c b", "\na b\n c", "x" * 500 + " y", None):
-        assert encode(text).tolist() == t.encode(text or "", add_special_tokens=False).ids
+    texts = ["", " ", "a b", " a b ", "a  b", "a\tb c", "it's 's <|endoftext|> x", "a　b c", "é è 1 2", "a\x1c b", "\na b\n c", "x" * 500 + " y", "ab é日本 c 日 b", None]
+    for some in ([t] for t in texts), [texts]:
+        for group in some:
+            assert [x.tolist() for x in encode(group)] == [t.encode(x or "", add_special_tokens=False).ids for x in group]
 
 
 def test_repair_round_trip():
