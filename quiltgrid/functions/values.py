@@ -243,6 +243,65 @@ def workday_after(start: Column, n: Column) -> Column:
     return F.when(n == 0, start.cast("date")).otherwise(F.date_from_unix_date((F.floor(place / 5) * 7 + F.pmod(place, F.lit(5)) - 3).cast("int")))
 
 
+def weeknum(day: Column, first: int = 1) -> Column:
+    """WEEKNUM: the week of January 1st is 1; weeks begin on Sunday (1) or Monday (2); 21 is the ISO week."""
+    if first == 21:
+        return F.weekofyear(day)
+    shift = F.weekday(F.trunc(day.cast("date"), "year")) if first == 2 else F.dayofweek(F.trunc(day.cast("date"), "year")) - 1
+    return F.floor((F.dayofyear(day) - 1 + shift) / 7).cast("int") + 1
+
+
+def time_of(h, m, s) -> Column:
+    """TIME: a fraction of a day; whole days are dropped."""
+    return F.pmod(lit(h) * 3600 + lit(m) * 60 + lit(s), F.lit(86400)) / 86400
+
+
+def time_value(text: Column) -> Column:
+    """TIMEVALUE: 12-hour or 24-hour clock text as a fraction of a day; null if it is neither."""
+    t = F.upper(F.btrim(text))
+    stamp = F.coalesce(F.try_to_timestamp(t, F.lit("h:mm:ss a")), F.try_to_timestamp(t, F.lit("h:mm a")), F.try_to_timestamp(t, F.lit("H:mm:ss")), F.try_to_timestamp(t, F.lit("H:mm")))
+    return (F.hour(stamp) * 3600 + F.minute(stamp) * 60 + F.second(stamp)) / 86400
+
+
+def number_value(text: Column, decimal: str = ".", group: str = ",") -> Column:
+    """NUMBERVALUE: a number with given separators; each percent sign divides by 100."""
+    bare = F.replace(F.replace(F.regexp_replace(text, r"\s", ""), F.lit(group), F.lit("")), F.lit(decimal), F.lit("."))
+    signs = F.length(bare) - F.length(F.rtrim(bare, F.lit("%")))
+    return F.rtrim(bare, F.lit("%")).try_cast("double") / F.pow(F.lit(100.0), signs)
+
+
+def log(x: Column, base=10.0) -> Column:
+    """LOG: null for numbers that have none."""
+    return F.when(x > 0, F.ln(x) / F.ln(lit(base)))
+
+
+def multinomial(*counts: Column) -> Column:
+    """(sum)! over the product of factorials, as a product of binomials."""
+    total, out = lit(0), F.lit(1.0)
+    for c in counts:
+        total = total + c
+        out = out * combin(total, c)
+    return out
+
+
+def fixed(x: Column, digits: int = 2, commas: bool = True) -> Column:
+    """FIXED: text with so many decimals, halves away from zero."""
+    text = F.format_number(F.round(x, digits), digits)
+    return text if commas else F.replace(text, F.lit(","), F.lit(""))
+
+
+def dollar(x: Column, digits: int = 2) -> Column:
+    """DOLLAR: negative amounts in parentheses."""
+    text = F.concat(F.lit("$"), F.format_number(F.round(F.abs(x), digits), digits))
+    return F.when(x < 0, F.concat(F.lit("("), text, F.lit(")"))).otherwise(text)
+
+
+def value_to_text(x: Column, strict: bool = False) -> Column:
+    """VALUETOTEXT: whole numbers without decimals; strict quotes text."""
+    text = F.regexp_replace(x.cast("string"), r"\.0$", "")
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')) if strict else text
+
+
 def radix(x: Column, base: int, places: int = 0, bits: int = 0) -> Column:
     """A whole number in a base; negative numbers as two's complement of ``bits`` bits."""
     n = F.when(x < 0, x + (1 << bits)).otherwise(x) if bits else x

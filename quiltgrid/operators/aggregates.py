@@ -104,6 +104,12 @@ def mode_first(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFram
     return top.groupBy(*keys).agg(F.when(F.max("n") > 1, best).alias("mode"), F.count_if((F.col("n") == F.col("m")) & (F.col("n") > 1)).alias("modes"))
 
 
+def mode_all(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """A4: every modal number of each group that occurs at least twice."""
+    counts = df.select(*keys, number(value).alias("x")).where("x is not null").groupBy(*keys, "x").agg(F.count("*").alias("n"))
+    return counts.withColumn("m", F.max("n").over(Window.partitionBy(*keys))).where("n = m and n > 1").select(*keys, F.col("x").alias("mode"), "n")
+
+
 def spread_means(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """A5: variances, deviations (also with text as 0), mean absolute deviation, geometric and harmonic mean."""
     means = df.withColumn("x", number(value))

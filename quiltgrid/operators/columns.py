@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiltgrid.functions.values import ERROR_CODES, ERROR_NUMBERS
@@ -80,6 +80,36 @@ def type_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*aggs).select(F.inline(rows))
 
 
+def workday_calendar(spark, first: str, last: str, holidays: DataFrame | None = None, weekend: str = "0000011") -> DataFrame:
+    """(day, n): days of a range with the number of workdays up to each.
+
+    ``weekend`` has a 1 for each day off from Monday. A row per day: small whatever
+    the data, so that its one window is too.
+    """
+    days = spark.sql("select explode(sequence(to_date(:a), to_date(:b))) as day", args={"a": first, "b": last})
+    off = F.substring(F.lit(weekend), F.weekday("day") + 1, F.lit(1)) == "1"
+    if holidays is not None:
+        days = days.join(holidays.select(F.col(holidays.columns[0]).cast("date").alias("day")).distinct().withColumn("_h", F.lit(True)), "day", "left")
+        off = off | F.col("_h").isNotNull()
+    return days.select("day", (~off).cast("int").alias("works")).withColumn("n", F.sum("works").over(Window.orderBy("day")))
+
+
+def network_days(df: DataFrame, start: str, end: str, calendar: DataFrame, name: str = "network_days") -> DataFrame:
+    """Workdays from start to end, both included; negative if reversed; null outside the calendar."""
+    at = lambda c, n: calendar.select(F.col("day").alias(c), F.col("n").alias(n), F.col("works").alias(f"{n}_w"))
+    rows = df.join(at("_s", "_sn"), F.col(start).cast("date") == F.col("_s"), "left").join(at("_e", "_en"), F.col(end).cast("date") == F.col("_e"), "left")
+    forward = F.col("_en") - F.col("_sn") + F.col("_sn_w")
+    backward = -(F.col("_sn") - F.col("_en") + F.col("_en_w"))
+    return rows.withColumn(name, F.when(F.col("_e") >= F.col("_s"), forward).otherwise(backward)).drop("_s", "_sn", "_sn_w", "_e", "_en", "_en_w")
+
+
+def workday_shift(df: DataFrame, start: str, n: int, calendar: DataFrame, name: str = "workday") -> DataFrame:
+    """The n-th workday after a date (before it, if negative)."""
+    works = calendar.where("works = 1").select(F.col("day").alias(name), F.col("n").alias("_to"))
+    at = calendar.select(F.col("day").alias("_s"), (F.col("n") + n + (F.lit(1) - F.col("works") if n < 0 else F.lit(0))).alias("_to"))
+    return df.join(at, F.col(start).cast("date") == F.col("_s"), "left").join(works, "_to", "left").drop("_s", "_to")
+
+
 def by_row(columns: list[Column], fold, zero: Column) -> Column:
     """BYROW: a fold over a row's cells."""
     return F.aggregate(F.array(*columns), zero, fold)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quiltgrid.functions.values import ERROR_CODES, to_serial
 
 # Parts of engine names, in the order in which they are tried, and the keys they give.
-LABELS = (("libre", "libreoffice"), ("excel", "excel"), ("google", "sheets"), ("sheets", "sheets"))
+LABELS = (("libreoffice", "libreoffice"), ("excel", "excel"), ("google", "google_sheets"), ("sheets", "google_sheets"))
 # End of fixed values.
 TOLERANCE = 1e-9
 #: Worst first.
@@ -51,26 +51,45 @@ def serial(column: Column) -> Column:
     return to_serial(column)
 
 
-def cells_equal(a: Column, b: Column, tol: float = TOLERANCE) -> Column:
-    """Numbers strictly within the tolerance; other values equal; "" equals null."""
-    x, y = a.try_cast("double"), b.try_cast("double")
-    text = F.coalesce(a.cast("string"), F.lit("")) == F.coalesce(b.cast("string"), F.lit(""))
-    return F.when(x.isNotNull() & y.isNotNull(), F.abs(x - y) < tol).otherwise(text)
+def cells_equal(a: Column, b: Column, kind: str = "num", tol: float = TOLERANCE) -> Column:
+    """Numbers are equal strictly within the tolerance, booleans and texts if they are the same; a null text equals ""."""
+    if kind == "num":
+        return F.when(a.isNotNull() & b.isNotNull(), F.abs(a - b) < tol).otherwise(a.isNull() & b.isNull())
+    if kind == "text":
+        return F.coalesce(a, F.lit("")) == F.coalesce(b, F.lit(""))
+    return a.eqNullSafe(b)
 
 
-def arrays_equal(expected: Column, actual: Column, tol: float = TOLERANCE) -> Column:
+def kind_of_type(data_type: str) -> str:
+    """The comparison that a column's type asks for."""
+    return "text" if data_type == "string" else "num" if data_type.split("(")[0] in ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal") else "same"
+
+
+def arrays_equal(expected: Column, actual: Column, kind: str = "num", tol: float = TOLERANCE) -> Column:
     """Null without expectation; lengths first, then every pair of cells."""
-    pairs = F.zip_with(expected, actual, lambda e, a: cells_equal(e, a, tol))
-    return F.when(expected.isNull(), None).when(F.size(expected) != F.coalesce(F.size(actual), F.lit(-1)), False).otherwise(F.forall(pairs, lambda p: p))
+    pairs = F.zip_with(expected, actual, lambda e, a: cells_equal(e, a, kind, tol))
+    return F.when(expected.isNull(), None).when(actual.isNull() | (F.size(expected) != F.size(actual)), False).otherwise(F.forall(pairs, lambda p: p))
+
+
+def arrays_detail(expected: Column, actual: Column, kind: str = "num", tol: float = TOLERANCE) -> Column:
+    """What differs first, as text; null if nothing does."""
+    wrong = F.filter(F.arrays_zip(expected.alias("e"), actual.alias("a")), lambda p: ~cells_equal(p["e"], p["a"], kind, tol))
+    first = F.get(wrong, F.lit(0))
+    return (
+        F.when(expected.isNull(), None).when(actual.isNull(), "expected a range of values but none was read")
+        .when(F.size(expected) != F.size(actual), F.format_string("length mismatch: expected %d values, got %d", F.size(expected), F.size(actual)))
+        .when(F.size(wrong) > 0, F.format_string("value mismatch: expected %s, got %s", first["e"].cast("string"), first["a"].cast("string")))
+    )
 
 
 def compare_tables(expected: DataFrame, actual: DataFrame, keys: list[str], values: list[str], tol: float = TOLERANCE) -> DataFrame:
     """Per key: match (null where nothing is expected) and the first column that differs."""
+    kinds = {c: kind_of_type(expected.schema[c].dataType.simpleString()) for c in values}
     a = actual.select(*keys, F.struct(*values).alias("_a"))
     both = expected.select(*keys, F.struct(*values).alias("_e")).join(a, keys, "full")
     first = F.lit(None).cast("string")
     for c in reversed(values):
-        first = F.when(~cells_equal(F.col(f"_e.{c}"), F.col(f"_a.{c}"), tol), c).otherwise(first)
+        first = F.when(~cells_equal(F.col(f"_e.{c}"), F.col(f"_a.{c}"), kinds[c], tol), c).otherwise(first)
     first = F.when(F.col("_e").isNotNull() & F.col("_a").isNull(), "missing").otherwise(first)
     return both.select(*keys, F.when(F.col("_e").isNotNull(), first.isNull()).alias("matched"), F.when(F.col("_e").isNotNull(), first).alias("detail"))
 
@@ -83,10 +102,12 @@ def trust_gate(df: DataFrame, run: list[str], deterministic_ok: Column, volatile
 
 
 def case_report(cases: DataFrame, results: DataFrame, key: str) -> DataFrame:
-    """P10: cases with their result, match and notes in a fixed order."""
+    """P10: cases (expected, expected_note) with their results (value, error, canary_ok): match and notes, in a fixed order."""
     joined = cases.join(results, key)
-    matched = F.when(F.col("expected").isNotNull(), cells_equal(F.col("expected"), F.col("value")))
-    notes = F.concat_ws("; ", F.when(F.col("error").isNotNull(), F.concat(F.lit("error "), "error")), F.when(~matched, "differs"), F.col("expected_note"))
+    kind = kind_of_type(cases.schema["expected"].dataType.simpleString())
+    matched = F.when(F.col("expected").isNotNull(), cells_equal(F.col("expected"), F.col("value"), kind))
+    detail = F.format_string("MISMATCH vs expected: expected %s, got %s", F.col("expected").cast("string"), F.coalesce(F.col("value").cast("string"), F.lit("null")))
+    notes = F.concat_ws("; ", F.when(~F.col("canary_ok"), "UNTRUSTED_RECALC"), F.col("expected_note"), F.when(~matched, detail))
     return joined.withColumns({"matched": matched, "notes": notes})
 
 
@@ -120,13 +141,13 @@ def state_change(df: DataFrame, keys: list[str], version: str, supported: Column
     return changed.withColumn("newly", ~F.col("first_state") & F.col("last_state")).drop("versions")
 
 
-def rollup_priority(df: DataFrame, keys: list[str], state: str, date: str) -> DataFrame:
-    """The worst state of each key, counts of quirks and rows, and the last date."""
+def rollup_priority(df: DataFrame, keys: list[str], state: str, matched: Column, date: str) -> DataFrame:
+    """The worst state of each key (null if it has none), counts of mismatches and of rows, and the last date."""
     rank = F.lit(len(STATES))
     for i, name in reversed(list(enumerate(STATES))):
         rank = F.when(F.col(state) == name, i).otherwise(rank)
     worst = F.get(F.array(*map(F.lit, STATES)), F.min(rank))
-    return df.groupBy(*keys).agg(worst.alias("worst"), F.count_if(F.col(state) == STATES[0]).alias("quirks"), F.count("*").alias("cases"), F.max(date).alias("last_date"))
+    return df.groupBy(*keys).agg(worst.alias("worst"), F.count_if(~matched).alias("quirks"), F.count("*").alias("cases"), F.max(date).alias("last_date"))
 
 
 def corpus_stats(df: DataFrame, **counts: Column) -> DataFrame:

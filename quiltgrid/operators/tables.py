@@ -45,6 +45,20 @@ def wrap_rows(df: DataFrame, value: str, place: Column, width: int) -> DataFrame
     return df.groupBy(F.floor(place / width).alias("row_no")).agg(*(F.max(F.when(place % width == i, F.col(value))).alias(f"c{i}") for i in range(width)))
 
 
+def wrap_columns(df: DataFrame, value: str, place: Column, height: int, width: int) -> DataFrame:
+    """A list in ``place`` order (from 0) down columns of ``height`` cells."""
+    return df.groupBy((place % height).alias("row_no")).agg(*(F.max(F.when(F.floor(place / height) == i, F.col(value))).alias(f"c{i}") for i in range(width)))
+
+
+def unique_columns(df: DataFrame, columns: list[str]) -> list[str]:
+    """T1 by column: the first of each set of columns that are equal in all rows, by digests of each column."""
+    sums = df.agg(*(F.sum(F.xxhash64(F.xxhash64(*[c for c in df.columns if c not in columns] or [F.lit(0)]), F.col(c).cast("string")).cast("decimal(38,0)")).alias(c) for c in columns)).first()
+    seen: dict = {}
+    for c in columns:
+        seen.setdefault(sums[c], c)
+    return list(seen.values())
+
+
 def split_text(df: DataFrame, key: str, text: str, row_mark: str, column_mark: str, skip_empty: bool = False) -> DataFrame:
     """(key, row, column, cell) of texts split by a mark of rows and a mark of columns, both literal."""
     literal = lambda mark: "".join(f"\\{c}" if not c.isalnum() and not c.isspace() else c for c in mark)

@@ -83,6 +83,11 @@ def a4_mode(spark, d):
     return A.mode_first(read(spark, d, "orders").withColumn("x0", F.floor(F.col("o_totalprice") / 100000)), ["o_custkey"], "x0", "o_orderkey")
 
 
+@_q.add("a4_mode_all", """with c as (select p_brand, p_size::double as mode, count(*) as n from part group by all) select p_brand, mode, n from (select *, max(n) over (partition by p_brand) as m from c) where n = m and n > 1""")
+def a4_mode_all(spark, d):
+    return A.mode_all(read(spark, d, "part"), ["p_brand"], "p_size")
+
+
 @_q.add("a5_spread_means", """with m as (select p_brand, avg(p_retailprice) as m from part group by p_brand)
   select p_brand, round(var_samp(p_retailprice), 3) as var_s, round(var_pop(p_retailprice), 3) as var_p, round(stddev_samp(p_retailprice), 4) as sd_s, round(stddev_pop(p_retailprice), 4) as sd_p,
   round(stddev_samp(p_retailprice), 4) as sd_a, round(stddev_pop(p_retailprice), 4) as sd_pa, round(avg(abs(p_retailprice - m)), 4) as avedev, round(var_pop(p_retailprice) * count(*), 1) as devsq,

@@ -157,6 +157,18 @@ def c16(spark, d):
     return C.derive(read(spark, d, "orders"), ["o_orderkey"], workdays=V.workdays(s, F.date_add(s, (F.col("o_orderkey") % 30).cast("int"))), plus_10=V.workday_after(s, F.lit(10)).cast("string"))
 
 
+@_q.add("c16_holidays", """with o as (select o_orderkey, o_orderdate::date as s, (o_orderdate + to_days((o_orderkey % 30)::int))::date as e from orders),
+  h as (select distinct o_orderdate::date as d from orders where o_orderkey % 900 = 0),
+  cal as (select d::date as d from generate_series(date '1994-12-01', date '2002-01-31', interval 1 day) g(d) where isodow(d) not in (5, 6) and d::date not in (select d from h)),
+  num as (select d, row_number() over (order by d) as n from cal)
+  select o_orderkey, (select count(*) from cal where d between s and e) as days, case when e > s then -1 else 1 end * (select count(*) from cal where d between s and e) as reversed, (select min(x.d) from num x where x.n = (select count(*) from cal c where c.d <= s) + 5)::varchar as plus_5 from o""")
+def c16_holidays(spark, d):
+    orders = read(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("s"), F.date_add("o_orderdate", (F.col("o_orderkey") % 30).cast("int")).alias("e"))
+    calendar = C.workday_calendar(spark, "1994-12-01", "2002-01-31", read(spark, d, "orders").where("o_orderkey % 900 = 0").select("o_orderdate"), "0000110")
+    rows = C.network_days(C.network_days(orders, "s", "e", calendar, "days"), "e", "s", calendar, "reversed")
+    return C.workday_shift(rows, "s", 5, calendar, "plus_5").select("o_orderkey", "days", "reversed", F.col("plus_5").cast("string").alias("plus_5"))
+
+
 @_q.add("c17_time_of_day", """select event_id, hour(ts) as h, minute(ts) as mi, second(ts) as s, round((hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 86400.0, 8)::double as fraction, round(((hour(ts) * 3600 + minute(ts) * 60 + second(ts) + 25200) % 86400) / 86400.0, 8)::double as shifted from events""")
 def c17(spark, d):
     t = F.col("ts")

@@ -124,11 +124,11 @@ def p8(spark, d):
     return P.compare_tables(orders, altered, ["o_orderkey"], ["o_totalprice", "o_orderstatus"])
 
 
-@_q.add("p8_arrays", "select vec_id, vec_id % 3 <> 0 as matched from embeddings")
+@_q.add("p8_arrays", "select vec_id, vec_id % 3 <> 0 as matched, case when vec_id % 3 = 0 then 'length mismatch: expected 64 values, got 3' end as detail from embeddings")
 def p8_arrays(spark, d):
     own = F.col("embedding")
     other = F.when(F.col("vec_id") % 3 == 0, F.slice(own, 1, 3)).otherwise(own)
-    return read(spark, d, "embeddings").select("vec_id", P.arrays_equal(own, other).alias("matched"))
+    return read(spark, d, "embeddings").select("vec_id", P.arrays_equal(own, other).alias("matched"), P.arrays_detail(own, other).alias("detail"))
 
 
 @_q.add("p9_trust_gate", """with g as (select ts::date::varchar as run, bool_and(value >= 0) as d, bool_and(event_type <> 'error' or value < 100) as v from events group by 1)
@@ -138,11 +138,12 @@ def p9(spark, d):
     return P.trust_gate(events, ["run"], F.col("value") >= 0, (F.col("event_type") != "error") | (F.col("value") < 100))
 
 
-@_q.add("p10_case_report", """select o_orderkey, case when o_orderkey % 5 <> 0 then o_orderkey % 4 <> 0 end as matched, array_to_string(list_filter([case when o_orderkey % 6 = 0 then 'error #N/A' end, case when o_orderkey % 5 <> 0 and o_orderkey % 4 = 0 then 'differs' end, case when o_orderstatus = 'P' then 'open' end], lambda x: x is not null), '; ') as notes from orders""")
+@_q.add("p10_case_report", """select o_orderkey, case when o_orderkey % 5 <> 0 then o_orderkey % 4 <> 0 end as matched, array_to_string(list_filter([case when o_orderkey % 6 = 0 then 'UNTRUSTED_RECALC' end, case when o_orderstatus = 'P' then 'open' end,
+  case when o_orderkey % 5 <> 0 and o_orderkey % 4 = 0 then 'MISMATCH vs expected: expected ' || o_custkey::varchar || ', got ' || (o_custkey + 1)::varchar end], lambda x: x is not null), '; ') as notes from orders""")
 def p10(spark, d):
     orders, k = read(spark, d, "orders"), F.col("o_orderkey")
-    cases = orders.select("o_orderkey", F.when(k % 5 != 0, F.col("o_totalprice")).alias("expected"), F.when(F.col("o_orderstatus") == "P", "open").alias("expected_note"))
-    results = orders.select("o_orderkey", (F.col("o_totalprice") + F.when(k % 4 == 0, 1.0).otherwise(0.0)).alias("value"), F.when(k % 6 == 0, "#N/A").alias("error"))
+    cases = orders.select("o_orderkey", F.when(k % 5 != 0, F.col("o_custkey")).alias("expected"), F.when(F.col("o_orderstatus") == "P", "open").alias("expected_note"))
+    results = orders.select("o_orderkey", (F.col("o_custkey") + F.when(k % 4 == 0, 1).otherwise(0)).alias("value"), (k % 6 != 0).alias("canary_ok"))
     return P.case_report(cases, results, "o_orderkey").select("o_orderkey", "matched", "notes")
 
 
@@ -172,10 +173,10 @@ def p14(spark, d):
 
 
 @_q.add("p15_rollup_priority", """with o as (select *, case o_orderstatus when 'P' then 'quirky' when 'O' then 'unsupported' else 'supported' end as state from orders)
-  select o_custkey, case when bool_or(state = 'quirky') then 'quirky' when bool_or(state = 'unsupported') then 'unsupported' else 'supported' end as worst, count(*) filter (where state = 'quirky') as quirks, count(*) as cases, max(o_orderkey) as last_date from o group by o_custkey""")
+  select o_custkey, case when bool_or(state = 'quirky') then 'quirky' when bool_or(state = 'unsupported') then 'unsupported' else 'supported' end as worst, count(*) filter (where o_totalprice >= 400000) as quirks, count(*) as cases, max(o_orderkey) as last_date from o group by o_custkey""")
 def p15(spark, d):
     orders = read(spark, d, "orders").withColumn("state", F.when(F.col("o_orderstatus") == "P", "quirky").when(F.col("o_orderstatus") == "O", "unsupported").otherwise("supported"))
-    return P.rollup_priority(orders, ["o_custkey"], "state", "o_orderkey")
+    return P.rollup_priority(orders, ["o_custkey"], "state", F.col("o_totalprice") < 400000, "o_orderkey")
 
 
 @_q.add("p16_corpus_stats", "select count(distinct event_type) as functions, count(distinct user_id) as engines, count(*) filter (where value > 10) as tested, count(*) as cases, count(*) filter (where event_type = 'error') as quirks from events")

@@ -39,6 +39,17 @@ def t3_wrap(spark, d):
     return T.wrap_rows(read(spark, d, "customer"), "c_name", F.col("c_custkey"), 3)
 
 
+@_q.add("t3_wrap_columns", "select s_suppkey % 10 as row_no, max(s_name) filter (where s_suppkey // 10 = 0) as c0, max(s_name) filter (where s_suppkey // 10 = 1) as c1 from supplier where s_suppkey < 20 group by 1")
+def t3_wrap_columns(spark, d):
+    return T.wrap_columns(read(spark, d, "supplier").where("s_suppkey < 20"), "s_name", F.col("s_suppkey"), 10, 2)
+
+
+@_q.add("t1_unique_columns", "select n_nationkey, n_name, n_regionkey from nation")
+def t1_columns(spark, d):
+    nation = read(spark, d, "nation").withColumns({"twin": F.col("n_name"), "region_again": F.col("n_regionkey")})
+    return nation.select("n_nationkey", *T.unique_columns(nation, ["n_name", "n_regionkey", "twin", "region_again"]))
+
+
 @_q.add("t3_split_text", r"""with r as (select doc_id, string_split(text, chr(10)) as rs from documents), r1 as (select doc_id, unnest(range(0, len(rs))) as row_no, rs from r),
   c as (select doc_id, row_no, list_filter(string_split(rs[row_no + 1], '.'), lambda x: x <> '') as cs from r1), c1 as (select doc_id, row_no, unnest(range(0, len(cs))) as column_no, cs from c)
   select doc_id, row_no, column_no, md5(cs[column_no + 1]) as cell from c1""")

@@ -29,8 +29,11 @@ def cases():
     (F.round(V.pmt(0.08 / 12, 10, 10000.0), 2), -1037.03), (F.round(V.fv(0.06 / 12, 10, -200.0, -500.0), 2), 2571.18), (F.round(V.nper(0.01, -100.0, 1000.0), 4), 10.5886), (F.round(V.effect(X(0.0525), 4), 6), 0.053543), (F.round(V.convert(X(68), "F", "C"), 6), 20.0), (V.convert(X(1), "m", "kg"), None),
     (V.ddb(X(2400), X(300), 10, 1), 480.0), (F.round(V.db(X(1000000), X(100000), 6, 1), 2), 319000.0), (V.syd(X(30000), X(7500), 10, 1), 4090.909090909091), (V.sln(X(30000), X(7500), 10), 2250.0),
     (C.type_number(F.lit("#N/A")), 16), (C.type_number(F.lit("TRUE")), 4), (C.error_number(F.lit("#DIV/0!")), 2), (C.error_number(F.lit("x")), None), (C.as_n(F.lit("7")), 7.0), (C.as_n(F.lit("x")), 0.0),
+    (V.weeknum(D("2024-01-07")), 2), (V.weeknum(D("2024-01-07"), 2), 1), (V.weeknum(D("2021-01-01"), 21), 53), (V.time_of(27, 0, 0), 0.125), (V.time_of(0, -30, 0), 47 / 48), (V.time_value(F.lit("2:24 pm")), 0.6), (V.time_value(F.lit("06:00")), 0.25), (V.time_value(F.lit("x")), None),
+    (V.number_value(F.lit("2.500,27"), ",", "."), 2500.27), (V.number_value(F.lit("9%%")), 0.0009), (V.log(X(8), 2.0), 3.0), (V.log(X(0)), None), (V.multinomial(F.lit(2), F.lit(3), F.lit(4)), 1260.0), (V.fixed(X(1234.567), 1), "1,234.6"), (V.fixed(X(-1234.567), 1, False), "-1234.6"), (V.dollar(X(-99.888)), "($99.89)"), (V.value_to_text(X(5)), "5"), (V.value_to_text(F.lit('a"b'), True), '"a""b"'),
     (P.version_key(F.lit("24.x8.")), [24, 8, 0]), (P.version_key(F.lit("")), []), (P.normalize_label(F.lit("LibreOffice 24")), "libreoffice"), (P.normalize_label(F.lit("abacus")), None), (P.extract_calls(F.lit('=IF(sum(A1)>1,"MAX(",SUM(B1))')), ["IF", "SUM"]),
-    (P.rewrite_tokens(F.lit("=SORT(A1)+SORTBY(B1)+XSORT(1)"), {"SORT": "_x.", "SORTBY": "_y."}), "=_x.SORT(A1)+_y.SORTBY(B1)+XSORT(1)"), (P.cells_equal(F.lit("1"), F.lit("1.0000000001")), True), (P.cells_equal(F.lit(""), F.lit(None).cast("string")), True), (P.cells_equal(F.lit("1"), F.lit("1.1")), False),
+    (P.rewrite_tokens(F.lit("=SORT(A1)+SORTBY(B1)+XSORT(1)"), {"SORT": "_x.", "SORTBY": "_y."}), "=_x.SORT(A1)+_y.SORTBY(B1)+XSORT(1)"), (P.cells_equal(X(1), X(1.0000000001)), True), (P.cells_equal(F.lit(""), F.lit(None).cast("string"), "text"), True), (P.cells_equal(X(1), X(1.1)), False), (P.cells_equal(F.lit("1"), F.lit("1.0"), "text"), False),
+    (P.arrays_detail(F.array(X(1), X(2)), F.array(X(1), X(3))), "value mismatch: expected 2.0, got 3.0"),
     (P.arrays_equal(F.array(X(1), X(2)), F.array(X(1))), False), (P.arrays_equal(F.lit(None).cast("array<double>"), F.array(X(1))), None),
     ]
 
