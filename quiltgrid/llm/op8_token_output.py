@@ -38,9 +38,9 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_IDS = 1_000_000
 #: Rounds of replacement, pairs considered in each, and the least count of a pair.
-ROUNDS, PAIRS, LEAST_COUNT = 6, 4096, 16
+ROUNDS, PAIRS, LEAST_COUNT = 5, 4096, 16
 #: Encoded pieces that a worker process remembers, from one task to the next.
-MEMORY = 500_000
+MEMORY = 300_000
 #: Documents that are encoded together.
 TOGETHER = 256
 #: White space other than spaces and line feeds; texts with any are encoded as they are.
@@ -89,18 +89,19 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         texts = [t or "" for t in texts]
-        split = [t.split(" ") for t in texts]
-        apart = [lone_spaces(t) for t in texts]
+        split = [t.split(" ") if lone_spaces(t) else [t] for t in texts]
         pieces, full = self.pieces, len(self.pieces) >= MEMORY
-        new = list({p for s, ok in zip(split, apart, strict=True) if ok for p in s[1:] if p not in pieces})
-        if new:
-            pieces.update(self._learned(new))
-        heads = self._encode([s[0] if ok else t for s, ok, t in zip(split, apart, texts, strict=True)])
-        find = pieces.__getitem__
-        out = [np.frombuffer(h.tobytes() + b"".join(map(find, s[1:])), "<u4") if ok else h for h, s, ok in zip(heads, split, apart, strict=True)]
-        if full:  # early pieces are the frequent ones and stay
-            for p in new:
-                del pieces[p]
+        found = [list(map(pieces.get, s[1:])) for s in split]
+        new = list({p for s, f in zip(split, found, strict=True) if None in f for p, x in zip(s[1:], f, strict=True) if x is None})
+        learned = self._learned(new) if new else {}
+        if not full:  # early pieces are the frequent ones and stay
+            pieces.update(learned)
+        heads = self._encode([s[0] for s in split])
+        out = []
+        for head, s, f in zip(heads, split, found, strict=True):
+            if None in f:
+                f = [learned[p] if x is None else x for p, x in zip(s[1:], f, strict=True)]
+            out.append(np.frombuffer(head.tobytes() + b"".join(f), "<u4"))
         return out
 
 
