@@ -14,8 +14,8 @@ the permutation is computed, not sorted.
 Defined cases: null and blank texts have no words and none are taken; a null source
 is a source like any other, the last one; repeated rows are documents of their own
 if their ids differ (rows with one id share an arbitrary but lasting order); a
-source without words has target 0; an empty table gives no rows; extra columns are
-ignored.
+source without words has target 0; a mix smaller than half a block is one block; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def plan_mix(sources: list[tuple[str | None, int]], block_words: int = BLOCK_WOR
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, cap) if any(sizes) else [0.0] * len(sizes)
     blocks = [-(-s // block_words) for s in sizes]
     most = [cap * b for b in blocks]
-    house = round(sum(goal) / block_words)
+    house = max(1, round(sum(goal) / block_words)) if any(sizes) else 0
     by_shard = [sainte_lague(goal, house * (k + 1) // shards, most) for k in range(shards)]
     out = []
     for i, (name, size) in enumerate(sources):
@@ -173,7 +173,7 @@ s2 as (select *, (total - capped)::double / (all_w - capped_w) as level from s1)
 lev as (select coalesce(min_by(level, 2 * source_size / w) filter (where cap > w * level), max_by(level, 2 * source_size / w)) as level from s2),
 s3 as (select source, source_size, i, least(cap::double, w * lev.level) as target, greatest(1, (source_size + 63) // 64) as blocks, (source_size + 63) // 64 * 2 as most from s1, lev),
 awards as (select source, target / (2 * k - 1) as quotient, i, k from s3, lateral (select unnest(range(1, most + 1)) as k) where target > 0),
-won as (select source, count(*) as quota from (select source, row_number() over (order by quotient desc, i, k) as place from awards) where place <= (select round(sum(target) / 64) from s3) group by source),
+won as (select source, count(*) as quota from (select source, row_number() over (order by quotient desc, i, k) as place from awards) where place <= (select greatest(1, round(sum(target) / 64)) from s3) group by source),
 plan as (
   select s3.*, coalesce(quota, 0) as quota, case when blocks % 611953 <> 0 then 611953 else 746773 end as step, 42 * i % blocks as first
   from s3 left join won on s3.source is not distinct from won.source),
