@@ -39,9 +39,10 @@ def t3_wrap(spark, d):
     return T.wrap_rows(read(spark, d, "customer"), "c_name", F.col("c_custkey"), 3)
 
 
-@_q.add("t3_wrap_columns", "select s_suppkey % 10 as row_no, max(s_name) filter (where s_suppkey // 10 = 0) as c0, max(s_name) filter (where s_suppkey // 10 = 1) as c1 from supplier where s_suppkey < 20 group by 1")
+@_q.add("t3_wrap_columns", """select n_nationkey % 5 as row_no, max(n_name) filter (where n_nationkey // 5 = 0) as c0, max(n_name) filter (where n_nationkey // 5 = 1) as c1, max(n_name) filter (where n_nationkey // 5 = 2) as c2,
+  max(n_name) filter (where n_nationkey // 5 = 3) as c3, max(n_name) filter (where n_nationkey // 5 = 4) as c4 from nation group by 1""")
 def t3_wrap_columns(spark, d):
-    return T.wrap_columns(read(spark, d, "supplier").where("s_suppkey < 20"), "s_name", F.col("s_suppkey"), 10, 2)
+    return T.wrap_columns(read(spark, d, "nation"), "n_name", F.col("n_nationkey"), 5, 5)
 
 
 @_q.add("t1_unique_columns", "select n_nationkey, n_name, n_regionkey from nation")

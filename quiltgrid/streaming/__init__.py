@@ -1 +1 @@
-
+"""Empty: the work has no stream, watermark or state; every table is read as a whole."""
