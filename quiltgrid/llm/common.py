@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quiltgrid.session import materialize, shared_dir  # noqa: F401  used by the operators
+
 #: The six ASCII white-space characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
 #: Java pattern of a run of them.
@@ -20,29 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path under the folder that all executors share.
-
-    ``spark.checkpoint.dir`` names that folder; only where it is unset, as in
-    tests on one machine, a temporary folder is taken.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = tempfile.mkdtemp(prefix="quiltgrid-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/quiltgrid-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage with files that outlive a lost executor.
-    """
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body) -> Column:
     """Bind ``value`` to a lambda variable, so that it is evaluated once a row."""
     return F.element_at(F.transform(F.array(value), body), 1)
