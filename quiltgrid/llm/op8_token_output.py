@@ -42,7 +42,7 @@ ROUNDS, PAIRS, LEAST_COUNT = 5, 4096, 16
 #: Encoded pieces that a worker process remembers, from one task to the next.
 MEMORY = 300_000
 #: Documents that are encoded together.
-TOGETHER = 256
+TOGETHER = 512
 #: White space other than spaces and line feeds; texts with any are encoded as they are.
 RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -210,6 +210,14 @@ def token_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, sha
     return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, SHARD_SCHEMA)
 
 
+def read_document(shards: DataFrame, doc_id: int) -> list[int]:
+    """The ids of one document, by random access: only the symbols over it are expanded."""
+    shard = shards.where(F.array_contains("doc_ids", doc_id)).first().asDict()
+    place = shard["doc_ids"].index(doc_id)
+    start = sum(shard["lengths"][:place])
+    return decode_range(shard, start, start + shard["lengths"][place]).tolist()
+
+
 def read_documents(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, decoded from its shard."""
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
@@ -222,10 +230,9 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
         for batch in batches:
             for shard in batch.to_pylist():
-                at, rows = 0, []
+                at, rows, data = 0, [], decode_range(shard, 0, shard["n_ids"]).tobytes()
                 for doc_id, n in zip(shard["doc_ids"], shard["lengths"], strict=True):
-                    ids = decode_range(shard, at, at + n)
-                    rows.append((doc_id, shard["part_start"] + shard["before"] + at, n, zlib.crc32(ids.tobytes())))
+                    rows.append((doc_id, shard["part_start"] + shard["before"] + at, n, zlib.crc32(data[4 * at : 4 * (at + n)])))
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 

@@ -374,6 +374,7 @@ def test_token_shards(spark, odd_docs, no_docs):
             ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
             assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, at, len(ids), zlib.crc32(ids.tobytes()))
             at += len(ids)
+    assert tok.read_document(tok.token_shards(odd_docs, path, shard_ids=5000), 8) == [*t.encode(LONG + " end", add_special_tokens=False).ids, 2]
     assert tok.read_documents(tok.token_shards(no_docs, path)).count() == 0
 
 
