@@ -400,17 +400,64 @@ def simhash_groups(docs: DataFrame, width: int = SHINGLE_WORDS, budget: int = BU
 
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
 #: Fingerprints of single words, by independent hashes, in each of which near copies may
-#: meet; and how many bits of 64 may differ. Near copies of similarity 0.8 change few words
-#: but four in ten of their bits of ``SIMILAR_WORDS``-word fingerprints can differ, so that
-#: no small budget finds them there.
+#: meet; and how many bits of 64 may differ. Four in ten of the bits of fingerprints of
+#: ``SIMILAR_WORDS`` words can differ at similarity 0.8, so that no small budget finds near
+#: copies there. These tables find most copies with scattered changes, cheaply; whatever
+#: they leave apart is sought by prefixes of shingles, which lose no pair.
 TABLES, TABLE_BUDGET = 8, 3
 #: A longer fingerprint of shingles, and its differing bits that a link may have: texts of
 #: similarity 0.8 differ in 77 +- 8 bits.
 SKETCH_WORDS, SKETCH_BITS = 8, 96
+#: Documents in which shingles are counted, the least count of a common one, and how many are told to tasks.
+COMMON_DOCS, COMMON_LEAST, COMMON_MOST = 20_000, 4, 100_000
+#: Rounds in which the rows of a shingle are compared with one of them only, before all pairs are.
+STAR_ROUNDS = 2
 
 
-def text_sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, fps, sketch): equal digests mean equal sets of shingles."""
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and counts of shingles that documents of a sample share."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in _slices(texts):
+                yield pa.RecordBatch.from_arrays([pa.array(hash_shingles(texts[a:b], SIMILAR_WORDS, True)[0].view(np.int64))], ["gram"])
+
+    step = max(1, docs.count() // COMMON_DOCS)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text")
+    counts = sample.mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST)
+    rows = counts.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).collect()
+    grams, n = np.array([r.gram for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
+    order = np.argsort(grams)
+    return grams[order], n[order]
+
+
+def needed(n: np.ndarray, similarity: float) -> np.ndarray:
+    """The least number of a text's ``n`` shingles that a text of this similarity shares."""
+    return np.ceil(similarity * n - 1e-9).astype(np.int64)
+
+
+def prefixes(grams: np.ndarray, n: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each text, the rarest first, and how many they are.
+
+    All texts have their shingles in one order, so that two of this similarity share
+    one of their first n - ``needed`` + 1, whatever that order is.
+    """
+    rank = np.zeros(len(grams), np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], grams), len(common[0]) - 1)
+        rank = np.where(common[0][at] == grams, common[1][at], 0)
+    sizes = np.minimum(n, n - needed(n, similarity) + 1)
+    order = np.lexsort((grams, rank, np.repeat(np.arange(len(n)), n)))
+    nth = np.arange(len(grams)) - np.repeat(np.cumsum(n) - n, n)
+    return grams[order[nth < np.repeat(sizes, n)]], sizes
+
+
+def text_sketches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, digest, fps, sketch, n_grams, rare): equal digests mean equal sets of shingles."""
+    common = common_shingles(docs)
 
     def run(batches):
         import pyarrow as pa
@@ -426,11 +473,87 @@ def text_sketches(docs: DataFrame) -> DataFrame:
                 total = lambda x: np.diff(np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)][np.r_[0, ends]])  # noqa: E731  wraps
                 digest = np.stack([total(grams), total(mixed(grams, 99)), m.astype(np.uint64)], 1)
                 binary = lambda x: pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, TABLES * (b - a) + 1, TABLES), pa.int32()), pa.array(fps.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), binary(digest), lists, binary(sketch)], ["doc_id", "digest", "fps", "sketch"])
+                lists = lambda x, sizes: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(x.view(np.int64)))
+                columns = [binary(digest), lists(fps.ravel(), np.full(b - a, TABLES)), binary(sketch), pa.array(m), lists(*prefixes(grams, m, similarity, common))]
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), *columns], ["doc_id", "digest", "fps", "sketch", "n_grams", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, fps array<long>, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, fps array<long>, sketch binary, n_grams long, rare array<long>")
+
+
+def _grouped(rows: DataFrame, member: DataFrame) -> DataFrame:
+    """``rows`` with the component ``comp`` of their node."""
+    return rows.join(member, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+
+
+def _likely(met: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) that share enough of their first shingles, of ``met`` (a, b, na, nb): a row per shingle shared.
+
+    What they share besides lies behind the first shingles of the one whose first
+    shingles end first, so that there is a bound on all that they share.
+    """
+    u, v = F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
+    nu, nv = F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na"))
+    pairs = met.groupBy(u, v, nu.alias("nu"), nv.alias("nv")).agg(F.count("*").alias("n"))
+    rest = F.ceil(F.greatest("nu", "nv") * similarity - 1e-9) - 1
+    least = F.ceil((F.col("nu") + F.col("nv")) * (similarity / (1 + similarity)) - 1e-6)
+    return pairs.where(F.col("n") + rest >= least).select("u", "v")
+
+
+def _alike(similarity: float):
+    """Condition on sizes na and nb, without which texts can't be similar."""
+    return F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-6
+
+
+def _star_pairs(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Pairs of each row with one row of its shingle, in another component."""
+    lead = F.min_by(F.struct(F.col("node").alias("b"), F.col("n_grams").alias("nb"), F.col("comp").alias("cb")), F.xxhash64("node", F.lit(turn))).alias("r")
+    leads = rows.groupBy("gram").agg(lead).select("gram", "r.*")
+    met = rows.select("gram", F.col("node").alias("a"), F.col("n_grams").alias("na"), F.col("comp").alias("ca")).join(leads, "gram")
+    return _likely(met.where("ca <> cb").where(_alike(similarity)), similarity)
+
+
+def _cross_pairs(rows: DataFrame, similarity: float, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """All pairs of rows that share a shingle and are of different components.
+
+    Rows outside a shingle's largest component are paired with all others. Both are
+    dealt out in chunks, and a task joins two chunks at once, never a whole shingle.
+    """
+    sizes = rows.groupBy("gram", "comp").agg(F.count("*").alias("n")).groupBy("gram")
+    sizes = sizes.agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.max("n").alias("n_most"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
+    few = F.ceil((F.col("n") - F.col("n_most")) / group_rows)
+    sizes = sizes.select("gram", "most", few.alias("few"), F.ceil(F.col("n_most") / group_rows).alias("many"))
+    rows = rows.join(sizes, "gram").withColumn("minor", F.col("comp") != F.col("most"))
+    hashed = F.xxhash64("node")
+    rows = rows.withColumn("chunk", F.when(F.col("minor"), F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.col("many"))))
+    left = rows.where("minor").select("gram", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("few") + F.col("many") - 1)).alias("j"), F.col("node").alias("a"), F.col("n_grams").alias("na"), F.col("comp").alias("ca"))
+    right = rows.select("gram", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("chunk"), F.col("few") - 1))).alias("i"), F.col("chunk").alias("j"), F.col("node").alias("b"), F.col("n_grams").alias("nb"), F.col("comp").alias("cb"))
+    met = left.join(right, ["gram", "i", "j"]).where("ca <> cb and (i <> j or a < b)")
+    return _likely(met.where(_alike(similarity)), similarity)
+
+
+def complete_links(links: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """(node, component): components of verified ``links`` (u, v) and of all similar pairs between them.
+
+    Pairs of one component are never compared. Rounds of stars join what is left of
+    large groups; the last round takes all pairs of different components.
+    """
+    member = materialize(components(links))
+    rows = _grouped(reps.select("node", "n_grams", "rare"), member).select("node", "n_grams", "comp", F.explode("rare").alias("gram"))
+    live = rows.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
+    shared = materialize(rows.drop("comp").join(live, "gram"))
+    tried = None
+    for turn in range(STAR_ROUNDS + 1):
+        own = _grouped(shared, member)
+        pairs = _star_pairs(own, similarity, turn) if turn < STAR_ROUNDS else _cross_pairs(own, similarity)
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        found = materialize(_verified(pairs, docs, similarity))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = links.unionByName(found)
+        member = materialize(components(links))
+    return member
 
 
 def _verified(edges: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
@@ -455,19 +578,18 @@ def _verified(edges: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, group_id) of every document with an id; groups are named by their least doc_id.
 
-    Documents link if their sets of ``SIMILAR_WORDS``-word shingles are equal, or
-    if they are near in the fingerprints of one table at least and their
-    similarity, then computed from both whole texts, is ``similarity`` or more.
-    Texts without words are equal.
+    Documents link if the similarity of their sets of ``SIMILAR_WORDS``-word
+    shingles, computed from both whole texts, is ``similarity`` or more. Texts
+    without words are equal.
     """
     docs = docs.where("doc_id is not null")
-    own = materialize(text_sketches(docs))
-    first = F.min_by(F.struct("doc_id", "fps", "sketch"), "doc_id").alias("r")
-    reps = materialize(own.groupBy("digest").agg(first).select("digest", F.col("r.doc_id").cast("long").alias("node"), "r.fps", "r.sketch"))
+    own = materialize(text_sketches(docs, similarity))
+    first = F.min_by(F.struct("doc_id", "fps", "sketch", "n_grams", "rare"), "doc_id").alias("r")
+    reps = materialize(own.groupBy("digest").agg(first).select("digest", F.col("r.doc_id").cast("long").alias("node"), "r.fps", "r.sketch", "r.n_grams", "r.rare"))
     prints = reps.select("node", "sketch", F.posexplode("fps").alias("tab", "fp"), F.lit(1).alias("weight"))
     links = near_links(prints, TABLE_BUDGET, SKETCH_BITS).where("other is not null")
     edges = materialize(links.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct())
-    member = materialize(components(_verified(edges, docs, similarity)))
+    member = complete_links(materialize(_verified(edges, docs, similarity)), reps, docs, similarity)
     names = reps.select("digest", "node").join(member, "node", "left").select("digest", F.coalesce("component", "node").alias("group_id"))
     return own.select("doc_id", "digest").join(names, "digest").select("doc_id", "group_id")
 

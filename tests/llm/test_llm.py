@@ -496,3 +496,38 @@ def test_near_duplicates_edges(spark, odd_docs, no_docs):
     found = {r.doc_id: r.group_id for r in sim.near_duplicates(odd_docs).collect()}
     assert found == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 6, 7: 7, 8: 7, 9: 9, 11: 11}
     assert sim.near_duplicates(no_docs).count() == 0
+
+
+def test_near_duplicates_wherever_edits_lie(spark):
+    """Passages appended, cut off or replaced as a block; groups equal those of all pairs."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(4000)}"
+    rows = []
+    for i in range(12):
+        words = [word() for _ in range(300)]
+        copies = [words, [*words, *(word() for _ in range(36 + 3 * i))], words[: 290 - 5 * i], words[40 + i :]]
+        at, n = rng.randrange(200), 10 + 2 * i
+        copies.append(words[:at] + [word() for _ in range(n)] + words[at + n :])
+        rows += [(10 * i + k, " ".join(c)) for k, c in enumerate(copies)]
+    found = {r.doc_id: r.group_id for r in sim.near_duplicates(docs_of(spark, [(i, t, "en", "a") for i, t in rows])).collect()}
+    assert found == groups_of_all_pairs(rows)
+
+
+def groups_of_all_pairs(rows):
+    grams = {i: set(sim.shingles(t, 5)) for i, t in rows}
+    group = {i: i for i in grams}
+    for a in sorted(grams):
+        for b in sorted(grams):
+            if b < a and 5 * len(grams[a] & grams[b]) >= 4 * len(grams[a] | grams[b]):
+                x, y = group[a], group[b]
+                group = {k: min(x, y) if g in (x, y) else g for k, g in group.items()}
+    return group
+
+
+@pytest.mark.parametrize("group_rows", [2, 1000])
+def test_cross_pairs_are_all_pairs(spark, group_rows):
+    """Every pair of different components that shares a shingle, from chunks of any size."""
+    rows = [(g, node, 1, node % 3 if node < 12 else node) for g in range(3) for node in range(20) if node % (g + 1) == 0]
+    found = sim._cross_pairs(spark.createDataFrame(rows, "gram long, node long, n_grams long, comp long"), 0.8, group_rows).collect()
+    expected = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[3] != b[3]}
+    assert len(found) == len(expected) and {(r.u, r.v) for r in found} == expected
