@@ -266,10 +266,7 @@ def _joined(rows: DataFrame, paths: list[tuple[int, ...]], budget: int, sketch_b
         order = np.lexsort((fp, *(chunk[k] for k in reversed(keys))))
         path, fp, node = chunk["path"][order], fp[order], chunk["node"][order]
         group = np.r_[0, np.cumsum(np.any([chunk[k][order][1:] != chunk[k][order][:-1] for k in keys], axis=0))]
-        if sketch_bits is not None:  # equal fingerprints: told apart by their rows, in bits beyond the trie
-            a, b = _pairs_with_ties(group, fp, budget)
-        else:
-            a, b = trie_pairs(group, fp, budget)
+        a, b = trie_pairs(group, fp, budget)
         own = np.ones(len(a), bool)
         diff = fp[a] ^ fp[b]
         for p in np.unique(path[a]):
@@ -330,22 +327,6 @@ def _joined(rows: DataFrame, paths: list[tuple[int, ...]], budget: int, sketch_b
     return rows.select(*fields).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node long, other long, links long")
 
 
-def _pairs_with_ties(group: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """As trie_pairs where fingerprints may be equal: each leaf stands for its run of rows."""
-    n = len(fp)
-    first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (fp[1:] != fp[:-1])]) if n else np.empty(0, np.int64)
-    size = np.diff(np.r_[first, n])
-    a, b = trie_pairs(group[first], fp[first], budget)
-    tied = np.flatnonzero(size > 1)
-    a, b = np.r_[a, tied], np.r_[b, tied]
-    total = size[a] * size[b]
-    k = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-    wide = np.repeat(size[b], total)
-    x, y = np.repeat(first[a], total) + k // np.maximum(wide, 1), np.repeat(first[b], total) + k % np.maximum(wide, 1)
-    keep = x < y
-    return x[keep], y[keep]
-
-
 # Components
 
 
@@ -532,6 +513,20 @@ def _cross_pairs(rows: DataFrame, similarity: float, group_rows: int = GROUP_ROW
     return _likely(met.where(_alike(similarity)), similarity)
 
 
+def distinct_prints(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A row (tab, node, fp, weight, sketch) for each fingerprint of each table, and links (u, v) to it.
+
+    Texts with the same words have equal fingerprints, however many they are: each
+    is linked with the least node of its fingerprint, and that one alone is joined.
+    """
+    rows = reps.select("node", "sketch", F.posexplode("fps").alias("tab", "fp"))
+    prints = rows.groupBy("tab", "fp").agg(F.min_by(F.struct("node", "sketch"), "node").alias("r"), F.count("*").alias("weight"))
+    prints = materialize(prints.select("tab", "r.node", "fp", "weight", "r.sketch"))
+    least = prints.where("weight > 1").select("tab", "fp", F.col("node").alias("u"))
+    ties = rows.select("tab", "fp", F.col("node").alias("v")).join(least, ["tab", "fp"]).where("u <> v").select("u", "v")
+    return prints, ties
+
+
 def complete_links(links: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """(node, component): components of verified ``links`` (u, v) and of all similar pairs between them.
 
@@ -586,9 +581,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     own = materialize(text_sketches(docs, similarity))
     first = F.min_by(F.struct("doc_id", "fps", "sketch", "n_grams", "rare"), "doc_id").alias("r")
     reps = materialize(own.groupBy("digest").agg(first).select("digest", F.col("r.doc_id").cast("long").alias("node"), "r.fps", "r.sketch", "r.n_grams", "r.rare"))
-    prints = reps.select("node", "sketch", F.posexplode("fps").alias("tab", "fp"), F.lit(1).alias("weight"))
+    prints, ties = distinct_prints(reps)
     links = near_links(prints, TABLE_BUDGET, SKETCH_BITS).where("other is not null")
-    edges = materialize(links.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct())
+    edges = materialize(links.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).unionByName(ties).distinct())
     member = complete_links(materialize(_verified(edges, docs, similarity)), reps, docs, similarity)
     names = reps.select("digest", "node").join(member, "node", "left").select("digest", F.coalesce("component", "node").alias("group_id"))
     return own.select("doc_id", "digest").join(names, "digest").select("doc_id", "group_id")

@@ -531,3 +531,17 @@ def test_cross_pairs_are_all_pairs(spark, group_rows):
     found = sim._cross_pairs(spark.createDataFrame(rows, "gram long, node long, n_grams long, comp long"), 0.8, group_rows).collect()
     expected = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[3] != b[3]}
     assert len(found) == len(expected) and {(r.u, r.v) for r in found} == expected
+
+
+def test_equal_prints_are_joined_once(spark):
+    """Texts of the same words share all fingerprints: one row of each is joined, the others are linked with it."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(9)]
+    rows = [(i, " ".join(rng.sample(words, 9))) for i in range(12000)]  # all pairs of a table: 72 million
+    docs = docs_of(spark, [(i, t, "en", "a") for i, t in rows])
+    reps = sim.text_sketches(docs).selectExpr("doc_id node", "fps", "sketch")
+    prints, ties = sim.distinct_prints(reps)
+    assert [(r.node, r.weight) for r in prints.collect()] == [(0, 12000)] * sim.TABLES
+    assert ties.count() == sim.TABLES * 11999
+    found = {r.doc_id: r.group_id for r in sim.near_duplicates(docs.where("doc_id < 400")).collect()}
+    assert found == groups_of_all_pairs(rows[:400])
