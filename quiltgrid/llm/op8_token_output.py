@@ -4,7 +4,8 @@ Documents are dealt out by ranges of doc_id and sorted; a task encodes them, app
 the end id to each and cuts its ids into shards of about ``SHARD_IDS``. A shard's
 ids are compressed by repeatedly replacing frequent pairs of symbols by
 nonterminals; each round takes the most frequent pairs that can't overlap one
-another. A shard is one row of a Parquet folder: rules, the remaining sequence and
+another, and rounds go on until no pair is frequent. In a run of one symbol, pairs
+are replaced from the left. A shard is one row of a Parquet folder: rules, the remaining sequence and
 the length of each symbol's expansion, from which any document is decoded without
 the rest of its shard.
 
@@ -37,8 +38,8 @@ from quiltgrid.llm.common import shared_dir, table
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_IDS = 1_000_000
-#: Rounds of replacement, pairs considered in each, and the least count of a pair.
-ROUNDS, PAIRS, LEAST_COUNT = 5, 4096, 16
+#: Pairs considered in a round of replacement, and the least count of a pair.
+PAIRS, LEAST_COUNT = 4096, 16
 #: Encoded pieces that a worker process remembers, from one task to the next.
 MEMORY = 300_000
 #: Documents that are encoded together.
@@ -109,14 +110,19 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
     """Rules (left, right), the remaining symbols, and the length of each rule's expansion."""
     seq, rules, spans = ids.astype(np.int64), [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
     n_symbols = first_rule
-    for _ in range(ROUNDS):
-        pair, count = np.unique(seq[:-1] << 32 | seq[1:], return_counts=True)
+    while True:
+        # In a run of equal symbols, every second pair counts: the others overlap it.
+        edge = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]])
+        odd = (np.arange(len(seq)) - np.repeat(edge, np.diff(np.r_[edge, len(seq)])))[:-1] & 1 if len(seq) else seq
+        own = seq[:-1] << 32 | seq[1:]
+        apart = (seq[:-1] != seq[1:]) | (odd == 0)
+        pair, count = np.unique(own[apart], return_counts=True)
         often = np.flatnonzero(count >= LEAST_COUNT)
         often = often[np.argsort(-count[often], kind="stable")[:PAIRS]]
         lefts, rights, chosen = set(), set(), []
-        for p in pair[often].tolist():  # a symbol is a left one or a right one: chosen pairs never overlap
+        for p in pair[often].tolist():  # a symbol is a left one, a right one or in its own pair: chosen pairs never overlap
             a, b = p >> 32, p & 0xFFFFFFFF
-            if a != b and a not in rights and b not in lefts:
+            if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
                 lefts.add(a)
                 rights.add(b)
                 chosen.append(p)
@@ -126,8 +132,8 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         is_left, is_right = np.zeros(n_symbols, bool), np.zeros(n_symbols, bool)
         is_left[chosen >> 32] = True
         is_right[chosen & 0xFFFFFFFF] = True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        own = seq[at] << 32 | seq[at + 1]
+        at = np.flatnonzero(apart & is_left[seq[:-1]] & is_right[seq[1:]])
+        own = own[at]
         rule = np.minimum(np.searchsorted(chosen, own), len(chosen) - 1)
         hit = chosen[rule] == own
         at, rule = at[hit], rule[hit]

@@ -362,6 +362,18 @@ def test_repair_round_trip():
     assert len(symbols) < 2000
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(1)
+    copies = np.tile(rng.integers(0, 90, 1000).astype(np.uint32), 64)
+    for ids, most in ((copies, 200), (np.full(5000, 7, np.uint32), 64), (np.repeat(rng.integers(0, 3, 2000), rng.integers(1, 9, 2000)).astype(np.uint32), 9000)):
+        rules, symbols, spans = tok.compress(ids, 100)
+        assert (tok.expand(symbols, rules.astype(np.int64), 100) == ids).all() and len(symbols) <= most
+        left = []
+        for p in zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True):  # an overlapping equal pair isn't counted
+            left.append(None if left and p[0] == p[1] and left[-1] == p else p)
+        assert max(n for p, n in collections.Counter(left).items() if p) < tok.LEAST_COUNT
+
+
 def test_token_shards(spark, odd_docs, no_docs):
     path, t = tokenizer()
     for docs in (real(spark), odd_docs):
