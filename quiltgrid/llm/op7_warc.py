@@ -8,14 +8,17 @@ the line separator is the record separator. Reading takes whole files (bounded b
 Content-Length. The records of a transaction then meet by the id that they are
 concurrent to, and one nested row is made per capture.
 
-Scale: equal payloads are found by aggregation on digests; the joins on digests and
-on record ids carry narrow rows, and their hot keys (empty payloads, say) are dealt
-out by Spark's skew joins; payloads are shuffled once, by unique capture key.
+Scale: digests are computed once, into a narrow table; equal payloads are found there
+by aggregation; the joins on digests and on record ids carry narrow rows, and their
+hot keys (empty payloads, say) are dealt out by Spark's skew joins; payloads are
+shuffled once, by unique capture key.
 
 Defined cases: a null html has an empty payload; a null url writes no target;
 line ends in a url are percent-encoded; rows that repeat a page_id are captures of
-their own, as are rows with a null one; of equal payloads with equal smallest page_id the first scanned is the
-response; an empty table writes no records; extra columns are ignored.
+their own, as are rows with a null one; null page_ids come after all others, so that
+one is the response only if all of its payload are null; of equal payloads with equal
+smallest page_id the one with the least row key is the response; an empty table writes
+no records; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quiltgrid.llm.common import materialize, shared_dir, table
+from quiltgrid.llm.common import materialize, shared_dir
 
 END = "\r\n"
 RECORD_END = "\r\n\r\n"
@@ -41,11 +44,10 @@ DATE = "2024-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
-def base32_sha1(data: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1: five hex digits make four letters."""
-    digest = F.sha1(data)
-    parts = [F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int") for i in range(8)]
-    return F.concat(*(F.substring(F.lit(BASE32), F.shiftright(p, s).bitwiseAND(31) + 1, F.lit(1)) for p in parts for s in (15, 10, 5, 0)))
+def base32(sha1: Column) -> Column:
+    """Bare upper-case base32 of a SHA-1 in hex: five hex digits are four digits of base 32."""
+    parts = [F.lpad(F.conv(F.substring(sha1, a, n), 16, 32), n * 4 // 5, "0") for a, n in ((1, 15), (16, 15), (31, 10))]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def _record_id(kind: str, row: Column) -> Column:
@@ -61,20 +63,35 @@ def _record(kind: Column | str, headers: list[tuple[str, Column]], block: Column
     return F.concat(F.concat_ws(END, *rows), F.lit(END + END), block)
 
 
-def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> None:
-    """Write ``pages`` (page_id, url, html) as gzipped WARC files under ``path``."""
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("_row"))
-    rows = rows.withColumn("n_bytes", F.octet_length("payload")).withColumn("digest", base32_sha1(F.encode("payload", "UTF-8")))
-    narrow = rows.select("page_id", "_row", "digest", "n_bytes")
-    firsts = narrow.where(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min(F.struct("page_id", "_row")).alias("first"), F.count("*").alias("twins")).where("twins > 1")
+def row_key(spark: SparkSession, path: str) -> tuple[DataFrame, Column]:
+    """A Parquet table and a key that each of its rows keeps, however its files are dealt out to tasks."""
+    rows = spark.read.parquet(path)
+    return rows, F.concat_ws("-", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index").cast("string"))
+
+
+def write_warc(pages: DataFrame, path: str, key: Column | None = None, min_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``pages`` (page_id, url, html) as gzipped WARC files under ``path``.
+
+    ``key`` tells rows apart and must be the same in each scan, as ``row_key``'s is;
+    without one the pages are written in the shared folder first.
+    """
+    if key is None:
+        stored = shared_dir(pages.sparkSession)
+        pages.select("page_id", "url", "html").write.parquet(stored)
+        pages, key = row_key(pages.sparkSession, stored)
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"), key.alias("_row"))
+    narrow = materialize(rows.select("page_id", "_row", F.sha1(F.encode("payload", "UTF-8")).alias("sha1"), F.octet_length("payload").alias("n_bytes")))
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "_row")
+    firsts = narrow.where(F.col("n_bytes") >= min_bytes).groupBy("sha1").agg(F.min(order).alias("first"), F.count("*").alias("twins")).where("twins > 1")
     revisits = (
-        narrow.where(F.col("n_bytes") >= min_bytes).join(firsts, "digest")
+        narrow.where(F.col("n_bytes") >= min_bytes).join(firsts, "sha1")
         .where(F.col("first._row") != F.col("_row")).select("_row", F.col("first._row").alias("_first"))
     )
-    total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()["b"]
+    facts = narrow.select("_row", "n_bytes", base32(F.col("sha1")).alias("digest")).join(revisits, "_row", "left")
+    total = narrow.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()["b"]
     files = max(1, round(total / file_bytes))
     # Dealt out once, by the row: a task that runs again makes the same file.
-    rows = rows.repartition(files, "_row").join(revisits, "_row", "left")
+    rows = rows.repartition(files, "_row").join(facts, "_row")
     url = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     own, is_revisit = _record_id("response", F.col("_row")), F.col("_first").isNotNull()
     uri, date = ("WARC-Target-URI", url), ("WARC-Date", F.lit(DATE))
@@ -164,7 +181,8 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
-    write_warc(table(spark, sf_dir, "pages"), path)
+    pages, key = row_key(spark, f"{sf_dir}/pages.parquet")
+    write_warc(pages, path, key)
     captures = materialize(assemble_transactions(read_warc(spark, path, keep_blocks=False)))
     return resolve_revisits(captures)
 
