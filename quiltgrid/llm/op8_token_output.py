@@ -9,24 +9,24 @@ are replaced from the left. A shard is one row of a Parquet folder: rules, the r
 the length of each symbol's expansion, from which any document is decoded without
 the rest of its shard.
 
-Texts are encoded by the tokenizers library. The pre-tokenizer of byte-level BPE
-begins a new piece at each single space between two other characters, so such a
-text's pieces are encoded each and remembered; other texts are encoded as they are.
+Texts are encoded by the tokenizers library, special tokens included. The
+pre-tokenizer of byte-level BPE begins a new piece at each single space between two
+other characters, so such a text is cut there and each of a slice's different pieces
+is encoded once; other texts, and all texts of another kind of tokenizer, are encoded
+as they are.
 
 Scale: one shuffle, of the texts by id; shards bound what a task holds; starts are
 summed in two steps, within a partition by its task and over partitions by one row
-each.
+each. Rows of one id are spread by their text's hash, equal rows by where they lie.
 
 Defined cases: a null or empty text has the end id alone; null ids come first;
-repeated ids follow one another; an empty table gives no rows; extra columns are
+repeated ids follow one another in order of their texts' hashes; an empty table gives no rows; extra columns are
 ignored.
 """
 
 from __future__ import annotations
 
-import re
-import sys
-import types
+import os
 import zlib
 
 import numpy as np
@@ -40,117 +40,194 @@ END_ID = 2
 SHARD_IDS = 1_000_000
 #: Pairs considered in a round of replacement, and the least count of a pair.
 PAIRS, LEAST_COUNT = 4096, 16
-#: Encoded pieces that a worker process remembers, from one task to the next.
-MEMORY = 300_000
-#: Documents that are encoded together.
-TOGETHER = 512
-#: White space other than spaces and line feeds; texts with any are encoded as they are.
-RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks, as a power of two, by which places of chosen pairs are sought before they are compared.
+MARK_BITS = 16
+#: Encoded pieces that a worker remembers during a query (about 30 bytes each).
+MEMORY = 1_000_000
+#: Characters of documents that are encoded together, but for the last one's.
+TOGETHER = 1 << 22
+#: Texts are not cut where there are double spaces, spaces beside line feeds or ends, or any other white space.
+UNCUT = "  |\n | \n|^ | $|[\t\r\x0b\x0c\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
-SHARD_SCHEMA = "part int, nth int, before long, n_ids long, doc_ids array<long>, lengths array<long>, first_rule int, rules binary, symbols binary, expansion binary"
-
-
-def lone_spaces(text: str) -> bool:
-    """Whether there are spaces, each alone between two characters that aren't white space."""
-    return " " in text and not ("  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or RARE_SPACE.search(text))
+SHARD_SCHEMA = "part int, nth int, before long, n_ids long, first_id long, last_id long, doc_ids array<long>, lengths array<long>, first_rule int, rules binary, symbols binary, expansion binary"
 
 
 class Encoder:
-    """Ids of texts, as arrays, by the tokenizers library.
+    """Ids of texts by the tokenizers library, many texts at once.
 
-    The tokenizer and the pieces already encoded are kept with the process, as code
-    and globals come anew with each task.
+    As a broadcast value it is made once a worker, so that tasks of one query share
+    the tokenizer and the pieces already encoded; only its path is sent.
     """
 
-    def __init__(self, path: str):
-        kept = sys.modules.setdefault("quiltgrid_pieces", types.ModuleType("quiltgrid_pieces")).__dict__
-        if path not in kept:
-            from tokenizers import Tokenizer
+    def __init__(self, path: str, end_id: int = END_ID):
+        self.path, self.end_id, self.tokenizer = path, end_id, None
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path, "end_id": self.end_id, "tokenizer": None}
 
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
-            vocabulary = tokenizer.get_vocab()
-            n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    def open(self):
+        import pyarrow as pa
+        from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        if self.tokenizer is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+            self.tokenizer = Tokenizer.from_file(self.path)
+            rule, vocabulary = self.tokenizer.pre_tokenizer, self.tokenizer.get_vocab()
+            self.cuts = self.tokenizer.normalizer is None and isinstance(rule, ByteLevel) and rule.use_regex and not rule.add_prefix_space and isinstance(self.tokenizer.model, BPE)
+            self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
             for token, i in vocabulary.items():  # byte-level tokens have a character for each byte
-                n_bytes[i] = len(token)
-            kept[path] = (tokenizer, n_bytes, {})
-        self.tokenizer, self.n_bytes, self.pieces = kept[path]
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learned(self, new: list[str]) -> dict[str, bytes]:
-        """Encode pieces as one text, and tell them apart by the bytes that tokens stand for."""
-        text = " " + " ".join(new)
-        ids = self._encode([text])[0]
-        sizes = np.fromiter((len(p.encode("utf-8", "replace")) for p in new), np.int64, len(new))
-        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(sizes + 1), "right").tolist()
-        data = ids.tobytes()
-        return {piece: data[4 * a : 4 * b] for piece, a, b in zip(new, [0, *cuts[:-1]], cuts, strict=True)}
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        texts = [t or "" for t in texts]
-        split = [t.split(" ") if lone_spaces(t) else [t] for t in texts]
-        pieces, full = self.pieces, len(self.pieces) >= MEMORY
-        found = [list(map(pieces.get, s[1:])) for s in split]
-        new = list({p for s, f in zip(split, found, strict=True) if None in f for p, x in zip(s[1:], f, strict=True) if x is None})
-        learned = self._learned(new) if new else {}
-        if not full:  # early pieces are the frequent ones and stay
-            pieces.update(learned)
-        heads = self._encode([s[0] for s in split])
-        out = []
-        for head, s, f in zip(heads, split, found, strict=True):
-            if None in f:
-                f = [learned[p] if x is None else x for p, x in zip(s[1:], f, strict=True)]
-            out.append(np.frombuffer(head.tobytes() + b"".join(f), "<u4"))
+                self.n_bytes[i] = len(token)
+            self.pieces, self.ids, self.sizes = pa.array([], pa.large_string()), np.empty(0, "<u4"), np.empty(0, np.int64)
+        return self.tokenizer
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each has."""
+        found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.empty(0, "<u4"), *found]), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _learn(self, new) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces after a space, encoded as short texts; bytes that tokens stand for tell them apart."""
+        import pyarrow.compute as pc
+
+        some = new.to_pylist()
+        ids, _ = self._encode([" " + " ".join(some[i : i + 100]) for i in range(0, len(some), 100)])
+        ends = np.cumsum(pc.binary_length(new).to_numpy(zero_copy_only=False) + 1)
+        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, "right")
+        return ids, np.diff(cuts, prepend=0)
+
+    def _uncut(self, texts):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self.cuts:
+            return pa.array(np.ones(len(texts), bool))
+        out = pc.or_(pc.match_substring_regex(texts, UNCUT), pc.invert(pc.match_substring(texts, " ")))
+        for token in self.special:
+            out = pc.or_(out, pc.match_substring(texts, token))
         return out
 
+    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the Arrow array ``texts``, the end id after each, and how many each has with it."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        self.open()
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        uncut = self._uncut(texts)
+        cut = pc.invert(uncut)
+        # Parts of all texts in order: an uncut text is one part; a cut one is its first piece and the others.
+        pieces = pc.split_pattern(texts.filter(cut), " ")
+        n_pieces = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = pc.list_flatten(pieces)
+        heads = np.cumsum(n_pieces) - n_pieces
+        n_parts = np.zeros(len(texts), np.int64)
+        at_cut = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        n_parts[at_cut] = n_pieces
+        whole = np.empty(len(texts), object)
+        whole[at_cut] = flat.take(pa.array(heads)).to_numpy(zero_copy_only=False)
+        whole[n_parts == 0] = texts.filter(uncut).to_numpy(zero_copy_only=False)
+        n_parts[n_parts == 0] = 1
+        head_ids, head_sizes = self._encode(whole.tolist())
+        known, rest = flat.dictionary_encode(), np.ones(len(flat), bool)
+        rest[heads] = False
+        place = pc.index_in(known.dictionary, value_set=self.pieces)
+        new = known.dictionary.filter(pc.is_null(place))
+        ids, sizes = self.ids, self.sizes
+        if len(new):
+            more, more_sizes = self._learn(new)
+            ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
+            if len(sizes) <= MEMORY:  # early pieces are the frequent ones and stay
+                self.ids, self.sizes = ids, sizes
+                self.pieces = pa.concat_arrays([self.pieces, new])
+        entry = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        entry[entry < 0] = len(sizes) - len(new) + np.arange(len(new))
+        # The table of parts: remembered pieces, this slice's heads, the end id.
+        ids = np.concatenate([ids, head_ids, np.array([self.end_id], "<u4")])
+        sizes = np.concatenate([sizes, head_sizes, [1]])
+        n_heads = len(head_sizes)
+        parts = np.full(n_parts.sum() + len(texts), len(sizes) - 1)
+        first = np.cumsum(n_parts + 1) - n_parts - 1
+        other = np.ones(len(parts), bool)
+        other[first] = other[first + n_parts] = False
+        parts[first] = len(sizes) - 1 - n_heads + np.arange(n_heads)
+        parts[other] = entry[known.indices.to_numpy(zero_copy_only=False)[rest]]
+        return joined(ids, sizes, parts), np.add.reduceat(sizes[parts], first) if len(first) else first
+
+
+def joined(data: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``which`` of ``data``, whose runs have these sizes, one after another."""
+    n = sizes[which]
+    start = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n)
+    total = int(n.sum())
+    kind = np.int32 if max(total, len(data)) < 1 << 31 else np.int64
+    at = np.repeat(start.astype(kind), n)
+    at += np.arange(total, dtype=kind)
+    return data[at]
+
+
+def frequent_pairs(own: np.ndarray, least: int, most: int) -> np.ndarray:
+    """The ``most`` commonest of the pairs ``own`` that occur ``least`` times, the commonest first."""
+    own = np.sort(own)
+    if len(own) < least:
+        return own[:0]
+    # Where a pair occurs often enough, the place ``least`` - 1 further holds it too.
+    often = np.unique(own[: len(own) - least + 1][own[: len(own) - least + 1] == own[least - 1 :]])
+    count = np.searchsorted(own, often, "right") - np.searchsorted(own, often)
+    return often[np.argsort(-count, kind="stable")[:most]]
+
 
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (left, right), the remaining symbols, and the length of each rule's expansion."""
-    seq, rules, spans = ids.astype(np.int64), [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
-    n_symbols = first_rule
-    while True:
-        # In a run of equal symbols, every second pair counts: the others overlap it.
-        edge = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]])
-        odd = (np.arange(len(seq)) - np.repeat(edge, np.diff(np.r_[edge, len(seq)])))[:-1] & 1 if len(seq) else seq
-        own = seq[:-1] << 32 | seq[1:]
-        apart = (seq[:-1] != seq[1:]) | (odd == 0)
-        pair, count = np.unique(own[apart], return_counts=True)
-        often = np.flatnonzero(count >= LEAST_COUNT)
-        often = often[np.argsort(-count[often], kind="stable")[:PAIRS]]
+    seq, rules = ids.astype(np.uint32), [np.empty((0, 2), np.int64)]
+    spans = np.ones(first_rule, np.int64)
+    while len(seq) > 1:
+        if len(spans) <= 1 << 16:  # a pair of symbols is one number, the narrower the faster
+            low, own = 16, seq[:-1] << np.uint32(16) | seq[1:]
+        else:
+            low, own = 32, seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        twin = np.flatnonzero(seq[1:] == seq[:-1])
+        if len(twin):  # in a run of equal symbols, every second pair counts: the others overlap it
+            run = np.cumsum(np.diff(twin, prepend=-2) > 1)
+            nth = np.arange(len(twin)) - np.flatnonzero(np.diff(run, prepend=0))[run - 1]
+            apart = np.ones(len(own), bool)
+            apart[twin[nth & 1 == 1]] = False
+            at = np.flatnonzero(apart)
+            own = own[at]
         lefts, rights, chosen = set(), set(), []
-        for p in pair[often].tolist():  # a symbol is a left one, a right one or in its own pair: chosen pairs never overlap
-            a, b = p >> 32, p & 0xFFFFFFFF
+        for p in frequent_pairs(own, LEAST_COUNT, PAIRS).tolist():  # a symbol is a left one, a right one or in its own pair: chosen pairs never overlap
+            a, b = p >> low, p & (1 << low) - 1
             if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
                 lefts.add(a)
                 rights.add(b)
                 chosen.append(p)
         if not chosen:
             break
-        chosen = np.sort(np.array(chosen, np.int64))
-        is_left, is_right = np.zeros(n_symbols, bool), np.zeros(n_symbols, bool)
-        is_left[chosen >> 32] = True
-        is_right[chosen & 0xFFFFFFFF] = True
-        at = np.flatnonzero(apart & is_left[seq[:-1]] & is_right[seq[1:]])
-        own = own[at]
-        rule = np.minimum(np.searchsorted(chosen, own), len(chosen) - 1)
-        hit = chosen[rule] == own
-        at, rule = at[hit], rule[hit]
-        seq[at] = n_symbols + rule
-        seq = np.delete(seq, at + 1)
-        new = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
-        known = np.concatenate(spans)
-        length = lambda s: np.where(s < first_rule, 1, known[np.maximum(s - first_rule, 0)] if len(known) else 1)  # noqa: E731, B023
+        chosen = np.sort(np.array(chosen, own.dtype))
+        mark = np.zeros(1 << MARK_BITS, bool)
+        place = lambda pairs: (pairs.astype(np.uint32) ^ (pairs >> low).astype(np.uint32)) * np.uint32(2654435761) >> np.uint32(32 - MARK_BITS)  # noqa: E731, B023
+        mark[place(chosen)] = True
+        some = np.flatnonzero(mark[place(own)])
+        rule = np.minimum(np.searchsorted(chosen, own[some]), len(chosen) - 1)
+        hit = chosen[rule] == own[some]
+        some, rule = some[hit], rule[hit]
+        if len(twin):
+            some = at[some]
+        kept = np.ones(len(seq), bool)
+        kept[some + 1] = False
+        seq[some] = len(spans) + rule
+        seq = seq[kept]
+        new = np.stack([chosen >> low, chosen & (1 << low) - 1], 1).astype(np.int64)
         rules.append(new)
-        spans.append(length(new[:, 0]) + length(new[:, 1]))
-        n_symbols += len(chosen)
-    return np.concatenate(rules).astype("<u4"), seq.astype("<u4"), np.concatenate(spans).astype("<u4")
+        spans = np.concatenate([spans, spans[new].sum(1)])
+    return np.concatenate(rules).astype("<u4"), seq.astype("<u4"), spans[first_rule:].astype("<u4")
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for; each pass undoes a level of rules."""
-    out = symbols.astype(np.int64)
+def _expand_rules(rules: np.ndarray, first_rule: int) -> np.ndarray:
+    """The ids that the rules stand for, one after another; each pass undoes a level of rules."""
+    out = np.arange(first_rule, first_rule + len(rules))
     while len(out) and (big := out >= first_rule).any():
         n = 1 + big.astype(np.int64)
         starts = np.cumsum(n) - n
@@ -159,69 +236,95 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarra
         wide[starts[~big]] = out[~big]
         wide[starts[big]], wide[starts[big] + 1] = pair[:, 0], pair[:, 1]
         out = wide
-    return out.astype("<u4")
+    return out
+
 
+class Shard:
+    """A shard's row, unpacked once, from which any range of its ids is decoded."""
 
-def decode_range(shard: dict, start: int, stop: int) -> np.ndarray:
-    """Ids ``start`` to ``stop`` of a shard: only the symbols over that range are expanded."""
-    if start >= stop:
-        return np.empty(0, "<u4")
-    if "ends" not in shard:  # a shard's symbols are unpacked once
-        shard["s"] = np.frombuffer(shard["symbols"], "<u4").astype(np.int64)
-        shard["r"] = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2).astype(np.int64)
-        spans = np.frombuffer(shard["expansion"], "<u4").astype(np.int64)
-        rule = shard["s"] - shard["first_rule"]
-        shard["ends"] = np.cumsum(np.where(rule < 0, 1, spans[np.maximum(rule, 0)] if len(spans) else 1))
-    a, b = np.searchsorted(shard["ends"], start, "right"), np.searchsorted(shard["ends"], stop, "left") + 1
-    before = shard["ends"][a - 1] if a else 0
-    return expand(shard["s"][a:b], shard["r"], shard["first_rule"])[start - before : stop - before]
+    def __init__(self, row: dict):
+        unpack = lambda name: np.frombuffer(row[name], "<u4").astype(np.int64)
+        first, spans, symbols = row["first_rule"], unpack("expansion"), unpack("symbols")
+        rules = unpack("rules").reshape(-1, 2)
+        # Symbols as runs of one table: an id for itself, then what rules stand for.
+        self.data = np.concatenate([np.arange(first), _expand_rules(rules, first)]).astype("<u4")
+        self.sizes = np.concatenate([np.ones(first, np.int64), spans])
+        self.symbols, self.ends = symbols, np.cumsum(self.sizes[symbols])
+
+    def ids(self, start: int, stop: int) -> np.ndarray:
+        """Ids ``start`` to ``stop``: only the symbols over that range are expanded."""
+        if start >= stop:
+            return np.empty(0, "<u4")
+        a, b = np.searchsorted(self.ends, start, "right"), np.searchsorted(self.ends, stop, "left") + 1
+        before = self.ends[a - 1] if a else 0
+        return joined(self.data, self.sizes, self.symbols[a:b])[start - before : stop - before]
 
 
 def token_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
     """A row per shard, in order of (part, nth): ids of documents in ascending order of doc_id."""
+    encoder = docs.sparkSession.sparkContext.broadcast(Encoder(tokenizer_path, end_id))
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, encode, nth, before = TaskContext.get().partitionId(), Encoder(tokenizer_path), 0, 0
-        size = encode.tokenizer.get_vocab_size()
-        held: list[np.ndarray] = []
-        owners: list[int | None] = []
-        n_held = 0
-
-        def shard():
-            ids = np.concatenate(held)
-            rules, symbols, expansion = compress(ids, size)
-            row = {"part": part, "nth": nth, "before": before, "n_ids": len(ids), "doc_ids": owners, "lengths": [len(h) for h in held], "first_rule": size, "rules": rules.tobytes(), "symbols": symbols.tobytes(), "expansion": expansion.tobytes()}
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        part, encode, nth, before = TaskContext.get().partitionId(), encoder.value, 0, 0
+        size = encode.open().get_vocab_size()
+        ids, lengths, owners = np.empty(0, "<u4"), np.empty(0, np.int64), []
+
+        def shard(n_docs: int):
+            nonlocal ids, lengths, owners, nth, before
+            n = int(lengths[:n_docs].sum())
+            rules, symbols, expansion = compress(ids[:n], size)
+            own = owners[:n_docs]
+            known = [i for i in own if i is not None]
+            row = {"part": part, "nth": nth, "before": before, "n_ids": n, "first_id": min(known, default=None), "last_id": max(known, default=None), "doc_ids": own, "lengths": lengths[:n_docs], "first_rule": size, "rules": rules.tobytes(), "symbols": symbols.tobytes(), "expansion": expansion.tobytes()}
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            ids, lengths, owners, nth, before = ids[n:], lengths[n_docs:], owners[n_docs:], nth + 1, before + n
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], list(row))
 
-        end = np.array([end_id], "<u4")
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                some = batch.slice(at, TOGETHER)
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encode(some.column("text").to_pylist()), strict=True):
-                    held.append(np.concatenate([ids, end]))
-                    owners.append(doc_id)
-                    n_held += len(held[-1])
-                    if n_held >= shard_ids:
-                        yield shard()
-                        nth, before = nth + 1, before + n_held
-                        held, owners, n_held = [], [], 0
-        if held:
-            yield shard()
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, SHARD_SCHEMA)
+        for some in _together(batches):
+            more, sizes = encode(some.column("text"))
+            ids, lengths = np.concatenate([ids, more]), np.concatenate([lengths, sizes])
+            owners += some.column("doc_id").to_pylist()
+            while len(ids) >= shard_ids:
+                yield shard(int(np.searchsorted(np.cumsum(lengths), shard_ids)) + 1)
+        if len(ids):
+            yield shard(len(owners))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_hash"), F.pmod(F.monotonically_increasing_id(), F.lit(1024)).alias("_place"))
+    dealt = rows.repartitionByRange("doc_id", "_hash", "_place").sortWithinPartitions("doc_id", "_hash")
+    return dealt.select("doc_id", "text").mapInArrow(run, SHARD_SCHEMA)
+
+
+def _together(batches):
+    """Batches cut and joined to about ``TOGETHER`` characters."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held, n_held = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            end = min(batch.num_rows, at + 1 + int(np.searchsorted(ends[at:], TOGETHER - n_held + (ends[at - 1] if at else 0))))
+            held.append(batch.slice(at, end - at))
+            n_held += int(ends[end - 1] - (ends[at - 1] if at else 0))
+            at = end
+            if n_held >= TOGETHER:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, n_held = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def read_document(shards: DataFrame, doc_id: int) -> list[int]:
-    """The ids of one document, by random access: only the symbols over it are expanded."""
-    shard = shards.where(F.array_contains("doc_ids", doc_id)).first().asDict()
-    place = shard["doc_ids"].index(doc_id)
-    start = sum(shard["lengths"][:place])
-    return decode_range(shard, start, start + shard["lengths"][place]).tolist()
+    """The ids of one document, by random access: shards are skipped by their ids' range, and only the symbols over the document are expanded."""
+    own = shards.where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id) & F.array_contains("doc_ids", doc_id))
+    row = own.orderBy("part", "nth").first().asDict()
+    place = row["doc_ids"].index(doc_id)
+    start = sum(row["lengths"][:place])
+    return Shard(row).ids(start, start + row["lengths"][place]).tolist()
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -236,7 +339,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
         for batch in batches:
             for shard in batch.to_pylist():
-                at, rows, data = 0, [], decode_range(shard, 0, shard["n_ids"]).tobytes()
+                at, rows, data = 0, [], memoryview(Shard(shard).ids(0, shard["n_ids"]).tobytes())
                 for doc_id, n in zip(shard["doc_ids"], shard["lengths"], strict=True):
                     rows.append((doc_id, shard["part_start"] + shard["before"] + at, n, zlib.crc32(data[4 * at : 4 * (at + n)])))
                     at += n
