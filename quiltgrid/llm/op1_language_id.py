@@ -7,21 +7,24 @@ language's tree holds, or an escape (method C) and its cost in the next shorter
 one, down to one in 256. A text's code length is the exact sum over its bytes; the
 language with the shortest code is predicted.
 
-Scale: training takes a sample of ``TRAIN_DOCS`` documents a language (expected;
-those with the least id hashes), so that its counts and the cost table are bounded,
-by ``TABLE_BYTES`` at most, whatever the input; that table alone is broadcast. Every
-document is scored whole, where it lies: scoring moves no rows.
-
-Defined cases: null texts and texts without a letter are ``und``, score 0; the
-score is the posterior probability of the language, all being equally likely before;
-ties go to the first language by code point; without any labelled document all is
-``und``; repeated rows are scored each; extra columns are ignored.
+Scale: training takes about ``TRAIN_DOCS`` different documents a language (expected;
+those whose texts have the least hashes), however large the input is and however
+often an id or a text is repeated. Of the trees only what was counted is kept, about
+12 bytes for each context of a language and as much for each symbol in it: whatever
+the alphabet and the number of languages, no more than 24 * (ORDER + 1) bytes for each
+byte that was learned from. The trees alone are broadcast. Every document is scored
+whole, where it lies: scoring moves no rows. Each of a slice's different contexts is
+looked up once.
+
+Defined cases: null texts and texts without a letter (Unicode category L) are ``und``,
+score 0; the score is the posterior probability of the language, all being equally
+likely before; ties go to the first language by code point; without any labelled
+document all is ``und``; a null id is not held out; repeated rows are scored each, and
+learned from once; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,15 +32,11 @@ from pyspark.sql import functions as F
 from quiltgrid.llm.common import table
 
 ORDER = 3
-#: Labelled documents that a language is learned from, and what no language exceeds by far.
+#: Different labelled texts that a language is learned from, as expected.
 TRAIN_DOCS = 1500
-#: Longest contexts seen less often are left to shorter ones.
-MIN_CONTEXT = 2
-TABLE_BYTES = 128_000_000
 #: Text bytes that are scored at once.
 SLICE = 1 << 20
 PAD = b"\n" * ORDER
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
@@ -80,82 +79,83 @@ def count_grams(sample: DataFrame) -> DataFrame:
 
 
 def training_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """About ``train_docs`` labelled documents of each language, by the hash of their ids."""
+    """(lang, text): about ``train_docs`` different labelled texts of each language, by the texts' hashes."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    share = labelled.groupBy("lang").agg((F.lit(float(train_docs)) / F.count("*")).alias("share"))
-    place = F.crc32(F.md5(F.col("doc_id").cast("string")).cast("binary")) / F.lit(float(1 << 32))
+    labelled = labelled.select("lang", "text", F.xxhash64("text").alias("_hash"))
+    different = labelled.groupBy("lang", "_hash").agg(F.lit(1).alias("one"))
+    share = different.groupBy("lang").agg((F.lit(float(train_docs)) / F.count("*")).alias("share"))
+    place = F.col("_hash") / F.lit(float(1 << 64)) + 0.5
     # One row per language, so that the small side is the one that is moved.
-    return labelled.join(F.broadcast(share), "lang").where(F.coalesce(place, F.lit(0.0)) < F.col("share"))
+    return labelled.join(F.broadcast(share), "lang").where(place < F.col("share")).dropDuplicates(["lang", "_hash"]).select("lang", "text")
 
 
-def cost_table(langs: np.ndarray, grams: np.ndarray, counts: np.ndarray, n_langs: int, table_bytes: int = TABLE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What scoring looks up: classes of bytes, rows of contexts, and costs (row, class) x language.
+class Trees:
+    """Each language's context tree, as sorted arrays for each order from 0 to ``ORDER``.
 
-    ``langs``, ``grams`` and ``counts`` are the counted grams with the language's number.
+    A key is a language's number with up to ``ORDER`` + 1 bytes: a context and a
+    symbol, with its cost in bits, or a context alone, with the cost of its escape.
     """
-    parts = [(grams >> 8 * (ORDER - k)) & 255 for k in range(ORDER + 1)]
-    seen = np.unique(np.concatenate([parts[-1], np.frombuffer(PAD, np.uint8)]))
-    classes = np.full(256, len(seen), np.int32)  # the last class: bytes never seen
-    classes[seen] = np.arange(len(seen))
-    a = len(seen) + 1
-    c3, c2, c1, symbol = (classes[p].astype(np.int64) for p in parts)
-    context = (c3 * a + c2) * a + c1
-    total = np.bincount(context, counts, a**3)
-    room = max(0, table_bytes // (4 * n_langs * a) - a * a)
-    kept = np.flatnonzero(total >= MIN_CONTEXT)
-    if len(kept) > room:
-        kept = np.sort(kept[np.argsort(-total[kept], kind="stable")[:room]])
-    rows = np.tile(np.arange(a * a, dtype=np.int32), a)  # a context without a row of its own has its last two bytes'
-    rows[kept] = a * a + np.arange(len(kept), dtype=np.int32)
-    costs = np.empty((a * a + len(kept), a, n_langs), np.float32)
-
-    def coded(n: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Bits of each symbol after each context: counted, or escaped to the shorter context's."""
-        size, kinds = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.log2(size + kinds) - np.log2(n)
-            escape = np.log2(size + kinds) - np.log2(kinds)
-        return np.where(n > 0, own, np.where(size > 0, escape, 0) + shorter)
-
-    slot = np.full(a**3, -1)
-    slot[kept] = np.arange(len(kept))
-    for k in range(n_langs):
-        at = langs == k
-        s, n = symbol[at], counts[at]
-        order0 = coded(np.bincount(s, n, a)[None], np.full((1, a), 8.0))
-        order1 = coded(np.bincount(c1[at] * a + s, n, a * a).reshape(a, a), order0)
-        order2 = coded(np.bincount((c2[at] * a + c1[at]) * a + s, n, a**3).reshape(a * a, a), np.tile(order1, (a, 1)))
-        costs[: a * a, :, k] = order2
-        own = slot[context[at]]
-        order3 = np.bincount(own[own >= 0] * a + s[own >= 0], n[own >= 0], len(kept) * a).reshape(len(kept), a)
-        costs[a * a :, :, k] = coded(order3, order2[kept % (a * a)])
-    return classes, rows, costs.reshape(-1, n_langs)
-
-
-def code_lengths(texts: list[str], model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+
+    def __init__(self, langs: np.ndarray, grams: np.ndarray, counts: np.ndarray, n_langs: int):
+        self.n_langs, self.symbols, self.contexts = n_langs, [], []
+        for order in range(ORDER + 1):
+            key, at = np.unique(langs.astype(np.int64) << 32 | grams & (1 << 8 * (order + 1)) - 1, return_inverse=True)
+            n = np.bincount(at, counts, len(key))
+            context, at = np.unique((key >> 32) << 32 | (key & 0xFFFFFFFF) >> 8, return_inverse=True)
+            size, kinds = np.bincount(at, n, len(context)), np.bincount(at, minlength=len(context))
+            self.symbols.append((key, (np.log2(size + kinds)[at] - np.log2(n)).astype(np.float32)))
+            self.contexts.append((context, (np.log2(size + kinds) - np.log2(kinds)).astype(np.float32)))
+
+    @staticmethod
+    def _found(table: tuple[np.ndarray, np.ndarray], key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, values = table
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return keys[at] == key, values[at]
+
+    def costs(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each of ``grams`` after the others, in each language."""
+        out = np.empty((len(grams), self.n_langs), np.float32)
+        for lang in range(self.n_langs):
+            bits, open_ = np.zeros(len(grams), np.float32), np.arange(len(grams))
+            for order in range(ORDER, -1, -1):  # what an order doesn't hold goes on to the shorter one
+                base = np.int64(lang) << 32
+                own = grams[open_] & (1 << 8 * (order + 1)) - 1
+                seen, cost = self._found(self.symbols[order], base | own)
+                bits[open_[seen]] += cost[seen]
+                open_, own = open_[~seen], own[~seen]
+                seen, cost = self._found(self.contexts[order], base | own >> 8)
+                bits[open_] += np.where(seen, cost, 0)
+            bits[open_] += 8
+            out[:, lang] = bits
+        return out
+
+
+def code_lengths(texts: list[str], model: Trees) -> np.ndarray:
     """Bits of each text in each language; texts are not empty."""
-    classes, rows, costs = model
+    import pandas as pd
+
     data, starts, ends = _packed(texts)
-    a = classes.max() + 1
-    x = classes[data]
-    row = rows[(x[:-3] * a + x[1:-2]) * a + x[2:-1]]
-    bits = costs[row * np.int64(a) + x[ORDER:]]
+    x = data.astype(np.uint32)
+    gram = np.zeros(len(x) - ORDER, np.uint32)
+    for k in range(ORDER + 1):
+        gram = gram << np.uint32(8) | x[k : len(x) - ORDER + k]
+    which, different = pd.factorize(gram)
+    bits = np.vstack([model.costs(different.astype(np.int64))[which], np.zeros((1, model.n_langs), np.float32)])  # so that the last end is a place
     edges = np.stack([starts - ORDER, ends - ORDER], 1).ravel()
-    bits = np.vstack([bits, np.zeros((1, bits.shape[1]), np.float32)])  # so that the last end is a place
     return np.add.reduceat(bits, edges, axis=0, dtype=np.float64)[::2]
 
 
-def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], tuple] | None:
-    """The languages and their cost table; the rows collected are bounded by the sample."""
+def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], Trees] | None:
+    """The languages and their trees; the rows collected are bounded by the sample."""
     found = count_grams(training_sample(docs, train_docs)).toPandas()
     if not len(found):
         return None
     names = sorted(found["lang"].unique())
     number = {n: i for i, n in enumerate(names)}
-    return names, cost_table(found["lang"].map(number).to_numpy(), found["gram"].to_numpy(), found["n"].to_numpy(), len(names))
+    return names, Trees(found["lang"].map(number).to_numpy(), found["gram"].to_numpy(), found["n"].to_numpy(), len(names))
 
 
-def identify(docs: DataFrame, model: tuple[list[str], tuple] | None) -> DataFrame:
+def identify(docs: DataFrame, model: tuple[list[str], Trees] | None) -> DataFrame:
     """``docs`` with lang_pred and score, from their text alone; columns of these names are replaced."""
     docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -163,10 +163,10 @@ def identify(docs: DataFrame, model: tuple[list[str], tuple] | None) -> DataFram
     def run(batches):
         import pyarrow as pa
 
-        names, costs = shared.value or ([], None)
+        names, trees = shared.value or ([], None)
 
         def scored(texts: list[str]):
-            bits = code_lengths(texts, costs)
+            bits = code_lengths(texts, trees)
             best = bits.argmin(1)
             odds = np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
             return [names[i] for i in best], 1 / odds
@@ -174,7 +174,7 @@ def identify(docs: DataFrame, model: tuple[list[str], tuple] | None) -> DataFram
         for batch in batches:
             texts = batch.column("text").to_pylist()
             pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            able = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if names else []
+            able = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if names else []
             at = 0
             while at < len(able):
                 end, size = at, 0
