@@ -9,9 +9,13 @@ pieces hold may be left out if the bound is lowered by their number. Tasks count
 shared q-grams in overlapping bands of diagonals, keep bands that reach the bound,
 and align those inside a band of diagonals; at most e edits make a leak.
 
+Texts of a slice lie apart by more characters, which no piece has, than a match may
+skip: what stands beside a text neither adds to its leaks nor takes from them.
+
 Scale: the documents are scanned where they lie, whole, in slices; no gram of them
 is shuffled. The benchmark is broadcast in blocks of about ``BLOCK_CHARS``: a larger
-benchmark means more scans, not a larger broadcast.
+benchmark means more scans, not a larger broadcast. A text's shared grams are counted
+in overlapping runs of at most about ``MOST_SHARED``, however common its grams are.
 
 Defined cases: null or empty texts have no leaks; items with fewer than ``Q``
 characters after normalising are no evidence and are ignored; of equal items each
@@ -36,8 +40,10 @@ PIECE, STRIDE = 100, 50
 EDIT_RATE = 0.06
 #: Grams that more pieces than this hold are left out, as far as the bound stays at ``LEAST_SHARED``.
 COMMON, LEAST_SHARED = 4, 12
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 SLICE = 1 << 20
+#: Shared grams that are counted at once, but for those of one match's length of text.
+MOST_SHARED = 1 << 21
 FILTER_BITS = 22
 BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 OTHER = re.compile(r"[\W_]+")
@@ -98,7 +104,7 @@ class Index:
         kept = np.ones(len(gram), bool)
         kept[left_out] = False
         order = np.argsort(gram[kept], kind="stable")
-        self.piece, self.place = piece[kept][order], place[kept][order]
+        self.piece, self.place = piece[kept][order].astype(np.int32), place[kept][order].astype(np.int32)
         self.gram, self.first, self.count = np.unique(gram[kept][order], return_index=True, return_counts=True)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.gram >> np.uint64(64 - FILTER_BITS)] = True
@@ -112,14 +118,30 @@ class Index:
         found = np.minimum(np.searchsorted(self.gram, gram[at]), len(self.gram) - 1)
         real = self.gram[found] == gram[at]
         at, found = at[real], found[real]
+        edges, end = [], len(at)
+        total, start = np.cumsum(self.count[found]), 0
+        reach = 2 * PIECE + 4 * self.reach  # what one match spans, and more
+        while start < end:  # runs of places overlap by a match's length, so that each match lies within one
+            stop = max(int(np.searchsorted(total, MOST_SHARED + (total[start - 1] if start else 0))), int(np.searchsorted(at, at[start] + 2 * reach))) + 1
+            edges.append((start, min(stop, end)))
+            start = end if stop >= end else int(np.searchsorted(at, at[stop] - reach))
+        cells = np.unique(np.concatenate([self._cells(len(codes), at[a:b], found[a:b]) for a, b in edges])) if edges else np.empty(0, np.int64)
+        span, cell = self._span(len(codes))
+        return cells // span, cells % span - PIECE // cell * cell - cell
+
+    def _span(self, n: int) -> tuple[int, int]:
+        """Room for the diagonals of a piece in ``n`` characters, a multiple of the width of a cell, which is given too."""
+        cell = self.reach + 1
+        return -(-(n + 4 * PIECE) // cell) * cell, cell
+
+    def _cells(self, n_chars: int, at: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Cells, as piece * span + diagonal, of the shared grams ``found`` at these places."""
         n = self.count[found]
         k = np.repeat(self.first[found] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        piece, span, cell = self.piece[k], len(codes) + 4 * PIECE, self.reach + 1
-        span = -(-span // cell) * cell
+        piece, (span, cell) = self.piece[k].astype(np.int64), self._span(n_chars)
         key = np.sort(piece * span + np.repeat(at, n) - self.place[k] + PIECE // cell * cell + cell)
         inside = np.searchsorted(key, key + self.reach, "right") - np.arange(len(key))
-        cells = np.unique(key[inside >= self.shared[key // span]] // cell) * cell
-        return cells // span, cells % span - PIECE // cell * cell - cell
+        return np.unique(key[inside >= self.shared[key // span]] // cell) * cell
 
     def align(self, codes: np.ndarray, piece: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least edits of each piece within its band of diagonals, and where that match ends."""
@@ -141,16 +163,18 @@ class Index:
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text's number, item, edits, end in the normalised text), the least edits of each text and item."""
-        codes = _codes("\0".join(texts))
+        apart = 4 * self.reach + 2
+        codes = _codes(("\0" * apart).join(texts))
         piece, diagonal = self.candidates(codes)
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        sizes = np.array([len(t) for t in texts])
+        starts = np.cumsum([0, *(sizes + apart)])
         for i in range(0, len(piece), 20_000):
             p = piece[i : i + 20_000]
             edits, end = self.align(codes, p, diagonal[i : i + 20_000])
             ok = np.flatnonzero(edits <= self.edits[p])
             owner = np.searchsorted(starts, end[ok] - 1, "right") - 1
-            for o, x, e, at in zip(owner.tolist(), p[ok].tolist(), edits[ok].tolist(), (end[ok] - starts[owner]).tolist(), strict=True):
+            for o, x, e, at in zip(owner.tolist(), p[ok].tolist(), edits[ok].tolist(), np.minimum(end[ok] - starts[owner], sizes[owner]).tolist(), strict=True):
                 key = (o, self.owners[x])
                 found[key] = min(found.get(key, (e, at)), (e, at))
         return [(*k, *v) for k, v in sorted(found.items())]
