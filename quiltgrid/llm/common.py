@@ -47,15 +47,24 @@ def hash_digits(n_rows: int) -> int:
     return digits
 
 
-def ordered_totals(df: DataFrame, key: str, order: str, tie: str, weight: Column, digits: int, across_keys: bool) -> DataFrame:
+def ordered_totals(df: DataFrame, key: str, order: str, place: str, weight: Column, digits: int, across_keys: bool) -> DataFrame:
     """Exclusive running total of ``weight`` as column ``before``.
 
-    Rows are in order of (``key``, ``order``, ``tie``), where ``order`` is a hex
-    hash. The total starts anew with each key, or runs on if ``across_keys``.
-    No task sees more than a hash bucket of a key: bucket sums are made by
-    partial aggregation, and only those sums are accumulated over a key.
+    Rows are in order of (``key``, ``order``), where ``order`` is a hex hash of all
+    that tells rows apart: rows of equal order must be interchangeable. The total
+    starts anew with each key, or runs on if ``across_keys``. No task sees more than
+    a hash bucket of a key: bucket sums are made by partial aggregation, and only
+    those sums are accumulated over a key. An order that many rows share comes after
+    its bucket's others, in buckets of its own by ``place``, a small number that is
+    stored with each row.
     """
     rows = df.withColumn("_b", F.substring(order, 1, digits)).withColumn("_w", weight)
+    full = rows.groupBy(key, "_b").agg(F.count("*").alias("_n")).where(F.col("_n") > 4 * ROWS_PER_BUCKET).drop("_n")
+    hot = rows.join(full, [key, "_b"], "left_semi").groupBy(key, order).agg(F.count("*").alias("_n")).where(F.col("_n") > ROWS_PER_BUCKET)
+    # A row for every ROWS_PER_BUCKET rows of ``df`` at most.
+    hot = materialize(hot.select(key, order, F.lit(True).alias("_hot")))
+    if not hot.isEmpty():
+        rows = rows.join(hot, [key, order], "left").withColumn("_b", F.when(F.col("_hot"), F.concat("_b", F.lit("~"), order, F.lpad(F.col(place).cast("string"), 4, "0"))).otherwise(F.col("_b"))).drop("_hot")
     sums = rows.groupBy(key, "_b").agg(F.sum("_w").alias("_s"))
     by_bucket = Window.partitionBy(key).orderBy("_b")
     sums = sums.withColumn("_start", F.sum("_s").over(by_bucket) - F.col("_s"))
@@ -63,6 +72,11 @@ def ordered_totals(df: DataFrame, key: str, order: str, tie: str, weight: Column
         keys = rows.groupBy(key).agg(F.sum("_w").alias("_k"))
         keys = keys.withColumn("_base", F.sum("_k").over(Window.orderBy(key)) - F.col("_k"))
         sums = sums.join(keys, key).withColumn("_start", F.col("_start") + F.col("_base"))
-    inside = Window.partitionBy(key, "_b").orderBy(order, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_local", F.sum("_w").over(inside) - F.col("_w"))
     return rows.join(sums.select(key, "_b", "_start"), [key, "_b"]).withColumn("before", F.col("_start") + F.col("_local")).drop("_b", "_w", "_start", "_local")
+
+
+def stored_place() -> Column:
+    """A number below 1024 by where a row lies, to be stored with it: it spreads rows that are alike."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(1024))

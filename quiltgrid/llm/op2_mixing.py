@@ -12,9 +12,9 @@ row per source reaches the driver, and blocks are never listed in one place, as
 the permutation is computed, not sorted.
 
 Defined cases: null and blank texts have no words and none are taken; a null source
-is a source like any other, the last one; repeated rows are documents of their own
-if their ids differ (rows with one id share an arbitrary but lasting order); a
-source without words has target 0; a mix smaller than half a block is one block; an
+is a source like any other, the last one; rows that repeat an id, or have none, are
+documents of their own, in the seeded order of id and text; equal rows are
+interchangeable; a source without words has target 0; a mix smaller than half a block is one block; an
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import count_words, hash_digits, materialize, ordered_totals, table, words_of
+from quiltgrid.llm.common import count_words, hash_digits, materialize, ordered_totals, stored_place, table, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2
@@ -108,13 +108,13 @@ def plan_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
 
     ``before``: words of its source's stream that stand before the document.
     """
-    sizes = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")))
+    sizes = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.md5("text").alias("_text"), stored_place().alias("_place")))
     stats = sizes.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("rows")).collect()
     plan = docs.sparkSession.createDataFrame([tuple(r.values()) for r in plan_mix([(r["source"], r["words"]) for r in stats], block_words, seed=seed, **options)], PLAN)
     name = lambda c: F.when(c.isNull(), "n").otherwise(F.concat(F.lit("s"), c))  # noqa: E731  a join key without nulls
-    rows = sizes.withColumn("_key", name(F.col("source"))).withColumn("_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))))
-    rows = ordered_totals(rows, "_key", "_order", "doc_id", F.col("size"), hash_digits(sum(r["rows"] for r in stats)), across_keys=False)
-    return rows.join(plan.withColumn("_key", name(F.col("name"))).drop("name"), "_key").drop("_key", "_order")
+    rows = sizes.withColumn("_key", name(F.col("source"))).withColumn("_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("_text"))))
+    rows = ordered_totals(rows, "_key", "_order", "_place", F.col("size"), hash_digits(sum(r["rows"] for r in stats)), across_keys=False)
+    return rows.join(plan.withColumn("_key", name(F.col("name"))).drop("name"), "_key").drop("_key", "_order", "_text", "_place")
 
 
 def blocks_of(block_words: int) -> Column:
@@ -160,7 +160,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = r"""
 with d as (
-  select doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size, md5('42:' || doc_id) as o
+  select doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size, md5(concat_ws(':', '42', doc_id, md5(text))) as o
   from documents),
 s0 as (
   select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as i, [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w

@@ -26,6 +26,8 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -180,48 +182,62 @@ class Index:
         return [(*k, *v) for k, v in sorted(found.items())]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, edits, end_char): each item that leaks into each document, at its best match."""
-    spark = docs.sparkSession
+def _indexes(benchmark: DataFrame, block_chars: int):
+    """A broadcast index of each block of the benchmark."""
     chars = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // block_chars))
-    out = None
     for block in range(blocks):
         own = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).select("item_id", "text")
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in own.collect()]))
-        part = _scan(docs, index, benchmark.schema["item_id"].dataType)
-        out = part if out is None else out.unionByName(part)
-    return out
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in own.collect()]))
+
+
+def _slices(texts) -> Iterator[tuple[int, list[str]]]:
+    """Runs of about ``SLICE`` normalised characters of an Arrow array, each with its first place."""
+    at = 0
+    while at < len(texts):
+        some, size, start = [], 0, at
+        while at < len(texts) and (size < SLICE or not some):
+            some.append(normalised(texts[at].as_py()))
+            size += len(some[-1])
+            at += 1
+        yield start, some
 
 
-def _scan(docs: DataFrame, index, item_type: T.DataType) -> DataFrame:
-    id_type = docs.schema["doc_id"].dataType
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(doc_id, item_id, edits, end_char): each item that leaks into each document, at its best match."""
+    id_type, item_type = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("item_id", item_type), T.StructField("edits", T.LongType()), T.StructField("end_char", T.LongType())])
 
-    def run(batches):
-        import pyarrow as pa
-
-        own = index.value
-        for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            at = 0
-            while at < batch.num_rows:
-                some, size, start = [], 0, at
-                while at < batch.num_rows and (size < SLICE or not some):
-                    some.append(normalised(texts[at].as_py()))
-                    size += len(some[-1])
-                    at += 1
-                rows = own.leaks(some)
-                found = ids.take(pa.array([start + r[0] for r in rows], pa.int64()))
-                rest = [pa.array([r[k] for r in rows], kind) for k, kind in ((1, to_arrow_type(item_type)), (2, pa.int64()), (3, pa.int64()))]
-                yield pa.RecordBatch.from_arrays([found, *rest], schema.fieldNames())
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any leak."""
-    return docs.join(find_leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti")
+    def scan(index):
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                for start, some in _slices(batch.column("text")):
+                    rows = index.value.leaks(some)
+                    found = batch.column("doc_id").take(pa.array([start + r[0] for r in rows], pa.int64()))
+                    rest = [pa.array([r[k] for r in rows], kind) for k, kind in ((1, to_arrow_type(item_type)), (2, pa.int64()), (3, pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([found, *rest], schema.fieldNames())
+
+        return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+    return reduce(DataFrame.unionByName, map(scan, _indexes(benchmark, block_chars)))
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` without any leak, where they lie; whatever their ids are, each row is judged by its text."""
+
+    def scan(docs, index):
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                leaking = {start + r[0] for start, some in _slices(batch.column("text")) for r in index.value.leaks(some)}
+                yield batch.filter(pa.array([i not in leaking for i in range(batch.num_rows)], pa.bool_()))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return reduce(scan, _indexes(benchmark, block_chars), docs)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

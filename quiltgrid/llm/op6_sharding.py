@@ -1,18 +1,20 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
 Each dimension is quantised into 2 ** BITS levels of about equal row counts; the
-levels' cell has an index on the curve; rows are ordered by (index, md5 of the
-id, id) and the order is cut into runs whose counts differ by one at most (law
+levels' cell has an index on the curve; rows are ordered by (index, md5 of id and
+text checksum) and the order is cut into runs whose counts differ by one at most (law
 ``rows``). Neighbours on the curve agree in most dimensions, so that the minima
 and maxima of a run's files prune on any of them.
 
 Scale: rows of a cell are ordered inside buckets of their id's hash, so that a
 cell with a third of all rows is spread as well; only counts by level, cell and
-bucket are accumulated. Texts are read once, for their size and checksum.
+bucket are accumulated. A dimension may have any number of values: they are sorted by
+ranges, and only a sum for each range comes to one place. Texts are read once, for their size and checksum.
 
 Defined cases: a null text has no bytes and the checksum of an empty one; null
-dimensions form the last level; repeated ids get places of their own; an empty
-table gives no rows; extra columns are ignored.
+dimensions form the last level; rows that repeat an id, or have none, get places of
+their own; an empty table gives no rows; extra columns are ignored, and written with
+the shards but for one named like a column of ``PLACES``, which gets the prefix ``_own_``.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import hash_digits, materialize, ordered_totals, table
+from quiltgrid.llm.common import hash_digits, materialize, ordered_totals, stored_place, table
 
 SHARDS = 16
 BITS = 4
@@ -60,21 +62,25 @@ def hilbert_index(point: tuple[int, ...], bits: int) -> int:
 def _levels(df: DataFrame, dim: str, bits: int) -> DataFrame:
     """(value, level) of each value of ``dim``: equal shares of the rows, in the order of values, null last.
 
-    Values are grouped first. Metadata of unbounded cardinality should be given
-    as coarser expressions (a size as its logarithm), as values are accumulated
-    in one place.
+    Values are grouped first, then sorted by ranges: a range's task accumulates its
+    own, and only the ranges' sums are accumulated in one place.
     """
     values = df.groupBy(F.col(dim).alias("_v")).agg(F.count("*").alias("_n"))
-    order = Window.orderBy(F.col("_v").asc_nulls_last())
-    before = F.sum("_n").over(order) - F.col("_n")
-    total = F.sum("_n").over(Window.partitionBy())
-    return values.select(F.col("_v").alias(f"_v_{dim}"), F.floor(before * (1 << bits) / total).cast("int").alias(f"_level_{dim}"))
+    ranged = materialize(values.repartitionByRange(F.col("_v").asc_nulls_last()).withColumn("_p", F.spark_partition_id()))
+    sums = ranged.groupBy("_p").agg(F.sum("_n").alias("_s"))
+    sums = sums.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_start"), F.sum("_s").over(Window.partitionBy()).alias("_total"))
+    inside = F.sum("_n").over(Window.partitionBy("_p").orderBy(F.col("_v").asc_nulls_last())) - F.col("_n")
+    before = F.col("_start") + F.col("_inside")
+    # A row per range of the writing job, whatever the input.
+    placed = ranged.withColumn("_inside", inside).join(F.broadcast(sums), "_p")
+    return placed.select(F.col("_v").alias(f"_v_{dim}"), F.floor(before * (1 << bits) / F.col("_total")).cast("int").alias(f"_level_{dim}"))
 
 
-def hilbert_shards(rows: DataFrame, dims: tuple[str, ...], n_shards: int = SHARDS, bits: int = BITS, key: str = "doc_id") -> DataFrame:
+def hilbert_shards(rows: DataFrame, dims: tuple[str, ...], n_shards: int = SHARDS, bits: int = BITS, key: tuple[str, ...] = ("doc_id", "text_crc32")) -> DataFrame:
     """``rows`` with ``hilbert``, ``shard`` and ``slot`` (gapless from 0 in each shard).
 
-    ``rows`` should be narrow: they are shuffled. dims * bits is 15 at most.
+    ``rows`` should be narrow: they are shuffled. They have a ``stored_place``; of
+    one cell, those equal in ``key`` are interchangeable. dims * bits is 15 at most.
     """
     if len(dims) * bits > 15:
         raise ValueError("more than 15 bits of cells")
@@ -89,31 +95,43 @@ def hilbert_shards(rows: DataFrame, dims: tuple[str, ...], n_shards: int = SHARD
         out = out.join(levels, F.col(dim).eqNullSafe(F.col(f"_v_{dim}")))
         code = code + F.shiftleft(F.col(f"_level_{dim}"), bits * i)
     out = out.withColumn("hilbert", F.get(F.array(*map(F.lit, cells)), code)).select(*rows.columns, "hilbert")
-    out = out.withColumn("_order", F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))).withColumn("_tie", F.col(key))
+    out = out.withColumn("_order", F.md5(F.concat_ws(":", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key))))
     total = rows.count()
-    out = ordered_totals(out, "hilbert", "_order", "_tie", F.lit(1).cast("long"), hash_digits(total), across_keys=True)
+    out = ordered_totals(out, "hilbert", "_order", "_place", F.lit(1).cast("long"), hash_digits(total), across_keys=True)
     shard = F.expr(f"(before * {n_shards}L) div {max(total, 1)}L").cast("int")
     first = F.expr(f"(shard * {total}L + {n_shards - 1}L) div {n_shards}L")
-    return out.withColumn("shard", shard).withColumn("slot", F.col("before") - first).drop("before", "_order", "_tie")
+    return out.withColumn("shard", shard).withColumn("slot", F.col("before") - first).drop("before", "_order", "_place")
 
 
-def document_facts(docs: DataFrame) -> DataFrame:
+def document_facts(docs: DataFrame, *more: str) -> DataFrame:
     """(doc_id, lang, source, size_class, size, text_crc32): what sharding needs of each document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = (F.octet_length(text) + 1).cast("long")
-    return docs.select("doc_id", "lang", "source", size.alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.floor(4 * F.log2(size)).cast("int").alias("size_class"))
+    return docs.select("doc_id", "lang", "source", size.alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.floor(4 * F.log2(size)).cast("int").alias("size_class"), *more)
 
 
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     """Facts of each document with its curve index, shard and slot."""
-    facts = materialize(document_facts(docs))
+    facts = materialize(document_facts(docs).withColumn("_place", stored_place()))
     return hilbert_shards(facts, ("lang", "source", "size_class"), n_shards)
 
 
+#: Columns that ``write_shards`` adds; ``shard`` names the folders.
+PLACES = ("hilbert", "shard", "slot")
+
+
 def write_shards(docs: DataFrame, path: str, n_shards: int = SHARDS) -> None:
-    """Write documents as one Parquet folder per shard, each file in curve order."""
-    placed = shard_documents(docs, n_shards).select(F.col("doc_id"), "shard", "slot", "hilbert")
-    placed.join(docs.dropDuplicates(["doc_id"]), "doc_id").repartition(n_shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write all rows of ``docs`` as one Parquet folder per shard, each file in curve order.
+
+    The rows are numbered in the shared folder first, so that rows of one id, or of
+    none, stay apart. Tasks take ranges of the order: a shard may have a few files.
+    """
+    own = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in PLACES})
+    own = materialize(own.withColumn("_row", F.monotonically_increasing_id()))
+    facts = materialize(document_facts(own, "_row").withColumn("_place", F.pmod("_row", F.lit(1024))))
+    placed = hilbert_shards(facts, ("lang", "source", "size_class"), n_shards, key=("doc_id", "text_crc32", "_row")).select("_row", *PLACES)
+    rows = own.join(placed, "_row").drop("_row")
+    rows.repartitionByRange(n_shards, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

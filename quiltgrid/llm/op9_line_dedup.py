@@ -1,7 +1,8 @@
 """Line dedup by overlapping windows of three lines.
 
 Every three consecutive lines of a document are hashed. A window that occurs again,
-anywhere, is a repeat in all its occurrences but the first by (doc_id, place). The
+anywhere, is a repeat in all its occurrences but the first by (doc_id, hash of the
+text, place). The
 lines that repeats cover are removed; windows overlap, so what they cover is merged.
 
 Scale: only hashes, ids and places are shuffled; a window's first occurrence is found
@@ -9,9 +10,9 @@ by partial aggregation, and the join back to its occurrences deals hot windows o
 Spark's skew joins. What comes together is one document's covered lines.
 
 Defined cases: a null text stays null; texts of fewer than three lines have no
-window; windows without any word are not counted; rows that repeat a doc_id are one
-document in different versions: a line goes from all of them; texts without an id stay
-as they are, though theirs are first occurrences; an empty table gives no rows; extra
+window; windows without any word are not counted; rows that repeat a doc_id, or have
+none, are documents of their own if their texts differ, null ids first; rows equal in
+id and text are one document, and each is returned; an empty table gives no rows; extra
 columns are kept, those named n_lines, n_removed or removed with the prefix ``_own_``.
 """
 
@@ -20,40 +21,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import BLANKS, table
+from quiltgrid.llm.common import BLANKS, let, table
 
 WINDOW = 3
 
 
 def line_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, at, h1, h2): 128 bits of each window of lines, ``at`` being its first line from 0."""
+    """(doc_id, doc_hash, at, h1, h2): 128 bits of each window of lines, ``at`` being its first line from 0."""
     lines = F.split("text", "\n")
     starts = F.sequence(F.lit(0), F.size("lines") - window)
-    some = docs.select("doc_id", lines.alias("lines")).where(F.size("lines") >= window)
-    some = some.select("doc_id", F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice("lines", i + 1, window).alias("w")))).alias("x"))
+    some = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), lines.alias("lines")).where(F.size("lines") >= window)
+    some = some.select("doc_id", "doc_hash", F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice("lines", i + 1, window).alias("w")))).alias("x"))
     some = some.where(F.exists("x.w", lambda line: F.btrim(line, F.lit(BLANKS)) != ""))
-    return some.select("doc_id", "x.at", F.xxhash64("x.w").alias("h1"), F.xxhash64(F.lit(1), "x.w").alias("h2"))
+    return some.select("doc_id", "doc_hash", "x.at", F.xxhash64("x.w").alias("h1"), F.xxhash64(F.lit(1), "x.w").alias("h2"))
 
 
 def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, removed): places of the lines to remove, for documents that have any."""
+    """(doc_id, doc_hash, removed): places of the lines to remove, ascending, for documents that have any."""
     windows = line_windows(docs, window)
-    firsts = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = windows.join(firsts, ["h1", "h2"]).where(F.struct("doc_id", "at") > F.col("first"))
+    place = F.struct("doc_id", "doc_hash", "at")
+    firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = windows.join(firsts, ["h1", "h2"]).where(place > F.col("first"))
     covered = F.flatten(F.transform(F.collect_set("at"), lambda i: F.sequence(i, i + (window - 1))))
-    return again.groupBy("doc_id").agg(F.array_sort(F.array_distinct(covered)).alias("removed"))
+    return again.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.array_distinct(covered)).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the repeated lines cut out of ``text``, and n_lines, n_removed."""
-    own = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("n_lines", "n_removed", "removed")})
-    marked = own.join(repeated_lines(own, window), "doc_id", "left")
+    own = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("n_lines", "n_removed", "removed", "doc_hash")})
+    found = repeated_lines(own, window).withColumnRenamed("doc_id", "_id")
+    marked = own.withColumn("doc_hash", F.xxhash64("text")).join(found.withColumnRenamed("doc_hash", "_hash"), (F.col("doc_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     lines = F.split("text", "\n")
-    # A set's membership by place: removed lines become null and are dropped.
-    kept = F.transform(lines, lambda line, i: F.when(~F.array_contains("removed", i), line))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(kept, lambda x: x.isNotNull()), "\n"))
-    out = marked.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)), "n_removed": F.coalesce(F.size("removed"), F.lit(0)), "text": text}).drop("removed")
-    return out.select(*[c for c in own.columns], "n_lines", "n_removed")
+    # Runs of lines between one removed line and the next, and after the last.
+    since = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("removed", k - 1) + 1)
+    ends = F.concat("removed", F.array(F.col("_n")))
+    cut = let(lines, lambda x: F.array_join(F.flatten(F.transform(ends, lambda end, k: F.slice(x, since(k) + 1, end - since(k)))), "\n"))
+    out = marked.withColumn("_n", F.coalesce(F.size(lines), F.lit(0)))
+    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut)
+    out = out.withColumns({"n_lines": F.col("_n"), "n_removed": F.coalesce(F.size("removed"), F.lit(0)), "text": text})
+    return out.select(*own.columns, "n_lines", "n_removed")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,11 @@ import zlib
 
 import duck
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quiltgrid.llm import common
 from quiltgrid.llm import op1_language_id as lid
 from quiltgrid.llm import op2_mixing as mix
 from quiltgrid.llm import op3_decontamination as dec
@@ -76,6 +78,8 @@ def test_language_accuracy_and_edges(spark, odd_docs, no_docs):
         found[r.doc_id].append((r.lang_pred, r.score))
     assert sum(map(len, found.values())) == odd_docs.count()
     assert {i for i, v in found.items() if v[0][0] == "und"} == {3, 4, 5, 6}
+    marks = docs_of(spark, [(1, "² ½ ① Ⅷ 12", None, None), (2, "ª", None, None), (3, "日", None, None)])  # only the last two have a letter
+    assert [r.lang_pred == "und" for r in lid.identify(marks, model).orderBy("doc_id").collect()] == [True, False, False]
     assert lid.learn(no_docs) is None
     assert {r.lang_pred for r in lid.identify(odd_docs, None).collect()} == {"und"}
     assert lid.identify(no_docs, model).count() == 0
@@ -98,8 +102,7 @@ def test_code_lengths_by_hand():
         bits = 0.0
         for o in (3, 2, 1, 0):
             seen = tree[n][o].get(b[i - o : i])
-            everywhere = sum(sum(tree[m][o][b[i - o : i]].values()) for m in names if b[i - o : i] in tree[m][o])
-            if not seen or (o == 3 and everywhere < lid.MIN_CONTEXT):
+            if not seen:
                 continue
             total, kinds = sum(seen.values()), len(seen)
             if b[i] in seen:
@@ -107,13 +110,38 @@ def test_code_lengths_by_hand():
             bits += math.log2((total + kinds) / kinds)
         return bits + 8
 
-    model = lid.cost_table(np.array([names.index(n) for n, _ in grams]), np.array([g for _, g in grams]), np.array(list(grams.values())), 2)
+    model = lid.Trees(np.array([names.index(n) for n, _ in grams]), np.array([g for _, g in grams]), np.array(list(grams.values())), 2)
     for text in ("abra", "banana", "zebra", "é\x00"):
         b = lid.PAD + text.encode()
         expected = [sum(cost(n, b, i) for i in range(3, len(b))) for n in names]
         assert lid.code_lengths([text], model)[0] == pytest.approx(expected, rel=1e-5)
 
 
+def test_language_sample_is_bounded(spark):
+    """Repeated ids, null ids and repeated texts count once; slices don't matter; ties go to the first."""
+    rows = [(i, f"text number {k} of many", la, "a") for k in range(400) for i, la in ((None, "en"), (1, "fr"))]  # 1 isn't held out
+    rows += [(None, "the same text again", "de", "a")] * 500
+    docs = docs_of(spark, rows)
+    found = collections.Counter(r.lang for r in lid.training_sample(docs, 50).collect())
+    assert 20 < found["en"] < 90 and 20 < found["fr"] < 90 and found["de"] == 1
+    model = lid.Trees(np.array([0, 1]), np.array([97, 97]), np.array([3, 3]), 2)
+    texts = ["a" * 50, "ab" * 700, "zz"]
+    bits = lid.code_lengths(texts, model)
+    assert (bits[:, 0] == bits[:, 1]).all() and (bits.argmin(1) == 0).all()
+    assert np.allclose(np.concatenate([lid.code_lengths([t], model) for t in texts]), bits)
+
+
+def test_trees_stay_small():
+    """All byte values, a hundred languages: what was counted is kept, at every order."""
+    rng = np.random.default_rng(0)
+    n = 200_000
+    langs, grams = rng.integers(0, 100, n), rng.integers(0, 1 << 32, n)
+    model = lid.Trees(langs, grams, np.ones(n, np.int64), 100)
+    assert sum(a.nbytes for t in (*model.symbols, *model.contexts) for a in t) <= 24 * 4 * n
+    seen = model.costs(grams[:50])[np.arange(50), langs[:50]]
+    assert np.allclose(seen, 1)  # a context with one symbol, seen once
+
+
 # 2
 
 
@@ -147,6 +175,45 @@ def test_mix_properties(spark, odd_docs, no_docs):
     assert sorted(mix.mix_documents(odd_docs).collect(), key=str) == sorted(odd, key=str)
 
 
+@pytest.mark.parametrize("bucket", [7, 100_000])
+def test_repeated_ids_have_lasting_places(spark, monkeypatch, bucket):
+    """One id for many texts, none at all, and many equal rows: reruns agree, however the input is dealt out."""
+    monkeypatch.setattr(common, "ROWS_PER_BUCKET", bucket)
+    rows = [(i, "word " * (k % 40), "en", "a") for k in range(300) for i in (5, None)] + [(9, "one and the same row " * 9, "en", "b")] * 400
+    found, places = [], []
+    for n in (1, 2, 7):
+        docs = docs_of(spark, rows).repartition(n, F.rand(n))
+        found.append(sorted(mix.mix_documents(docs).collect(), key=str))
+        placed = shard.shard_documents(docs).collect()
+        places.append(sorted([(r.doc_id, r.size, r.shard, r.slot) for r in placed], key=str))
+        assert len({(r.shard, r.slot) for r in placed}) == len(rows)
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    assert places[0] == places[1] == places[2]
+    assert max(collections.Counter(p[2] for p in places[0]).values()) <= -(-len(rows) // 16)
+
+
+def test_written_shards_lose_nothing(spark, odd_docs):
+    rows = [(None, "no id", "en", "a"), (1, "first", "en", "a"), (1, "second", "fr", "b"), (1, "second", "fr", "b"), (2, None, None, None)]
+    for docs in (docs_of(spark, rows).drop("shard"), odd_docs.drop("shard")):
+        path = common.shared_dir(spark)
+        shard.write_shards(docs, path, 3)
+        back = spark.read.parquet(path)
+        key = lambda df: sorted(((r.doc_id, r.text, r.lang, r.source) for r in df.collect()), key=str)
+        assert key(back) == key(docs)
+
+
+def test_shards_prune_on_every_dimension(spark):
+    """Of 16 shards, a value of a dimension lies in fewer than dealing out at random would reach."""
+    placed = shard.shard_documents(real(spark)).select("lang", "source", "size_class", "shard").collect()
+    for dim in ("lang", "source", "size_class"):
+        by_value = collections.defaultdict(list)
+        for r in placed:
+            by_value[r[dim]].append(r.shard)
+        spread = sum(len(set(x)) for x in by_value.values())
+        rng = random.Random(1)
+        assert spread <= 0.8 * sum(len({rng.randrange(16) for _ in x}) for x in by_value.values())
+
+
 def test_mixed_text_is_the_taken_words(spark):
     docs = docs_of(spark, [(i, " ".join(f"d{i}w{j}" for j in range(40 * i)), "en", "ab"[i % 2]) for i in range(1, 8)])
     for r in mix.mixed_blocks(docs, 16).collect():
@@ -193,6 +260,38 @@ def test_leaks_against_brute_force():
     assert found == expected and expected
 
 
+def test_leaks_whatever_the_neighbours(spark):
+    """Neighbouring halves of a passage are no leak, cut ends are; order and batches change nothing."""
+    rng = random.Random(8)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    passages = [say(14)[:80].strip() for _ in range(6)]
+    index = dec.Index(list(enumerate(passages)))
+    texts = []
+    for p in passages:
+        texts += [f"{say(4)} {p[:40]}", f"{p[40:]} {say(4)}", f"{say(4)} {p[:-4]}", f"{p[-4:]} {say(4)}", p[3:], p, ""]
+    texts = [dec.normalised(t) for t in texts]
+    alone = {t: index.leaks([t]) for t in texts}
+    expected = {(t, i) for t in texts for i, p in enumerate(passages) if edit_distance_within(p, t) <= index.edits[i]}
+    assert {(t, r[1]) for t, rows in alone.items() for r in rows} == expected and len(expected) >= 12
+    for _ in range(20):
+        rng.shuffle(texts)
+        for size in (2, 7, len(texts)):
+            for at in range(0, len(texts), size):
+                some = texts[at : at + size]
+                assert index.leaks(some) == [(k, *r[1:]) for k, t in enumerate(some) for r in alone[t]]
+
+
+def test_leaks_in_runs_of_common_grams(monkeypatch):
+    """Texts of one repeated passage are counted in overlapping runs, with the same result."""
+    rng = random.Random(9)
+    items = [(i, f"the same old words again and again and once more number {i % 3} " * 2) for i in range(40)]
+    index = dec.Index(items)
+    texts = [dec.normalised(" ".join(rng.choice(items)[1] if rng.random() < 0.5 else "other words stand between these" for _ in range(60))) for _ in range(5)]
+    whole = index.leaks(texts)
+    monkeypatch.setattr(dec, "MOST_SHARED", 1000)
+    assert whole == index.leaks(texts) and whole
+
+
 def test_leaks_edges(spark, odd_docs, no_docs):
     item = "a long benchmark passage that nobody would write twice by chance, would they?"
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "short"), (5, item.upper())], "item_id long, text string")
@@ -200,7 +299,8 @@ def test_leaks_edges(spark, odd_docs, no_docs):
     found = collections.Counter((r.doc_id, r.item_id) for r in dec.find_leaks(docs, bench).collect())
     assert found == {(1, 1): 2, (1, 5): 2, (2, 1): 1, (2, 5): 1, (4, 1): 1, (4, 5): 1, (None, 1): 1, (None, 5): 1}
     assert collections.Counter((r.doc_id, r.item_id) for r in dec.find_leaks(docs, bench, block_chars=50).collect()) == found
-    assert {r.doc_id for r in dec.drop_leaks(docs, bench).collect()} == {3, 5, None}
+    left = [dec.drop_leaks(docs, bench, n).collect() for n in (dec.BLOCK_CHARS, 50)]
+    assert [[r.doc_id for r in x] for x in left] == [[3, 5]] * 2 and dec.drop_leaks(docs, bench).columns == docs.columns
     assert dec.find_leaks(no_docs, bench).count() == 0 and dec.find_leaks(odd_docs, bench.limit(0)).count() == 0
 
 
@@ -324,6 +424,10 @@ def test_warc_round_trip(spark):
     assert sorted((r.record_type, r.refers_to) for r in found[7]) == [("response", None), ("revisit", 1)] and len(found[None]) == 1
     block = captures.where("answer.payload_bytes = 100000").first()["answer"]["block"]
     assert bytes(block).endswith(b"z" * 100000)
+    nulls = shared_dir(spark)
+    warc.write_warc(spark.createDataFrame([(None, "u", "p"), (2, "u", "p"), (1, "u", "p"), (None, "u", "q"), (None, "u", "q")], "page_id long, url string, html string"), nulls)
+    rows = warc.resolve_revisits(warc.assemble_transactions(warc.read_warc(spark, nulls))).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in rows) == [(0, "response", 0), (0, "revisit", 0), (0, "revisit", 1), (1, "response", 0), (2, "revisit", 1)]
     empty = shared_dir(spark)
     warc.write_warc(pages.limit(0), empty)
     assert warc.read_warc(spark, empty).count() == 0
@@ -337,28 +441,38 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path(tok.TOKENIZER)
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return path, t
+    return path, Tokenizer.from_file(path)
 
 
 def test_encoder_equals_the_library():
     path, t = tokenizer()
+    plain = tok.Encoder(path)
+    plain.open()
+    plain.cuts = False  # as for a tokenizer of another kind
+    texts = ["", " ", "a b", " a b ", "a  b", "a\tb c", "it's 's x", "a <|endoftext|> b", "a<|endoftext|>b c <|endof", "a　b c", "é è 1 2", "a\x1c b", "\na b\n c", "x" * 500 + " y", "ab é日本 c 日 b", "b", None]
+    for encode in (tok.Encoder(path), plain):
+        for group in [*([t] for t in texts), texts, texts[::-1], []]:
+            ids, sizes = encode(pa.array(group, pa.string()))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(sizes))[: len(group)]] == [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in group]
+            assert len(sizes) == len(group) and sizes.sum() == len(ids)
+
+
+def test_encoder_with_a_full_memory(monkeypatch):
+    path, t = tokenizer()
+    monkeypatch.setattr(tok, "MEMORY", 5)
     encode = tok.Encoder(path)
-    texts = ["", " ", "a b", " a b ", "a  b", "a\tb c", "it's 's <|endoftext|> x", "a　b c", "é è 1 2", "a\x1c b", "\na b\n c", "x" * 500 + " y", "ab é日本 c 日 b", None]
-    for some in ([t] for t in texts), [texts]:
-        for group in some:
-            assert [x.tolist() for x in encode(group)] == [t.encode(x or "", add_special_tokens=False).ids for x in group]
+    for text in ("a b c d", "one two three four five six", "a b six seven"):
+        ids, sizes = encode(pa.array([text]))
+        assert ids.tolist() == [*t.encode(text, add_special_tokens=False).ids, 2] and len(encode.pieces) <= 5
 
 
 def test_repair_round_trip():
     rng = np.random.default_rng(0)
     for ids in (np.empty(0, np.uint32), np.array([5], np.uint32), np.full(5000, 7, np.uint32), rng.integers(0, 6, 20000).astype(np.uint32), np.tile(np.arange(50, dtype=np.uint32), 400)):
         rules, symbols, spans = tok.compress(ids, 100)
-        assert (tok.expand(symbols, rules.astype(np.int64), 100) == ids).all()
         shard_row = {"rules": rules.tobytes(), "symbols": symbols.tobytes(), "expansion": spans.tobytes(), "first_rule": 100}
         for a, b in ((0, len(ids)), (3, 3), (len(ids) // 3, len(ids) // 2), (max(0, len(ids) - 1), len(ids))):
-            assert (tok.decode_range(shard_row, a, b) == ids[a:b]).all()
+            assert (tok.Shard(shard_row).ids(a, b) == ids[a:b]).all()
     assert len(symbols) < 2000
 
 
@@ -367,7 +481,8 @@ def test_repair_goes_on_until_no_pair_is_frequent():
     copies = np.tile(rng.integers(0, 90, 1000).astype(np.uint32), 64)
     for ids, most in ((copies, 200), (np.full(5000, 7, np.uint32), 64), (np.repeat(rng.integers(0, 3, 2000), rng.integers(1, 9, 2000)).astype(np.uint32), 9000)):
         rules, symbols, spans = tok.compress(ids, 100)
-        assert (tok.expand(symbols, rules.astype(np.int64), 100) == ids).all() and len(symbols) <= most
+        shard_row = {"rules": rules.tobytes(), "symbols": symbols.tobytes(), "expansion": spans.tobytes(), "first_rule": 100}
+        assert (tok.Shard(shard_row).ids(0, len(ids)) == ids).all() and len(symbols) <= most
         left = []
         for p in zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True):  # an overlapping equal pair isn't counted
             left.append(None if left and p[0] == p[1] and left[-1] == p else p)
@@ -390,6 +505,18 @@ def test_token_shards(spark, odd_docs, no_docs):
     assert tok.read_documents(tok.token_shards(no_docs, path)).count() == 0
 
 
+def test_token_shards_of_repeated_ids(spark):
+    """Rows of one id, or of none, are spread; whatever their order was, the files are the same."""
+    path, _ = tokenizer()
+    docs = docs_of(spark, [(i, f"text {k % 50} of many", "en", "a") for k in range(600) for i in (None, 7)])
+    runs = []
+    for n in (2, 5):
+        shards = tok.token_shards(docs.repartition(n), path, shard_ids=500).cache()
+        assert len({r.part for r in shards.select("part").collect()}) > 1
+        runs.append(sorted((r.doc_id is not None, r.start, r.n_tokens, r.ids_crc32) for r in tok.read_documents(shards).collect()))
+    assert runs[0] == runs[1] and len(runs[0]) == 1200
+
+
 # 9
 
 
@@ -403,6 +530,21 @@ def test_line_dedup(spark, odd_docs, no_docs):
     assert odd[1] == 0 and odd[2] == 3
 
 
+def test_line_dedup_by_row(spark):
+    """Rows of one id or of none are documents of their own; no unique line goes; equal rows get equal texts."""
+    docs = docs_of(spark, [(1, "x\ny\nz", "en", "a"), (2, "x\ny\nz\nother", "en", "a"), (2, "own\nlines\nhere\nx", "en", "a"), (None, "q\nr\ns", "en", "a"), (None, "q\nr\ns\nt", "en", "a"), (3, "q\nr\ns", "en", "a"), (4, "e\nf\ng", "en", "a"), (4, "e\nf\ng", "en", "a")])
+    found = sorted(((r.doc_id or 0, r.text) for r in lines.dedup_lines(docs).collect()))
+    assert found[2:] == [(1, "x\ny\nz"), (2, "other"), (2, "own\nlines\nhere\nx"), (3, ""), (4, "e\nf\ng"), (4, "e\nf\ng")]
+    assert sum(len(t) for _, t in found[:2]) in (6, 7) and {x for _, t in found[:2] for x in t.split("\n")} == {"q", "r", "s", "t"}  # of two nulls one is first
+
+
+def test_line_dedup_of_many_lines(spark):
+    one = [f"line {i}" for i in range(30_000)]
+    two = [x for i in range(0, 30_000, 10) for x in (*one[i : i + 5], f"new {i}")]
+    found = {r.doc_id: r for r in lines.dedup_lines(docs_of(spark, [(1, "\n".join(one), "en", "a"), (2, "\n".join(two), "en", "a")])).collect()}
+    assert found[1].n_removed == 0 and found[2].text == "\n".join(f"new {i}" for i in range(0, 30_000, 10))
+
+
 # 10
 
 

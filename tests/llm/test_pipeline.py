@@ -87,3 +87,24 @@ def test_run_and_edges(spark):
             docs = spark.read.parquet(path)
         left = {r.doc_id for r in docs.collect()}
         assert left <= {1, 4} and bool(left) == bool(some)  # so few words make one block
+
+
+def test_rows_of_one_id(spark):
+    """One of them stays, whatever their order; texts that only the others have don't count."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, f"text number {k} " + " ".join(f"w{k}x{j}" for j in range(30)), "en", "a", k) for k in range(6)] + [(2, "another text " * 9, "en", None, None), (3, "another text " * 9, None, "b", 1)]
+    kept = []
+    for n in (1, 3, 4):
+        docs = spark.createDataFrame(rows[n:] + rows[:n], schema).repartition(n)
+        kept.append(sorted((r.doc_id, r.text) for r in cp.without_near_copies(spark, docs, duck.DATA).collect()))
+    assert kept[0] == kept[1] == kept[2] and [i for i, _ in kept[0]] == [1, 2]
+
+
+def test_clashing_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, size long, group_id long, copy int, shard int"
+    docs = spark.createDataFrame([(i, f"the number {i} is one of those that we count here every day " + "and again " * i, "en", "ab"[i % 2], 1, "zz", 5, 1, 9, 9) for i in range(1, 9)], schema)
+    for _, stage in cp.STAGES:
+        path = shared_dir(spark)
+        stage(spark, docs, duck.DATA).write.parquet(path)
+        docs = spark.read.parquet(path)
+    assert {r.doc_id for r in docs.collect()} <= set(range(1, 9)) and docs.count()
