@@ -5,8 +5,8 @@ return the columns of ``documents``. Every stage's result is written as Parquet
 read again as the next one's input.
 
 Defined cases: a document without a letter has no language and goes; rows without a
-doc_id can't be told apart and go with the second stage; of repeated rows one stays;
-columns that ``documents`` has besides are dropped by the first stage; empty tables
+doc_id can't be told apart and go with the second stage; of rows that repeat a doc_id
+the one with the least hash stays; columns that ``documents`` has besides are dropped by the first stage; empty tables
 give empty results.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import shared_dir, table, words_of
+from quiltgrid.llm.common import materialize, shared_dir, table, words_of
 from quiltgrid.llm.op1_language_id import UNKNOWN, identify, learn
 from quiltgrid.llm.op2_mixing import BLOCK_WORDS, blocks_of, plan_documents, times_taken, words_in
 from quiltgrid.llm.op3_decontamination import drop_leaks
@@ -34,10 +34,13 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near copies."""
-    kept = near_duplicates(docs).where("doc_id = group_id").select("doc_id").distinct()
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    once = docs if repeated.isEmpty() else docs.dropDuplicates(["doc_id"])
-    return once.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    if not repeated.isEmpty():  # of such rows, the one with the least hash stays: the same one in each run
+        row = F.struct(*COLUMNS)
+        one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct(F.xxhash64(*COLUMNS), row)).alias("r")).select("r.*")
+        docs = materialize(docs.join(repeated, "doc_id", "left_anti").unionByName(one))
+    kept = near_duplicates(docs).where("doc_id = group_id").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
