@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The error texts of spreadsheet applications, with ERROR.TYPE's numbers where it has one.
+# The error texts of spreadsheet applications, with ERROR.TYPE's numbers.
 ERROR_NUMBERS = {"#NULL!": 1, "#DIV/0!": 2, "#VALUE!": 3, "#REF!": 4, "#NAME?": 5, "#NUM!": 6, "#N/A": 7}
 ERROR_CODES = (*ERROR_NUMBERS, "#SPILL!", "#CALC!", "#GETTING_DATA", "#FIELD!", "#BLOCKED!", "#CONNECT!", "#BUSY!", "#UNKNOWN!")
 # End of fixed values.
@@ -169,11 +171,14 @@ def replace_at(text: Column, start: int, n: int, new: str) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """VALUE: numbers with grouping commas, a currency sign or a percent sign."""
-    bare = F.regexp_replace(F.btrim(text), r"[$,\s]", "")
-    percent = bare.endswith("%")
-    n = F.regexp_replace(bare, "%$", "").try_cast("double")
-    return F.when(percent, n / 100).otherwise(n)
+    """VALUE: numbers with grouping commas, a currency sign before or a percent sign after them; in brackets they are negative."""
+    bare = F.btrim(text)
+    # sign, dollar, digits with or without groups, fraction, exponent, percent
+    shape = r"^([+-]?\s*\$?|\$\s*[+-]?)\s*([0-9]{1,3}(,[0-9]{3})+|[0-9]+)?(\.[0-9]*)?([eE][+-]?[0-9]+)?\s*%?$"
+    inner = F.when(bare.rlike(r"^\(.*\)$"), F.substring(bare, F.lit(2), F.length(bare) - 2)).otherwise(bare)
+    n = F.when(inner.rlike(shape) & inner.rlike("[0-9]"), F.regexp_replace(inner, r"[$,%\s]", "").try_cast("double"))
+    n = F.when(inner.endswith("%"), n / 100).otherwise(n)
+    return F.when(bare.startswith("("), F.when(n >= 0, -n)).otherwise(n)
 
 
 def to_serial(t: Column) -> Column:
@@ -290,6 +295,103 @@ def fixed(x: Column, digits: int = 2, commas: bool = True) -> Column:
     return text if commas else F.replace(text, F.lit(","), F.lit(""))
 
 
+def format_number_code(x: Column, code: str) -> Column:
+    """TEXT with a number code: sections by sign, digit places, grouping, percent, exponent, literal text.
+
+    Up to three sections, ``positive;negative;zero``, hold for their sign; a negative
+    number in its own section shows no sign but that section's.
+    """
+    parts = code.split(";")
+    zero = _one_code(x, parts[2] if len(parts) > 2 else parts[0])
+    below = _one_code(F.abs(x), parts[1]) if len(parts) > 1 else F.concat(F.lit("-"), _one_code(F.abs(x), parts[0]))
+    shown_zero = _one_code(F.lit(0.0), parts[0])
+    if len(parts) == 1:  # a number that is shown as zero has no sign
+        below = F.when(_one_code(F.abs(x), parts[0]) == shown_zero, shown_zero).otherwise(below)
+    return F.when(x > 0, _one_code(x, parts[0])).when(x < 0, below).otherwise(zero)
+
+
+def _one_code(x: Column, code: str) -> Column:
+    """One section for a number that isn't negative."""
+    found = re.search(r"[0#?][0#?,]*(\.[0#?]*)?(E[+-]0+)?|\.[0#?]+(E[+-]0+)?", code)
+    quiet = lambda text: text.replace('"', "").replace("\\", "").replace("_", "")
+    if not found:
+        return F.lit(quiet(code))
+    head, body, tail = quiet(code[: found.start()]), found.group(), quiet(code[found.end() :])
+    body, _, exponent = body.partition("E")
+    whole, _, part = body.partition(".")
+    scaled = whole.endswith(",")
+    thousands = len(whole) - len(whole.rstrip(","))
+    x = x * (100.0 if "%" in code else 1.0) / 1000.0**thousands if scaled or "%" in code else x
+    places, least = len(part), sum(c == "0" for c in whole)
+    if exponent:
+        power = F.when(x == 0, F.lit(0)).otherwise(F.floor(F.log10(x)).cast("int"))
+        digits = F.round(x / F.pow(F.lit(10.0), power), places)
+        carry = digits >= 10
+        power, digits = F.when(carry, power + 1).otherwise(power), F.when(carry, digits / 10).otherwise(digits)
+        sign = F.when(power < 0, "-").otherwise("+" if exponent[0] == "+" else "")
+        tens = F.lpad(F.abs(power).cast("string"), max(len(exponent) - 1, 1), "0")
+        tens = F.when(F.length(F.abs(power).cast("string")) > len(exponent) - 1, F.abs(power).cast("string")).otherwise(tens)
+        return F.concat(F.lit(head), F.replace(F.format_number(digits, places), F.lit(","), F.lit("")), F.lit("E"), sign, tens, F.lit(tail))
+    shown = F.format_number(F.round(x, places), places)
+    left, right_ = F.split_part(shown, F.lit("."), F.lit(1)), F.split_part(shown, F.lit("."), F.lit(2))
+    bare = F.replace(left, F.lit(","), F.lit(""))
+    if least == 0:
+        left, bare = (F.when(bare == "0", "").otherwise(v) for v in (left, bare))
+    if "," in whole.rstrip(","):
+        left = F.when(F.length(bare) < least, F.lpad(bare, least, "0")).otherwise(left)
+    else:
+        left = F.when(F.length(bare) < least, F.lpad(bare, max(least, 1), "0")).otherwise(bare)
+    fixed_places = len(part.rstrip("#"))
+    for _ in range(places - fixed_places):  # optional places: zeros at the end go
+        right_ = F.when((F.length(right_) > fixed_places) & right_.endswith("0"), F.substring(right_, F.lit(1), F.length(right_) - 1)).otherwise(right_)
+    point = F.concat(F.lit("."), right_) if places else F.lit("")
+    return F.concat(F.lit(head), left, point, F.lit(tail))
+
+
+def format_date_code(t: Column, code: str) -> Column:
+    """TEXT with a date or time code: y, m, d, h, s in their usual lengths, AM/PM, and elapsed [h], [m] or [s]."""
+    stamp, out, minutes = t.cast("timestamp"), [], False
+    seconds = F.unix_micros(stamp) / F.lit(1_000_000) + F.lit(25569 * 86400)
+    elapsed = {"[h]": 3600, "[hh]": 3600, "[m]": 60, "[mm]": 60, "[s]": 1, "[ss]": 1}
+    half = bool(re.search("am/pm", code, re.I))
+    tokens = re.findall(r'\[h+\]|\[m+\]|\[s+\]|am/pm|y+|m+|d+|h+|s+|"[^"]*"|\\.|.', code, re.I)
+    for i, token in enumerate(tokens):
+        low = token.lower()
+        if low in elapsed:
+            out.append(F.floor(seconds / elapsed[low]).cast("string"))
+            minutes = low[1] == "h"
+        elif low == "am/pm":
+            out.append(F.date_format(stamp, "a"))
+        elif low[0] == "h":
+            out.append(F.date_format(stamp, ("h" if half else "H") * min(len(low), 2)))
+            minutes = True
+        elif low[0] == "s":
+            out.append(F.date_format(stamp, "s" * min(len(low), 2)))
+        elif low[0] == "m" and len(low) <= 2 and (minutes or next((x[0].lower() for x in tokens[i + 1 :] if x[0].isalpha()), "") == "s"):
+            out.append(F.date_format(stamp, "m" * len(low)))
+            minutes = False
+        elif low[0] == "m":
+            name = F.date_format(stamp, "MMM" if len(low) == 3 else "MMMM")
+            out.append(F.date_format(stamp, "M" * len(low)) if len(low) < 3 else F.substring(name, 1, 1) if len(low) == 5 else name)
+        elif low[0] == "y":
+            out.append(F.date_format(stamp, "yy" if len(low) <= 2 else "yyyy"))
+        elif low[0] == "d":
+            out.append(F.date_format(stamp, ("d", "dd", "EEE", "EEEE")[min(len(low), 4) - 1]))
+        else:
+            out.append(F.lit(token.strip('"') if token[0] == '"' else token.lstrip("\\")))
+    return F.concat(*out)
+
+
+def text(x: Column, code: str) -> Column:
+    """TEXT: a number by a number code, or by a date code as the serial of a day; ``@`` or ``General`` as it is."""
+    if code in ("@", "General"):
+        return value_to_text(x)
+    bare = re.sub(r'"[^"]*"|\\.', "", code)
+    if re.search(r"[ymdhs]", bare, re.I) and not re.search(r"[0#?]", bare):
+        return format_date_code(from_serial(x), code)
+    return format_number_code(x, code)
+
+
 def dollar(x: Column, digits: int = 2) -> Column:
     """DOLLAR: negative amounts in parentheses."""
     text = F.concat(F.lit("$"), F.format_number(F.round(F.abs(x), digits), digits))
@@ -321,6 +423,12 @@ def combin(n: Column, k) -> Column:
     return F.when(k <= n, F.round(F.aggregate(steps, F.lit(1.0), lambda acc, i: acc * (n - k + i) / i)))
 
 
+def combina(n: Column, k) -> Column:
+    """COMBINA: ways to choose ``k`` of ``n`` with repetition; 1 for none of none."""
+    k = lit(k)
+    return F.when((n == 0) & (k == 0), 1.0).when(n > 0, combin(n + k - 1, k))
+
+
 def double_factorial(n: Column) -> Column:
     return F.when(n <= 1, 1.0).otherwise(F.aggregate(F.sequence(n.cast("int"), F.lit(1), F.lit(-2)), F.lit(1.0), lambda acc, i: acc * i))
 
@@ -343,6 +451,63 @@ def pv(rate, n, payment, fv_=0.0) -> Column:
     return F.when(r == 0, -(v + p * n)).otherwise(-(v + p * (growth - 1) / r) / growth)
 
 
+def _balance(rate, k, payment, pv_, start: int) -> Column:
+    """What is owed after ``k`` payments, as FV gives it; ``start``: payments at the start of a period."""
+    r, k, due = lit(rate).cast("double"), lit(k), lit(payment) * (1 + lit(rate) * start)
+    grown = F.pow(1 + r, k)
+    return F.when(r == 0, -(lit(pv_) + lit(payment) * k)).otherwise(-(lit(pv_) * grown + due * F.try_divide(grown - 1, r)))
+
+
+def payment_of(rate, n, pv_, fv_=0.0, start: int = 0) -> Column:
+    """PMT with payments at the end or the start of each period."""
+    r, n = lit(rate).cast("double"), lit(n)
+    grown = F.pow(1 + r, n)
+    return F.when(r == 0, -(lit(pv_) + lit(fv_)) / n).otherwise(-(lit(fv_) + lit(pv_) * grown) * F.try_divide(r, (1 + r * start) * (grown - 1)))
+
+
+def ipmt(rate, period, n, pv_, fv_=0.0, start: int = 0) -> Column:
+    """IPMT: the interest in one payment; null outside periods 1 to n."""
+    k, r = lit(period), lit(rate)
+    owed = _balance(rate, k - 1, payment_of(rate, n, pv_, fv_, start), pv_, start)
+    interest = F.when((k == 1) & F.lit(start == 1), 0.0).otherwise(owed * r / (1 + r * start))
+    return F.when((k >= 1) & (k <= lit(n)), interest)
+
+
+def ppmt(rate, period, n, pv_, fv_=0.0, start: int = 0) -> Column:
+    """PPMT: the part of one payment that isn't interest."""
+    return payment_of(rate, n, pv_, fv_, start) - ipmt(rate, period, n, pv_, fv_, start)
+
+
+def cumipmt(rate, n, pv_, first, last, start: int = 0) -> Column:
+    """CUMIPMT: interest of payments ``first`` to ``last``."""
+    return F.aggregate(F.sequence(lit(first).cast("int"), lit(last).cast("int")), F.lit(0.0), lambda acc, k: acc + ipmt(rate, k, n, pv_, 0.0, start))
+
+
+def cumprinc(rate, n, pv_, first, last, start: int = 0) -> Column:
+    """CUMPRINC: what payments ``first`` to ``last`` pay back."""
+    return (lit(last) - lit(first) + 1) * payment_of(rate, n, pv_, 0.0, start) - cumipmt(rate, n, pv_, first, last, start)
+
+
+def rate(n, payment, pv_, fv_=0.0, start: int = 0) -> Column:
+    """RATE: the rate of a period, by halving a range; null if the worth keeps its sign in (-0.99, 10)."""
+    n = lit(n)
+
+    def worth(r: Column) -> Column:
+        """Of all flows today; a huge discount factor is held below what a double overflows at."""
+        factor = F.exp(F.least(-n * F.log1p(r), F.lit(600.0)))
+        each = F.when(r == 0, n.cast("double")).otherwise((1 + r * start) * F.try_divide(1 - factor, r))
+        return lit(pv_) + lit(payment) * each + lit(fv_) * factor
+
+    def step(acc, _):
+        mid = (acc["low"] + acc["high"]) / 2
+        left = worth(acc["low"]) * worth(mid) <= 0
+        return F.struct(F.when(left, acc["low"]).otherwise(mid).alias("low"), F.when(left, mid).otherwise(acc["high"]).alias("high"))
+
+    ends = F.struct(F.lit(-0.99).alias("low"), F.lit(10.0).alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(60)), ends, step, lambda acc: (acc["low"] + acc["high"]) / 2)
+    return F.when(worth(F.lit(-0.99)) * worth(F.lit(10.0)) <= 0, found)
+
+
 def nper(rate, payment, pv_, fv_=0.0) -> Column:
     r, p, v, f = map(lit, (rate, payment, pv_, fv_))
     return F.when(r == 0, -(v + f) / p).otherwise(F.ln((p - f * r) / (p + v * r)) / F.ln(1 + r))

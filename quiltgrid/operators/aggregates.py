@@ -1,8 +1,9 @@
 """Aggregations (A1 to A15): what spreadsheet aggregate functions give over groups of rows.
 
-Values that don't cast to a number are skipped, as text cells are. ``keys`` may be
-empty for one group of all rows. All are partial aggregations, which combine before
-the shuffle; only order statistics hold a group's values, or its distinct ones.
+Values that aren't numbers are skipped, as text cells are; so are booleans, and "NaN"
+and "Infinity". Sums are of doubles, as spreadsheets' are. ``keys`` may be empty for one
+group of all rows; a null key is a group. All are partial aggregations, which combine
+before the shuffle; only order statistics hold a group's values, or its distinct ones.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from pyspark.sql import functions as F
 from quiltgrid.functions.criteria import all_criteria
 
 
-def number(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).try_cast("double")
+NUMERAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def exact_sum(x: Column) -> Column:
-    """Sum in decimals of four places: the same in whatever order rows come."""
-    return F.sum(x.cast("decimal(24,4)")).cast("double")
+def number(c: Column | str) -> Column:
+    """A finite number, or text that is a numeral, as a double; else null, for booleans too."""
+    c = F.col(c) if isinstance(c, str) else c
+    kind, x = F.typeof(c), c.try_cast("double")
+    fits = (kind != "boolean") & ((kind != "string") | c.cast("string").rlike(NUMERAL))
+    return F.when(fits & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
 
 
 def agg_basic(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -28,8 +31,8 @@ def agg_basic(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     x = number(value)
     zero = F.lit(0.0)
     return df.groupBy(*keys).agg(
-        F.coalesce(exact_sum(x), zero).alias("sum"), (exact_sum(x) / F.count(x)).alias("average"), F.coalesce(F.min(x), zero).alias("min"),
-        F.coalesce(F.max(x), zero).alias("max"), F.coalesce(exact_sum(x * x), zero).alias("sumsq"),
+        F.coalesce(F.sum(x), zero).alias("sum"), (F.try_divide(F.sum(x), F.count(x))).alias("average"), F.coalesce(F.min(x), zero).alias("min"),
+        F.coalesce(F.max(x), zero).alias("max"), F.coalesce(F.sum(x * x), zero).alias("sumsq"),
     )
 
 
@@ -51,7 +54,7 @@ def agg_if(df: DataFrame, keys: list[str], value: str, criteria: dict[str, list[
         met = all_criteria([(F.col(c), t) for c, t in pairs])
         x = F.when(met, number(value))
         out += [
-            F.count_if(met).alias(f"{name}_count"), F.coalesce(exact_sum(x), F.lit(0.0)).alias(f"{name}_sum"), (exact_sum(x) / F.count(x)).alias(f"{name}_average"),
+            F.count_if(met).alias(f"{name}_count"), F.coalesce(F.sum(x), F.lit(0.0)).alias(f"{name}_sum"), F.try_divide(F.sum(x), F.count(x)).alias(f"{name}_average"),
             F.coalesce(F.min(x), F.lit(0.0)).alias(f"{name}_min"), F.coalesce(F.max(x), F.lit(0.0)).alias(f"{name}_max"),
         ]
     return df.groupBy(*keys).agg(*out)
@@ -60,7 +63,29 @@ def agg_if(df: DataFrame, keys: list[str], value: str, criteria: dict[str, list[
 def subtotal(df: DataFrame, keys: list[str], value: str, is_subtotal: Column, is_error: Column) -> DataFrame:
     """A3: count and sum without rows that are subtotals themselves, and without errors."""
     own = ~F.coalesce(is_subtotal, F.lit(False)) & ~F.coalesce(is_error, F.lit(False))
-    return df.groupBy(*keys).agg(F.count_if(own).alias("rows"), F.coalesce(exact_sum(F.when(own, number(value))), F.lit(0.0)).alias("total"))
+    return df.groupBy(*keys).agg(F.count_if(own).alias("rows"), F.coalesce(F.sum(F.when(own, number(value))), F.lit(0.0)).alias("total"))
+
+
+#: SUBTOTAL's and AGGREGATE's function codes over a group's numbers; those from 101 on are the same without hidden rows.
+CODES = {
+    1: lambda x, c: F.avg(x), 2: lambda x, c: F.count(x), 3: lambda x, c: F.count(c), 4: lambda x, c: F.coalesce(F.max(x), F.lit(0.0)), 5: lambda x, c: F.coalesce(F.min(x), F.lit(0.0)), 6: lambda x, c: F.coalesce(F.product(x), F.lit(0.0)),
+    7: lambda x, c: F.stddev_samp(x), 8: lambda x, c: F.stddev_pop(x), 9: lambda x, c: F.coalesce(F.sum(x), F.lit(0.0)), 10: lambda x, c: F.var_samp(x), 11: lambda x, c: F.var_pop(x), 12: lambda x, c: F.median(x),
+}
+
+
+def subtotal_codes(df: DataFrame, keys: list[str], value: str, codes: list[int], is_subtotal: Column | None = None, is_error: Column | None = None, is_hidden: Column | None = None) -> DataFrame:
+    """A3: column ``code_N`` for each function code N of SUBTOTAL and AGGREGATE, in one pass.
+
+    Rows that are subtotals themselves or errors are left out, and for codes from 101
+    on hidden ones too. Code 12 (median) holds a group's distinct values.
+    """
+    given = lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False))
+    own = ~given(is_subtotal) & ~given(is_error)
+    out = []
+    for code in codes:
+        row = own & ~given(is_hidden) if code > 100 else own
+        out.append(CODES[code % 100](F.when(row, number(value)), F.when(row, F.col(value))).cast("double").alias(f"code_{code}"))
+    return df.groupBy(*keys).agg(*out)
 
 
 def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -111,14 +136,22 @@ def mode_all(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def spread_means(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """A5: variances, deviations (also with text as 0), mean absolute deviation, geometric and harmonic mean."""
-    means = df.withColumn("x", number(value))
-    means = means.join(means.groupBy(*keys).agg(F.avg("x").alias("m")), keys) if keys else means.join(F.broadcast(means.agg(F.avg("x").alias("m"))))
-    as_zero = F.when(F.col(value).isNotNull(), F.coalesce("x", F.lit(0.0)))
+    """A5: variances, deviations (also with text and false as 0, true as 1), mean absolute deviation, geometric and harmonic mean.
+
+    The two means are null unless all numbers are positive.
+    """
+    rows = df.withColumn("x", number(value))
+    mean = rows.groupBy(*keys).agg(F.avg("x").alias("m"))
+    # Keys are compared null-safe; without keys the other side is one row.
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    means = rows.join(mean.withColumnsRenamed({k: f"_key_{k}" for k in keys}) if keys else F.broadcast(mean), same or None)
+    truth = F.when(F.typeof(value) == "boolean", F.col(value).try_cast("double"))
+    as_zero = F.when(F.col(value).isNotNull(), F.coalesce("x", truth, F.lit(0.0)))
+    positive = F.min("x") > 0
     return means.groupBy(*keys).agg(
         F.var_samp("x").alias("var_s"), F.var_pop("x").alias("var_p"), F.stddev_samp("x").alias("sd_s"), F.stddev_pop("x").alias("sd_p"),
-        F.stddev_samp(as_zero).alias("sd_a"), F.stddev_pop(as_zero).alias("sd_pa"), F.avg(F.abs(F.col("x") - F.col("m"))).alias("avedev"),
-        (F.var_pop("x") * F.count("x")).alias("devsq"), F.exp(F.avg(F.ln("x"))).alias("geomean"), (F.count("x") / F.sum(1 / F.col("x"))).alias("harmean"),
+        F.var_samp(as_zero).alias("var_a"), F.var_pop(as_zero).alias("var_pa"), F.stddev_samp(as_zero).alias("sd_a"), F.stddev_pop(as_zero).alias("sd_pa"), F.avg(F.abs(F.col("x") - F.col("m"))).alias("avedev"),
+        (F.var_pop("x") * F.count("x")).alias("devsq"), F.when(positive, F.exp(F.avg(F.ln("x")))).alias("geomean"), F.when(positive, F.try_divide(F.count("x"), F.sum(F.try_divide(F.lit(1.0), "x")))).alias("harmean"),
     )
 
 
@@ -128,7 +161,7 @@ def trim_mean(df: DataFrame, keys: list[str], value: str, fraction: float) -> Da
     cut = F.floor(F.col("total") * fraction / 2)
     low, high = F.greatest(F.col("last") - F.col("n"), cut), F.least(F.col("last"), F.col("total") - cut)
     kept = F.greatest(high - low, F.lit(0))
-    return ranked.groupBy(*keys).agg((exact_sum(F.col("x") * kept) / F.sum(kept)).alias("trimmean"))
+    return ranked.groupBy(*keys).agg(F.try_divide(F.sum(F.col("x") * kept), F.sum(kept)).alias("trimmean"))
 
 
 def gcd_lcm(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -140,8 +173,7 @@ def gcd_lcm(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         return pd.DataFrame([[*pdf[keys].iloc[0], math.gcd(*xs), float(math.lcm(*xs))]], columns=[*keys, "gcd", "lcm"])
 
     distinct = df.select(*keys, F.col(value).cast("long").alias("x")).where("x > 0").distinct()
-    schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return distinct.groupBy(*keys).applyInPandas(solve, f"{schema}, gcd long, lcm double")
+    return distinct.groupBy(*keys).applyInPandas(solve, _schema(df, keys, "gcd long", "lcm double"))
 
 
 def bivariate(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
@@ -210,24 +242,39 @@ def npv(df: DataFrame, keys: list[str], rate: float, value: str, pos: str, day:
     return rows.groupBy(*keys).agg(F.sum(F.col(value) / F.pow(F.lit(1 + rate), F.col("_k"))).alias("npv"), F.sum(F.col(value) / F.pow(F.lit(1 + rate), F.col("_d") / 365)).alias("xnpv"))
 
 
-def irr(df: DataFrame, keys: list[str], value: str, day: str) -> DataFrame:
-    """The rate at which dated flows are worth nothing, by bisection; null if none lies in (-0.99, 10)."""
+def _schema(df: DataFrame, keys: list[str], *more: str) -> str:
+    return ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), *more])
+
+
+#: Widest range of rates that are looked for.
+LEAST_RATE, MOST_RATE = -0.999999, 1e9
+
+
+def irr(df: DataFrame, keys: list[str], value: str, pos: str, days: bool = True) -> DataFrame:
+    """The rate at which a group's flows are worth nothing; column ``xirr`` for dated flows, ``irr`` for one flow a period.
+
+    ``pos`` is a date if ``days``, else the order of the flows. The range of rates is
+    widened until the worth changes its sign, then halved; null if it never does.
+    """
     import numpy as np
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, years = pdf["v"].to_numpy(), pdf["d"].to_numpy() / 365.0
-        worth = lambda r: float((v / np.power(1 + r, years)).sum())
-        low, high, out = -0.99, 10.0, None
-        if worth(low) * worth(high) < 0:
-            for _ in range(100):
-                out = (low + high) / 2
-                low, high = (low, out) if worth(low) * worth(out) <= 0 else (out, high)
-        return pd.DataFrame([[*pdf[keys].iloc[0], out]], columns=[*keys, "xirr"])
+    name = "xirr" if days else "irr"
 
-    start = F.min(day).over(Window.partitionBy(*keys))
-    rows = df.select(*keys, number(value).alias("v"), F.datediff(day, start).alias("d"))
-    schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.groupBy(*keys).applyInPandas(solve, f"{schema}, xirr double")
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        v, at, out = pdf["v"].to_numpy(), pdf["d"].to_numpy().astype(float), None
+        worth = lambda r: float((v * np.exp(-at * np.log1p(r))).sum())
+        for low, high in ((-0.9, 1.0), (-0.99, 10.0), (LEAST_RATE, MOST_RATE)):
+            if len(v) and worth(low) * worth(high) < 0:
+                for _ in range(200):
+                    out = (low + high) / 2
+                    low, high = (low, out) if worth(low) * worth(out) <= 0 else (out, high)
+                break
+        return pd.DataFrame([[*pdf[keys].iloc[0], out]], columns=[*keys, name])
+
+    group = Window.partitionBy(*keys)
+    place = F.datediff(pos, F.min(pos).over(group)) / F.lit(365.0) if days else (F.row_number().over(group.orderBy(pos)) - 1).cast("double")
+    rows = df.select(*keys, number(value).alias("v"), place.alias("d")).where("v is not null and d is not null")
+    return rows.groupBy(*keys).applyInPandas(solve, _schema(df, keys, f"{name} double"))
 
 
 def distinct_if(df: DataFrame, keys: list[str], value: str, test: Column) -> DataFrame:
@@ -237,5 +284,5 @@ def distinct_if(df: DataFrame, keys: list[str], value: str, test: Column) -> Dat
 
 def weighted(df: DataFrame, keys: list[str], value: str, weight: str, mask: Column) -> DataFrame:
     """Sum of products, weighted mean, and the sum over masked rows."""
-    products = exact_sum(F.col(value) * F.col(weight))
-    return df.groupBy(*keys).agg(products.alias("sumproduct"), (products / exact_sum(F.col(weight))).alias("weighted_mean"), F.coalesce(exact_sum(F.when(mask, F.col(value))), F.lit(0.0)).alias("masked_sum"))
+    products = F.sum(F.col(value) * F.col(weight))
+    return df.groupBy(*keys).agg(products.alias("sumproduct"), F.try_divide(products, F.sum(weight)).alias("weighted_mean"), F.coalesce(F.sum(F.when(mask, F.col(value))), F.lit(0.0)).alias("masked_sum"))

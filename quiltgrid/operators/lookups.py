@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quiltgrid.operators.aggregates import number
 from quiltgrid.functions.criteria import criterion, matches_wildcard
 
 
@@ -133,9 +134,9 @@ def db_aggregate(df: DataFrame, criteria: list[dict[str, object]], field: str |
     """Sum, average, count of numbers, least, greatest and the single value of a field over rows that a criteria table selects; one row."""
     name = df.columns[field - 1] if isinstance(field, int) else next(c for c in df.columns if c.lower() == field.lower())
     kept = df.where(criteria_mask(criteria))
-    x = F.col(name).try_cast("double")
-    total = F.sum(x.cast("decimal(24,4)")).cast("double")
-    return kept.agg(F.coalesce(total, F.lit(0.0)).alias("dsum"), (total / F.count(x)).alias("daverage"), F.count(x).alias("dcount"), F.coalesce(F.min(x), F.lit(0.0)).alias("dmin"), F.coalesce(F.max(x), F.lit(0.0)).alias("dmax"), F.when(F.count("*") == 1, F.first(name)).alias("dget"))
+    x = number(name)
+    total = F.sum(x)
+    return kept.agg(F.coalesce(total, F.lit(0.0)).alias("dsum"), F.try_divide(total, F.count(x)).alias("daverage"), F.count(x).alias("dcount"), F.coalesce(F.min(x), F.lit(0.0)).alias("dmin"), F.coalesce(F.max(x), F.lit(0.0)).alias("dmax"), F.when(F.count("*") == 1, F.first(name)).alias("dget"))
 
 
 def bracket_sum(df: DataFrame, value: str, brackets: list[tuple[float, float]], name: str = "bracket_sum") -> DataFrame:
@@ -151,6 +152,6 @@ def cross_table_agg(tables: dict[str, DataFrame], keys: list[str], value: str) -
     """Sums of a value over several tables by key, in all and in each table."""
     both = None
     for name, t in tables.items():
-        part = t.select(*keys, F.col(value).cast("decimal(24,4)").alias("_v"), F.lit(name).alias("_t"))
+        part = t.select(*keys, number(value).alias("_v"), F.lit(name).alias("_t"))
         both = part if both is None else both.unionByName(part)
-    return both.groupBy(*keys).agg(F.sum("_v").cast("double").alias("total"), *(F.coalesce(F.sum(F.when(F.col("_t") == n, F.col("_v"))).cast("double"), F.lit(0.0)).alias(f"from_{n}") for n in tables))
+    return both.groupBy(*keys).agg(F.coalesce(F.sum("_v"), F.lit(0.0)).alias("total"), *(F.coalesce(F.sum(F.when(F.col("_t") == n, F.col("_v"))), F.lit(0.0)).alias(f"from_{n}") for n in tables))

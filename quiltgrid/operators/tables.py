@@ -85,6 +85,16 @@ def take_rows(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def take_columns(df: DataFrame, n: int) -> DataFrame:
+    """T5: the first ``n`` columns, or the last ones if ``n`` is negative."""
+    return df.select(*(df.columns[:n] if n >= 0 else df.columns[n:]))
+
+
+def drop_columns(df: DataFrame, n: int) -> DataFrame:
+    """T5: all but the first ``n`` columns, or but the last ones if ``n`` is negative."""
+    return df.select(*(df.columns[n:] if n >= 0 else df.columns[:n]))
+
+
 def drop_rows(df: DataFrame, order: list, n: int) -> DataFrame:
     """T5: all but the first ``n`` rows: those that come after the n-th, which alone is sought."""
     edge = df.orderBy(*order).limit(n).select(F.struct(*order).alias("_k")).agg(F.max("_k").alias("_edge"))

@@ -39,13 +39,12 @@ def percent_rank_of(df: DataFrame, keys: list[str], value: str, x: float, digits
 
 
 def running(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
-    """Running sum, count of the same value, maximum and share of the total."""
+    """Running sum, count of the same value, maximum and share of the total, null of a total of 0."""
     order = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     same = Window.partitionBy(*keys, value).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = F.col(value).cast("decimal(24,4)")
-    total = F.sum(x).over(Window.partitionBy(*keys))
-    summed = F.sum(x).over(order)
-    return df.withColumns({"running_sum": summed.cast("double"), "running_count": F.count("*").over(same), "running_max": F.max(value).over(order), "running_share": summed.cast("double") / total.cast("double")})
+    total = F.sum(value).over(Window.partitionBy(*keys))
+    summed = F.sum(value).over(order)
+    return df.withColumns({"running_sum": summed, "running_count": F.count("*").over(same), "running_max": F.max(value).over(order), "running_share": F.try_divide(summed, total)})
 
 
 def scan(df: DataFrame, keys: list[str], pos: str, fold: Column) -> DataFrame:
@@ -68,18 +67,23 @@ def fill_down(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame
 
 
 def normalize(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Z-score and position between the least and the greatest value."""
-    group = Window.partitionBy(*keys)
-    low, high = F.min(value).over(group), F.max(value).over(group)
-    return df.withColumns({"z_score": F.try_divide(F.col(value) - F.avg(value).over(group), F.stddev_pop(value).over(group)), "scaled": F.try_divide(F.col(value) - low, high - low)})
+    """Z-score and position between the least and the greatest value.
+
+    A group's four figures are aggregated and joined back: no task holds a group.
+    """
+    facts = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    rows = df.join(facts.withColumnsRenamed({k: f"_key_{k}" for k in keys}) if keys else F.broadcast(facts), same or None)
+    x = F.col(value)
+    rows = rows.withColumns({"z_score": F.try_divide(x - F.col("_mean"), F.col("_sd")), "scaled": F.try_divide(x - F.col("_low"), F.col("_high") - F.col("_low"))})
+    return rows.select(*df.columns, "z_score", "scaled")
 
 
 def share_of_total(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
-    """Share of the group's sum, and the cumulative share in order of ``pos``."""
-    x = F.col(value).cast("decimal(24,4)")
-    total = F.sum(x).over(Window.partitionBy(*keys)).cast("double")
+    """Share of the group's sum, and the cumulative share in order of ``pos``; null of a sum of 0."""
+    total = F.sum(value).over(Window.partitionBy(*keys))
     order = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({"share": F.col(value) / total, "cumulative_share": F.sum(x).over(order).cast("double") / total})
+    return df.withColumns({"share": F.try_divide(value, total), "cumulative_share": F.try_divide(F.sum(value).over(order), total)})
 
 
 def last_n_agg(df: DataFrame, keys: list[str], value: str, pos: str, n: int, every: int) -> DataFrame:
@@ -87,9 +91,9 @@ def last_n_agg(df: DataFrame, keys: list[str], value: str, pos: str, n: int, eve
     up = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(pos)))
     down = F.count("*").over(Window.partitionBy(*keys)) - F.col("_k")
     rows = df.withColumn("_k", up).withColumn("_d", down)
-    x = F.col(value).cast("decimal(24,4)")
+    x = F.col(value)
     last = F.when(F.col("_d") < n, x)
-    return rows.groupBy(*keys).agg((F.sum(last).cast("double") / F.count(last)).alias("last_mean"), F.sum(F.when((F.col("_k") - 1) % every == 0, x)).cast("double").alias("every_sum"))
+    return rows.groupBy(*keys).agg(F.avg(last).alias("last_mean"), F.sum(F.when((F.col("_k") - 1) % every == 0, x)).alias("every_sum"))
 
 
 def flag_duplicates(df: DataFrame, value: str, pos: str) -> DataFrame:
@@ -113,5 +117,5 @@ def top_n(df: DataFrame, keys: list[str], value: str, pos: str, n: int) -> DataF
     order = Window.partitionBy(*keys).orderBy(F.col(value).desc(), F.col(pos))
     best = df.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
     group = Window.partitionBy(*keys)
-    total = F.sum(F.col(value).cast("decimal(24,4)")).over(group).cast("double")
+    total = F.sum(value).over(group)
     return best.withColumns({"top_sum": total, "top_mean": total / F.count("*").over(group)})

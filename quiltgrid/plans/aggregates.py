@@ -5,23 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quiltgrid.operators import aggregates as A
-from quiltgrid.plans.base import Queries, read
+from quiltgrid.plans.base import Queries, read, rounded, rounded_sql
 
 _q = Queries()
 QUERIES, ORACLES = _q.queries, _q.oracles
 
 FLAGS = ["l_returnflag", "l_linestatus"]
-S = "sum({}::decimal(24,4))::double"
+S = "sum({})"
 
 
-def rounded(df, *columns, digits: int = 4):
-    return df.withColumns({c: F.round(c, digits) for c in columns})
-
-
-@_q.add("a1_agg_basic", f"""select l_returnflag, l_linestatus, {S.format('l_extendedprice')} as sum, round({S.format('l_extendedprice')} / count(l_extendedprice), 4) as average,
-  min(l_extendedprice) as min, max(l_extendedprice) as max, {S.format('l_extendedprice * l_extendedprice')} as sumsq from lineitem group by all""")
+@_q.add("a1_agg_basic", rounded_sql(f"""select l_returnflag, l_linestatus, {S.format('l_extendedprice')} as sum, round({S.format('l_extendedprice')} / count(l_extendedprice), 4) as average,
+  min(l_extendedprice) as min, max(l_extendedprice) as max, {S.format('l_extendedprice * l_extendedprice')} / 1e6 as sumsq from lineitem group by all""", "sum").replace("replace (", "replace (round(sumsq, 2) as sumsq, "))
 def a1(spark, d):
-    return rounded(A.agg_basic(read(spark, d, "lineitem"), FLAGS, "l_extendedprice"), "average")
+    out = rounded(A.agg_basic(read(spark, d, "lineitem"), FLAGS, "l_extendedprice"), "average")
+    return rounded(out.withColumn("sumsq", F.col("sumsq") / 1e6), "sum", "sumsq", digits=2)  # sums of squares in millions
 
 
 @_q.add("a1_product", "select p_brand, p_type, round(ln(product(p_size::double)), 6) as ln_product from part where p_size > 0 group by all")
@@ -35,31 +32,40 @@ def a2(spark, d):
     return A.count_kinds(read(spark, d, "conversations"), ["role"], "text")
 
 
-@_q.add("a3_agg_if", f"""select l_returnflag,
+@_q.add("a3_agg_if", rounded_sql(f"""select l_returnflag,
   count(*) filter (where l_quantity > 25) as big_count, coalesce({S.format('l_extendedprice')} filter (where l_quantity > 25), 0) as big_sum,
   round({S.format('l_extendedprice')} filter (where l_quantity > 25) / count(*) filter (where l_quantity > 25), 4) as big_average,
   coalesce(min(l_extendedprice) filter (where l_quantity > 25), 0) as big_min, coalesce(max(l_extendedprice) filter (where l_quantity > 25), 0) as big_max,
   count(*) filter (where l_linestatus ilike 'f' and l_discount <> 0.05 and l_quantity <= 10) as open_count, coalesce({S.format('l_extendedprice')} filter (where l_linestatus ilike 'f' and l_discount <> 0.05 and l_quantity <= 10), 0) as open_sum,
   round({S.format('l_extendedprice')} filter (where l_linestatus ilike 'f' and l_discount <> 0.05 and l_quantity <= 10) / count(*) filter (where l_linestatus ilike 'f' and l_discount <> 0.05 and l_quantity <= 10), 4) as open_average,
   coalesce(min(l_extendedprice) filter (where l_linestatus ilike 'f' and l_discount <> 0.05 and l_quantity <= 10), 0) as open_min, coalesce(max(l_extendedprice) filter (where l_linestatus ilike 'f' and l_discount <> 0.05 and l_quantity <= 10), 0) as open_max
-  from lineitem group by l_returnflag""".replace("::double filter", " filter"))
+  from lineitem group by l_returnflag""", "big_sum", "open_sum"))
 def a3(spark, d):
     criteria = {"big": [("l_quantity", ">25")], "open": [("l_linestatus", "f"), ("l_discount", "<>0.05"), ("l_quantity", "<=10")]}
-    return rounded(A.agg_if(read(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", criteria), "big_average", "open_average")
+    return rounded(A.agg_if(read(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", criteria).withColumns({c: F.round(c, 2) for c in ("big_sum", "open_sum")}), "big_average", "open_average")
 
 
-@_q.add("a3_wildcard_criteria", f"""select p_brand, count(*) filter (where p_name ilike 's%ring') as hit_count, coalesce((sum(p_retailprice::decimal(24,4)) filter (where p_name ilike 's%ring'))::double, 0) as hit_sum,
-  round((sum(p_retailprice::decimal(24,4)) filter (where p_name ilike 's%ring'))::double / count(*) filter (where p_name ilike 's%ring'), 4) as hit_average,
-  coalesce(min(p_retailprice) filter (where p_name ilike 's%ring'), 0) as hit_min, coalesce(max(p_retailprice) filter (where p_name ilike 's%ring'), 0) as hit_max from part group by p_brand""")
+@_q.add("a3_wildcard_criteria", rounded_sql("""select p_brand, count(*) filter (where p_name ilike 's%ring') as hit_count, coalesce((sum(p_retailprice) filter (where p_name ilike 's%ring'))::double, 0) as hit_sum,
+  round((sum(p_retailprice) filter (where p_name ilike 's%ring'))::double / count(*) filter (where p_name ilike 's%ring'), 4) as hit_average,
+  coalesce(min(p_retailprice) filter (where p_name ilike 's%ring'), 0) as hit_min, coalesce(max(p_retailprice) filter (where p_name ilike 's%ring'), 0) as hit_max from part group by p_brand""", "hit_sum"))
 def a3_wildcard(spark, d):
-    return rounded(A.agg_if(read(spark, d, "part"), ["p_brand"], "p_retailprice", {"hit": [("p_name", "S*RING")]}), "hit_average")
+    return rounded(A.agg_if(read(spark, d, "part"), ["p_brand"], "p_retailprice", {"hit": [("p_name", "S*RING")]}).withColumn("hit_sum", F.round("hit_sum", 2)), "hit_average")
 
 
-@_q.add("a3_subtotal", "select l_returnflag, count(*) as rows, sum(l_quantity::decimal(24,4))::double as total from lineitem where l_linenumber <> 7 and l_tax <> 0 group by l_returnflag")
+@_q.add("a3_subtotal", "select l_returnflag, count(*) as rows, sum(l_quantity)::double as total from lineitem where l_linenumber <> 7 and l_tax <> 0 group by l_returnflag")
 def a3_subtotal(spark, d):
     return A.subtotal(read(spark, d, "lineitem"), ["l_returnflag"], "l_quantity", F.col("l_linenumber") == 7, F.col("l_tax") == 0)
 
 
+@_q.add("a3_subtotal_codes", """with r as (select *, l_tax = 0.08 as hidden from lineitem where l_linenumber <> 7)
+  select l_returnflag, round(avg(l_quantity), 4) as code_1, count(l_quantity)::double as code_2, count(*)::double as code_3, max(l_quantity) as code_4, min(l_quantity) as code_5, round(stddev_samp(l_quantity), 4) as code_7,
+    round(stddev_pop(l_quantity), 4) as code_8, sum(l_quantity) as code_9, round(var_samp(l_quantity), 4) as code_10, round(var_pop(l_quantity), 4) as code_11, median(l_quantity) as code_12,
+    (count(*) filter (where not hidden))::double as code_102, sum(l_quantity) filter (where not hidden) as code_109 from r group by l_returnflag""")
+def a3_codes(spark, d):
+    out = A.subtotal_codes(read(spark, d, "lineitem"), ["l_returnflag"], "l_quantity", [1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 12, 102, 109], F.col("l_linenumber") == 7, is_hidden=F.col("l_tax") == 0.08)
+    return rounded(out, "code_1", "code_7", "code_8", "code_10", "code_11")
+
+
 @_q.add("a4_order_stats", """
 with v as (select l_returnflag, list(l_extendedprice order by l_extendedprice) as v, len(v) as n from lineitem group by l_returnflag),
 p as (select *, 1 + (n - 1) * 0.25::double as i25, 1 + (n - 1) * 0.5::double as i50, 1 + (n - 1) * 0.9::double as i90, (n + 1) * 0.25::double as e25, (n + 1) * 0.75::double as e75 from v)
@@ -90,15 +96,15 @@ def a4_mode_all(spark, d):
 
 @_q.add("a5_spread_means", """with m as (select p_brand, avg(p_retailprice) as m from part group by p_brand)
   select p_brand, round(var_samp(p_retailprice), 3) as var_s, round(var_pop(p_retailprice), 3) as var_p, round(stddev_samp(p_retailprice), 4) as sd_s, round(stddev_pop(p_retailprice), 4) as sd_p,
-  round(stddev_samp(p_retailprice), 4) as sd_a, round(stddev_pop(p_retailprice), 4) as sd_pa, round(avg(abs(p_retailprice - m)), 4) as avedev, round(var_pop(p_retailprice) * count(*), 1) as devsq,
+  round(var_samp(p_retailprice), 3) as var_a, round(var_pop(p_retailprice), 3) as var_pa, round(stddev_samp(p_retailprice), 4) as sd_a, round(stddev_pop(p_retailprice), 4) as sd_pa, round(avg(abs(p_retailprice - m)), 4) as avedev, round(var_pop(p_retailprice) * count(*), 1) as devsq,
   round(exp(avg(ln(p_retailprice))), 4) as geomean, round(count(*) / sum(1 / p_retailprice), 4) as harmean from part join m using (p_brand) group by p_brand""")
 def a5(spark, d):
     out = A.spread_means(read(spark, d, "part"), ["p_brand"], "p_retailprice")
-    return rounded(rounded(rounded(out, "var_s", "var_p", digits=3), "devsq", digits=1), "sd_s", "sd_p", "sd_a", "sd_pa", "avedev", "geomean", "harmean")
+    return rounded(rounded(rounded(out, "var_s", "var_p", "var_a", "var_pa", digits=3), "devsq", digits=1), "sd_s", "sd_p", "sd_a", "sd_pa", "avedev", "geomean", "harmean")
 
 
 @_q.add("a5_trimmean", """with r as (select l_returnflag, l_extendedprice as x, row_number() over (partition by l_returnflag order by l_extendedprice) as k, count(*) over (partition by l_returnflag) as n from lineitem)
-  select l_returnflag, round(sum(x::decimal(24,4))::double / count(*), 4) as trimmean from r where k > floor(n * 0.2 / 2) and k <= n - floor(n * 0.2 / 2) group by l_returnflag""")
+  select l_returnflag, round(sum(x)::double / count(*), 4) as trimmean from r where k > floor(n * 0.2 / 2) and k <= n - floor(n * 0.2 / 2) group by l_returnflag""")
 def a5_trim(spark, d):
     return rounded(A.trim_mean(read(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", 0.2), "trimmean")
 
@@ -128,19 +134,19 @@ def a9(spark, d):
     return A.text_agg(read(spark, d, "part"), ["p_brand"], "p_name", "p_partkey", ", ")
 
 
-@_q.add("a10_linear_predict", """with m as (select o_orderpriority, datediff('month', timestamp '1995-01-01', date_trunc('month', o_orderdate))::double as x, sum(o_totalprice::decimal(24,4))::double as y from orders group by all),
+@_q.add("a10_linear_predict", """with m as (select o_orderpriority, datediff('month', timestamp '1995-01-01', date_trunc('month', o_orderdate))::double as x, sum(o_totalprice)::double as y from orders group by all),
   f as (select o_orderpriority, regr_slope(y, x) as b, regr_intercept(y, x) as a, regr_slope(ln(y), x) as d, regr_intercept(ln(y), x) as c from m group by o_orderpriority)
   select o_orderpriority, t.x, round(a + b * t.x, 1) as linear, round(exp(c + d * t.x), 1) as growth from f, (values (80.0::double), (90.0::double)) t(x)""")
 def a10(spark, d):
     orders = read(spark, d, "orders")
     x = (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1
-    monthly = orders.groupBy("o_orderpriority", x.cast("double").alias("m")).agg(A.exact_sum(F.col("o_totalprice")).alias("y"))
+    monthly = orders.groupBy("o_orderpriority", x.cast("double").alias("m")).agg(F.sum("o_totalprice").alias("y"))
     return rounded(A.linear_predict(monthly, ["o_orderpriority"], "y", "m", [80.0, 90.0]), "linear", "growth", digits=1)
 
 
 @_q.add("a11_ets_forecast")
 def a11(spark, d):
-    daily = read(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(A.exact_sum(F.col("value")).alias("v"))
+    daily = read(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum("value").alias("v"))
     return A.ets_forecast(daily, ["event_type"], "day", "v")
 
 
@@ -167,12 +173,29 @@ def a13_irr(spark, d):
     return A.irr(flows, ["o_custkey"], "flow", "o_orderdate")
 
 
+@_q.add("a13_irr_periodic", """with recursive f as (
+    select o_custkey, case when row_number() over w = 1 then -o_totalprice else o_totalprice / 4 end as v, row_number() over w - 1 as k from orders window w as (partition by o_custkey order by o_orderkey)),
+  g as (select o_custkey, list(v order by k) as vs from f group by o_custkey),
+  w(o_custkey, vs, i, low, high, best) as (
+    select o_custkey, vs, 0, b.low, b.high, null::double from g, lateral (
+      select low, high from (values (1, -0.9::double, 1.0::double), (2, -0.99, 10.0), (3, -0.999999, 1e9)) r(nr, low, high)
+      where list_sum(list_transform(vs, lambda v, k: v * exp(-(k - 1) * ln(1 + low)))) * list_sum(list_transform(vs, lambda v, k: v * exp(-(k - 1) * ln(1 + high)))) < 0 order by nr limit 1) b
+    union all
+    select o_custkey, vs, i + 1, case when s then low else mid end, case when s then mid else high end, mid from (
+      select *, (low + high) / 2 as mid, list_sum(list_transform(vs, lambda v, k: v * exp(-(k - 1) * ln(1 + low)))) * list_sum(list_transform(vs, lambda v, k: v * exp(-(k - 1) * ln(1 + (low + high) / 2)))) <= 0 as s from w where i < 90))
+  select g.o_custkey, round(best, 6) as irr from g left join (select * from w where i = 90) s on g.o_custkey = s.o_custkey""")
+def a13_irr_periodic(spark, d):
+    first = F.row_number().over(A.Window.partitionBy("o_custkey").orderBy("o_orderkey")) == 1
+    flows = read(spark, d, "orders").withColumn("flow", F.when(first, -F.col("o_totalprice")).otherwise(F.col("o_totalprice") / 4))
+    return rounded(A.irr(flows, ["o_custkey"], "flow", "o_orderkey", days=False), "irr", digits=6)
+
+
 @_q.add("a14_distinct_if", "select o_custkey, count(distinct o_orderpriority) as n_distinct, count(distinct o_orderpriority) filter (where o_orderstatus = 'F') as n_distinct_if from orders group by o_custkey")
 def a14(spark, d):
     return A.distinct_if(read(spark, d, "orders"), ["o_custkey"], "o_orderpriority", F.col("o_orderstatus") == "F")
 
 
-@_q.add("a15_weighted", """select l_returnflag, sum((l_extendedprice * l_quantity)::decimal(24,4))::double as sumproduct, round(sum((l_extendedprice * l_quantity)::decimal(24,4))::double / sum(l_quantity::decimal(24,4))::double, 4) as weighted_mean,
-  coalesce((sum(l_extendedprice::decimal(24,4)) filter (where month(l_shipdate) = 7))::double, 0) as masked_sum from lineitem group by l_returnflag""")
+@_q.add("a15_weighted", rounded_sql("""select l_returnflag, sum((l_extendedprice * l_quantity))::double as sumproduct, round(sum((l_extendedprice * l_quantity))::double / sum(l_quantity)::double, 4) as weighted_mean,
+  coalesce((sum(l_extendedprice) filter (where month(l_shipdate) = 7))::double, 0) as masked_sum from lineitem group by l_returnflag""", "sumproduct", "masked_sum"))
 def a15(spark, d):
-    return rounded(A.weighted(read(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", "l_quantity", F.month("l_shipdate") == 7), "weighted_mean")
+    return rounded(A.weighted(read(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", "l_quantity", F.month("l_shipdate") == 7).withColumns({c: F.round(c, 2) for c in ("sumproduct", "masked_sum")}), "weighted_mean")

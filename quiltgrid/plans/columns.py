@@ -187,6 +187,37 @@ def c18(spark, d):
     )
 
 
+@_q.add("c18_payments", """with l as (select c_custkey, abs(c_acctbal) + 100 as v, 1 + c_custkey % 12 as k from customer),
+  p as (select *, -v * 0.01 * pow(1.01, 24) / (pow(1.01, 24) - 1) as pay from l),
+  q as (select *, -(v * pow(1.01, k - 1) + pay * (pow(1.01, k - 1) - 1) / 0.01) * 0.01 as interest from p),
+  c as (select c_custkey, sum(-(v * pow(1.01, j - 1) + pay * (pow(1.01, j - 1) - 1) / 0.01) * 0.01) as cum from (select *, unnest(range(1, k + 1)) as j from p) group by c_custkey)
+  select q.c_custkey, round(interest, 4) as ipmt, round(pay - interest, 4) as ppmt, round(cum, 4) as cumipmt, round(k * pay - cum, 4) as cumprinc, 0.01::double as rate from q join c using (c_custkey)""")
+def c18_payments(spark, d):
+    v, k = F.abs("c_acctbal") + 100, 1 + F.col("c_custkey") % 12
+    return C.derive(
+        read(spark, d, "customer"), ["c_custkey"], ipmt=F.round(V.ipmt(0.01, k, 24, v), 4), ppmt=F.round(V.ppmt(0.01, k, 24, v), 4), cumipmt=F.round(V.cumipmt(0.01, 24, v, 1, k), 4), cumprinc=F.round(V.cumprinc(0.01, 24, v, 1, k), 4),
+        rate=F.round(V.rate(24, V.pmt(0.01, 24, v), v), 8),
+    )
+
+
+@_q.add("c13_text_codes", """select o_orderkey, printf('%.1f%%', o_totalprice / 1000) as percent, replace(regexp_replace(regexp_replace(printf('%.2e', o_totalprice), 'e', 'E'), 'x', ''), ' ', '') as scientific,
+  lpad((o_orderkey % 1000)::varchar, 5, '0') as padded, case when o_orderkey % 3 = 0 then 'none' when o_orderkey % 3 = 1 then '(' || (o_orderkey % 3) || ')' else 'up ' || (o_orderkey % 3) || '.0' end as sections,
+  strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%d %b %y') as short_day, (o_orderkey % 100) || ':30' as elapsed from orders""")
+def c13_text_codes(spark, d):
+    k = F.col("o_orderkey")
+    signed = F.when(k % 3 == 0, 0.0).when(k % 3 == 1, -1.0).otherwise(2.0)
+    return C.derive(
+        read(spark, d, "orders"), ["o_orderkey"], percent=V.text(F.col("o_totalprice") / 100000, "0.0%"), scientific=V.text(F.col("o_totalprice"), "0.00E+00"), padded=V.text((k % 1000).cast("double"), "00000"),
+        sections=V.text(signed, '"up "0.0;(0);"none"'), day=V.text(V.to_serial(F.col("o_orderdate")), "yyyy-mm-dd"), short_day=V.text(V.to_serial(F.col("o_orderdate")), "dd mmm yy"), elapsed=V.text((k % 100) / 24 + 0.5 / 24, "[h]:mm"),
+    )
+
+
+@_q.add("c8_combina", "select p_partkey, p_size::double * (p_size + 1) / 2 as pairs, 1.0::double as none from part where p_size > 0")
+def c8_combina(spark, d):
+    n = F.col("p_size").cast("double")
+    return C.derive(read(spark, d, "part").where("p_size > 0"), ["p_partkey"], pairs=V.combina(n, 2), none=V.combina(n, 0))
+
+
 @_q.add("c19_units", "select p_partkey, round(p_size * 1609.344 / 1000, 6) as km, round(p_size * 453.59237 / 1000, 6) as kg, round((p_size + 459.67) * 5 / 9 - 273.15, 6) as celsius, null::double as bad from part")
 def c19(spark, d):
     s = F.col("p_size").cast("double")

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quiltgrid.operators import lookups as J
-from quiltgrid.plans.base import Queries, read
+from quiltgrid.plans.base import Queries, read, rounded, rounded_sql
 
 _q = Queries()
 QUERIES, ORACLES = _q.queries, _q.oracles
-D = "decimal(24,4)"
 
 
 @_q.add("j1_lookup", """with p as (select p_name, min_by(p_retailprice, p_partkey) as price from part where p_size > 20 group by p_name)
@@ -104,11 +103,11 @@ def j8_flag(spark, d):
     return J.flag_in(J.combine_lists(a, b), b, "nk")
 
 
-@_q.add("j9_db_aggregate", f"""with k as (select * from orders where (o_orderstatus ilike 'f' and o_totalprice > 200000) or (o_orderpriority ilike '1-%' and o_totalprice <= 50000))
-  select (sum(o_totalprice::{D}))::double as dsum, round((sum(o_totalprice::{D}))::double / count(*), 4) as daverage, count(o_totalprice) as dcount, min(o_totalprice) as dmin, max(o_totalprice) as dmax, null::double as dget from k""")
+@_q.add("j9_db_aggregate", rounded_sql("""with k as (select * from orders where (o_orderstatus ilike 'f' and o_totalprice > 200000) or (o_orderpriority ilike '1-%' and o_totalprice <= 50000))
+  select (sum(o_totalprice))::double as dsum, round((sum(o_totalprice))::double / count(*), 4) as daverage, count(o_totalprice) as dcount, min(o_totalprice) as dmin, max(o_totalprice) as dmax, null::double as dget from k""", "dsum"))
 def j9(spark, d):
     criteria = [{"o_orderstatus": "F", "o_totalprice": ">200000"}, {"o_orderpriority": "1-*", "o_totalprice": "<=50000"}]
-    return J.db_aggregate(read(spark, d, "orders"), criteria, "O_TOTALPRICE").withColumn("daverage", F.round("daverage", 4))
+    return J.db_aggregate(read(spark, d, "orders"), criteria, "O_TOTALPRICE").withColumns({"dsum": F.round("dsum", 2), "daverage": F.round("daverage", 4)})
 
 
 @_q.add("j10_bracket_sum", "select o_orderkey, round(greatest(o_totalprice - 0, 0) * 0.1 + greatest(o_totalprice - 100000, 0) * 0.1 + greatest(o_totalprice - 300000, 0) * 0.15, 5) as tax from orders")
@@ -116,8 +115,13 @@ def j10(spark, d):
     return J.bracket_sum(read(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", [(0, 0.1), (100000, 0.2), (300000, 0.35)], "tax").select("o_orderkey", F.round("tax", 5).alias("tax"))
 
 
-@_q.add("j11_cross_table", f"""select o_orderpriority, (sum(o_totalprice::{D}))::double as total, coalesce((sum(o_totalprice::{D}) filter (where year(o_orderdate) = 1996))::double, 0) as from_y1996, coalesce((sum(o_totalprice::{D}) filter (where year(o_orderdate) = 1997))::double, 0) as from_y1997
-  from orders where year(o_orderdate) in (1996, 1997) group by o_orderpriority""")
+YEARS = range(1992, 1999)
+
+
+@_q.add("j11_cross_table", rounded_sql(f"""select o_orderpriority, sum(o_totalprice) as total, {', '.join(f"coalesce(sum(o_totalprice) filter (where year(o_orderdate) = {y}), 0) as from_y{y}" for y in YEARS)},
+  coalesce(sum(o_totalprice) filter (where year(o_orderdate) not between 1992 and 1998), 0) as from_other from orders group by o_orderpriority""", "total", "from_other", *(f"from_y{y}" for y in YEARS)))
 def j11(spark, d):
     orders = read(spark, d, "orders")
-    return J.cross_table_agg({f"y{y}": orders.where(F.year("o_orderdate") == y) for y in (1996, 1997)}, ["o_orderpriority"], "o_totalprice")
+    tables = {f"y{y}": orders.where(F.year("o_orderdate") == y) for y in YEARS} | {"other": orders.where(~F.year("o_orderdate").isin(*YEARS))}
+    out = J.cross_table_agg(tables, ["o_orderpriority"], "o_totalprice")
+    return rounded(out, "total", *(f"from_{n}" for n in tables), digits=2)

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quiltgrid.operators import tables as T
-from quiltgrid.operators.aggregates import exact_sum
-from quiltgrid.plans.base import Queries, read
+from quiltgrid.plans.base import Queries, read, rounded, rounded_sql
 
 _q = Queries()
 QUERIES, ORACLES = _q.queries, _q.oracles
-D = "decimal(24,4)"
 
 
 @_q.add("t1_unique_rows", "select o_orderpriority, o_orderstatus, min(o_orderkey) as first_pos, count(*) as n from orders group by all")
@@ -79,6 +77,14 @@ def t5_drop(spark, d):
     return T.drop_rows(read(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], 500)
 
 
+@_q.add("t5_columns", "select s_suppkey, s_name, s_acctbal as last_column from supplier")
+def t5_columns(spark, d):
+    suppliers = read(spark, d, "supplier").withColumn("key", F.col("s_suppkey"))
+    first = T.take_columns(T.drop_columns(suppliers, -1), 2)
+    last = T.take_columns(T.drop_columns(suppliers, 3), -2)
+    return first.join(last.withColumnsRenamed({"s_acctbal": "last_column"}), F.col("s_suppkey") == F.col("key")).drop("key")
+
+
 @_q.add("t6_choose", "select w.i as out_pos, o_orderkey, o_custkey, o_custkey as o_custkey_3 from (values (0, 5), (1, 3), (2, 5), (3, (select max(o_orderkey) from orders))) w(i, k) join orders on o_orderkey = k")
 def t6(spark, d):
     chosen = T.choose_rows(read(spark, d, "orders"), "o_orderkey", [5, 3, 5])
@@ -102,12 +108,12 @@ def t8(spark, d):
     return T.frequency(read(spark, d, "lineitem"), "l_quantity", [5, 10, 25, 40])
 
 
-@_q.add("t9_group_totals", f"""select l_returnflag, l_linestatus, (sum(l_quantity::{D}))::double as sum_qty, (sum(l_extendedprice::{D}))::double as sum_price, (sum((l_extendedprice * (1 - l_discount))::{D}))::double as revenue, count(*) as n_rows,
-  (grouping(l_returnflag) + grouping(l_linestatus))::int as level from lineitem group by rollup(l_returnflag, l_linestatus)""")
+@_q.add("t9_group_totals", rounded_sql("""select l_returnflag, l_linestatus, (sum(l_quantity))::double as sum_qty, (sum(l_extendedprice))::double as sum_price, (sum((l_extendedprice * (1 - l_discount))))::double as revenue, count(*) as n_rows,
+  (grouping(l_returnflag) + grouping(l_linestatus))::int as level from lineitem group by rollup(l_returnflag, l_linestatus)""", "sum_qty", "sum_price", "revenue", digits=3))
 def t9(spark, d):
     revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    aggs = [exact_sum(F.col("l_quantity")).alias("sum_qty"), exact_sum(F.col("l_extendedprice")).alias("sum_price"), exact_sum(revenue).alias("revenue"), F.count("*").alias("n_rows")]
-    return T.group_totals(read(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], aggs)
+    aggs = [F.sum("l_quantity").alias("sum_qty"), F.sum("l_extendedprice").alias("sum_price"), F.sum(revenue).alias("revenue"), F.count("*").alias("n_rows")]
+    return rounded(T.group_totals(read(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], aggs), "sum_qty", "sum_price", "revenue", digits=3)
 
 
 @_q.add("t10_pivot_totals", """select l_returnflag, sum(case when l_linestatus = 'F' then l_quantity end) as "F", sum(case when l_linestatus = 'O' then l_quantity end) as "O", sum(l_quantity) as total, grouping(l_returnflag) = 1 as is_total from lineitem group by rollup(l_returnflag)""")

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quiltgrid.operators import windows as W
-from quiltgrid.plans.base import Queries, read
+from quiltgrid.plans.base import Queries, read, rounded_sql
 
 _q = Queries()
 QUERIES, ORACLES = _q.queries, _q.oracles
-D = "decimal(24,4)"
 
 
 @_q.add("w1_rank_rows", """select o_orderkey, rank() over (partition by o_custkey order by o_orderpriority desc) as rank_eq,
@@ -31,11 +30,11 @@ def w2_of(spark, d):
     return W.percent_rank_of(read(spark, d, "part"), ["p_brand"], "p_size", 20.5)
 
 
-@_q.add("w3_running", f"""select event_id, (sum(value::{D}) over w)::double as running_sum, count(*) over (partition by user_id, value order by event_id rows unbounded preceding) as running_count,
-  max(value) over w as running_max, round((sum(value::{D}) over w)::double / (sum(value::{D}) over (partition by user_id))::double, 6) as running_share
-  from events window w as (partition by user_id order by event_id rows unbounded preceding)""")
+@_q.add("w3_running", rounded_sql("""select event_id, (sum(value) over w)::double as running_sum, count(*) over (partition by user_id, value order by event_id rows unbounded preceding) as running_count,
+  max(value) over w as running_max, round((sum(value) over w)::double / (sum(value) over (partition by user_id))::double, 6) as running_share
+  from events window w as (partition by user_id order by event_id rows unbounded preceding)""", "running_sum"))
 def w3(spark, d):
-    return W.running(read(spark, d, "events"), ["user_id"], "value", "event_id").select("event_id", "running_sum", "running_count", "running_max", F.round("running_share", 6).alias("running_share"))
+    return W.running(read(spark, d, "events"), ["user_id"], "value", "event_id").select("event_id", F.round("running_sum", 2).alias("running_sum"), "running_count", "running_max", F.round("running_share", 6).alias("running_share"))
 
 
 @_q.add("w3_scan", """select o_orderkey, max(floor(o_totalprice / 1000)::bigint) over (partition by o_custkey order by o_orderkey rows unbounded preceding) as scan from orders""")
@@ -61,16 +60,16 @@ def w6(spark, d):
     return W.normalize(read(spark, d, "part"), ["p_brand"], "p_retailprice").select("p_partkey", F.round("z_score", 6).alias("z_score"), F.round("scaled", 6).alias("scaled"))
 
 
-@_q.add("w7_share_of_total", f"""select o_orderkey, round(o_totalprice / (sum(o_totalprice::{D}) over (partition by o_custkey))::double, 6) as share,
-  round((sum(o_totalprice::{D}) over (partition by o_custkey order by o_orderkey rows unbounded preceding))::double / (sum(o_totalprice::{D}) over (partition by o_custkey))::double, 6) as cumulative_share from orders""")
+@_q.add("w7_share_of_total", """select o_orderkey, round(o_totalprice / (sum(o_totalprice) over (partition by o_custkey))::double, 6) as share,
+  round((sum(o_totalprice) over (partition by o_custkey order by o_orderkey rows unbounded preceding))::double / (sum(o_totalprice) over (partition by o_custkey))::double, 6) as cumulative_share from orders""")
 def w7(spark, d):
     return W.share_of_total(read(spark, d, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey").select("o_orderkey", F.round("share", 6).alias("share"), F.round("cumulative_share", 6).alias("cumulative_share"))
 
 
-@_q.add("w8_last_n", f"""with r as (select *, row_number() over (partition by user_id order by event_id) as k, row_number() over (partition by user_id order by event_id desc) as b from events)
-  select user_id, round((sum(value::{D}) filter (where b <= 3))::double / count(*) filter (where b <= 3), 4) as last_mean, (sum(value::{D}) filter (where (k - 1) % 3 = 0))::double as every_sum from r group by user_id""")
+@_q.add("w8_last_n", rounded_sql("""with r as (select *, row_number() over (partition by user_id order by event_id) as k, row_number() over (partition by user_id order by event_id desc) as b from events)
+  select user_id, round((sum(value) filter (where b <= 3))::double / count(*) filter (where b <= 3), 4) as last_mean, (sum(value) filter (where (k - 1) % 3 = 0))::double as every_sum from r group by user_id""", "every_sum"))
 def w8(spark, d):
-    return W.last_n_agg(read(spark, d, "events"), ["user_id"], "value", "event_id", 3, 3).withColumn("last_mean", F.round("last_mean", 4))
+    return W.last_n_agg(read(spark, d, "events"), ["user_id"], "value", "event_id", 3, 3).withColumns({"last_mean": F.round("last_mean", 4), "every_sum": F.round("every_sum", 2)})
 
 
 @_q.add("w9_flag_duplicates", "select doc_id, count(*) over (partition by text) > 1 as is_duplicate, min(doc_id) over (partition by text) as first_pos from documents")
@@ -85,7 +84,7 @@ def w9_max(spark, d):
     return W.position_of_max(read(spark, d, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey")
 
 
-@_q.add("w10_top_n", f"""with r as (select o_custkey, o_orderkey, o_totalprice, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as place from orders)
-  select o_custkey, o_orderkey, place, (sum(o_totalprice::{D}) over g)::double as top_sum, round((sum(o_totalprice::{D}) over g)::double / count(*) over g, 4) as top_mean from r where place <= 3 window g as (partition by o_custkey)""")
+@_q.add("w10_top_n", rounded_sql("""with r as (select o_custkey, o_orderkey, o_totalprice, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as place from orders)
+  select o_custkey, o_orderkey, place, (sum(o_totalprice) over g)::double as top_sum, round((sum(o_totalprice) over g)::double / count(*) over g, 4) as top_mean from r where place <= 3 window g as (partition by o_custkey)""", "top_sum"))
 def w10(spark, d):
-    return W.top_n(read(spark, d, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey", 3).select("o_custkey", "o_orderkey", "place", "top_sum", F.round("top_mean", 4).alias("top_mean"))
+    return W.top_n(read(spark, d, "orders"), ["o_custkey"], "o_totalprice", "o_orderkey", 3).select("o_custkey", "o_orderkey", "place", F.round("top_sum", 2).alias("top_sum"), F.round("top_mean", 4).alias("top_mean"))

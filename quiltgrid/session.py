@@ -26,9 +26,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path under the folder that all executors share, named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A new path under the folder that all executors share, named by ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a local session gets a temporary one; on a
+    cluster that would be a folder of one machine, so that it is an error.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="quiltgrid-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/quiltgrid-{uuid.uuid4().hex}"

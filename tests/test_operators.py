@@ -122,3 +122,59 @@ def test_reading_cases(spark, tmp_path):
     r = by(S.read_cases(spark, str(tmp_path)), "id")
     assert [r[str(i)].expected_kind for i in range(1, 6)] == ["num", "err", "array", "null", "bool"]
     assert (r["1"].n_cells, r["1"].expected_text, r["3"].expected_text, r["2"].n_cells) == (2, "5", "[[1,2],[3,4]]", 0)
+
+
+def test_sums_of_tiny_huge_and_odd_values(spark):
+    df = spark.createDataFrame([("a", 0.00001, True), ("a", 0.00001, False), ("a", 0.00001, True), ("b", 1e21, None), ("b", 2e10, True), (None, 3.0, True), ("n", float("nan"), None), ("n", float("inf"), None), ("n", 2.0, None)], "k string, v double, t boolean")
+    r = by(A.agg_basic(df, ["k"], "v"))
+    assert r["a"]["sum"] == pytest.approx(3e-5) and r["b"]["sum"] == pytest.approx(1e21) and r["b"]["sumsq"] == pytest.approx(1e42)
+    assert (r[None]["sum"], r["n"]["sum"], r["n"]["average"], r["n"]["max"]) == (3.0, 2.0, 2.0, 2.0)
+    r = by(A.agg_basic(df, ["k"], "t"))["a"]
+    assert (r["sum"], r["average"], by(A.count_kinds(df, ["k"], "t"))["a"]["numbers"]) == (0.0, None, 0)
+    text = spark.createDataFrame([("a", x) for x in ("NaN", "Infinity", "2", " 3.5 ", "1e2", "5d", "0x1F", "-")], "k string, v string")
+    assert by(A.agg_basic(text, ["k"], "v"))["a"]["sum"] == 105.5
+    s = by(A.spread_means(df, ["k"], "v"))
+    assert s[None]["devsq"] == 0 and s["a"]["harmean"] == pytest.approx(1e-5)
+    z = by(A.spread_means(spark.createDataFrame([("z", 0.0), ("z", 1.0), ("m", -1.0), ("m", 4.0)], "k string, v double"), ["k"], "v"))
+    assert (z["z"]["harmean"], z["z"]["geomean"], z["m"]["geomean"]) == (None, None, None)
+    assert A.spread_means(df.where("k = 'a'"), [], "v").first()["avedev"] == pytest.approx(0, abs=1e-12)
+    a = by(A.spread_means(spark.createDataFrame([("a", "2"), ("a", "4"), ("a", "x")], "k string, v string"), ["k"], "v"))["a"]
+    assert a["var_a"] == 4
+
+
+def test_shares_of_nothing(spark):
+    df = spark.createDataFrame([("a", 1, 0.0), ("a", 2, 0.0), ("b", 3, 1e-9), ("b", 4, -1e-9)], "k string, pos long, v double")
+    assert [r["running_share"] for r in W.running(df, ["k"], "v", "pos").collect()] == [None] * 4
+    assert [r["share"] for r in W.share_of_total(df, ["k"], "v", "pos").collect()] == [None] * 4
+    assert by(W.normalize(df, ["k"], "v"), "pos")[3]["scaled"] == 1.0 and W.normalize(df, [], "v").count() == 4
+
+
+def test_groups_without_keys(spark):
+    df = spark.createDataFrame([(12, 1, -1000.0), (18, 2, 500.0), (18, 3, 500.0), (30, 4, 500.0)], "v long, pos long, flow double")
+    r = A.gcd_lcm(df, [], "v").first()
+    assert (r["gcd"], r["lcm"]) == (6, 180.0)
+    assert A.irr(df, [], "flow", "pos", days=False).first()["irr"] == pytest.approx(0.2337519, abs=1e-6)
+    assert A.irr(df.where("flow > 0").selectExpr("'x' k", "flow", "pos"), ["k"], "flow", "pos", days=False).first()["irr"] is None
+    fast = spark.createDataFrame([(1, -1.0), (2, 5000.0)], "pos long, flow double")
+    assert A.irr(fast, [], "flow", "pos", days=False).first()["irr"] == pytest.approx(4999, rel=1e-6)
+
+
+def test_function_codes(spark):
+    df = spark.createDataFrame([(x, i == 0, i == 4) for i, x in enumerate(("10", "20", "x", None, "30"))], "v string, sub boolean, hid boolean")
+    r = A.subtotal_codes(df, [], "v", [1, 2, 3, 4, 5, 6, 9, 12, 109, 102], F.col("sub"), is_hidden=F.col("hid")).first().asDict()
+    assert r == {"code_1": 25, "code_2": 2, "code_3": 3, "code_4": 30, "code_5": 20, "code_6": 600, "code_9": 50, "code_12": 25, "code_109": 20, "code_102": 1}
+
+
+def test_columns_taken_and_dropped(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert [f(df, n).columns for f, n in ((T.take_columns, 2), (T.take_columns, -1), (T.drop_columns, 1), (T.drop_columns, -2))] == [["a", "b"], ["c"], ["b", "c"], ["a"]]
+
+
+def test_one_of_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from quiltgrid.session import shared_dir
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(far)

@@ -31,6 +31,12 @@ def cases():
     (C.type_number(F.lit("#N/A")), 16), (C.type_number(F.lit("TRUE")), 4), (C.error_number(F.lit("#DIV/0!")), 2), (C.error_number(F.lit("x")), None), (C.as_n(F.lit("7")), 7.0), (C.as_n(F.lit("x")), 0.0),
     (V.weeknum(D("2024-01-07")), 2), (V.weeknum(D("2024-01-07"), 2), 1), (V.weeknum(D("2021-01-01"), 21), 53), (V.time_of(27, 0, 0), 0.125), (V.time_of(0, -30, 0), 47 / 48), (V.time_value(F.lit("2:24 pm")), 0.6), (V.time_value(F.lit("06:00")), 0.25), (V.time_value(F.lit("x")), None),
     (V.number_value(F.lit("2.500,27"), ",", "."), 2500.27), (V.number_value(F.lit("9%%")), 0.0009), (V.log(X(8), 2.0), 3.0), (V.log(X(0)), None), (V.multinomial(F.lit(2), F.lit(3), F.lit(4)), 1260.0), (V.fixed(X(1234.567), 1), "1,234.6"), (V.fixed(X(-1234.567), 1, False), "-1234.6"), (V.dollar(X(-99.888)), "($99.89)"), (V.value_to_text(X(5)), "5"), (V.value_to_text(F.lit('a"b'), True), '"a""b"'),
+    (V.text(X(1234.567), "$#,##0.00"), "$1,234.57"), (V.text(X(0.285), "0.0%"), "28.5%"), (V.text(X(12200000), "0.00E+00"), "1.22E+07"), (V.text(X(0.000999), "0.0E+0"), "1.0E-3"), (V.text(X(1234), "0000000"), "0001234"),
+    (V.text(X(45356), "yyyy-mm-dd"), "2024-03-05"), (V.text(X(45356), "dddd"), "Tuesday"), (V.text(X(45356.75), "h:mm AM/PM"), "6:00 PM"), (V.text(X(45356.75), "mmm d, yyyy hh:mm:ss"), "Mar 5, 2024 18:00:00"), (V.text(X(1.5), "[h]:mm"), "36:00"), (V.text(X(1.5), "[m]"), "2160"),
+    (V.text(X(-5), "0.0;(0.0);zero"), "(5.0)"), (V.text(X(0), "0.0;(0.0);zero"), "zero"), (V.text(X(-5), "0.0"), "-5.0"), (V.text(X(-0.01), "0.0"), "0.0"), (V.text(X(2.5), "#.##"), "2.5"), (V.text(X(1234567), "#,##0,"), "1,235"), (V.text(X(7), '"no. "0'), "no. 7"), (V.text(X(0.5), ".00"), ".50"),
+    (F.round(V.ipmt(0.005, 1, 360, -300000.0), 2), 1500.0), (F.round(V.ppmt(0.005, 1, 360, -300000.0), 2), 298.65), (F.round(V.cumipmt(0.005, 360, 300000.0, 1, 1), 2), -1500.0), (F.round(V.cumprinc(0.005, 360, 300000.0, 1, 1), 2), -298.65), (V.ipmt(0.005, 0, 360, 1.0), None),
+    (V.ipmt(0.1, 1, 3, 100.0, 0.0, 1), 0.0), (V.ipmt(0.0, 2, 3, 90.0), 0.0), (V.ppmt(0.0, 2, 3, 90.0), -30.0), (F.round(V.rate(360, -1798.65, 300000.0) * 12, 4), 0.06), (V.rate(3, 1.0, 1.0), None),
+    (V.combina(X(4), 3), 20.0), (V.combina(X(5), 2), 15.0), (V.combina(X(10), 0), 1.0), (V.combina(X(0), 0), 1.0), (V.to_number(F.lit("1 2")), None), (V.to_number(F.lit("5$3")), None), (V.to_number(F.lit("(5)")), -5.0), (V.to_number(F.lit("$1,000")), 1000.0), (V.to_number(F.lit("1,0")), None), (V.to_number(F.lit("-$2.5")), -2.5), (V.to_number(F.lit("")), None),
     (P.version_key(F.lit("24.x8.")), [24, 8, 0]), (P.version_key(F.lit("")), []), (P.normalize_label(F.lit("LibreOffice 24")), "libreoffice"), (P.normalize_label(F.lit("abacus")), None), (P.extract_calls(F.lit('=IF(sum(A1)>1,"MAX(",SUM(B1))')), ["IF", "SUM"]),
     (P.rewrite_tokens(F.lit("=SORT(A1)+SORTBY(B1)+XSORT(1)"), {"SORT": "_x.", "SORTBY": "_y."}), "=_x.SORT(A1)+_y.SORTBY(B1)+XSORT(1)"), (P.cells_equal(X(1), X(1.0000000001)), True), (P.cells_equal(F.lit(""), F.lit(None).cast("string"), "text"), True), (P.cells_equal(X(1), X(1.1)), False), (P.cells_equal(F.lit("1"), F.lit("1.0"), "text"), False),
     (P.arrays_detail(F.array(X(1), X(2)), F.array(X(1), X(3))), "value mismatch: expected 2.0, got 3.0"),
