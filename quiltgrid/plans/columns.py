@@ -200,14 +200,14 @@ def c18_payments(spark, d):
     )
 
 
-@_q.add("c13_text_codes", """select o_orderkey, printf('%.1f%%', o_totalprice / 1000) as percent, replace(regexp_replace(regexp_replace(printf('%.2e', o_totalprice), 'e', 'E'), 'x', ''), ' ', '') as scientific,
+@_q.add("c13_text_codes", """select o_orderkey, printf('%.1f%%', floor(o_totalprice / 100) / 10) as percent, replace(regexp_replace(regexp_replace(printf('%.2e', floor(o_totalprice / 1000) * 1000 + 1), 'e', 'E'), 'x', ''), ' ', '') as scientific,
   lpad((o_orderkey % 1000)::varchar, 5, '0') as padded, case when o_orderkey % 3 = 0 then 'none' when o_orderkey % 3 = 1 then '(' || (o_orderkey % 3) || ')' else 'up ' || (o_orderkey % 3) || '.0' end as sections,
   strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%d %b %y') as short_day, (o_orderkey % 100) || ':30' as elapsed from orders""")
 def c13_text_codes(spark, d):
     k = F.col("o_orderkey")
     signed = F.when(k % 3 == 0, 0.0).when(k % 3 == 1, -1.0).otherwise(2.0)
     return C.derive(
-        read(spark, d, "orders"), ["o_orderkey"], percent=V.text(F.col("o_totalprice") / 100000, "0.0%"), scientific=V.text(F.col("o_totalprice"), "0.00E+00"), padded=V.text((k % 1000).cast("double"), "00000"),
+        read(spark, d, "orders"), ["o_orderkey"], percent=V.text(F.floor(F.col("o_totalprice") / 100) / 1000, "0.0%"), scientific=V.text(F.floor(F.col("o_totalprice") / 1000) * 1000 + F.lit(1.0), "0.00E+00"), padded=V.text((k % 1000).cast("double"), "00000"),
         sections=V.text(signed, '"up "0.0;(0);"none"'), day=V.text(V.to_serial(F.col("o_orderdate")), "yyyy-mm-dd"), short_day=V.text(V.to_serial(F.col("o_orderdate")), "dd mmm yy"), elapsed=V.text((k % 100) / 24 + 0.5 / 24, "[h]:mm"),
     )
 
