@@ -546,14 +546,28 @@ def complete_links(links: DataFrame, reps: DataFrame, docs: DataFrame, similarit
             continue
         found = materialize(_verified(pairs, docs, similarity))
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = links.unionByName(found)
-        member = materialize(components(links))
+        if not found.isEmpty():
+            member = materialize(_merged(member, found))
     return member
 
 
+def _merged(member: DataFrame, links: DataFrame) -> DataFrame:
+    """``member`` (node, component) after ``links`` (u, v) join some of its components.
+
+    Only the graph whose nodes are components is searched; a component's least node
+    has no row in ``member`` before, so that its row comes from that graph.
+    """
+    ends = links.select(F.col("u").alias("node"), "v").join(member, "node", "left").select(F.coalesce("component", "node").alias("u"), F.col("v").alias("node"))
+    ends = ends.join(member, "node", "left").select("u", F.coalesce("component", "node").alias("v"))
+    joined = materialize(components(ends))
+    moved = member.join(joined.select(F.col("node").alias("component"), F.col("component").alias("least")), "component", "left")
+    return moved.select("node", F.coalesce("least", "component").alias("component")).unionByName(joined)
+
+
 def _verified(edges: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The ``edges`` (u, v) between documents whose shingle sets have at least this Jaccard similarity."""
-    texts = docs.select("doc_id", "text")
+    ends = edges.select(F.explode(F.array("u", "v")).alias("doc_id"))
+    texts = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi")  # the rest of the texts isn't shuffled
     pairs = edges.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("b")), "v")
 
     def run(batches):
