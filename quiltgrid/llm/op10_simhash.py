@@ -467,18 +467,19 @@ def _grouped(rows: DataFrame, member: DataFrame) -> DataFrame:
     return rows.join(member, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
 
 
-def _likely(met: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (u, v) that share enough of their first shingles, of ``met`` (a, b, na, nb): a row per shingle shared.
+def _likely(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) that share enough of their first shingles, of ``pairs`` (u, v, nu, nv, n): sizes and how many they share.
 
     What they share besides lies behind the first shingles of the one whose first
     shingles end first, so that there is a bound on all that they share.
     """
-    u, v = F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
-    nu, nv = F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na"))
-    pairs = met.groupBy(u, v, nu.alias("nu"), nv.alias("nv")).agg(F.count("*").alias("n"))
     rest = F.ceil(F.greatest("nu", "nv") * similarity - 1e-9) - 1
-    least = F.ceil((F.col("nu") + F.col("nv")) * (similarity / (1 + similarity)) - 1e-6)
-    return pairs.where(F.col("n") + rest >= least).select("u", "v")
+    return pairs.where(F.col("n") + rest >= _least_shared("nu", "nv", similarity)).select("u", "v")
+
+
+def _least_shared(na: str, nb: str, similarity: float):
+    """The least number of shingles that texts of these sizes share if they are similar."""
+    return F.ceil((F.col(na) + F.col(nb)) * (similarity / (1 + similarity)) - 1e-6)
 
 
 def _alike(similarity: float):
@@ -491,14 +492,20 @@ def _star_pairs(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
     lead = F.min_by(F.struct(F.col("node").alias("b"), F.col("n_grams").alias("nb"), F.col("comp").alias("cb")), F.xxhash64("node", F.lit(turn))).alias("r")
     leads = rows.groupBy("gram").agg(lead).select("gram", "r.*")
     met = rows.select("gram", F.col("node").alias("a"), F.col("n_grams").alias("na"), F.col("comp").alias("ca")).join(leads, "gram")
-    return _likely(met.where("ca <> cb").where(_alike(similarity)), similarity)
+    met = met.where("ca <> cb").where(_alike(similarity))
+    u, v = F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")
+    nu, nv = F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na"))
+    return _likely(met.groupBy(u, v, nu.alias("nu"), nv.alias("nv")).agg(F.count("*").alias("n")), similarity)
 
 
-def _cross_pairs(rows: DataFrame, similarity: float, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """All pairs of rows that share a shingle and are of different components.
+def _cross_pairs(rows: DataFrame, reps: DataFrame, similarity: float, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """All pairs of rows that may be similar and are of different components.
 
-    Rows outside a shingle's largest component are paired with all others. Both are
-    dealt out in chunks, and a task joins two chunks at once, never a whole shingle.
+    Similar texts share so many shingles that the first one shared has enough of both
+    texts behind it, the place of a shingle being its number in the one order of all:
+    rows of a shingle meet only where that holds. Rows outside a shingle's largest
+    component meet all others. Both are dealt out in chunks, and a task joins two
+    chunks at once, never a whole shingle.
     """
     sizes = rows.groupBy("gram", "comp").agg(F.count("*").alias("n")).groupBy("gram")
     sizes = sizes.agg(F.max_by("comp", F.struct("n", "comp")).alias("most"), F.max("n").alias("n_most"), F.sum("n").alias("n"), F.count("*").alias("comps")).where("comps > 1")
@@ -507,10 +514,15 @@ def _cross_pairs(rows: DataFrame, similarity: float, group_rows: int = GROUP_ROW
     rows = rows.join(sizes, "gram").withColumn("minor", F.col("comp") != F.col("most"))
     hashed = F.xxhash64("node")
     rows = rows.withColumn("chunk", F.when(F.col("minor"), F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.col("many"))))
-    left = rows.where("minor").select("gram", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("few") + F.col("many") - 1)).alias("j"), F.col("node").alias("a"), F.col("n_grams").alias("na"), F.col("comp").alias("ca"))
-    right = rows.select("gram", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("chunk"), F.col("few") - 1))).alias("i"), F.col("chunk").alias("j"), F.col("node").alias("b"), F.col("n_grams").alias("nb"), F.col("comp").alias("cb"))
-    met = left.join(right, ["gram", "i", "j"]).where("ca <> cb and (i <> j or a < b)")
-    return _likely(met.where(_alike(similarity)), similarity)
+    left = rows.where("minor").select("gram", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("few") + F.col("many") - 1)).alias("j"), F.col("node").alias("a"), F.col("n_grams").alias("na"), F.col("place").alias("pa"), F.col("comp").alias("ca"))
+    right = rows.select("gram", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("chunk"), F.col("few") - 1))).alias("i"), F.col("chunk").alias("j"), F.col("node").alias("b"), F.col("n_grams").alias("nb"), F.col("place").alias("pb"), F.col("comp").alias("cb"))
+    behind = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _least_shared("na", "nb", similarity)
+    met = left.join(right, ["gram", "i", "j"]).where("ca <> cb and (i <> j or a < b)").where(behind)
+    met = materialize(met.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+    first = reps.select("node", "n_grams", "rare").join(met.select(F.explode(F.array("u", "v")).alias("node")), "node", "left_semi")
+    both = met.join(first.select(F.col("node").alias("u"), F.col("n_grams").alias("nu"), F.col("rare").alias("ru")), "u")
+    both = both.join(first.select(F.col("node").alias("v"), F.col("n_grams").alias("nv"), F.col("rare").alias("rv")), "v")
+    return _likely(both.select("u", "v", "nu", "nv", F.size(F.array_intersect("ru", "rv")).alias("n")), similarity)
 
 
 def distinct_prints(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -534,13 +546,13 @@ def complete_links(links: DataFrame, reps: DataFrame, docs: DataFrame, similarit
     large groups; the last round takes all pairs of different components.
     """
     member = materialize(components(links))
-    rows = _grouped(reps.select("node", "n_grams", "rare"), member).select("node", "n_grams", "comp", F.explode("rare").alias("gram"))
+    rows = _grouped(reps.select("node", "n_grams", "rare"), member).select("node", "n_grams", "comp", F.posexplode("rare").alias("place", "gram"))
     live = rows.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
     shared = materialize(rows.drop("comp").join(live, "gram"))
     tried = None
     for turn in range(STAR_ROUNDS + 1):
         own = _grouped(shared, member)
-        pairs = _star_pairs(own, similarity, turn) if turn < STAR_ROUNDS else _cross_pairs(own, similarity)
+        pairs = _star_pairs(own, similarity, turn) if turn < STAR_ROUNDS else _cross_pairs(own, reps, similarity)
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
         if pairs.isEmpty():
             continue

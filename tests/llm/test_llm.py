@@ -680,11 +680,20 @@ def groups_of_all_pairs(rows):
 
 @pytest.mark.parametrize("group_rows", [2, 1000])
 def test_cross_pairs_are_all_pairs(spark, group_rows):
-    """Every pair of different components that shares a shingle, from chunks of any size."""
-    rows = [(g, node, 1, node % 3 if node < 12 else node) for g in range(3) for node in range(20) if node % (g + 1) == 0]
-    found = sim._cross_pairs(spark.createDataFrame(rows, "gram long, node long, n_grams long, comp long"), 0.8, group_rows).collect()
-    expected = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[3] != b[3]}
-    assert len(found) == len(expected) and {(r.u, r.v) for r in found} == expected
+    """Every similar pair of different components, from chunks of any size; sizes differ, and no pair comes twice."""
+    rng = np.random.default_rng(7)
+    sets = [np.unique(rng.permutation(400)[:60] if i % 10 == 0 else np.r_[rng.permutation(60)[: 45 + i % 13], 60 + rng.permutation(300)[: i % 7]]) for i in range(90)]
+    comps = [node % 3 if node < 12 else node for node in range(len(sets))]
+    n = np.array([len(x) for x in sets])
+    flat, sizes = sim.prefixes(np.concatenate(sets).astype(np.uint64), n, 0.8, (np.arange(60, dtype=np.uint64), np.arange(60) // 3 + 4))
+    rare = [x.astype(int).tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
+    reps = spark.createDataFrame([(i, int(n[i]), rare[i]) for i in range(len(sets))], "node long, n_grams long, rare array<long>")
+    rows = [(g, at, i, int(n[i]), comps[i]) for i in range(len(sets)) for at, g in enumerate(rare[i])]
+    rows = spark.createDataFrame(rows, "gram long, place int, node long, n_grams long, comp long")
+    found = [(r.u, r.v) for r in sim._cross_pairs(rows, reps, 0.8, group_rows).collect()]
+    both = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(len(sets)) for j in range(i + 1, len(sets)) if comps[i] != comps[j]}
+    similar = {(i, j) for (i, j), k in both.items() if 5 * k >= 4 * (n[i] + n[j] - k)}
+    assert similar and len(found) == len(set(found)) and similar <= set(found) <= set(both)
 
 
 def test_equal_prints_are_joined_once(spark):
