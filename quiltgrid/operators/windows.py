@@ -20,12 +20,19 @@ def rank_rows(df: DataFrame, keys: list[str], value: str, pos: str, ascending: b
 
 
 def percent_rank_at(df: DataFrame, keys: list[str], value: str, digits: int = 3) -> DataFrame:
-    """Share of the group below a row's value, digits cut off; and the variant over n + 1."""
-    order = Window.partitionBy(*keys).orderBy(value)
-    n = F.count("*").over(Window.partitionBy(*keys))
+    """Share of the group below a row's value, digits cut off; and the variant over n + 1.
+
+    Ranks are those of a group's distinct values with their counts, joined back: no
+    task sorts a group's rows. Nulls rank first, as in a sort.
+    """
     cut = lambda x: F.floor(x * 10**digits + 1e-9) / 10**digits
-    below = F.rank().over(order) - 1
-    return df.withColumns({"rank_inc": F.when(n > 1, cut(below / (n - 1))).otherwise(1.0), "rank_exc": cut((below + 1) / (n + 1))})
+    group = Window.partitionBy(*keys)
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    n, below = F.sum("_c").over(group), F.sum("_c").over(group.orderBy(value)) - F.col("_c")
+    ranks = {"rank_inc": F.when(n > 1, cut(below / (n - 1))).otherwise(1.0), "rank_exc": cut((below + 1) / (n + 1))}
+    named = {c: f"_of_{c}" for c in [*keys, value]}
+    ranked = counts.withColumns(ranks).drop("_c").withColumnsRenamed(named)
+    return df.join(ranked, [F.col(c).eqNullSafe(F.col(o)) for c, o in named.items()]).drop(*named.values())
 
 
 def percent_rank_of(df: DataFrame, keys: list[str], value: str, x: float, digits: int = 3) -> DataFrame:

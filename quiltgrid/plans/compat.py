@@ -194,10 +194,11 @@ def p18(spark, d):
     return P.ordered_allowlist(read(spark, d, "part"), "p_brand", ["Brand#3", "Brand#1", "Brand#99"]).groupBy("p_brand", "list_pos").agg(F.count("*").alias("n"))
 
 
-@_q.add("p19_extract_calls", r"""select page_id, list_distinct(regexp_extract_all(regexp_replace(html, '"[^"]*"', '""', 'g'), '([A-Za-z_][A-Za-z0-9_.]*)\(', 1)) is not null as ok, len(list_distinct(list_transform(regexp_extract_all(regexp_replace(html, '"[^"]*"', '""', 'g'), '([A-Za-z_][A-Za-z0-9_.]*)\(', 1), lambda x: upper(x)))) as n_calls from pages""")
+@_q.add("p19_extract_calls", r"""select page_id, list_distinct(regexp_extract_all(regexp_replace(html, '"[^"]*"', '""', 'g'), '([A-Za-z_][A-Za-z0-9_.]*)\(', 1)) is not null as ok, len(list_distinct(list_transform(regexp_extract_all(regexp_replace(html, '"[^"]*"', '""', 'g'), '([A-Za-z_][A-Za-z0-9_.]*)\(', 1), lambda x: upper(x)))) as n_calls,
+  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(regexp_replace(html, '"[^"]*"', '""', 'g'), '([A-Za-z_][A-Za-z0-9_.]*)\(', 1), lambda x: upper(x)))), ' ') as names from pages""")
 def p19(spark, d):
     calls = P.extract_calls(F.col("html"))
-    return read(spark, d, "pages").select("page_id", calls.isNotNull().alias("ok"), F.size(calls).cast("long").alias("n_calls"))
+    return read(spark, d, "pages").select("page_id", calls.isNotNull().alias("ok"), F.size(calls).cast("long").alias("n_calls"), F.array_join(F.array_sort(calls), " ").alias("names"))
 
 
 @_q.add("p20_inverted_index", "with p as (select distinct l_partkey, l_orderkey from lineitem) select l_partkey, l_orderkey, count(*) over (partition by l_partkey) as n_items from p")
@@ -211,11 +212,11 @@ def p21(spark, d):
     return P.related_items(read(spark, d, "lineitem"), "l_orderkey", "l_partkey")
 
 
-@_q.add("p22_items_for_group", """with g as (select distinct l_suppkey, l_partkey from lineitem where l_discount > 0.08), i as (select distinct l_partkey, l_orderkey from lineitem), s as (select l_suppkey, l_orderkey, count(*) as score from g join i using (l_partkey) group by all)
+@_q.add("p22_items_for_group", """with g as (select distinct l_suppkey, l_partkey from lineitem), i as (select distinct l_partkey, l_orderkey from lineitem), s as (select l_suppkey, l_orderkey, count(*) as score from g join i using (l_partkey) group by all)
   select * from (select *, row_number() over (partition by l_suppkey order by score desc, l_orderkey) as place from s) where place <= 6""")
 def p22(spark, d):
     items = read(spark, d, "lineitem")
-    return P.items_for_group(items.where("l_discount > 0.08"), items, "l_suppkey", "l_partkey", "l_orderkey")
+    return P.items_for_group(items, items, "l_suppkey", "l_partkey", "l_orderkey")
 
 
 @_q.add("p23_classify", "select case when p_name ilike '%ring%' then 'jewel' when p_name ilike '%red%' or p_name ilike '%blue%' then 'colour' else 'other' end as class, count(*) as n from part group by 1")
@@ -265,11 +266,14 @@ def p28(spark, d):
     return P.overlap_counts(_both(spark, d), F.col("rich"), F.col("is_member"))
 
 
-@_q.add("p29_version_matrix", """with s as (select o_custkey, year(o_orderdate) as y, max(o_orderstatus) as state from orders group by all), c as (select o_custkey from s group by 1 having count(distinct state) > 1)
-  select o_custkey, max(state) filter (where y = 1996) as "1996", max(state) filter (where y = 1997) as "1997", max(state) filter (where y = 1998) as "1998" from s join c using (o_custkey) group by o_custkey""")
+YEARS = range(1992, 1999)
+
+
+@_q.add("p29_version_matrix", f"""with s as (select o_custkey, year(o_orderdate) as y, max(o_orderstatus) as state from orders group by all), c as (select o_custkey from s group by 1 having count(distinct state) > 1)
+  select o_custkey, {', '.join(f'max(state) filter (where y = {y}) as "{y}"' for y in YEARS)} from s join c using (o_custkey) group by o_custkey""")
 def p29(spark, d):
     states = read(spark, d, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.max("o_orderstatus").alias("state"))
-    return P.version_matrix(states, "o_custkey", "y", [1996, 1997, 1998], "state")
+    return P.version_matrix(states, "o_custkey", "y", list(YEARS), "state")
 
 
 @_q.add("p30_verify_examples", "select l_orderkey % 100 as bucket, count(*) as n, count(*) filter (where l_linenumber <> 7 and l_quantity <> 13) as verified from lineitem group by 1")
