@@ -5,7 +5,7 @@ Votes are counted by pattern, at most 3 ** rules rows; expectation-maximisation
 over the patterns estimates the share of good documents and each rule's accuracy
 on good and on bad ones; a document's posterior probability of being good then
 decides. Patterns stay a table: only the 2 * rules + 1 parameters pass through
-the driver between rounds.
+the driver between rounds, which end when no parameter moves by ``TOLERANCE``.
 
 Defined cases: a null, empty or blank text has no words, so it fails the base
 rule; a repeated doc_id keeps its rows; extra columns are ignored; an empty table
@@ -14,6 +14,7 @@ gives no rows. With no votes at all the prior decides.
 
 from __future__ import annotations
 
+import collections
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,8 @@ from quiltgrid.llm.common import BLANKS, let, materialize, table, words_of
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-ROUNDS = 12
+#: Rounds end when no parameter moves by more, or after ``ROUNDS``.
+TOLERANCE, ROUNDS = 1e-4, 100
 #: Ranges of the estimated accuracies. A rule is trusted to fail one good document in
 #: a hundred at most; it may miss most bad ones, as junk is of many kinds. A bad vote
 #: thus always speaks against a document (0.05 > 1 - 0.99): no rule turns round.
@@ -101,14 +103,22 @@ def vote(value: str, good: float, bad: float) -> Column:
 
 
 def _posterior(share: float, right_good: dict, right_bad: dict) -> Column:
-    odds = F.lit(math.log(share / (1 - share)))
+    """Probability that a row with these votes is good.
+
+    The weights are one array that votes index, so that the code that Spark generates
+    is the same in each round.
+    """
+    weights = []
     for name in right_good:
         g, b = right_good[name], right_bad[name]
-        odds = odds + F.when(F.col(name) == 1, math.log(g / (1 - b))).when(F.col(name) == -1, math.log((1 - g) / b)).otherwise(0.0)
+        weights += [math.log((1 - g) / b), 0.0, math.log(g / (1 - b))]
+    weights = F.array(*(F.lit(w) for w in weights))
+    votes = F.transform(F.array(*right_good), lambda v, i: F.get(weights, 3 * i + v + 1))
+    odds = F.aggregate(votes, F.lit(math.log(share / (1 - share))), lambda total, w: total + w)
     return 1 / (1 + F.exp(-odds))
 
 
-def fit_label_model(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[float, dict, dict]:
+def fit_label_model(patterns: DataFrame, names: list[str], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[float, dict, dict]:
     """Share of good documents and each rule's accuracy on good and bad ones.
 
     ``patterns``: one row per vote pattern, with its count ``n``.
@@ -117,19 +127,22 @@ def fit_label_model(patterns: DataFrame, names: list[str], rounds: int = ROUNDS)
     hold = lambda x, least, most: min(most, max(least, x))
     for _ in range(rounds):
         scored = patterns.withColumn("p", _posterior(share, right_good, right_bad))
-        good, bad = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
-        sums = [F.sum(good).alias("good"), F.sum("n").alias("all")]
-        for i, name in enumerate(names):
-            v = F.col(name)
-            sums += [F.sum(F.when(v == 1, good)).alias(f"gg{i}"), F.sum(F.when(v != 0, good)).alias(f"g{i}"), F.sum(F.when(v == -1, bad)).alias(f"bb{i}"), F.sum(F.when(v != 0, bad)).alias(f"b{i}")]
-        row = scored.agg(*sums).first()
-        if not row["all"]:
+        cast = scored.select("p", "n", F.posexplode(F.array(*names)).alias("rule", "vote")).groupBy("rule", "vote")
+        sums = cast.agg(F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad"))
+        good, bad = collections.Counter(), collections.Counter()
+        for row in sums.collect():  # three rows a rule
+            good[row["rule"], row["vote"]], bad[row["rule"], row["vote"]] = row["good"], row["bad"]
+        total = sum(good[0, v] + bad[0, v] for v in (-1, 0, 1))
+        if not total:
             break
-        share = hold(row["good"] / row["all"], 0.01, 0.99)
+        before = [share, *right_good.values(), *right_bad.values()]
+        share = hold(sum(good[0, v] for v in (-1, 0, 1)) / total, 0.01, 0.99)
         for i, name in enumerate(names):
             # Two imagined votes of the first accuracies keep a rule without votes where it began.
-            right_good[name] = hold(((row[f"gg{i}"] or 0) + 2 * FIRST_GOOD) / ((row[f"g{i}"] or 0) + 2), *ON_GOOD)
-            right_bad[name] = hold(((row[f"bb{i}"] or 0) + 2 * FIRST_BAD) / ((row[f"b{i}"] or 0) + 2), *ON_BAD)
+            right_good[name] = hold((good[i, 1] + 2 * FIRST_GOOD) / (good[i, 1] + good[i, -1] + 2), *ON_GOOD)
+            right_bad[name] = hold((bad[i, -1] + 2 * FIRST_BAD) / (bad[i, 1] + bad[i, -1] + 2), *ON_BAD)
+        if max(abs(x - y) for x, y in zip(before, [share, *right_good.values(), *right_bad.values()], strict=True)) <= tolerance:
+            break
     return share, right_good, right_bad
 
 

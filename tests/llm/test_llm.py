@@ -349,11 +349,53 @@ def test_quality(spark, odd_docs, no_docs):
     labels = {r.doc_id: r.quality for r in real(spark, "labels").collect()}
     good = [r.kept for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]
     assert sum(good) / len(good) > 0.97
+    bad = [r.kept for r in rows if labels.get(r.doc_id) == 0 and not r.base_failed]
+    assert sum(bad) / len(bad) < 0.15
     odd = {r.doc_id: r for r in qual.judge_quality(odd_docs).collect()}
     assert not any(odd[i].kept for i in (3, 4, 5, 6)) and odd[7].n_words == 30000
     assert qual.judge_quality(no_docs).count() == 0
 
 
+def label_model_by_hand(votes):
+    """Posterior of each row of votes, by EM over the rows themselves."""
+    share, g, b = qual.FIRST_SHARE, [qual.FIRST_GOOD] * len(votes[0]), [qual.FIRST_BAD] * len(votes[0])
+
+    def posterior(row):
+        good, bad = share, 1 - share
+        for v, x, y in zip(row, g, b, strict=True):
+            good *= {1: x, -1: 1 - x, 0: 1}[v]
+            bad *= {1: 1 - y, -1: y, 0: 1}[v]
+        return good / (good + bad)
+
+    for _ in range(qual.ROUNDS):
+        p = [posterior(row) for row in votes]
+        old = [share, *g, *b]
+        share = min(0.99, max(0.01, sum(p) / len(p)))
+        for i in range(len(g)):
+            right = sum(x for x, row in zip(p, votes, strict=True) if row[i] == 1) + 2 * qual.FIRST_GOOD
+            g[i] = right / (sum(x for x, row in zip(p, votes, strict=True) if row[i]) + 2)
+            right = sum(1 - x for x, row in zip(p, votes, strict=True) if row[i] == -1) + 2 * qual.FIRST_BAD
+            b[i] = right / (sum(1 - x for x, row in zip(p, votes, strict=True) if row[i]) + 2)
+        g = [min(qual.ON_GOOD[1], max(qual.ON_GOOD[0], x)) for x in g]
+        b = [min(qual.ON_BAD[1], max(qual.ON_BAD[0], x)) for x in b]
+        if max(abs(x - y) for x, y in zip(old, [share, *g, *b], strict=True)) <= qual.TOLERANCE:
+            break
+    return [posterior(row) for row in votes]
+
+
+def test_quality_against_brute_force(spark):
+    rows = qual.judge_quality(real(spark)).collect()
+    votes = [tuple(r[f"vote_{rule[0]}"] for rule in qual.RULES) for r in rows]
+    for r, p in zip(rows, label_model_by_hand(votes), strict=True):
+        assert r.p_good == pytest.approx(p, abs=1e-9)
+        assert r.kept == (not r.base_failed and p >= qual.MIN_POSTERIOR)
+
+
+def test_quality_of_repeated_rows(spark, odd_docs):
+    twice = qual.judge_quality(odd_docs.unionByName(odd_docs)).groupBy("doc_id", "n_words", "kept").count().collect()
+    assert all(r["count"] % 2 == 0 for r in twice) and sum(r["count"] for r in twice) == 2 * odd_docs.count()
+
+
 def test_quality_model_finds_planted_accuracies(spark):
     rng = random.Random(1)
     names = [f"v{i}" for i in range(6)]
