@@ -66,8 +66,8 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
     def of_hashes(hashes: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), covered(hashes)).otherwise(F.lit(0).cast("long"))
 
-    starts = F.sequence(F.lit(1), F.size(words) - (window - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, window)))
+    firsts = F.slice(words, F.lit(1), F.size(words) - (window - 1))
+    hashes = F.transform(firsts, lambda word, i: F.xxhash64(word, *(F.get(words, i + k) for k in range(1, window))))
     return F.when(F.size(words) <= window, F.lit(0).cast("long")).otherwise(let(hashes, of_hashes))
 
 
