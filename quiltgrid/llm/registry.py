@@ -15,6 +15,7 @@ MODULES = {
     "op8_token_output": "op8_token_output",
     "op9_line_dedup": "op9_line_dedup",
     "op10_simhash": "op10_simhash",
+    "op13_periodic_runs": "op13_periodic_runs",
 }
 
 
