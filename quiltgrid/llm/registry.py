@@ -15,6 +15,8 @@ MODULES = {
     "op8_token_output": "op8_token_output",
     "op9_line_dedup": "op9_line_dedup",
     "op10_simhash": "op10_simhash",
+    "op11_exact_dedup": "op11_exact_dedup",
+    "op12_merkle_manifest": "op12_merkle_manifest",
     "op13_periodic_runs": "op13_periodic_runs",
 }
 
