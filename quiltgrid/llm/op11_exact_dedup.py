@@ -34,15 +34,21 @@ LEAST_CHARS, MOST_CHARS = 1024, 8192
 CUT = "ooeoeeoe"
 
 
-def odd_class() -> str:
-    """Inside of a Java character class: about half of each alphabet, in steps that widen with the code points."""
-    steps = ((0x21, 0x100, 1), (0x110, 0x700, 0x10), (0x800, 0xD800, 0x400))
-    return "".join(f"\\x{{{first:x}}}-\\x{{{first + step - 1:x}}}" for start, end, step in steps for first in range(start, end, 2 * step))
+def kind_of(odd: bool) -> str:
+    """Java pattern of about half of each alphabet, or of the rest: steps widen with the code points.
+
+    The first 256 characters are listed one by one, which Java looks up in one table;
+    only others are held against the list of ranges.
+    """
+    near = lambda first: "".join(f"\\x{c:02x}" for c in range(first, 0x100, 2))
+    steps = ((0x110, 0x700, 0x10), (0x800, 0xD800, 0x400))
+    far = "".join(f"\\x{{{c:x}}}-\\x{{{c + step - 1:x}}}" for start, end, step in steps for c in range(start, end, 2 * step))
+    return f"(?:[{near(1)}]|(?![\\x00-\\xff])[{far}])" if odd else f"(?:[{near(0)}]|(?![\\x00-\\xff])[^{far}])"
 
 
 def chunk_pattern(least: int = LEAST_CHARS, most: int = MOST_CHARS, cut: str = CUT) -> str:
     """Matches of it, one after the other, are the chunks of a text, without gaps."""
-    window = "".join(f"[{'' if kind == 'o' else '^'}{odd_class()}]" for kind in cut)
+    window = "".join(kind_of(kind == "o") for kind in cut)
     return f"(?s).{{{least},{most}}}?(?={window}|\\z)|.{{{most}}}|.+"
 
 
