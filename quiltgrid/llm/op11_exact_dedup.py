@@ -85,11 +85,14 @@ def recipes(docs: DataFrame, pattern: str | None = None, hashed: Callable[[Colum
 def exact_groups(docs: DataFrame, pattern: str | None = None, hashed: Callable[[Column], Column] = hash128) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row: the row that stays of its equal texts."""
     rows = recipes(docs, pattern, hashed)
-    last = F.struct("doc_id", "row")
-    groups = rows.groupBy("recipe").agg(F.count("*").alias("group_size"), F.max(last).alias("last"))
-    found = rows.join(groups, "recipe")
-    kept = F.col("row") == F.col("last.row")
-    return found.select("doc_id", F.col("last.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")
+    groups = rows.groupBy("recipe").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", "row")).alias("last"))
+    # Written: both sides of the join are then plain exchanges, of which Spark splits hot ones.
+    groups = materialize(groups.where("n > 1"))
+    found = rows.join(groups.withColumnRenamed("recipe", "of"), F.col("recipe") == F.col("of"), "left")
+    alone = F.col("n").isNull()
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("last.doc_id"))
+    kept = alone | (F.col("row") == F.col("last.row"))
+    return found.select("doc_id", keep_id.alias("keep_id"), F.coalesce("n", F.lit(1)).alias("group_size"), kept.alias("kept"), "text_sha256")
 
 
 def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
