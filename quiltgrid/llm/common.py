@@ -77,6 +77,14 @@ def ordered_totals(df: DataFrame, key: str, order: str, place: str, weight: Colu
     return rows.join(sums.select(key, "_b", "_start"), [key, "_b"]).withColumn("before", F.col("_start") + F.col("_local")).drop("_b", "_w", "_start", "_local")
 
 
+def told_apart(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` and the column that tells its rows apart: doc_id, or a stored row number where ids repeat or are null."""
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 or doc_id is null").isEmpty():
+        return docs, "doc_id"
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id())), "_row"
+
+
 def stored_place() -> Column:
     """A number below 1024 by where a row lies, to be stored with it: it spreads rows that are alike."""
     return F.pmod(F.monotonically_increasing_id(), F.lit(1024))

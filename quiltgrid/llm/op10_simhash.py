@@ -601,7 +601,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Documents link if the similarity of their sets of ``SIMILAR_WORDS``-word
     shingles, computed from both whole texts, is ``similarity`` or more. Texts
-    without words are equal.
+    without words are equal. Ids must be whole numbers; ``common.told_apart`` gives rows some.
     """
     docs = docs.where("doc_id is not null")
     own = materialize(text_sketches(docs, similarity))

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import count_words, hash_digits, materialize, ordered_totals, stored_place, table, words_of
+from quiltgrid.llm.common import count_words, hash_digits, materialize, ordered_totals, stored_place, table, told_apart, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2
@@ -103,12 +103,12 @@ def times_taken(block: Column) -> Column:
     return whole + (place_in_order(block) < F.col("quota") % F.col("blocks")).cast("long")
 
 
-def plan_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, **options) -> DataFrame:
-    """(doc_id, source, size, before) of every document with its source's plan.
+def plan_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, carry: tuple[str, ...] = (), **options) -> DataFrame:
+    """(doc_id, source, size, before) of every document with its source's plan, and its columns ``carry``.
 
     ``before``: words of its source's stream that stand before the document.
     """
-    sizes = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.md5("text").alias("_text"), stored_place().alias("_place")))
+    sizes = materialize(docs.select("doc_id", "source", *carry, count_words(F.col("text")).alias("size"), F.md5("text").alias("_text"), stored_place().alias("_place")))
     stats = sizes.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("rows")).collect()
     plan = docs.sparkSession.createDataFrame([tuple(r.values()) for r in plan_mix([(r["source"], r["words"]) for r in stats], block_words, seed=seed, **options)], PLAN)
     name = lambda c: F.when(c.isNull(), "n").otherwise(F.concat(F.lit("s"), c))  # noqa: E731  a join key without nulls
@@ -141,17 +141,20 @@ def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) ->
     """The mix itself: a row per taken piece of a document, with its text.
 
     (doc_id, source, block, copy, shard, first_word, n_words, text); ``copy``
-    counts the times that a block is taken, from 0. Ids should be unique.
+    counts the times that a block is taken, from 0. Rows that repeat an id, or have none,
+    are documents of their own.
     """
-    planned = plan_documents(docs, block_words, **options)
+    docs = docs.select("doc_id", "source", "text")
+    docs, row = told_apart(docs)
+    planned = plan_documents(docs, block_words, carry=(row,), **options) if row != "doc_id" else plan_documents(docs, block_words, **options)
     pieces = planned.withColumn("block", F.explode(blocks_of(block_words)))
     start, count = words_in(F.col("block"), block_words)
     pieces = pieces.withColumn("copy", F.explode(F.when(times_taken(F.col("block")) > 0, F.sequence(F.lit(0).cast("long"), times_taken(F.col("block")) - 1))))
     place = place_in_order(F.col("block")) + F.col("copy") * F.col("blocks")
     shard = F.size(F.filter(F.col("quotas"), lambda q: q <= place))
-    pieces = pieces.select("doc_id", "source", "block", "copy", shard.alias("shard"), start.alias("first_word"), count.alias("n_words"))
+    pieces = pieces.select(F.col(row).alias("of"), "doc_id", "source", "block", "copy", shard.alias("shard"), start.alias("first_word"), count.alias("n_words"))
     text = F.array_join(F.slice(words_of(F.col("text")), (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int")), " ")
-    return pieces.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "source", "block", "copy", "shard", "first_word", "n_words", text.alias("text"))
+    return pieces.join(docs.select(F.col(row).alias("of"), "text"), "of").select("doc_id", "source", "block", "copy", "shard", "first_word", "n_words", text.alias("text"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ in overlapping runs of at most about ``MOST_SHARED``, however common its grams a
 
 Defined cases: null or empty texts have no leaks; items with fewer than ``Q``
 characters after normalising are no evidence and are ignored; of equal items each
-is reported; repeated documents are reported each; empty tables give no rows; extra
+is reported, those without an id too, null ids as one item; repeated documents are reported each; empty tables give no rows; extra
 columns are ignored.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quiltgrid.llm.common import table
+from quiltgrid.llm.common import materialize, table
 
 Q = 10
 PIECE, STRIDE = 100, 50
@@ -179,16 +179,16 @@ class Index:
             for o, x, e, at in zip(owner.tolist(), p[ok].tolist(), edits[ok].tolist(), np.minimum(end[ok] - starts[owner], sizes[owner]).tolist(), strict=True):
                 key = (o, self.owners[x])
                 found[key] = min(found.get(key, (e, at)), (e, at))
-        return [(*k, *v) for k, v in sorted(found.items())]
+        return [(*k, *v) for k, v in sorted(found.items(), key=lambda f: (f[0][0], f[0][1] is not None, f[0][1] if f[0][1] is not None else 0))]
 
 
-def _indexes(benchmark: DataFrame, block_chars: int):
-    """A broadcast index of each block of the benchmark."""
+def _indexes(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[object, bool]]:
+    """A broadcast index of each block of the benchmark, and whether it is the only one."""
     chars = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // block_chars))
     for block in range(blocks):
-        own = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).select("item_id", "text")
-        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in own.collect()]))
+        own = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text")
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in own.collect()])), blocks == 1
 
 
 def _slices(texts) -> Iterator[tuple[int, list[str]]]:
@@ -221,7 +221,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
 
         return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, map(scan, _indexes(benchmark, block_chars)))
+    found = []
+    for index, alone in _indexes(benchmark, block_chars):
+        found.append(scan(index) if alone else materialize(scan(index)))
+        if not alone:  # one block at a time is in memory
+            index.unpersist()
+    return reduce(DataFrame.unionByName, found)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -237,7 +242,11 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
 
         return docs.mapInArrow(run, docs.schema)
 
-    return reduce(scan, _indexes(benchmark, block_chars), docs)
+    for index, alone in _indexes(benchmark, block_chars):
+        docs = scan(docs, index) if alone else materialize(scan(docs, index))
+        if not alone:
+            index.unpersist()
+    return docs
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import ascii_lower, table
+from quiltgrid.llm.common import ascii_lower, materialize, table
 
 #: (verdict, rule): a rule is a host suffix followed by a path prefix.
 RULES = (
@@ -79,9 +79,11 @@ def _strength(groups: DataFrame) -> DataFrame:
 def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """(host, n, good, alpha, beta) for every host of ``pages`` (page_id, host).
 
-    ``outcomes``: (page_id, good) with good 0 or 1.
+    ``outcomes``: (page_id, good) with good 0 or 1. A page counts once for each host and
+    different outcome that it has, however often its rows are repeated.
     """
-    seen = pages.select("page_id", "host").join(outcomes.where("good is not null").select("page_id", "good"), "page_id", "left")
+    known = pages.where("page_id is not null").select("page_id", "host").distinct().join(outcomes.where("good is not null").select("page_id", "good").distinct(), "page_id")
+    seen = known.select("host", "good").unionByName(pages.select("host", F.lit(None).cast(outcomes.schema["good"].dataType).alias("good")))
     suffix = suffix_of(F.col("host"))
     hosts = (
         seen.groupBy("host")
@@ -89,6 +91,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
         .withColumn("suffix", suffix)
         .withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
     )
+    hosts = materialize(hosts)  # a row per host: the three levels and their strengths read it, not the pages
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     rate = suffixes.agg(F.coalesce(F.try_divide(F.sum("good"), F.sum("n")), F.lit(0.5)).alias("parent"))

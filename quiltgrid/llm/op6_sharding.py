@@ -126,11 +126,12 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = SHARDS) -> None:
     The rows are numbered in the shared folder first, so that rows of one id, or of
     none, stay apart. Tasks take ranges of the order: a shard may have a few files.
     """
-    own = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in PLACES})
-    own = materialize(own.withColumn("_row", F.monotonically_increasing_id()))
+    # The input's columns travel as one, so that none of their names can meet one of ours.
+    whole = F.struct(*(F.col(f"`{c}`").alias(f"_own_{c}" if c in PLACES else c) for c in docs.columns))
+    own = materialize(docs.select("doc_id", "lang", "source", "text", whole.alias("row_of_docs")).withColumn("_row", F.monotonically_increasing_id()))
     facts = materialize(document_facts(own, "_row").withColumn("_place", F.pmod("_row", F.lit(1024))))
     placed = hilbert_shards(facts, ("lang", "source", "size_class"), n_shards, key=("doc_id", "text_crc32", "_row")).select("_row", *PLACES)
-    rows = own.join(placed, "_row").drop("_row")
+    rows = own.select("_row", "row_of_docs").join(placed, "_row").select("row_of_docs.*", *PLACES)
     rows.repartitionByRange(n_shards, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 

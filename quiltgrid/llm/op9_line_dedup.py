@@ -13,7 +13,7 @@ Defined cases: a null text stays null; texts of fewer than three lines have no
 window; windows without any word are not counted; rows that repeat a doc_id, or have
 none, are documents of their own if their texts differ, null ids first; rows equal in
 id and text are one document, and each is returned; an empty table gives no rows; extra
-columns are kept, those named n_lines, n_removed or removed with the prefix ``_own_``.
+columns are kept, whatever their names, those named n_lines or n_removed with the prefix ``_own_``.
 """
 
 from __future__ import annotations
@@ -46,20 +46,25 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return again.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.array_distinct(covered)).alias("removed"))
 
 
+#: Columns that are added; the input's own ones of these names get a prefix.
+ADDED = ("n_lines", "n_removed")
+
+
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the repeated lines cut out of ``text``, and n_lines, n_removed."""
-    own = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("n_lines", "n_removed", "removed", "doc_hash")})
-    found = repeated_lines(own, window).withColumnRenamed("doc_id", "_id")
-    marked = own.withColumn("doc_hash", F.xxhash64("text")).join(found.withColumnRenamed("doc_hash", "_hash"), (F.col("doc_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    # The input's columns travel as one, so that none of their names can meet one of ours.
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text", F.xxhash64("text").alias("doc_hash"))
+    found = repeated_lines(own, window).select(F.col("doc_id").alias("of_id"), F.col("doc_hash").alias("of_hash"), "removed")
+    marked = own.join(found, (F.col("doc_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
     lines = F.split("text", "\n")
     # Runs of lines between one removed line and the next, and after the last.
     since = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("removed", k - 1) + 1)
-    ends = F.concat("removed", F.array(F.col("_n")))
+    ends = F.concat("removed", F.array(F.col("n_lines")))
     cut = let(lines, lambda x: F.array_join(F.flatten(F.transform(ends, lambda end, k: F.slice(x, since(k) + 1, end - since(k)))), "\n"))
-    out = marked.withColumn("_n", F.coalesce(F.size(lines), F.lit(0)))
+    out = marked.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut)
-    out = out.withColumns({"n_lines": F.col("_n"), "n_removed": F.coalesce(F.size("removed"), F.lit(0)), "text": text})
-    return out.select(*own.columns, "n_lines", "n_removed")
+    kept = [text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(f"_own_{c}" if c in ADDED else c) for c in docs.columns]
+    return out.select(*kept, "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
