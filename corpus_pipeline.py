@@ -4,10 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``documents``. Every stage's result is written as Parquet and
 read again as the next one's input.
 
-Defined cases: a document without a letter has no language and goes; rows without a
-doc_id can't be told apart and go with the second stage; of rows that repeat a doc_id
-the one with the least hash stays; columns that ``documents`` has besides are dropped by the first stage; empty tables
-give empty results.
+Defined cases: a document without a letter has no language and goes; rows that repeat a
+doc_id, or have none, are documents of their own in every stage; columns that
+``documents`` has besides are dropped by the first stage; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import materialize, shared_dir, table, words_of
+from quiltgrid.llm.common import shared_dir, table, told_apart, words_of
 from quiltgrid.llm.op1_language_id import UNKNOWN, identify, learn
 from quiltgrid.llm.op2_mixing import BLOCK_WORDS, blocks_of, plan_documents, times_taken, words_in
 from quiltgrid.llm.op3_decontamination import drop_leaks
@@ -33,14 +32,19 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near copies."""
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if not repeated.isEmpty():  # of such rows, the one with the least hash stays: the same one in each run
-        row = F.struct(*COLUMNS)
-        one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct(F.xxhash64(*COLUMNS), row)).alias("r")).select("r.*")
-        docs = materialize(docs.join(repeated, "doc_id", "left_anti").unionByName(one))
-    kept = near_duplicates(docs).where("doc_id = group_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near copies: that with the least doc_id.
+
+    Rows that repeat an id, or have none, are documents of their own; of those in a
+    group ids come before null, then the least hash.
+    """
+    docs, row = told_apart(docs.select(*COLUMNS))
+    if row == "doc_id":
+        kept = near_duplicates(docs).where("doc_id = group_id").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    groups = near_duplicates(docs.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "group_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*COLUMNS).alias("hash"), row)
+    firsts = docs.select(row, order.alias("order")).join(groups, row).groupBy("group_id").agg(F.min("order").alias("o")).select(F.col(f"o.{row}").alias(row))
+    return docs.join(firsts, row, "left_semi").select(*COLUMNS)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,15 +58,16 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A copy of all blocks keeps the text as it is; other texts are the taken words,
     joined by spaces. Documents of which no word is taken go.
     """
-    planned = plan_documents(docs)
+    docs, row = told_apart(docs.select(*COLUMNS))
+    planned = plan_documents(docs) if row == "doc_id" else plan_documents(docs, carry=(row,))
     pieces = F.transform(blocks_of(BLOCK_WORDS), lambda b: F.struct(times_taken(b).alias("times"), *(x.alias(n) for x, n in zip(words_in(b, BLOCK_WORDS), ("start", "n"), strict=True))))
-    planned = planned.select("doc_id", "size", pieces.alias("pieces"))
+    planned = planned.select(row, "size", pieces.alias("pieces"))
     copies = planned.withColumn("copy", F.explode(F.filter(F.array(F.lit(1), F.lit(2)), lambda c: F.exists("pieces", lambda p: p["times"] >= c))))
-    copies = copies.select("doc_id", F.filter("pieces", lambda p: p["times"] >= F.col("copy")).alias("taken"), F.exists("pieces", lambda p: p["times"] < F.col("copy")).alias("cut"))
+    copies = copies.select(row, F.filter("pieces", lambda p: p["times"] >= F.col("copy")).alias("taken"), F.exists("pieces", lambda p: p["times"] < F.col("copy")).alias("cut"))
     words = words_of(F.col("text"))
     part = F.element_at(F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform("taken", lambda p: F.slice(w, (p["start"] + 1).cast("int"), p["n"].cast("int")))), " ")), 1)
     text = F.when(F.col("cut"), part).otherwise(F.col("text"))
-    rows = docs.join(copies, "doc_id").withColumn("text", text)
+    rows = docs.join(copies, row).withColumn("text", text)
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
