@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quiltgrid.functions.numbers import number
+
 #: The comparison operators of criteria text, longest first.
 COMPARISONS = ("<=", ">=", "<>", "<", ">", "=")
 
@@ -39,22 +41,30 @@ def _number(text: str) -> float | None:
 def criterion(value: Column, text: str | float | bool | Column) -> Column:
     """Whether ``value`` meets a criterion; never null, and null values meet only ``""``, ``"="`` and ``"<>x"``.
 
-    Text is compared without case and may hold wildcards; numeric text compares
-    numbers; ``"<>"`` alone asks for any value.
+    Numbers, texts and booleans meet criteria of their own kind only: numeric text asks
+    for numbers, ``TRUE`` and ``FALSE`` for booleans, other text, which is compared
+    without case and may hold wildcards, for texts; ``"<>"`` alone asks for any value.
+    A numeral in a text column is a number.
     """
-    if not isinstance(text, str):
+    if isinstance(text, Column):
         return F.coalesce(value == text, F.lit(False))
+    kind, cell = F.typeof(value), value.cast("string")
+    if isinstance(text, bool):
+        return F.coalesce(kind.isin("boolean", "string") & (F.lower(cell) == str(text).lower()), F.lit(False))
+    if not isinstance(text, str):
+        return F.coalesce(number(value) == float(text), F.lit(False))
     op = next((o for o in COMPARISONS if text.startswith(o)), "=")
     rest = text[len(op):] if text.startswith(op) else text
     if rest == "":
-        blank = value.isNull() | (value.cast("string") == "")
+        blank = value.isNull() | (cell == "")
         return {"=": blank, "<>": ~blank}.get(op, F.lit(False))
-    number = _number(rest)
+    x = _number(rest)
     if op in ("=", "<>"):
-        same = value.try_cast("double") == number if number is not None else matches_wildcard(value, rest)
-        same = F.coalesce(same, F.lit(False))
+        as_text = kind.isin("string", "boolean") & cell.rlike(wildcard_pattern(rest))
+        same = F.coalesce(number(value) == x if x is not None else as_text, F.lit(False))
         return same if op == "=" else ~same
-    left, right = (value.try_cast("double"), F.lit(number)) if number is not None else (F.lower(value.cast("string")), F.lit(rest.lower()))
+    left = number(value) if x is not None else F.when((kind == "string") & number(value).isNull() & (cell != ""), F.lower(cell))
+    right = F.lit(x if x is not None else rest.lower())
     test = {"<": left < right, "<=": left <= right, ">": left > right, ">=": left >= right}[op]
     return F.coalesce(test, F.lit(False))
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 # The error texts of spreadsheet applications, with ERROR.TYPE's numbers.
 ERROR_NUMBERS = {"#NULL!": 1, "#DIV/0!": 2, "#VALUE!": 3, "#REF!": 4, "#NAME?": 5, "#NUM!": 6, "#N/A": 7}
-ERROR_CODES = (*ERROR_NUMBERS, "#SPILL!", "#CALC!", "#GETTING_DATA", "#FIELD!", "#BLOCKED!", "#CONNECT!", "#BUSY!", "#UNKNOWN!")
+ERROR_CODES = (
+    "#NULL!", "#DIV/0!", "#VALUE!", "#REF!", "#NAME?", "#NUM!", "#N/A", "#GETTING_DATA", "#CALC!", "#SPILL!", "#FIELD!", "#UNKNOWN!", "#BLOCKED!", "#CONNECT!", "#BUSY!",
+)
 # End of fixed values.
 
 

@@ -125,9 +125,43 @@ def make_array(rows: int, columns: int, cell) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(rows)), lambda r: F.transform(F.sequence(F.lit(1), F.lit(columns)), lambda c: cell(r, c)))
 
 
-def random_columns(df: DataFrame, seed: int, low: int, high: int) -> DataFrame:
-    """C20: RAND and RANDBETWEEN; the same seed and partitions give the same numbers."""
-    return df.withColumns({"rand": F.rand(seed), "rand_between": (F.floor(F.rand(seed + 1) * (high - low + 1)) + low).cast("long")})
+def random_of(seed: int, *key: Column) -> Column:
+    """A number in [0, 1) that the key and the seed decide: equal in every run, whatever the partitions.
+
+    52 bits of the MD5 of the seed and the key's parts, each with its length.
+    """
+    part = lambda c: F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-"))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), *map(part, key)))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
+
+
+def random_columns(df: DataFrame, key: list[str], seed: int, low: int, high: int) -> DataFrame:
+    """C20: RAND and RANDBETWEEN of each row, decided by its key and the seed; rows of equal key get equal numbers."""
+    rand = lambda s: random_of(s, *map(F.col, key))
+    return df.withColumns({"rand": rand(seed), "rand_between": (F.floor(rand(seed + 1) * (high - low + 1)) + low).cast("long")})
+
+
+def random_array(df: DataFrame, key: list[str], rows: int, columns: int, seed: int, low: float = 0.0, high: float = 1.0, whole: bool = False, name: str = "random") -> DataFrame:
+    """C20: RANDARRAY: an array of ``rows`` rows of ``columns`` numbers from low to high for each row of ``df``, decided by its key, the cell and the seed."""
+    if rows < 1 or columns < 1 or low > high:
+        raise ValueError("RANDARRAY asks for one row and one column at least, and low not above high")
+    x = lambda r, c: random_of(seed, *map(F.col, key), r, c)
+    cell = (lambda r, c: (F.floor(x(r, c) * (high - low + 1)) + low).cast("long")) if whole else (lambda r, c: x(r, c) * (high - low) + low)
+    return df.withColumn(name, make_array(rows, columns, cell))
+
+
+def random_pick(df: DataFrame, keys: list[str], item: list[str], seed: int, n: int = 1) -> DataFrame:
+    """C20: ``n`` rows of each group at random: those of the least numbers, decided by the columns ``item`` and the seed.
+
+    One row is a partial aggregation; several are a top-n, which Spark cuts in each task
+    before the shuffle. Every row has the same chance; rows of equal item share a number.
+    """
+    rows = df.withColumn("_r", random_of(seed, *map(F.col, [*keys, *item])))
+    if n == 1:
+        rest = [c for c in df.columns if c not in keys]
+        return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("_r", *item)).alias("_best")).select(*keys, *(F.col(f"_best.{c}").alias(c) for c in rest))
+    order = Window.partitionBy(*keys).orderBy("_r", *item)
+    return rows.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= n).drop("_r", "_nth")
 
 
 def sum_of(columns: list[Column]) -> Column:

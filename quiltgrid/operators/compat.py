@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiltgrid.functions.values import ERROR_CODES, to_serial
+from quiltgrid.operators.scans import same_keys
+from quiltgrid.operators.tables import distinct_values
+from quiltgrid.session import materialize
 
 # Parts of engine names, in the order in which they are tried, and the keys they give.
 LABELS = (("libreoffice", "libreoffice"), ("excel", "excel"), ("google", "google_sheets"), ("sheets", "google_sheets"))
@@ -76,22 +83,24 @@ def arrays_detail(expected: Column, actual: Column, kind: str = "num", tol: floa
     wrong = F.filter(F.arrays_zip(expected.alias("e"), actual.alias("a")), lambda p: ~cells_equal(p["e"], p["a"], kind, tol))
     first = F.get(wrong, F.lit(0))
     return (
-        F.when(expected.isNull(), None).when(actual.isNull(), "expected a range of values but none was read")
-        .when(F.size(expected) != F.size(actual), F.format_string("length mismatch: expected %d values, got %d", F.size(expected), F.size(actual)))
-        .when(F.size(wrong) > 0, F.format_string("value mismatch: expected %s, got %s", first["e"].cast("string"), first["a"].cast("string")))
+        F.when(expected.isNull(), None).when(actual.isNull(), "no cells were read")
+        .when(F.size(expected) != F.size(actual), F.format_string("%d cells wanted, %d read", F.size(expected), F.size(actual)))
+        .when(F.size(wrong) > 0, F.format_string("a cell should be %s, is %s", first["e"].cast("string"), first["a"].cast("string")))
     )
 
 
 def compare_tables(expected: DataFrame, actual: DataFrame, keys: list[str], values: list[str], tol: float = TOLERANCE) -> DataFrame:
-    """Per key: match (null where nothing is expected) and the first column that differs."""
+    """Per key: match (null where nothing is expected) and the first column that differs; a null key equals a null key."""
     kinds = {c: kind_of_type(expected.schema[c].dataType.simpleString()) for c in values}
-    a = actual.select(*keys, F.struct(*values).alias("_a"))
-    both = expected.select(*keys, F.struct(*values).alias("_e")).join(a, keys, "full")
+    a = actual.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.struct(*values).alias("_a"))
+    both = expected.select(*keys, F.struct(*values).alias("_e")).join(a, reduce(and_, same_keys(keys, "_k_")), "full")
     first = F.lit(None).cast("string")
     for c in reversed(values):
         first = F.when(~cells_equal(F.col(f"_e.{c}"), F.col(f"_a.{c}"), kinds[c], tol), c).otherwise(first)
-    first = F.when(F.col("_e").isNotNull() & F.col("_a").isNull(), "missing").otherwise(first)
-    return both.select(*keys, F.when(F.col("_e").isNotNull(), first.isNull()).alias("matched"), F.when(F.col("_e").isNotNull(), first).alias("detail"))
+    asked = F.col("_e").isNotNull()
+    first = F.when(asked & F.col("_a").isNull(), "missing").otherwise(first)
+    own = [F.when(asked, F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys]
+    return both.select(*own, F.when(asked, first.isNull()).alias("matched"), F.when(asked, first).alias("detail"))
 
 
 def trust_gate(df: DataFrame, run: list[str], deterministic_ok: Column, volatile_differs: Column) -> DataFrame:
@@ -106,7 +115,7 @@ def case_report(cases: DataFrame, results: DataFrame, key: str) -> DataFrame:
     joined = cases.join(results, key)
     kind = kind_of_type(cases.schema["expected"].dataType.simpleString())
     matched = F.when(F.col("expected").isNotNull(), cells_equal(F.col("expected"), F.col("value"), kind))
-    detail = F.format_string("MISMATCH vs expected: expected %s, got %s", F.col("expected").cast("string"), F.coalesce(F.col("value").cast("string"), F.lit("null")))
+    detail = F.format_string("should be %s, is %s", F.col("expected").cast("string"), F.coalesce(F.col("value").cast("string"), F.lit("null")))
     notes = F.concat_ws("; ", F.when(~F.col("canary_ok"), "UNTRUSTED_RECALC"), F.col("expected_note"), F.when(~matched, detail))
     return joined.withColumns({"matched": matched, "notes": notes})
 
@@ -179,23 +188,56 @@ def inverted_index(df: DataFrame, token: str, item: str) -> DataFrame:
     return pairs.join(pairs.groupBy(token).agg(F.count("*").alias("n_items")), token)
 
 
-def related_items(df: DataFrame, token: str, item: str, k: int = 5) -> DataFrame:
-    """For each item, the k others that share most tokens (ties by name).
+#: Items that a token may have for its pairs to be listed.
+HOT = 1000
 
-    Meant for tokens with bounded lists of items; the work is the sum of their squares.
-    """
-    pairs = df.select(token, item).distinct()
-    other = pairs.withColumnRenamed(item, "other")
-    scores = pairs.join(other, token).where(F.col(item) != F.col("other")).groupBy(item, "other").agg(F.count("*").alias("score"))
-    order = Window.partitionBy(item).orderBy(F.col("score").desc(), "other")
-    return scores.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
+def _top_shared(left: DataFrame, right: DataFrame, k: int, hot: int, apart: bool) -> DataFrame:
+    """(_key, _item, _score, _place): for each key of ``left`` (_key, _t) the k items of ``right`` (_item, _t) that share most tokens.
 
-def items_for_group(groups: DataFrame, items: DataFrame, group: str, token: str, item: str, k: int = 6) -> DataFrame:
-    """For each group, the k items that share most of its tokens."""
-    scores = groups.select(group, token).distinct().join(items.select(token, item).distinct(), token).groupBy(group, item).agg(F.count("*").alias("score"))
-    order = Window.partitionBy(group).orderBy(F.col("score").desc(), item)
-    return scores.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    Pairs are listed by tokens of up to ``hot`` items. Tokens of more items are counted
+    between sets: items with the same set of them are alike but for their names, so that
+    of each set the first k + 1 names are kept, and sets that share such a token are
+    paired. Exact: what an item shares through frequent tokens alone can only be among the
+    first k of that order. ``apart`` leaves out an item's pair with itself.
+    """
+    counts = right.groupBy("_t").agg(F.count("*").alias("_n"))
+    often = materialize(counts.where(F.col("_n") > hot).select("_t"))
+    if often.isEmpty():
+        scored = left.join(right, "_t").groupBy("_key", "_item").agg(F.count("*").alias("_score"))
+    else:
+        sets = lambda df, c: materialize(df.join(often, "_t", "left_semi").groupBy(c).agg(F.array_sort(F.collect_set("_t")).alias(f"_set{c}")))
+        own, others = sets(left, "_key"), sets(right, "_item")
+        shared = F.when(F.col("_set_key").isNotNull() & F.col("_set_item").isNotNull(), F.size(F.array_intersect("_set_key", "_set_item"))).otherwise(0)
+        rare = left.join(right.join(often, "_t", "left_anti"), "_t").groupBy("_key", "_item").agg(F.count("*").alias("_c"))
+        rare = rare.join(own, "_key", "left").join(others, "_item", "left").select("_key", "_item", (F.col("_c") + shared).alias("_score"))
+        first = Window.partitionBy("_set_item").orderBy("_item")
+        names = others.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= k + 1)
+        each = lambda df, c: df.select(c).distinct().withColumn("_t", F.explode(c))
+        met = each(own, "_set_key").join(each(names, "_set_item"), "_t").groupBy("_set_key", "_set_item").agg(F.count("*").alias("_score"))
+        best = Window.partitionBy("_set_key").orderBy(F.col("_score").desc(), "_item")
+        ranked = met.join(names, "_set_item").withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= k + 1)
+        by_set = own.join(ranked, "_set_key").select("_key", "_item", "_score")
+        scored = rare.unionByName(by_set).groupBy("_key", "_item").agg(F.max("_score").alias("_score"))
+    if apart:
+        scored = scored.where(F.col("_key") != F.col("_item"))
+    order = Window.partitionBy("_key").orderBy(F.col("_score").desc(), "_item")
+    return scored.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+
+
+def related_items(df: DataFrame, token: str, item: str, k: int = 5, hot: int = HOT) -> DataFrame:
+    """For each item, the k others that share most tokens (ties by name); a token that all items share isn't squared."""
+    pairs = df.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null").distinct()
+    best = _top_shared(pairs.withColumnRenamed("_item", "_key"), pairs, k, hot, apart=True)
+    return best.select(F.col("_key").alias(item), F.col("_item").alias("other"), F.col("_score").alias("score"), F.col("_place").alias("place"))
+
+
+def items_for_group(groups: DataFrame, items: DataFrame, group: str, token: str, item: str, k: int = 6, hot: int = HOT) -> DataFrame:
+    """For each group, the k items that share most of its tokens (ties by name)."""
+    left = groups.select(F.col(group).alias("_key"), F.col(token).alias("_t")).where("_key is not null and _t is not null").distinct()
+    right = items.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null").distinct()
+    best = _top_shared(left, right, k, hot, apart=False)
+    return best.select(F.col("_key").alias(group), F.col("_item").alias(item), F.col("_score").alias("score"), F.col("_place").alias("place"))
 
 
 def classify_first_match(text: Column, rules: list[tuple[str, list[str]]], default: str) -> Column:
@@ -233,8 +275,9 @@ def overlap_counts(df: DataFrame, a: Column, b: Column) -> DataFrame:
     return df.agg(F.count_if(a & ~b).alias("only_a"), F.count_if(b & ~a).alias("only_b"), F.count_if(a & b).alias("both"))
 
 
-def version_matrix(df: DataFrame, key: str, version: str, versions: list, state: str) -> DataFrame:
-    """States per version as columns, for keys whose state changes."""
+def version_matrix(df: DataFrame, key: str, version: str, versions: list | None, state: str) -> DataFrame:
+    """States per version as columns, for keys whose state changes; versions that aren't given are found."""
+    versions = distinct_values(df, version) if versions is None else versions
     changed = df.groupBy(key).agg(F.countDistinct(state).alias("_n")).where("_n > 1").select(key)
     return df.join(changed, key, "left_semi").groupBy(key).pivot(version, versions).agg(F.first(state))
 
@@ -251,11 +294,11 @@ def outcome_summary(df: DataFrame, error: Column) -> DataFrame:
 
 
 def rewrite_tokens(text: Column, prefixes: dict[str, str]) -> Column:
-    """A prefix at calls of whole names, without case, the longest names first."""
-    out = text
+    """Calls of whole names, found without case and followed by a bracket at once, get a prefix and the listed spelling; the longest names first."""
+    out, literal = text, lambda t: t.replace("\\", r"\\").replace("$", r"\$")
     for name, prefix in sorted(prefixes.items(), key=lambda p: (-len(p[0]), p[0])):
-        pattern = r"(?i)(?<![A-Za-z0-9_.])(" + name.replace(".", r"\.") + r")(?=\s*\()"
-        out = F.regexp_replace(out, pattern, prefix.replace("$", r"\$") + "$1")
+        pattern = r"(?i)(?<![A-Za-z0-9_.])" + re.escape(name) + r"(?=\()"
+        out = F.regexp_replace(out, pattern, literal(prefix + name))
     return out
 
 

@@ -6,11 +6,13 @@ others are shuffled, with skewed partitions split at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quiltgrid.functions.criteria import criterion
 from quiltgrid.operators.aggregates import number
-from quiltgrid.functions.criteria import criterion, matches_wildcard
+from quiltgrid.operators.scans import running_columns, same_keys
+from quiltgrid.session import materialize
 
 
 def first_match(table: DataFrame, keys: list[str], pos: str, columns: list[str]) -> DataFrame:
@@ -40,19 +42,20 @@ def header_lookup(table: DataFrame, row: str, columns: list[str], wanted: str) -
     return cells.where(F.lower("header") == wanted.lower()).select(row, "value")
 
 
-def lookup_approx(df: DataFrame, table: DataFrame, by: list[str], key: str, table_key: str, values: list[str], next_larger: bool = False) -> DataFrame:
+def lookup_approx(df: DataFrame, table: DataFrame, by: list[str], key: str, table_key: str, values: list[str], next_larger: bool = False, spread: bool | None = None) -> DataFrame:
     """Within equal ``by`` columns, the row of the table with the greatest key at or below (least at or above) the sought one.
 
-    As-of join: both sides are put in one order and the last table row is carried
-    over. With few ``by`` groups, add a coarse part of the key (see ``lookup_bins``).
+    As-of join: both sides are put in one order and the last table row is carried over,
+    from range to range where a group is larger than a task may scan. ``by`` may be
+    empty; a null key neither finds nor is found.
     """
     cols = [c for c in df.columns if c not in by]
     left = df.select(*by, F.col(key).alias("_at"), F.lit(1).alias("_side"), F.struct(*cols).alias("_row"), F.lit(None).cast(_struct(table, [table_key, *values])).alias("_t"))
-    right = table.select(*by, F.col(table_key).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(_struct(df, cols)).alias("_row"), F.struct(table_key, *values).alias("_t"))
+    right = table.where(F.col(table_key).isNotNull()).select(*by, F.col(table_key).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(_struct(df, cols)).alias("_row"), F.struct(table_key, *values).alias("_t"))
     at = F.col("_at").desc() if next_larger else F.col("_at").asc()
-    order = Window.partitionBy(*by).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = left.unionByName(right).withColumn("_hit", F.last("_t", ignorenulls=True).over(order)).where("_side = 1")
-    return both.select(*by, *(F.col(f"_row.{c}").alias(c) for c in cols), *(F.col(f"_hit.{c}").alias(c) for c in (table_key, *values)))
+    both = running_columns(left.unionByName(right), by, [at, "_side"], {"_hit": (F.col("_t"), "last")}, spread).where("_side = 1")
+    hit = lambda c: F.when(F.col("_at").isNotNull(), F.col(f"_hit.{c}"))
+    return both.select(*by, *(F.col(f"_row.{c}").alias(c) for c in cols), *(hit(c).alias(c) for c in (table_key, *values)))
 
 
 def _struct(df: DataFrame, columns: list[str]) -> str:
@@ -67,18 +70,88 @@ def lookup_bins(df: DataFrame, steps: list[tuple[float, object]], key: str, name
     return df.withColumn(name, out)
 
 
+#: Characters of the literal parts by which patterns find texts, and what stands before and after a text.
+GRAM, START, END, GAP = 3, "\x02", "\x03", "\x01"
+
+
+def _tokens(pattern: Column) -> Column:
+    """A pattern's characters and wildcards, in lower case; ``~`` and what it takes literally are one."""
+    return F.regexp_extract_all(F.lower(pattern), F.lit(r"(?s)~[*?~]|."), F.lit(0))
+
+
+def _is_wild(token: Column) -> Column:
+    return (token == "*") | (token == "?")
+
+
+def pattern_regex(pattern: Column) -> Column:
+    """Java pattern of a column of wildcard texts, for texts in lower case."""
+    quoted = lambda t: F.concat(F.lit(r"\Q"), F.right(t, F.lit(1)), F.lit(r"\E"))
+    parts = F.transform(_tokens(pattern), lambda t: F.when(t == "*", ".*").when(t == "?", ".").otherwise(quoted(t)))
+    return F.concat(F.lit("(?s)^"), F.array_join(parts, ""), F.lit("$"))
+
+
+def _grams(text: Column, size: int) -> Column:
+    """The different runs of ``size`` characters of a text."""
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    return F.array_distinct(F.transform(F.slice(chars, F.lit(1), F.greatest(F.size(chars) - (size - 1), F.lit(0))), lambda c, i: F.array_join(F.slice(chars, i + 1, F.lit(size)), "")))
+
+
+def _pattern_grams(patterns: DataFrame) -> DataFrame:
+    """(_pattern, _size, _gram): of each pattern's literal parts, the runs of the greatest size up to ``GRAM`` that it has."""
+    literal = F.array_join(F.transform(_tokens(F.col("_pattern")), lambda t: F.when(_is_wild(t), GAP).otherwise(F.right(t, F.lit(1)))), "")
+    parts = F.filter(F.split(F.concat(F.lit(START), literal, F.lit(END)), GAP), lambda p: ~p.isin("", START, END))
+    out = patterns.withColumn("_parts", parts).withColumn("_size", F.least(F.array_max(F.transform("_parts", lambda p: F.length(p))), F.lit(GRAM)))
+    of_size = lambda size: F.array_distinct(F.flatten(F.transform("_parts", lambda p: _grams(p, size))))
+    each = F.lit(None).cast("array<string>")
+    for size in range(1, GRAM + 1):
+        each = F.when(F.col("_size") == size, of_size(size)).otherwise(each)
+    return out.select("_pattern", "_size", F.explode(F.filter(each, lambda g: ~g.isin(START, END))).alias("_gram"))
+
+
+def lookup_patterns(patterns: DataFrame, table: DataFrame, pattern: str, text: str, pos: str, value: str) -> DataFrame:
+    """For each different wildcard text of a table of patterns, the value of the first row by ``pos`` that matches, without case.
+
+    Texts are indexed by their runs of up to three characters, their start and end being
+    characters too. A pattern looks up that of its literal runs which fewest texts have,
+    and only those texts are held against it; one that no text has ends the search.
+    Patterns of wildcards alone are answered by the texts' lengths. ``pos`` tells rows apart.
+    """
+    asked = patterns.select(F.col(pattern).alias("_pattern")).where("_pattern is not null").distinct()
+    rows = table.where(F.col(text).isNotNull()).select(F.col(pos).alias("_pos"), F.lower(text).alias("_text"), F.col(value).alias("_value"))
+    grams = materialize(_pattern_grams(asked))
+    sizes = [r["_size"] for r in grams.select("_size").distinct().collect()]  # three at most
+    framed = F.concat(F.lit(START), F.col("_text"), F.lit(END))
+    listed = rows.select("_pos", F.explode(F.array_distinct(F.concat(*(_grams(framed, size) for size in sizes)))).alias("_gram")) if sizes else rows.select("_pos", F.lit("").alias("_gram")).limit(0)
+    listed = materialize(listed.join(grams.select("_gram").distinct(), "_gram", "left_semi"))
+    counts = listed.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = grams.join(counts, "_gram", "left").groupBy("_pattern").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("g"))).alias("_r"))
+    rarest = rarest.where("_r.n > 0").select("_pattern", F.col("_r.g").alias("_gram"), pattern_regex(F.col("_pattern")).alias("_regex"))
+    met = listed.join(rarest, "_gram").select("_pattern", "_regex", "_pos").join(rows, "_pos").where(F.expr("_text rlike _regex"))
+    first = F.min_by("_value", "_pos").alias("_value")
+    found = met.groupBy("_pattern").agg(first)
+    # What wildcards alone ask for: a length, or at least a length.
+    wild = asked.where(F.forall(_tokens(F.col("_pattern")), _is_wild)).select("_pattern", F.size(F.filter(_tokens(F.col("_pattern")), lambda t: t == "?")).alias("_least"), F.contains("_pattern", F.lit("*")).alias("_more"))
+    lengths = rows.groupBy(F.length("_text").alias("_length")).agg(F.min(F.struct("_pos", "_value")).alias("_best"))
+    exact = wild.where("not _more").join(lengths, F.col("_least") == F.col("_length")).select("_pattern", F.col("_best._value").alias("_value"))
+    longer = running_columns(lengths, [], [F.col("_length").desc()], {"_any": (F.col("_best"), "min")}, spread=False)  # a row per length
+    more = lookup_approx(wild.where("_more"), longer.select("_length", "_any"), [], "_least", "_length", ["_any"], next_larger=True, spread=False)
+    found = found.unionByName(exact).unionByName(more.where("_any is not null").select("_pattern", F.col("_any._value").alias("_value")))
+    joined = asked.join(found.withColumnRenamed("_pattern", "_p"), F.col("_pattern") == F.col("_p"), "left")
+    return joined.select(F.col("_pattern").alias(pattern), F.col("_value").alias(value))
+
+
 def lookup_wildcard(patterns: list[str], table: DataFrame, text: str, pos: str, value: str) -> DataFrame:
-    """For each wildcard pattern, the value of the first row that matches; one pass, a column of candidates per pattern."""
-    best = [F.min_by(value, F.when(matches_wildcard(F.col(text), p), F.col(pos))).alias(f"p{i}") for i, p in enumerate(patterns)]
-    hit = [F.bool_or(matches_wildcard(F.col(text), p)).alias(f"h{i}") for i, p in enumerate(patterns)]
-    one = table.agg(*best, *hit)
-    rows = F.array(*(F.struct(F.lit(p).alias("pattern"), F.when(F.col(f"h{i}"), F.col(f"p{i}")).alias(value)) for i, p in enumerate(patterns)))
-    return one.select(F.inline(rows))
+    """The same for a few patterns given as a list; they may repeat."""
+    spark = table.sparkSession
+    asked = spark.createDataFrame(list(enumerate(patterns)), "_nr int, pattern string")
+    found = lookup_patterns(asked, table, "pattern", text, pos, value).withColumnRenamed("pattern", "_asked")
+    return asked.join(found, F.col("pattern") == F.col("_asked")).select("pattern", value)
 
 
 def lookup_composite(df: DataFrame, table: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
-    """A key of several columns, each compared for itself."""
-    return df.join(first_match(table, keys, pos, [value]), keys, "left")
+    """A key of several columns, each compared for itself; a null part equals a null part."""
+    found = first_match(table, keys, pos, [value]).select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col(value).alias("_value"))
+    return df.join(found, same_keys(keys, "_k_"), "left").select(*(c for c in df.columns if c != value), F.col("_value").alias(value))
 
 
 def lookup_two_way(df: DataFrame, cross: DataFrame, row: str, header: str, columns: list[str]) -> DataFrame:

@@ -51,11 +51,14 @@ def wrap_columns(df: DataFrame, value: str, place: Column, height: int, width: i
 
 
 def unique_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    """T1 by column: the first of each set of columns that are equal in all rows, by digests of each column."""
-    sums = df.agg(*(F.sum(F.xxhash64(F.xxhash64(*[c for c in df.columns if c not in columns] or [F.lit(0)]), F.col(c).cast("string")).cast("decimal(38,0)")).alias(c) for c in columns)).first()
+    """T1 by column: the first of each set of columns that are equal in all rows, by digests of each cell and its row's place in one pass."""
+    place = F.monotonically_increasing_id()
+    cells = df.select(place.alias("_place"), *(F.col(c).cast("string").alias(c) for c in columns))
+    digests = [F.sum(F.xxhash64("_place", F.col(c).isNull(), F.col(c), F.lit(part)).cast("decimal(38,0)")) for part in (0, 1) for c in columns]
+    sums = cells.agg(*(d.alias(f"d{i}") for i, d in enumerate(digests))).first()
     seen: dict = {}
-    for c in columns:
-        seen.setdefault(sums[c], c)
+    for i, c in enumerate(columns):
+        seen.setdefault((sums[i], sums[i + len(columns)]), c)
     return list(seen.values())
 
 
@@ -96,9 +99,8 @@ def drop_columns(df: DataFrame, n: int) -> DataFrame:
 
 
 def drop_rows(df: DataFrame, order: list, n: int) -> DataFrame:
-    """T5: all but the first ``n`` rows: those that come after the n-th, which alone is sought."""
-    edge = df.orderBy(*order).limit(n).select(F.struct(*order).alias("_k")).agg(F.max("_k").alias("_edge"))
-    return df.join(F.broadcast(edge)).where(F.col("_edge").isNull() | (F.struct(*order) > F.col("_edge"))).drop("_edge")
+    """T5: all but the first ``n`` rows in this order; of rows equal in it some are dropped, never too many."""
+    return numbered(df, order, "_row_no").where(F.col("_row_no") > n).drop("_row_no")
 
 
 def choose_rows(df: DataFrame, place: str, wanted: list[int]) -> DataFrame:
@@ -144,8 +146,21 @@ def group_totals(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFram
     return df.rollup(*keys).agg(*aggs, level.alias("level"))
 
 
-def pivot_totals(df: DataFrame, row: str, column: str, values: list, total: Column) -> DataFrame:
-    """A cross table of sums with totals of rows and columns (row ``null`` with is_total true)."""
+#: Columns that values may become.
+MOST_COLUMNS = 1000
+
+
+def distinct_values(df: DataFrame, column: str, most: int = MOST_COLUMNS) -> list:
+    """A column's different values, ascending, null left out; an error if there are more than may become columns."""
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} different values, which can't all become columns")
+    return sorted(found)
+
+
+def pivot_totals(df: DataFrame, row: str, column: str, values: list | None, total: Column) -> DataFrame:
+    """A cross table of sums with totals of rows and columns (row ``null`` with is_total true); column values that aren't given are found."""
+    values = distinct_values(df, column) if values is None else values
     cells = [F.sum(F.when(F.col(column) == v, total)).alias(f"{v}") for v in values]
     return df.rollup(row).agg(*cells, F.sum(total).alias("total"), (F.grouping(row) == 1).alias("is_total"))
 
@@ -160,7 +175,8 @@ def filter_rows(df: DataFrame, mask: Column, if_empty: dict | None = None) -> Da
     return kept.unionByName(default.join(some, how="left_anti"))
 
 
-def transpose(df: DataFrame, place: str, columns: list[str], places: list) -> DataFrame:
-    """A row per column, a column per place."""
+def transpose(df: DataFrame, place: str, columns: list[str], places: list | None = None) -> DataFrame:
+    """A row per column, a column per place; places that aren't given are found."""
+    places = distinct_values(df, place) if places is None else places
     cells = df.select(place, *(F.col(c).cast("string").alias(c) for c in columns)).unpivot([place], columns, "name", "value")
     return cells.groupBy("name").pivot(place, places).agg(F.first("value"))

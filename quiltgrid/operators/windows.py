@@ -1,7 +1,8 @@
 """Window operators (W1 to W10) over a group's rows in a stated order.
 
-Windows without a group would bring all rows to one task; ``keys`` is asked for, and
-a whole table is ranked by operators that aggregate values first.
+Ranks, running figures, lags and fills of groups larger than a task may scan go by ranges
+(``scans``); ``spread`` forces either way. What isn't a number is skipped, as cells with
+text are. ``keys`` may be empty for one group of all rows.
 """
 
 from __future__ import annotations
@@ -9,68 +10,83 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quiltgrid.operators.aggregates import number
+from quiltgrid.operators.scans import is_wide, running_columns, same_keys, with_totals
 
-def rank_rows(df: DataFrame, keys: list[str], value: str, pos: str, ascending: bool = False) -> DataFrame:
-    """Rank with ties equal, with ties averaged, and unique by ``pos``."""
+
+def rank_rows(df: DataFrame, keys: list[str], value: str, pos: str, ascending: bool = False, spread: bool | None = None) -> DataFrame:
+    """Rank with ties equal, with ties averaged, and unique by ``pos``.
+
+    A wide group's rows are numbered by ranges; equal values take the least of their numbers.
+    """
     by = F.col(value).asc() if ascending else F.col(value).desc()
+    if is_wide(df, keys, spread):
+        placed = running_columns(df, keys, [by, pos], {"rank_unique": (F.lit(1), "count")}, True)
+        tied = with_totals(placed, [*keys, value], {"_least": F.min("rank_unique"), "_twins": F.count("*")})
+        return tied.withColumns({"rank_eq": F.col("_least"), "rank_avg": F.col("_least") + (F.col("_twins") - 1) / 2}).select(*df.columns, "rank_eq", "rank_avg", "rank_unique")
     order = Window.partitionBy(*keys).orderBy(by)
     equal = F.rank().over(order)
     twins = F.count("*").over(Window.partitionBy(*keys, value))
     return df.withColumns({"rank_eq": equal, "rank_avg": equal + (twins - 1) / 2, "rank_unique": F.row_number().over(Window.partitionBy(*keys).orderBy(by, F.col(pos)))})
 
 
-def percent_rank_at(df: DataFrame, keys: list[str], value: str, digits: int = 3) -> DataFrame:
-    """Share of the group below a row's value, digits cut off; and the variant over n + 1.
+def percent_rank_at(df: DataFrame, keys: list[str], value: str, digits: int = 3, spread: bool | None = None) -> DataFrame:
+    """Share of the group's numbers below a row's, digits cut off; and the variant over n + 1; null where there is no number.
 
-    Ranks are those of a group's distinct values with their counts, joined back: no
-    task sorts a group's rows. Nulls rank first, as in a sort.
+    Ranks are those of a group's distinct numbers with their counts, joined back: no
+    task sorts a group's rows.
     """
     cut = lambda x: F.floor(x * 10**digits + 1e-9) / 10**digits
-    group = Window.partitionBy(*keys)
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    n, below = F.sum("_c").over(group), F.sum("_c").over(group.orderBy(value)) - F.col("_c")
+    own = df.withColumn("_x", number(value))
+    counts = own.where("_x is not null").groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
+    ranked = running_columns(counts, keys, ["_x"], {"_upto": (F.col("_c"), "sum")}, is_wide(df, keys, spread))
+    ranked = with_totals(ranked, keys, {"_n": F.sum("_c")})
+    n, below = F.col("_n"), F.col("_upto") - F.col("_c")
     ranks = {"rank_inc": F.when(n > 1, cut(below / (n - 1))).otherwise(1.0), "rank_exc": cut((below + 1) / (n + 1))}
-    named = {c: f"_of_{c}" for c in [*keys, value]}
-    ranked = counts.withColumns(ranks).drop("_c").withColumnsRenamed(named)
-    return df.join(ranked, [F.col(c).eqNullSafe(F.col(o)) for c, o in named.items()]).drop(*named.values())
+    ranked = ranked.withColumns(ranks).select(*(F.col(c).alias(f"_of_{c}") for c in [*keys, "_x"]), *ranks)
+    return own.join(ranked, same_keys([*keys, "_x"], "_of_"), "left").select(*df.columns, *ranks)
 
 
 def percent_rank_of(df: DataFrame, keys: list[str], value: str, x: float, digits: int = 3) -> DataFrame:
-    """Place of any number in a group, interpolated between its neighbours; null outside."""
-    v, d = F.col(value), F.lit(x)
+    """Place of any number among a group's, interpolated between its neighbours; null outside; 1 for the only number."""
+    v, d = number(value), F.lit(float(x))
     low, high = F.max(F.when(v <= d, v)), F.min(F.when(v >= d, v))
     below_low, below_high = F.count_if(v < d), F.count_if(v <= d)
     grouped = df.groupBy(*keys).agg(low.alias("_l"), high.alias("_h"), below_low.alias("_b"), below_high.alias("_c"), F.count(v).alias("_n"))
     place = F.when(F.col("_l") == F.col("_h"), F.col("_b")).otherwise(F.col("_c") - 1 + (d - F.col("_l")) / (F.col("_h") - F.col("_l")))
-    return grouped.select(*keys, (F.floor(place / (F.col("_n") - 1) * 10**digits + 1e-9) / 10**digits).alias("percent_rank"))
+    share = F.when((F.col("_n") == 1) & (F.col("_l") == F.col("_h")), F.lit(1.0)).otherwise(F.try_divide(place, F.col("_n") - 1))
+    return grouped.select(*keys, (F.floor(share * 10**digits + 1e-9) / 10**digits).alias("percent_rank"))
 
 
-def running(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
+def running(df: DataFrame, keys: list[str], value: str, pos: str, spread: bool | None = None) -> DataFrame:
     """Running sum, count of the same value, maximum and share of the total, null of a total of 0."""
-    order = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = Window.partitionBy(*keys, value).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum(value).over(Window.partitionBy(*keys))
-    summed = F.sum(value).over(order)
-    return df.withColumns({"running_sum": summed, "running_count": F.count("*").over(same), "running_max": F.max(value).over(order), "running_share": F.try_divide(summed, total)})
+    wide, x = is_wide(df, keys, spread), number(value)
+    out = running_columns(df, keys, [pos], {"running_sum": (x, "sum"), "running_max": (x, "max")}, wide)
+    out = running_columns(out, [*keys, value], [pos], {"running_count": (F.lit(1), "count")}, wide)
+    out = _with_sum(out, keys, x, wide).withColumn("running_share", F.try_divide("running_sum", "_total"))
+    return out.select(*df.columns, "running_sum", "running_count", "running_max", "running_share")
 
 
-def scan(df: DataFrame, keys: list[str], pos: str, fold: Column) -> DataFrame:
-    """Any running fold, given as an aggregate: of all rows of the group up to each row."""
-    order = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("scan", fold.over(order))
+def _with_sum(df: DataFrame, keys: list[str], x: Column, wide: bool) -> DataFrame:
+    """``df`` with its group's sum as ``_total``."""
+    return with_totals(df, keys, {"_total": F.sum(x)}) if wide else df.withColumn("_total", F.sum(x).over(Window.partitionBy(*keys)))
 
 
-def row_change(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
-    """Difference and relative change from the previous row; null on the first or after 0."""
-    before = F.lag(value).over(Window.partitionBy(*keys).orderBy(pos))
-    return df.withColumns({"difference": F.col(value) - before, "change": F.try_divide(F.col(value) - before, before)})
+def scan(df: DataFrame, keys: list[str], pos: str, value: Column, how: str, spread: bool | None = None) -> DataFrame:
+    """A running fold of all rows of the group up to each row: sum, product, count, min, max or last."""
+    return running_columns(df, keys, [pos], {"scan": (value, how)}, spread)
 
 
-def fill_down(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
+def row_change(df: DataFrame, keys: list[str], value: str, pos: str, spread: bool | None = None) -> DataFrame:
+    """Difference and relative change from the previous row; null on the first, after 0, or where either is no number."""
+    rows, x = running_columns(df, keys, [pos], {"_before": (number(value), "lag")}, spread), number(value)
+    change = {"difference": x - F.col("_before"), "change": F.try_divide(x - F.col("_before"), F.col("_before"))}
+    return rows.withColumns(change).drop("_before")
+
+
+def fill_down(df: DataFrame, keys: list[str], value: str, pos: str, spread: bool | None = None) -> DataFrame:
     """The last value that is not blank (null or "")."""
-    order = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    some = F.when(F.col(value).cast("string") != "", F.col(value))
-    return df.withColumn("filled", F.last(some, ignorenulls=True).over(order))
+    return running_columns(df, keys, [pos], {"filled": (F.when(F.col(value).cast("string") != "", F.col(value)), "last")}, spread)
 
 
 def normalize(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -86,20 +102,20 @@ def normalize(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return rows.select(*df.columns, "z_score", "scaled")
 
 
-def share_of_total(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
+def share_of_total(df: DataFrame, keys: list[str], value: str, pos: str, spread: bool | None = None) -> DataFrame:
     """Share of the group's sum, and the cumulative share in order of ``pos``; null of a sum of 0."""
-    total = F.sum(value).over(Window.partitionBy(*keys))
-    order = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({"share": F.try_divide(value, total), "cumulative_share": F.try_divide(F.sum(value).over(order), total)})
+    wide, x = is_wide(df, keys, spread), number(value)
+    rows = _with_sum(running_columns(df, keys, [pos], {"_upto": (x, "sum")}, wide), keys, x, wide)
+    return rows.withColumns({"share": F.try_divide(x, F.col("_total")), "cumulative_share": F.try_divide("_upto", "_total")}).drop("_upto", "_total")
 
 
-def last_n_agg(df: DataFrame, keys: list[str], value: str, pos: str, n: int, every: int) -> DataFrame:
+def last_n_agg(df: DataFrame, keys: list[str], value: str, pos: str, n: int, every: int, spread: bool | None = None) -> DataFrame:
     """Mean of each group's last ``n`` values, and the sum of every ``every``-th row from the first."""
-    up = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(pos)))
-    down = F.count("*").over(Window.partitionBy(*keys)) - F.col("_k")
-    rows = df.withColumn("_k", up).withColumn("_d", down)
-    x = F.col(value)
-    last = F.when(F.col("_d") < n, x)
+    wide = is_wide(df, keys, spread)
+    rows = running_columns(df, keys, [pos], {"_k": (F.lit(1), "count")}, wide)
+    rows = with_totals(rows, keys, {"_n": F.count("*")}) if wide else rows.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    x = number(value)
+    last = F.when(F.col("_n") - F.col("_k") < n, x)
     return rows.groupBy(*keys).agg(F.avg(last).alias("last_mean"), F.sum(F.when((F.col("_k") - 1) % every == 0, x)).alias("every_sum"))
 
 
@@ -115,8 +131,10 @@ def flag_duplicates(df: DataFrame, value: str, pos: str) -> DataFrame:
 
 
 def position_of_max(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
-    """Where the greatest value first is."""
-    return df.groupBy(*keys).agg(F.max(value).alias("max_value"), F.min_by(pos, F.struct((-F.col(value)).alias("v"), F.col(pos).alias("p"))).alias("max_pos"))
+    """The greatest number and where it first is; null where there is none."""
+    x = number(value)
+    first = F.when(x.isNotNull(), F.struct((-x).alias("v"), F.col(pos).alias("p")))
+    return df.groupBy(*keys).agg(F.max(x).alias("max_value"), F.min_by(pos, first).alias("max_pos"))
 
 
 def top_n(df: DataFrame, keys: list[str], value: str, pos: str, n: int) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quiltgrid.operators import aggregates as A
+from quiltgrid.operators import smoothing as E
 from quiltgrid.plans.base import Queries, read, rounded, rounded_sql
 
 _q = Queries()
@@ -21,9 +22,9 @@ def a1(spark, d):
     return rounded(out.withColumn("sumsq", F.col("sumsq") / 1e6), "sum", "sumsq", digits=2)  # sums of squares in millions
 
 
-@_q.add("a1_product", "select p_brand, p_type, round(ln(product(p_size::double)), 6) as ln_product from part where p_size > 0 group by all")
+@_q.add("a1_product", "select p_brand, p_type, round(ln(product(p_size::double)), 6) as ln_product from part group by all")
 def a1_product(spark, d):
-    out = A.product(read(spark, d, "part").where("p_size > 0"), ["p_brand", "p_type"], "p_size")
+    out = A.product(read(spark, d, "part"), ["p_brand", "p_type"], "p_size")
     return out.select("p_brand", "p_type", F.round(F.ln("product"), 6).alias("ln_product"))
 
 
@@ -66,6 +67,19 @@ def a3_codes(spark, d):
     return rounded(out, "code_1", "code_7", "code_8", "code_10", "code_11")
 
 
+@_q.add("a3_aggregate_ranked", """with r as (select l_returnflag, l_quantity as x, l_orderkey * 10 + l_linenumber as pos from lineitem where l_linenumber <> 7),
+  v as (select l_returnflag, list(x order by x) as v, len(v) as n from r group by l_returnflag),
+  c as (select l_returnflag, x, count(*) as c, min(pos) as p from r group by all), m as (select l_returnflag, x, row_number() over (partition by l_returnflag order by c desc, p) as nth from c)
+  select v.l_returnflag, m.x as code_13, v[n - 1] as code_14_2, v[3] as code_15_3, round(quantile_cont(r.x, 0.3), 6) as code_16_0_3, quantile_cont(r.x, 0.25) as code_17_1,
+    round(v[floor((n + 1) * 0.3::double)::int] + ((n + 1) * 0.3::double - floor((n + 1) * 0.3::double)) * (v[floor((n + 1) * 0.3::double)::int + 1] - v[floor((n + 1) * 0.3::double)::int]), 6) as code_18_0_3,
+    v[floor((n + 1) * 0.75::double)::int] + ((n + 1) * 0.75::double - floor((n + 1) * 0.75::double)) * (v[floor((n + 1) * 0.75::double)::int + 1] - v[floor((n + 1) * 0.75::double)::int]) as code_19_3
+  from v join r using (l_returnflag) join m on m.l_returnflag = v.l_returnflag and nth = 1 group by v.l_returnflag, m.x, v, n""")
+def a3_ranked(spark, d):
+    items = read(spark, d, "lineitem").withColumn("pos", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    out = A.aggregate_ranked(items, ["l_returnflag"], "l_quantity", [(13, None), (14, 2), (15, 3), (16, 0.3), (17, 1), (18, 0.3), (19, 3)], "pos", F.col("l_linenumber") == 7)
+    return out.withColumns({c: F.round(F.col(c), 6) for c in ("code_16_0_3", "code_18_0_3")})
+
+
 @_q.add("a4_order_stats", """
 with v as (select l_returnflag, list(l_extendedprice order by l_extendedprice) as v, len(v) as n from lineitem group by l_returnflag),
 p as (select *, 1 + (n - 1) * 0.25::double as i25, 1 + (n - 1) * 0.5::double as i50, 1 + (n - 1) * 0.9::double as i90, (n + 1) * 0.25::double as e25, (n + 1) * 0.75::double as e75 from v)
@@ -144,10 +158,27 @@ def a10(spark, d):
     return rounded(A.linear_predict(monthly, ["o_orderpriority"], "y", "m", [80.0, 90.0]), "linear", "growth", digits=1)
 
 
-@_q.add("a11_ets_forecast")
+def _daily(spark, d):
+    return read(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum("value").alias("v"))
+
+
+@_q.add("a11_ets_forecast", """with d as (select event_type, ts::date as day, sum(value)::double as v from events group by all),
+  s as (select event_type, list(v order by day) as vs from d group by event_type having count(*) >= 2),
+  f as (select event_type, vs, list_reduce(list_concat([{'level': vs[2], 'trend': vs[2] - vs[1], 'err': 0.0::double}], list_transform(vs[3:], lambda v: {'level': v, 'trend': 0.0::double, 'err': 0.0::double})),
+    lambda a, x: {'level': 0.9 * x.level + 0.1 * (a.level + a.trend), 'trend': 0.2 * (0.9 * x.level + 0.1 * (a.level + a.trend) - a.level) + 0.8 * a.trend, 'err': a.err + abs(x.level - (a.level + a.trend))}) as f from s)
+  select event_type, len(vs)::int as points, round((f.level + f.trend)::double, 3) as forecast, round((f.err / (len(vs) - 2))::double, 3) as mean_error from f""")
 def a11(spark, d):
-    daily = read(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum("value").alias("v"))
-    return A.ets_forecast(daily, ["event_type"], "day", "v")
+    return rounded(A.ets_forecast(_daily(spark, d), ["event_type"], "day", "v"), "forecast", "mean_error", digits=3)
+
+
+@_q.add("a11_ets_fitted")
+def a11_fitted(spark, d):
+    return rounded(E.ets_forecasts(_daily(spark, d), ["event_type"], "day", "v", steps=7), "forecast", "confint", digits=2)
+
+
+@_q.add("a11_ets_stats")
+def a11_stats(spark, d):
+    return rounded(E.ets_stats(_daily(spark, d), ["event_type"], "day", "v"), "mase", "smape", "mae", "rmse")
 
 
 @_q.add("a12_loan_schedule", """with l as (select c_custkey, 0.01 * (1 + c_nationkey % 3)::double as r, 6 + c_custkey % 7 as n, abs(c_acctbal) + 100 as p from customer),
@@ -166,11 +197,21 @@ def a13(spark, d):
     return rounded(A.npv(read(spark, d, "orders"), ["o_custkey"], 0.05, "o_totalprice", "o_orderkey", "o_orderdate"), "npv", "xnpv", digits=2)
 
 
-@_q.add("a13_irr")
+@_q.add("a13_irr", """with recursive f as (
+    select o_custkey, datediff('day', min(o_orderdate) over (partition by o_custkey), o_orderdate) / 365.0::double as t, case when row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) = 1 then -o_totalprice else o_totalprice / 4 end as v from orders),
+  g as (select o_custkey, list(v order by t) as vs, list(t order by t) as ts from (select o_custkey, t, sum(v)::double as v from f group by all) group by o_custkey),
+  w(o_custkey, vs, ts, i, low, high, best) as (
+    select o_custkey, vs, ts, 0, b.low, b.high, null::double from g, lateral (
+      select low, high from (values (1, -0.9::double, 1.0::double), (2, -0.99, 10.0), (3, -0.999999, 1e9)) r(nr, low, high)
+      where list_sum(list_transform(vs, lambda v, k: v * exp(-ts[k] * ln(1 + low)))) * list_sum(list_transform(vs, lambda v, k: v * exp(-ts[k] * ln(1 + high)))) < 0 order by nr limit 1) b
+    union all
+    select o_custkey, vs, ts, i + 1, case when s then low else mid end, case when s then mid else high end, mid from (
+      select *, (low + high) / 2 as mid, list_sum(list_transform(vs, lambda v, k: v * exp(-ts[k] * ln(1 + low)))) * list_sum(list_transform(vs, lambda v, k: v * exp(-ts[k] * ln(1 + (low + high) / 2)))) <= 0 as s from w where i < 90))
+  select g.o_custkey, round(best, 6) as xirr from g left join (select * from w where i = 90) s on g.o_custkey = s.o_custkey""")
 def a13_irr(spark, d):
     first = F.row_number().over(A.Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")) == 1
     flows = read(spark, d, "orders").withColumn("flow", F.when(first, -F.col("o_totalprice")).otherwise(F.col("o_totalprice") / 4))
-    return A.irr(flows, ["o_custkey"], "flow", "o_orderdate")
+    return rounded(A.irr(flows, ["o_custkey"], "flow", "o_orderdate"), "xirr", digits=6)
 
 
 @_q.add("a13_irr_periodic", """with recursive f as (
@@ -195,6 +236,15 @@ def a14(spark, d):
     return A.distinct_if(read(spark, d, "orders"), ["o_custkey"], "o_orderpriority", F.col("o_orderstatus") == "F")
 
 
+@_q.add("a14_distinct_sketch", "select o_orderpriority, count(distinct o_custkey) as n_distinct, true as within from orders group by o_orderpriority")
+def a14_sketch(spark, d):
+    orders = read(spark, d, "orders").withColumn("y", F.year("o_orderdate"))
+    about = A.merged_distinct(A.distinct_sketches(orders, ["o_orderpriority", "y"], "o_custkey"), ["o_orderpriority"])
+    exact = A.distinct_if(orders, ["o_orderpriority"], "o_custkey", F.lit(True)).select("o_orderpriority", "n_distinct")
+    # Four standard errors.
+    return about.join(exact, "o_orderpriority").select("o_orderpriority", "n_distinct", (F.abs(F.col("about_distinct") - F.col("n_distinct")) <= 0.0325 * F.col("n_distinct")).alias("within"))
+
+
 @_q.add("a15_weighted", rounded_sql("""select l_returnflag, sum((l_extendedprice * l_quantity))::double as sumproduct, round(sum((l_extendedprice * l_quantity))::double / sum(l_quantity)::double, 4) as weighted_mean,
   coalesce((sum(l_extendedprice) filter (where month(l_shipdate) = 7))::double, 0) as masked_sum from lineitem group by l_returnflag""", "sumproduct", "masked_sum"))
 def a15(spark, d):

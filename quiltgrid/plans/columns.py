@@ -212,10 +212,10 @@ def c13_text_codes(spark, d):
     )
 
 
-@_q.add("c8_combina", "select p_partkey, p_size::double * (p_size + 1) / 2 as pairs, 1.0::double as none from part where p_size > 0")
+@_q.add("c8_combina", "select p_partkey, p_size::double * (p_size + 1) / 2 as pairs, 1.0::double as none from part")
 def c8_combina(spark, d):
     n = F.col("p_size").cast("double")
-    return C.derive(read(spark, d, "part").where("p_size > 0"), ["p_partkey"], pairs=V.combina(n, 2), none=V.combina(n, 0))
+    return C.derive(read(spark, d, "part"), ["p_partkey"], pairs=V.combina(n, 2), none=V.combina(n, 0))
 
 
 @_q.add("c19_units", "select p_partkey, round(p_size * 1609.344 / 1000, 6) as km, round(p_size * 453.59237 / 1000, 6) as kg, round((p_size + 459.67) * 5 / 9 - 273.15, 6) as celsius, null::double as bad from part")
@@ -224,9 +224,32 @@ def c19(spark, d):
     return C.derive(read(spark, d, "part"), ["p_partkey"], km=F.round(V.convert(s, "mi", "km"), 6), kg=F.round(V.convert(s, "lbm", "kg"), 6), celsius=F.round(V.convert(s, "F", "C"), 6), bad=V.convert(s, "m", "kg"))
 
 
-@_q.add("c20_random")
+def _random_sql(seed: int, *parts: str) -> str:
+    """The SQL of ``random_of``, of columns that are never null."""
+    key = " || ".join(f"len(({p})::varchar) || ':' || ({p})" for p in parts)
+    return f"(('0x' || substr(md5('{seed}|' || {key}), 1, 13))::bigint / 4503599627370496.0::double)"
+
+
+@_q.add("c20_random", f"select l_orderkey, l_linenumber, {_random_sql(42, 'l_orderkey', 'l_linenumber')} as rand, floor({_random_sql(43, 'l_orderkey', 'l_linenumber')} * 100)::bigint + 1 as rand_between from lineitem")
 def c20(spark, d):
-    return C.random_columns(read(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), 42, 1, 100)
+    return C.random_columns(read(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 42, 1, 100)
+
+
+@_q.add("c20_random_array", f"""with c as (select s_suppkey, r, k, floor({_random_sql(7, 's_suppkey', 'r', 'k')} * 6)::bigint + 1 as x from supplier, (select unnest(range(1, 3)) as r), (select unnest(range(1, 4)) as k))
+  select s_suppkey, count(*) as n_cells, sum(x)::bigint as total, min(x) as least, max(x) as most, string_agg(x::varchar, ',' order by r, k) as cells from c group by s_suppkey""")
+def c20_array(spark, d):
+    rolled = C.random_array(read(spark, d, "supplier").select("s_suppkey"), ["s_suppkey"], 2, 3, 7, 1, 6, whole=True)
+    cells = rolled.select("s_suppkey", F.flatten("random").alias("c"))
+    return cells.select("s_suppkey", F.size("c").cast("long").alias("n_cells"), F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.array_min("c").alias("least"), F.array_max("c").alias("most"), F.array_join(F.col("c").cast("array<string>"), ",").alias("cells"))
+
+
+@_q.add("c20_random_pick", f"""with r as (select o_orderpriority, o_orderkey, row_number() over (partition by o_orderpriority order by {_random_sql(5, 'o_orderpriority', 'o_orderkey')}, o_orderkey) as nth from orders)
+  select o_orderpriority, max(o_orderkey) filter (where nth = 1) as winner, string_agg(o_orderkey::varchar, ',' order by o_orderkey) as sample from r where nth <= 5 group by o_orderpriority""")
+def c20_pick(spark, d):
+    orders = read(spark, d, "orders").select("o_orderpriority", "o_orderkey")
+    one = C.random_pick(orders, ["o_orderpriority"], ["o_orderkey"], 5).withColumnRenamed("o_orderkey", "winner")
+    some = C.random_pick(orders, ["o_orderpriority"], ["o_orderkey"], 5, n=5).groupBy("o_orderpriority").agg(F.array_join(F.array_sort(F.collect_list("o_orderkey")).cast("array<string>"), ",").alias("sample"))
+    return one.join(some, "o_orderpriority")
 
 
 @_q.add("c21_arrays", """select vec_id, round(list_sum(list_transform(embedding, lambda x: (x * x)::double)), 4) as norm2, len(list_filter(embedding, lambda x: x > 0)) as n_positive, round(list_max(embedding)::double, 5) as peak from embeddings""")

@@ -124,7 +124,7 @@ def p8(spark, d):
     return P.compare_tables(orders, altered, ["o_orderkey"], ["o_totalprice", "o_orderstatus"])
 
 
-@_q.add("p8_arrays", "select vec_id, vec_id % 3 <> 0 as matched, case when vec_id % 3 = 0 then 'length mismatch: expected 64 values, got 3' end as detail from embeddings")
+@_q.add("p8_arrays", "select vec_id, vec_id % 3 <> 0 as matched, case when vec_id % 3 = 0 then '64 cells wanted, 3 read' end as detail from embeddings")
 def p8_arrays(spark, d):
     own = F.col("embedding")
     other = F.when(F.col("vec_id") % 3 == 0, F.slice(own, 1, 3)).otherwise(own)
@@ -139,7 +139,7 @@ def p9(spark, d):
 
 
 @_q.add("p10_case_report", """select o_orderkey, case when o_orderkey % 5 <> 0 then o_orderkey % 4 <> 0 end as matched, array_to_string(list_filter([case when o_orderkey % 6 = 0 then 'UNTRUSTED_RECALC' end, case when o_orderstatus = 'P' then 'open' end,
-  case when o_orderkey % 5 <> 0 and o_orderkey % 4 = 0 then 'MISMATCH vs expected: expected ' || o_custkey::varchar || ', got ' || (o_custkey + 1)::varchar end], lambda x: x is not null), '; ') as notes from orders""")
+  case when o_orderkey % 5 <> 0 and o_orderkey % 4 = 0 then 'should be ' || o_custkey::varchar || ', is ' || (o_custkey + 1)::varchar end], lambda x: x is not null), '; ') as notes from orders""")
 def p10(spark, d):
     orders, k = read(spark, d, "orders"), F.col("o_orderkey")
     cases = orders.select("o_orderkey", F.when(k % 5 != 0, F.col("o_custkey")).alias("expected"), F.when(F.col("o_orderstatus") == "P", "open").alias("expected_note"))
@@ -266,14 +266,15 @@ def p28(spark, d):
     return P.overlap_counts(_both(spark, d), F.col("rich"), F.col("is_member"))
 
 
-YEARS = range(1992, 1999)
+#: The years of ``orders``, for the SQL; the operator finds them.
+YEARS = range(1995, 2002)
 
 
 @_q.add("p29_version_matrix", f"""with s as (select o_custkey, year(o_orderdate) as y, max(o_orderstatus) as state from orders group by all), c as (select o_custkey from s group by 1 having count(distinct state) > 1)
   select o_custkey, {', '.join(f'max(state) filter (where y = {y}) as "{y}"' for y in YEARS)} from s join c using (o_custkey) group by o_custkey""")
 def p29(spark, d):
     states = read(spark, d, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.max("o_orderstatus").alias("state"))
-    return P.version_matrix(states, "o_custkey", "y", list(YEARS), "state")
+    return P.version_matrix(states, "o_custkey", "y", None, "state")
 
 
 @_q.add("p30_verify_examples", "select l_orderkey % 100 as bucket, count(*) as n, count(*) filter (where l_linenumber <> 7 and l_quantity <> 13) as verified from lineitem group by 1")
@@ -290,7 +291,7 @@ def p31(spark, d):
     return P.outcome_summary(outcomes(spark, d), F.col("error"))
 
 
-@_q.add("p32_rewrite_tokens", r"""select page_id, md5(regexp_replace(html, '(^|[^A-Za-z0-9_.])(track)(\s*\()', '\1_xlfn.\2\3', 'gi')) as rewritten from pages""")
+@_q.add("p32_rewrite_tokens", r"""select page_id, md5(regexp_replace(html, '(^|[^A-Za-z0-9_.])track\(', '\1_xlfn.TRACK(', 'gi')) as rewritten from pages""")
 def p32(spark, d):
     return read(spark, d, "pages").select("page_id", F.md5(P.rewrite_tokens(F.col("html"), {"TRACK": "_xlfn."})).alias("rewritten"))
 

@@ -61,6 +61,17 @@ def j3(spark, d):
     return J.lookup_wildcard(["*ring", "red *", "?mall*", "zz*"], read(spark, d, "part").withColumn("pos", F.col("p_partkey")), "p_name", "pos", "p_partkey")
 
 
+@_q.add("j3_pattern_table", """with p as (select distinct left(p_name, 4) || '*' || right(p_name, 2) as pattern, lower(left(p_name, 4)) || '%' || lower(right(p_name, 2)) as l from part
+    union all select distinct '??' || substr(p_name, 3, 3) || '*', '__' || lower(substr(p_name, 3, 3)) || '%' from part union all select '*' || p_type || '*', '%' || lower(p_type) || '%' from part group by p_type)
+  select pattern, min(p_partkey) as p_partkey from p left join part on lower(p_name) like l group by pattern""")
+def j3_table(spark, d):
+    part = read(spark, d, "part").select("p_partkey", "p_name", "p_type")
+    ends = F.concat(F.left("p_name", F.lit(4)), F.lit("*"), F.right("p_name", F.lit(2)))
+    inside = F.concat(F.lit("??"), F.substring("p_name", 3, 3), F.lit("*"))
+    patterns = part.select(F.explode(F.array(ends, inside, F.concat(F.lit("*"), "p_type", F.lit("*")))).alias("pattern"))
+    return J.lookup_patterns(patterns, part.withColumn("pos", F.col("p_partkey")), "pattern", "p_name", "pos", "p_partkey")
+
+
 @_q.add("j4_lookup_composite", "select l_orderkey, l_partkey, l_suppkey, min(l_linenumber) as l_linenumber from lineitem group by all")
 def j4(spark, d):
     items = read(spark, d, "lineitem").withColumn("pos", F.col("l_linenumber"))

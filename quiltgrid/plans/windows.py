@@ -40,7 +40,7 @@ def w3(spark, d):
 @_q.add("w3_scan", """select o_orderkey, max(floor(o_totalprice / 1000)::bigint) over (partition by o_custkey order by o_orderkey rows unbounded preceding) as scan from orders""")
 def w3_scan(spark, d):
     orders = read(spark, d, "orders").withColumn("k", F.floor(F.col("o_totalprice") / 1000))
-    return W.scan(orders, ["o_custkey"], "o_orderkey", F.max("k")).select("o_orderkey", "scan")
+    return W.scan(orders, ["o_custkey"], "o_orderkey", F.col("k"), "max").select("o_orderkey", "scan")
 
 
 @_q.add("w4_row_change", """select event_id, round(value - lag(value) over w, 4) as difference, round((value - lag(value) over w) / nullif(lag(value) over w, 0), 4) as change from events window w as (partition by user_id order by event_id)""")
