@@ -3,10 +3,10 @@ r"""WARC: write transactions of records, read archives back, assemble captures.
 A capture is written as three records: its request, its response (or a revisit of
 an earlier equal payload) and its metadata; request and metadata name the response
 in WARC-Concurrent-To. Spark's text writer makes the files: a row is a record and
-the line separator is the record separator. Reading takes whole files (bounded by
-``FILE_BYTES`` and the largest record) as binary rows and parses them by
-Content-Length. The records of a transaction then meet by the id that they are
-concurrent to, and one nested row is made per capture.
+the line separator is the record separator; a file is one gzip member. Reading takes
+compressed files as binary rows and unpacks and parses them record by record, by
+Content-Length. The records of a transaction then meet by the ids that they are
+concurrent to, along chains too, and one nested row is made per capture.
 
 Scale: digests are computed once, into a narrow table; equal payloads are found there
 by aggregation; the joins on digests and on record ids carry narrow rows, and their
@@ -18,14 +18,15 @@ line ends in a url are percent-encoded; rows that repeat a page_id are captures
 their own, as are rows with a null one; null page_ids come after all others, so that
 one is the response only if all of its payload are null; of equal payloads with equal
 smallest page_id the one with the least row key is the response; an empty table writes
-no records; extra columns are ignored.
+no records; extra columns are ignored; what is broken in an archive is a row with its
+problem, and belongs to no capture.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,8 @@ RECORD_END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 0
 #: Bytes of payload that a file is planned for.
 FILE_BYTES = 8_000_000
+#: Bytes of blocks that are handed on at once.
+ROWS_BYTES = 8_000_000
 DATE = "2024-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -109,28 +112,88 @@ def write_warc(pages: DataFrame, path: str, key: Column | None = None, min_bytes
 
 RECORDS = T.StructType([
     T.StructField("record_id", T.StringType()), T.StructField("type", T.StringType()), T.StructField("target_uri", T.StringType()),
-    T.StructField("concurrent_to", T.StringType()), T.StructField("refers_to", T.StringType()), T.StructField("date", T.StringType()),
+    T.StructField("concurrent_to", T.ArrayType(T.StringType())), T.StructField("refers_to", T.StringType()), T.StructField("date", T.StringType()),
     T.StructField("stated_digest", T.StringType()), T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()),
-    T.StructField("block", T.BinaryType()),
+    T.StructField("block", T.BinaryType()), T.StructField("problem", T.StringType()),
 ])
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record."""
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        head_end = data.index(b"\r\n\r\n", at)
-        lines = data[at:head_end].decode().split(END)[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+def unpacked(content: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes of an archive in pieces of about ``size``: of all gzip members, one after the other, or as they are."""
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[at : at + size] for at in range(0, len(content), size))
+        return
+    member, started = zlib.decompressobj(31), False
+    for at in range(0, len(content), size):
+        rest = content[at : at + size]
+        while rest:
+            started = True
+            yield member.decompress(rest, size)
+            rest = member.unused_data if member.eof else member.unconsumed_tail
+            if member.eof:
+                member, started = zlib.decompressobj(31), False
+    if started:
+        yield member.flush()
+        if not member.eof:
+            raise EOFError
+
+
+def parse_warc(content: bytes) -> Iterator[tuple[dict[str, list[str]], bytes, str | None]]:
+    """(headers, block, problem) of each record; a header may come several times.
+
+    An archive is unpacked as its records are taken; one record is in memory. What is
+    broken is a row too, with its ``problem``: a record without a length is passed over
+    up to the next one, a block or an archive that is cut off is the last.
+    """
+    source, have, broken = unpacked(content), bytearray(), None
+
+    def fill(until) -> int:
+        """Unpack until ``until()`` finds a place, or nothing is left: -1 then."""
+        nonlocal broken
+        while (found := until()) < 0 and broken is None:
+            try:
+                have.extend(next(source))
+            except StopIteration:
+                broken = ""
+            except (EOFError, zlib.error):
+                broken = "compressed data is broken"
+        return found
+
+    while True:
+        start = fill(lambda: have.find(b"WARC/"))
+        if start < 0:
+            if broken or have.strip():
+                yield {}, bytes(have), broken or "no record"
+            return
+        del have[:start]
+        head_end = fill(lambda: have.find(b"\r\n\r\n"))
+        if head_end < 0:
+            yield {}, bytes(have), broken or "headers are cut off"
+            return
+        headers: dict[str, list[str]] = {}
+        for line in have[:head_end].decode("utf-8", "replace").split(END)[1:]:
+            name, _, value = line.partition(":")
+            headers.setdefault(name.strip().lower(), []).append(value.strip())
+        length = headers.get("content-length", [""])[0]
         start = head_end + 4
-        at = start + int(headers["content-length"])
-        yield headers, data[start:at]
+        if not (length.isascii() and length.isdigit()):
+            yield headers, b"", "no length"
+            del have[:start]
+            continue
+        stop = start + int(length)
+        if fill(lambda: 0 if len(have) >= stop else -1) < 0:
+            yield headers, bytes(have[start:]), broken or "block is cut off"
+            return
+        yield headers, bytes(have[start:stop]), None if headers.get("warc-record-id", [""])[0] else "no record id"
+        del have[:stop]
 
 
 def read_warc(spark: SparkSession, path: str, keep_blocks: bool = True) -> DataFrame:
     """A row per record; the payload's size and digest are taken from the bytes read.
 
     Blocks of responses are kept only if ``keep_blocks``; those of other kinds always.
+    A file comes to its task as its compressed bytes and is unpacked record by record.
+    Broken records have a ``problem``, and neither type nor size nor digest.
     """
 
     def parse(batches):
@@ -139,31 +202,69 @@ def read_warc(spark: SparkSession, path: str, keep_blocks: bool = True) -> DataF
         names = RECORDS.fieldNames()
         for batch in batches:
             for content in batch["content"]:
-                rows = []
-                for h, block in parse_warc(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content):
-                    kind, size, digest = h.get("warc-type"), None, None
+                rows, held = [], 0
+                for h, block, problem in parse_warc(content):
+                    one = lambda name, h=h: h.get(name, [None])[0]
+                    kind, size, digest = None if problem else one("warc-type"), None, None
                     if kind == "response":
                         payload = block.partition(b"\r\n\r\n")[2]
                         size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    stated = h.get("warc-payload-digest")
-                    rows.append((h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-concurrent-to"), h.get("warc-refers-to"), h.get("warc-date"), stated and stated.partition(":")[2], size, digest, block if keep_blocks or kind != "response" else None))
-                for i in range(0, len(rows), 1000):
-                    yield pd.DataFrame(rows[i : i + 1000], columns=names, dtype=object)
+                    stated = one("warc-payload-digest")
+                    block = block if keep_blocks or kind != "response" else None
+                    rows.append((one("warc-record-id"), kind, one("warc-target-uri"), h.get("warc-concurrent-to", []), one("warc-refers-to"), one("warc-date"), stated and stated.partition(":")[2], size, digest, block, problem))
+                    held += len(block or b"")
+                    if len(rows) == 1000 or held > ROWS_BYTES:
+                        yield pd.DataFrame(rows, columns=names, dtype=object)
+                        rows, held = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names, dtype=object)
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInPandas(parse, RECORDS)
 
 
+def captures_of(records: DataFrame) -> DataFrame:
+    """(record_id, capture_id) of the records that are concurrent to others which are so too, or to several.
+
+    Those make chains; all links' components are found then, by the least id that spreads
+    along links and from node to label until nothing moves.
+    """
+    links = records.select(F.col("record_id").alias("u"), F.explode("concurrent_to").alias("v")).where("u is not null and u <> v").distinct()
+    several = links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    chained = links.join(links.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u")
+    if several.unionByName(chained).isEmpty():
+        return links.select(F.col("u").alias("record_id"), F.col("v").alias("capture_id")).limit(0)
+    both = materialize(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    labels = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")))
+    while True:
+        near = both.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
+        moved = labels.join(near, "u").select("u", "label", F.least("label", "near").alias("to"))
+        far = labels.select(F.col("u").alias("to"), F.col("label").alias("far"))
+        moved = materialize(moved.join(far, "to", "left").select("u", "label", F.least("to", "far").alias("to")))
+        labels = moved.select("u", F.col("to").alias("label"))
+        if moved.where("label <> to").isEmpty():
+            return labels.select(F.col("u").alias("record_id"), F.col("label").alias("capture_id"))
+
+
 def assemble_transactions(records: DataFrame) -> DataFrame:
     """One nested row per capture: its id, request, answer (response or revisit) and metadata.
 
-    A record belongs to the capture that it is concurrent to, else to itself; a
-    request or metadata record whose answer is missing makes a capture without one.
+    Records belong together if a chain of WARC-Concurrent-To names leads from one to the
+    other, whatever its direction and length. A capture is named by its answer, else by
+    what its records are concurrent to; a request or metadata record whose answer is missing makes a
+    capture without one. Of several records of a kind the one with the least id is taken;
+    broken records belong to none.
     """
     part = F.struct("record_id", "type", "target_uri", "date", "refers_to", "stated_digest", "payload_bytes", "payload_digest", "block")
-    keyed = records.select(F.coalesce("concurrent_to", "record_id").alias("capture_id"), "type", part.alias("part"))
-    pick = lambda *kinds: F.first(F.when(F.col("type").isin(*kinds), F.col("part")), ignorenulls=True)
-    return keyed.groupBy("capture_id").agg(pick("request").alias("request"), pick("response", "revisit").alias("answer"), pick("metadata").alias("metadata"))
+    whole = records.where("problem is null")
+    keyed = whole.select("record_id", F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id").alias("capture_id"), "type", part.alias("part"))
+    chains = captures_of(whole.select("record_id", "concurrent_to"))
+    if not chains.isEmpty():
+        chains = chains.withColumnsRenamed({"record_id": "of", "capture_id": "chain"})
+        keyed = keyed.join(chains, F.col("record_id") == F.col("of"), "left").withColumn("capture_id", F.coalesce("chain", "capture_id"))
+    pick = lambda *kinds: F.min_by("part", F.when(F.col("type").isin(*kinds), F.col("part.record_id")))
+    found = keyed.groupBy("capture_id").agg(pick("request").alias("request"), pick("response", "revisit").alias("answer"), pick("metadata").alias("metadata"))
+    return found.withColumn("capture_id", F.coalesce("answer.record_id", "capture_id"))
 
 
 def resolve_revisits(captures: DataFrame) -> DataFrame:

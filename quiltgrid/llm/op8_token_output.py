@@ -269,7 +269,7 @@ def token_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, sha
         from pyspark import TaskContext
 
         part, encode, nth, before = TaskContext.get().partitionId(), encoder.value, 0, 0
-        size = encode.open().get_vocab_size()
+        size = max(end_id, *encode.open().get_vocab().values()) + 1  # a vocabulary may have gaps
         ids, lengths, owners = np.empty(0, "<u4"), np.empty(0, np.int64), []
 
         def shard(n_docs: int):
