@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quiltgrid.functions.units import UNITS
+
 # The error texts of spreadsheet applications, with ERROR.TYPE's numbers.
 ERROR_NUMBERS = {"#NULL!": 1, "#DIV/0!": 2, "#VALUE!": 3, "#REF!": 4, "#NAME?": 5, "#NUM!": 6, "#N/A": 7}
 ERROR_CODES = (
@@ -553,18 +555,9 @@ def db(cost: Column, salvage: Column, life, period) -> Column:
     return cost * F.pow(1 - rate, lit(period) - 1) * rate
 
 
-# Units of measure: (dimension, factor to the base unit, offset).
-UNITS = {
-    "m": ("length", 1.0, 0.0), "km": ("length", 1000.0, 0.0), "cm": ("length", 0.01, 0.0), "mm": ("length", 0.001, 0.0), "mi": ("length", 1609.344, 0.0), "ft": ("length", 0.3048, 0.0), "in": ("length", 0.0254, 0.0), "yd": ("length", 0.9144, 0.0),
-    "g": ("mass", 1.0, 0.0), "kg": ("mass", 1000.0, 0.0), "lbm": ("mass", 453.59237, 0.0), "ozm": ("mass", 28.349523125, 0.0),
-    "C": ("temperature", 1.0, 273.15), "K": ("temperature", 1.0, 0.0), "F": ("temperature", 5 / 9, 459.67 * 5 / 9),
-    "sec": ("time", 1.0, 0.0), "mn": ("time", 60.0, 0.0), "hr": ("time", 3600.0, 0.0), "day": ("time", 86400.0, 0.0), "yr": ("time", 31557600.0, 0.0),
-    "l": ("volume", 1.0, 0.0), "gal": ("volume", 3.785411784, 0.0), "J": ("energy", 1.0, 0.0), "cal": ("energy", 4.1868, 0.0), "W": ("power", 1.0, 0.0), "HP": ("power", 745.69987158227022, 0.0),
-}
-# End of fixed values.
-
-
 def convert(x: Column, source: str, target: str) -> Column:
-    """CONVERT between units of one dimension; null otherwise."""
+    """CONVERT between units of one dimension; null between others and for names that are no unit."""
+    if source not in UNITS or target not in UNITS:
+        return F.lit(None).cast("double")
     (a, f, o), (b, g, p) = UNITS[source], UNITS[target]
     return (x * f + o - p) / g if a == b else F.lit(None).cast("double")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quiltgrid.functions.numbers import number
+from quiltgrid.functions.units import UNITS
 from quiltgrid.functions.values import ERROR_CODES, ERROR_NUMBERS
 
 
@@ -125,6 +127,18 @@ def make_array(rows: int, columns: int, cell) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(rows)), lambda r: F.transform(F.sequence(F.lit(1), F.lit(columns)), lambda c: cell(r, c)))
 
 
+def convert_units(df: DataFrame, value: str, source: str, target: str, name: str = "converted") -> DataFrame:
+    """CONVERT where the units are columns too; null between dimensions and for names that are no unit.
+
+    The table of units, which is fixed, is joined for each side.
+    """
+    units = df.sparkSession.createDataFrame([(u, *v) for u, v in UNITS.items()], "_unit string, _dim string, _size double, _zero double")
+    side = lambda mark: F.broadcast(units.withColumnsRenamed({c: f"{c}_{mark}" for c in units.columns}))
+    both = df.join(side("a"), F.col(source) == F.col("_unit_a"), "left").join(side("b"), F.col(target) == F.col("_unit_b"), "left")
+    x = (number(value) * F.col("_size_a") + F.col("_zero_a") - F.col("_zero_b")) / F.col("_size_b")
+    return both.withColumn("_x", F.when(F.col("_dim_a") == F.col("_dim_b"), x)).select(*df.columns, F.col("_x").alias(name))
+
+
 def random_of(seed: int, *key: Column) -> Column:
     """A number in [0, 1) that the key and the seed decide: equal in every run, whatever the partitions.
 

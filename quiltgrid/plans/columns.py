@@ -224,6 +224,16 @@ def c19(spark, d):
     return C.derive(read(spark, d, "part"), ["p_partkey"], km=F.round(V.convert(s, "mi", "km"), 6), kg=F.round(V.convert(s, "lbm", "kg"), 6), celsius=F.round(V.convert(s, "F", "C"), 6), bad=V.convert(s, "m", "kg"))
 
 
+@_q.add("c19_unit_columns", """with u(k, source, target, size, zero, other) as (values (0, 'Gibyte', 'kbit', 8.0::double * 1073741824, 0.0::double, 1000.0::double), (1, 'cm2', 'ft2', 0.0001, 0, 0.3048 * 0.3048), (2, 'F', 'K', 5 / 9.0::double, 459.67 * 5 / 9.0::double, 1),
+    (3, 'mph', 'kn', 0.44704, 0, 1852 / 3600.0::double), (4, 'uk_gal', 'l', 0.00454609, 0, 0.001), (5, 'hPa', 'psi', 100, 0, 6894.757293168361::double), (6, 'm', 'sec', null, null, null), (7, 'no unit', 'm', null, null, null))
+  select p_partkey, source, target, round((p_size * size + zero) / other, 6) as converted from part join u on p_partkey % 8 = k""")
+def c19_columns(spark, d):
+    pairs = [("Gibyte", "kbit"), ("cm2", "ft2"), ("F", "K"), ("mph", "kn"), ("uk_gal", "l"), ("hPa", "psi"), ("m", "sec"), ("no unit", "m")]
+    nth = lambda i: F.get(F.array(*(F.lit(p[i]) for p in pairs)), F.col("p_partkey") % 8)
+    part = read(spark, d, "part").select("p_partkey", "p_size", nth(0).alias("source"), nth(1).alias("target"))
+    return C.convert_units(part, "p_size", "source", "target").select("p_partkey", "source", "target", F.round("converted", 6).alias("converted"))
+
+
 def _random_sql(seed: int, *parts: str) -> str:
     """The SQL of ``random_of``, of columns that are never null."""
     key = " || ".join(f"len(({p})::varchar) || ':' || ({p})" for p in parts)
