@@ -255,3 +255,30 @@ def test_sketches_merge(spark):
     merged = {r.g: r.about_distinct for r in A.merged_distinct(A.distinct_sketches(df, ["g", "h"], "v"), ["g"]).collect()}
     exact = {r.g: r.n_distinct for r in A.distinct_if(df, ["g"], "v", F.lit(True)).collect()}
     assert all(abs(merged[g] - n) <= 0.0325 * n for g, n in exact.items()) and len(merged) == 4
+
+
+@pytest.mark.parametrize(
+    ("x", "source", "target", "expected"),
+    [
+        (100, "C", "F", 212), (1, "day", "hr", 24), (1, "hr", "mn", 60), (1, "stone", "kg", 6.35029318), (1, "kn", "km/h", 1.852), (1, "Nmi2", "m2", 1852**2), (2, "yd3", "ft3", 54), (1, "cm3", "l", 0.001), (1, "hl", "dal", 10),
+        (1, "Mibyte", "bit", 8 * 2**20), (-40, "F", "C", -40), (0, "Reau", "K", 273.15), (80, "Reau", "C", 100), (1, "um", "nm", 1000), (1, "Morgen", "ar", 25), (1, "atm", "mmHg", 101325 / 133.322), (1, "kWh", "MJ", 3.6),
+        (1, "in^2", "cm^2", 6.4516), (1, "m", "m2", None), (1, "kft", "m", None), (1, "mbit", "kbit", 1e-6), (3, "min", "sec", 180), (1, "pt", "cup", 2),
+    ],
+)
+def test_units(spark, x, source, target, expected):
+    from quiltgrid.functions.units import UNITS
+    from quiltgrid.functions.values import convert
+
+    if expected is None:
+        assert source not in UNITS or UNITS[source][0] != UNITS[target][0]
+        return
+    (a, size, zero), (b, other, base) = UNITS[source], UNITS[target]
+    assert a == b and (x * size + zero - base) / other == pytest.approx(expected, rel=1e-9)
+    assert convert(F.lit(float(x)), source, target) is not None
+
+
+def test_units_in_columns(spark):
+    rows = [("1", "km", "mi"), ("x", "km", "mi"), (None, "km", "mi"), ("5", "km", "sec"), ("5", None, "km"), ("5", "none", "km"), ("32", "F", "C")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, v string, a string, b string")
+    found = {r.id: r.converted for r in C.convert_units(df, "v", "a", "b").collect()}
+    assert found == {0: pytest.approx(1 / 1.609344), 1: None, 2: None, 3: None, 4: None, 5: None, 6: pytest.approx(0)}
