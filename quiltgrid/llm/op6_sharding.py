@@ -60,12 +60,12 @@ def hilbert_index(point: tuple[int, ...], bits: int) -> int:
 
 
 def _levels(df: DataFrame, dim: str, bits: int) -> DataFrame:
-    """(value, level) of each value of ``dim``: equal shares of the rows, in the order of values, null last.
+    """(value, level) of each value of ``dim``: equal shares of the rows that ``n`` counts, in the order of values, null last.
 
     Values are grouped first, then sorted by ranges: a range's task accumulates its
     own, and only the ranges' sums are accumulated in one place.
     """
-    values = df.groupBy(F.col(dim).alias("_v")).agg(F.count("*").alias("_n"))
+    values = df.groupBy(F.col(dim).alias("_v")).agg(F.sum("n").alias("_n"))
     ranged = materialize(values.repartitionByRange(F.col("_v").asc_nulls_last()).withColumn("_p", F.spark_partition_id()))
     sums = ranged.groupBy("_p").agg(F.sum("_n").alias("_s"))
     sums = sums.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_start"), F.sum("_s").over(Window.partitionBy()).alias("_total"))
@@ -88,15 +88,17 @@ def hilbert_shards(rows: DataFrame, dims: tuple[str, ...], n_shards: int = SHARD
     cells = [0] * side ** len(dims)
     for code in range(len(cells)):
         cells[code] = hilbert_index(tuple(code >> (bits * i) & (side - 1) for i in range(len(dims))), bits)
-    code = F.lit(0)
-    out = rows
+    # Levels and curve are found for the different combinations of values, which rows then look up once.
+    kinds = materialize(rows.groupBy(*dims).agg(F.count("*").alias("n")))
+    code, placed = F.lit(0), kinds
     for i, dim in enumerate(dims):
-        levels = _levels(rows, dim, bits)
-        out = out.join(levels, F.col(dim).eqNullSafe(F.col(f"_v_{dim}")))
+        placed = placed.join(_levels(kinds, dim, bits), F.col(dim).eqNullSafe(F.col(f"_v_{dim}")))
         code = code + F.shiftleft(F.col(f"_level_{dim}"), bits * i)
-    out = out.withColumn("hilbert", F.get(F.array(*map(F.lit, cells)), code)).select(*rows.columns, "hilbert")
+    hilbert = F.get(F.array(*map(F.lit, cells)), code).alias("hilbert")
+    placed = placed.select(*(F.col(d).alias(f"_of_{d}") for d in dims), hilbert)
+    out = rows.join(placed, [F.col(d).eqNullSafe(F.col(f"_of_{d}")) for d in dims]).select(*rows.columns, "hilbert")
     out = out.withColumn("_order", F.md5(F.concat_ws(":", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key))))
-    total = rows.count()
+    total = kinds.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     out = ordered_totals(out, "hilbert", "_order", "_place", F.lit(1).cast("long"), hash_digits(total), across_keys=True)
     shard = F.expr(f"(before * {n_shards}L) div {max(total, 1)}L").cast("int")
     first = F.expr(f"(shard * {total}L + {n_shards - 1}L) div {n_shards}L")
