@@ -95,7 +95,7 @@ def hilbert_shards(rows: DataFrame, dims: tuple[str, ...], n_shards: int = SHARD
         placed = placed.join(_levels(kinds, dim, bits), F.col(dim).eqNullSafe(F.col(f"_v_{dim}")))
         code = code + F.shiftleft(F.col(f"_level_{dim}"), bits * i)
     hilbert = F.get(F.array(*map(F.lit, cells)), code).alias("hilbert")
-    placed = placed.select(*(F.col(d).alias(f"_of_{d}") for d in dims), hilbert)
+    placed = materialize(placed.select(*(F.col(d).alias(f"_of_{d}") for d in dims), hilbert))
     out = rows.join(placed, [F.col(d).eqNullSafe(F.col(f"_of_{d}")) for d in dims]).select(*rows.columns, "hilbert")
     out = out.withColumn("_order", F.md5(F.concat_ws(":", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key))))
     total = kinds.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
