@@ -43,15 +43,17 @@ def count_kinds(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def agg_if(df: DataFrame, keys: list[str], value: str, criteria: dict[str, list[tuple[str, object]]]) -> DataFrame:
     """A3: for each named list of (column, criterion), all met: count, sum, average, least and greatest; one pass."""
+    tests = {f"_met_{name}": all_criteria([(F.col(c), t) for c, t in pairs]) for name, pairs in criteria.items()}
+    rows = df.select(*keys, number(value).alias("_x"), *(test.alias(m) for m, test in tests.items()))  # once a row, not once a figure
     out = []
-    for name, pairs in criteria.items():
-        met = all_criteria([(F.col(c), t) for c, t in pairs])
-        x = F.when(met, number(value))
+    for name in criteria:
+        met = F.col(f"_met_{name}")
+        x = F.when(met, F.col("_x"))
         out += [
             F.count_if(met).alias(f"{name}_count"), F.coalesce(F.sum(x), F.lit(0.0)).alias(f"{name}_sum"), F.try_divide(F.sum(x), F.count(x)).alias(f"{name}_average"),
             F.coalesce(F.min(x), F.lit(0.0)).alias(f"{name}_min"), F.coalesce(F.max(x), F.lit(0.0)).alias(f"{name}_max"),
         ]
-    return df.groupBy(*keys).agg(*out)
+    return rows.groupBy(*keys).agg(*out)
 
 
 def subtotal(df: DataFrame, keys: list[str], value: str, is_subtotal: Column, is_error: Column) -> DataFrame:

@@ -201,8 +201,9 @@ def _top_shared(left: DataFrame, right: DataFrame, k: int, hot: int, apart: bool
     paired. Exact: what an item shares through frequent tokens alone can only be among the
     first k of that order. ``apart`` leaves out an item's pair with itself.
     """
-    counts = right.groupBy("_t").agg(F.count("*").alias("_n"))
-    often = materialize(counts.where(F.col("_n") > hot).select("_t"))
+    # Repeated rows may count a token as frequent that isn't: that makes no difference to the result.
+    often = materialize(right.groupBy("_t").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("_t"))
+    left, right = left.distinct(), right.distinct()
     if often.isEmpty():
         scored = left.join(right, "_t").groupBy("_key", "_item").agg(F.count("*").alias("_score"))
     else:
@@ -227,15 +228,15 @@ def _top_shared(left: DataFrame, right: DataFrame, k: int, hot: int, apart: bool
 
 def related_items(df: DataFrame, token: str, item: str, k: int = 5, hot: int = HOT) -> DataFrame:
     """For each item, the k others that share most tokens (ties by name); a token that all items share isn't squared."""
-    pairs = df.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null").distinct()
+    pairs = df.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null")
     best = _top_shared(pairs.withColumnRenamed("_item", "_key"), pairs, k, hot, apart=True)
     return best.select(F.col("_key").alias(item), F.col("_item").alias("other"), F.col("_score").alias("score"), F.col("_place").alias("place"))
 
 
 def items_for_group(groups: DataFrame, items: DataFrame, group: str, token: str, item: str, k: int = 6, hot: int = HOT) -> DataFrame:
     """For each group, the k items that share most of its tokens (ties by name)."""
-    left = groups.select(F.col(group).alias("_key"), F.col(token).alias("_t")).where("_key is not null and _t is not null").distinct()
-    right = items.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null").distinct()
+    left = groups.select(F.col(group).alias("_key"), F.col(token).alias("_t")).where("_key is not null and _t is not null")
+    right = items.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null")
     best = _top_shared(left, right, k, hot, apart=False)
     return best.select(F.col("_key").alias(group), F.col("_item").alias(item), F.col("_score").alias("score"), F.col("_place").alias("place"))
 

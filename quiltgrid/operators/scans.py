@@ -24,8 +24,14 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 
 def is_wide(df: DataFrame, keys: list[str], spread: bool | None) -> bool:
-    """Whether groups are to be scanned in ranges; asked of the data if ``spread`` is None."""
-    return largest_group(df, keys) > GROUP_ROWS if spread is None else spread
+    """Whether groups are to be scanned in ranges; asked of the data if ``spread`` is None.
+
+    Counting all rows reads no column, and answers for tables that fit as a whole.
+    """
+    if spread is not None:
+        return spread
+    rows = df.count()
+    return rows > GROUP_ROWS and (not keys or largest_group(df, keys) > GROUP_ROWS)
 
 
 def same_keys(keys: list[str], prefix: str) -> list[Column]:
