@@ -5,7 +5,9 @@ Votes are counted by pattern, at most 3 ** rules rows; expectation-maximisation
 over the patterns estimates the share of good documents and each rule's accuracy
 on good and on bad ones; a document's posterior probability of being good then
 decides. Patterns stay a table: only the 2 * rules + 1 parameters pass through
-the driver between rounds, which end when no parameter moves by ``TOLERANCE``.
+the driver between rounds, which end when no parameter moves by ``TOLERANCE``. Beta
+distributions hold what is believed of accuracies beforehand, with the weight of a share
+of the documents, so that estimates come out alike at every size.
 
 Defined cases: a null, empty or blank text has no words, so it fails the base
 rule; a repeated doc_id keeps its rows; extra columns are ignored; an empty table
@@ -25,13 +27,14 @@ from quiltgrid.llm.common import BLANKS, let, materialize, table, words_of
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-#: Rounds end when no parameter moves by more, or after ``ROUNDS``.
-TOLERANCE, ROUNDS = 1e-4, 100
-#: Ranges of the estimated accuracies. A rule is trusted to fail one good document in
-#: a hundred at most; it may miss most bad ones, as junk is of many kinds. A bad vote
-#: thus always speaks against a document (0.05 > 1 - 0.99): no rule turns round.
-ON_GOOD, ON_BAD = (0.99, 0.9995), (0.05, 0.95)
-FIRST_GOOD, FIRST_BAD, FIRST_SHARE = 0.99, 0.3, 0.8
+#: Rounds end when no parameter moves by more. Each raises the posterior density, so that they do end.
+TOLERANCE = 1e-4
+#: Beliefs before any vote is seen, as beta distributions: an accuracy on good and on bad
+#: documents and the share of good ones, each with the share of the documents that it
+#: weighs as much as. A rule seldom fails a good document; it may miss most bad ones, as
+#: junk is of many kinds. Without them the model settles on one kind of junk alone.
+PRIOR_GOOD, PRIOR_BAD, PRIOR_SHARE = 0.99, 0.3, 0.8
+WEIGHT_GOOD, WEIGHT_BAD, WEIGHT_SHARE = 0.05, 0.01, 0.001
 MIN_POSTERIOR = 0.5
 
 #: (name, value, good at most, bad above): between the two a rule abstains. No value is
@@ -111,21 +114,21 @@ def _posterior(share: float, right_good: dict, right_bad: dict) -> Column:
     weights = []
     for name in right_good:
         g, b = right_good[name], right_bad[name]
-        weights += [math.log((1 - g) / b), 0.0, math.log(g / (1 - b))]
+        # A rule that is worse than chance says nothing: no vote speaks for its opposite.
+        weights += [min(0.0, math.log((1 - g) / b)), 0.0, max(0.0, math.log(g / (1 - b)))]
     weights = F.array(*(F.lit(w) for w in weights))
     votes = F.transform(F.array(*right_good), lambda v, i: F.get(weights, 3 * i + v + 1))
     odds = F.aggregate(votes, F.lit(math.log(share / (1 - share))), lambda total, w: total + w)
     return 1 / (1 + F.exp(-odds))
 
 
-def fit_label_model(patterns: DataFrame, names: list[str], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[float, dict, dict]:
-    """Share of good documents and each rule's accuracy on good and bad ones.
+def fit_label_model(patterns: DataFrame, names: list[str], tolerance: float = TOLERANCE) -> tuple[float, dict, dict]:
+    """Share of good documents and each rule's accuracy on good and bad ones: those of greatest posterior density.
 
     ``patterns``: one row per vote pattern, with its count ``n``.
     """
-    share, right_good, right_bad = FIRST_SHARE, dict.fromkeys(names, FIRST_GOOD), dict.fromkeys(names, FIRST_BAD)
-    hold = lambda x, least, most: min(most, max(least, x))
-    for _ in range(rounds):
+    share, right_good, right_bad = PRIOR_SHARE, dict.fromkeys(names, PRIOR_GOOD), dict.fromkeys(names, PRIOR_BAD)
+    while True:
         scored = patterns.withColumn("p", _posterior(share, right_good, right_bad))
         cast = scored.select("p", "n", F.posexplode(F.array(*names)).alias("rule", "vote")).groupBy("rule", "vote")
         sums = cast.agg(F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad"))
@@ -134,16 +137,31 @@ def fit_label_model(patterns: DataFrame, names: list[str], rounds: int = ROUNDS,
             good[row["rule"], row["vote"]], bad[row["rule"], row["vote"]] = row["good"], row["bad"]
         total = sum(good[0, v] + bad[0, v] for v in (-1, 0, 1))
         if not total:
-            break
+            return share, right_good, right_bad
         before = [share, *right_good.values(), *right_bad.values()]
-        share = hold(sum(good[0, v] for v in (-1, 0, 1)) / total, 0.01, 0.99)
+        believed = lambda right, votes, prior, weight: (right + weight * total * prior) / (votes + weight * total)
+        share = believed(sum(good[0, v] for v in (-1, 0, 1)), total, PRIOR_SHARE, WEIGHT_SHARE)
         for i, name in enumerate(names):
-            # Two imagined votes of the first accuracies keep a rule without votes where it began.
-            right_good[name] = hold((good[i, 1] + 2 * FIRST_GOOD) / (good[i, 1] + good[i, -1] + 2), *ON_GOOD)
-            right_bad[name] = hold((bad[i, -1] + 2 * FIRST_BAD) / (bad[i, 1] + bad[i, -1] + 2), *ON_BAD)
+            right_good[name] = believed(good[i, 1], good[i, 1] + good[i, -1], PRIOR_GOOD, WEIGHT_GOOD)
+            right_bad[name] = believed(bad[i, -1], bad[i, 1] + bad[i, -1], PRIOR_BAD, WEIGHT_BAD)
         if max(abs(x - y) for x, y in zip(before, [share, *right_good.values(), *right_bad.values()], strict=True)) <= tolerance:
-            break
-    return share, right_good, right_bad
+            return share, right_good, right_bad
+
+
+def log_likelihood(patterns: DataFrame, share: float, right_good: dict, right_bad: dict) -> float:
+    """Logarithm of the probability of all votes under a model, to compare models by."""
+
+    def of(prior: float, right: dict, sign: int) -> Column:
+        """Logarithm of the probability of being of a kind and voting so."""
+        out = F.lit(math.log(prior))
+        for name, x in right.items():
+            vote = F.col(name) * sign
+            out = out + F.when(vote == 1, math.log(x)).when(vote == -1, math.log(1 - x)).otherwise(0.0)
+        return out
+
+    good, bad = of(share, right_good, 1), of(1 - share, right_bad, -1)
+    both = F.greatest(good, bad) + F.log1p(F.exp(-F.abs(good - bad)))
+    return patterns.agg(F.coalesce(F.sum(F.col("n") * both), F.lit(0.0))).first()[0]
 
 
 def judge_quality(docs: DataFrame, rules=RULES, min_posterior: float = MIN_POSTERIOR) -> DataFrame:

@@ -357,38 +357,47 @@ def test_quality(spark, odd_docs, no_docs):
 
 
 def label_model_by_hand(votes):
-    """Posterior of each row of votes, by EM over the rows themselves."""
-    share, g, b = qual.FIRST_SHARE, [qual.FIRST_GOOD] * len(votes[0]), [qual.FIRST_BAD] * len(votes[0])
+    """(share, accuracies on good and on bad rows, posterior of each row of votes), by EM over the rows themselves."""
+    n = len(votes)
+    share, g, b = qual.PRIOR_SHARE, [qual.PRIOR_GOOD] * len(votes[0]), [qual.PRIOR_BAD] * len(votes[0])
 
     def posterior(row):
         good, bad = share, 1 - share
         for v, x, y in zip(row, g, b, strict=True):
-            good *= {1: x, -1: 1 - x, 0: 1}[v]
-            bad *= {1: 1 - y, -1: y, 0: 1}[v]
+            if v == 1 and x > 1 - y or v == -1 and 1 - x < y:
+                good *= {1: x, -1: 1 - x}[v]
+                bad *= {1: 1 - y, -1: y}[v]
         return good / (good + bad)
 
-    for _ in range(qual.ROUNDS):
+    while True:
         p = [posterior(row) for row in votes]
         old = [share, *g, *b]
-        share = min(0.99, max(0.01, sum(p) / len(p)))
+        share = (sum(p) + qual.WEIGHT_SHARE * n * qual.PRIOR_SHARE) / (n + qual.WEIGHT_SHARE * n)
+        g, b = list(g), list(b)
         for i in range(len(g)):
-            right = sum(x for x, row in zip(p, votes, strict=True) if row[i] == 1) + 2 * qual.FIRST_GOOD
-            g[i] = right / (sum(x for x, row in zip(p, votes, strict=True) if row[i]) + 2)
-            right = sum(1 - x for x, row in zip(p, votes, strict=True) if row[i] == -1) + 2 * qual.FIRST_BAD
-            b[i] = right / (sum(1 - x for x, row in zip(p, votes, strict=True) if row[i]) + 2)
-        g = [min(qual.ON_GOOD[1], max(qual.ON_GOOD[0], x)) for x in g]
-        b = [min(qual.ON_BAD[1], max(qual.ON_BAD[0], x)) for x in b]
+            right = sum(x for x, row in zip(p, votes, strict=True) if row[i] == 1) + qual.WEIGHT_GOOD * n * qual.PRIOR_GOOD
+            g[i] = right / (sum(x for x, row in zip(p, votes, strict=True) if row[i]) + qual.WEIGHT_GOOD * n)
+            right = sum(1 - x for x, row in zip(p, votes, strict=True) if row[i] == -1) + qual.WEIGHT_BAD * n * qual.PRIOR_BAD
+            b[i] = right / (sum(1 - x for x, row in zip(p, votes, strict=True) if row[i]) + qual.WEIGHT_BAD * n)
         if max(abs(x - y) for x, y in zip(old, [share, *g, *b], strict=True)) <= qual.TOLERANCE:
-            break
-    return [posterior(row) for row in votes]
+            return share, g, b, [posterior(row) for row in votes]
 
 
 def test_quality_against_brute_force(spark):
     rows = qual.judge_quality(real(spark)).collect()
     votes = [tuple(r[f"vote_{rule[0]}"] for rule in qual.RULES) for r in rows]
-    for r, p in zip(rows, label_model_by_hand(votes), strict=True):
+    share, good, bad, posterior = label_model_by_hand(votes)
+    for r, p in zip(rows, posterior, strict=True):
         assert r.p_good == pytest.approx(p, abs=1e-9)
         assert r.kept == (not r.base_failed and p >= qual.MIN_POSTERIOR)
+    names = [f"vote_{rule[0]}" for rule in qual.RULES]
+    patterns = spark.createDataFrame([(*k, n) for k, n in collections.Counter(votes).items()], ", ".join(f"{n} int" for n in names) + ", n long")
+    model = qual.fit_label_model(patterns, names)
+    assert model[0] == pytest.approx(share) and list(model[1].values()) == pytest.approx(good) and list(model[2].values()) == pytest.approx(bad)
+    plain = sum(math.log(share * math.prod({1: x, -1: 1 - x, 0: 1}[v] for v, x in zip(row, good, strict=True)) + (1 - share) * math.prod({1: 1 - y, -1: y, 0: 1}[v] for v, y in zip(row, bad, strict=True))) for row in votes)
+    assert qual.log_likelihood(patterns, *model) == pytest.approx(plain)
+    start = (qual.PRIOR_SHARE, dict.fromkeys(names, qual.PRIOR_GOOD), dict.fromkeys(names, qual.PRIOR_BAD))
+    assert qual.log_likelihood(patterns, *start) < qual.log_likelihood(patterns, *model)
 
 
 def test_quality_of_repeated_rows(spark, odd_docs):
