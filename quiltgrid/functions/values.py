@@ -211,10 +211,19 @@ def eomonth(day: Column, months) -> Column:
 
 
 def date_dif(start: Column, end: Column, unit: str) -> Column:
-    """DATEDIF: whole Y, M or D, and the rests YM, MD; null if the end is before the start."""
+    """DATEDIF: whole Y, M or D, and the rests YM, YD, MD; null if the end is before the start.
+
+    MD counts the days of the month before the end's to the end, so that it is negative
+    where that month is shorter than the start's day.
+    """
     start, end = start.cast("date"), end.cast("date")
-    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) - (F.day(end) < F.day(start)).cast("int")
-    out = {"Y": F.floor(months / 12), "M": months.cast("long"), "D": F.datediff(end, start).cast("long"), "YM": (months % 12).cast("long"), "MD": F.datediff(end, F.add_months(start, months)).cast("long")}[unit.upper()]
+    short = F.day(end) < F.day(start)
+    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) - short.cast("int")
+    years = F.floor(months / 12)
+    days = F.day(end) - F.day(start) + F.when(short, F.day(F.last_day(F.add_months(end, -1)))).otherwise(0)
+    out = {
+        "Y": years, "M": months.cast("long"), "D": F.datediff(end, start).cast("long"), "YM": (months % 12).cast("long"), "YD": F.datediff(end, F.add_months(start, (years * 12).cast("int"))).cast("long"), "MD": days.cast("long"),
+    }[unit.upper()]
     return F.when(end >= start, out)
 
 

@@ -282,9 +282,11 @@ def gcd_lcm(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def bivariate(df: DataFrame, keys: list[str], y: str, x: str) -> DataFrame:
     """Correlation, covariances and the least-squares line of y on x, of pairs that are both numbers."""
     y, x = number(y), number(x)
+    y, x = F.when(x.isNotNull(), y), F.when(y.isNotNull(), x)
+    correl = F.try_divide(F.covar_pop(y, x), F.stddev_pop(y) * F.stddev_pop(x))  # null where either is the same throughout
     return df.groupBy(*keys).agg(
-        F.corr(y, x).alias("correl"), F.covar_pop(y, x).alias("covar_p"), F.covar_samp(y, x).alias("covar_s"),
-        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("rsq"),
+        correl.alias("correl"), F.covar_pop(y, x).alias("covar_p"), F.covar_samp(y, x).alias("covar_s"),
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.when(F.var_pop(y) > 0, F.regr_r2(y, x)).alias("rsq"),
     )
 
 
@@ -298,17 +300,18 @@ CELL_CHARS = 32_767
 TOO_LONG = "#VALUE!"
 
 
-def text_agg(df: DataFrame, keys: list[str], value: str, pos: str, delimiter: str) -> DataFrame:
-    """A group's texts in order of ``pos``, empty ones skipped, joined; and as an array's text.
+def text_agg(df: DataFrame, keys: list[str], value: str, pos: str, delimiter: str, skip_empty: bool = True) -> DataFrame:
+    """A group's texts in order of ``pos`` joined, and as an array's text; empty ones skipped, or kept as "".
 
     A text longer than a cell holds is the error ``#VALUE!``. Lengths are summed first,
-    so that only groups that fit are brought together: 32,767 texts at most.
+    so that only groups that fit are brought together: 32,767 texts at most, or one more
+    where empty ones are joined by a delimiter.
     """
     text = F.col(value).cast("string")
-    rows = df.select(*keys, F.col(pos).alias("_at"), F.when(text != "", text).alias("_text"))
+    rows = df.select(*keys, F.col(pos).alias("_at"), (F.when(text != "", text) if skip_empty else F.coalesce(text, F.lit(""))).alias("_text"))
     sized = with_totals(rows, keys, {"_chars": F.coalesce(F.sum(F.length("_text")), F.lit(0)), "_texts": F.count("_text")})
     long = lambda between, around: F.col("_chars") + F.greatest(F.col("_texts") - 1, F.lit(0)) * len(between) + around > CELL_CHARS
-    listed = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull() & ~long("", 0), F.struct("_at", "_text"))))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull() & ~long(delimiter[:1] if skip_empty else delimiter, 0), F.struct("_at", "_text"))))
     grouped = sized.groupBy(*keys).agg(listed.alias("_listed"), F.max("_chars").alias("_chars"), F.max("_texts").alias("_texts"))
     texts = F.transform("_listed", lambda s: s["_text"])
     joined = F.when(long(delimiter, 0), TOO_LONG).otherwise(F.array_join(texts, delimiter))
