@@ -53,16 +53,16 @@ ADDED = ("n_lines", "n_removed")
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with the repeated lines cut out of ``text``, and n_lines, n_removed."""
     # The input's columns travel as one, so that none of their names can meet one of ours.
-    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text", F.xxhash64("text").alias("doc_hash"))
-    found = repeated_lines(own, window).select(F.col("doc_id").alias("of_id"), F.col("doc_hash").alias("of_hash"), "removed")
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", F.xxhash64("text").alias("doc_hash"))
+    found = repeated_lines(docs.select("doc_id", "text"), window).select(F.col("doc_id").alias("of_id"), F.col("doc_hash").alias("of_hash"), "removed")
     marked = own.join(found, (F.col("doc_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
-    lines = F.split("text", "\n")
+    lines = F.split("row.text", "\n")
     # Runs of lines between one removed line and the next, and after the last.
     since = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("removed", k - 1) + 1)
     ends = F.concat("removed", F.array(F.col("n_lines")))
     cut = let(lines, lambda x: F.array_join(F.flatten(F.transform(ends, lambda end, k: F.slice(x, since(k) + 1, end - since(k)))), "\n"))
     out = marked.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut)
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(cut)
     kept = [text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(f"_own_{c}" if c in ADDED else c) for c in docs.columns]
     return out.select(*kept, "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"))
 
