@@ -152,8 +152,8 @@ def test_shares_of_nothing(spark):
 def test_percent_rank_of_ties_and_nulls(spark):
     rows = [("a", 1, 5.0), ("a", 2, 5.0), ("a", 3, 7.0), ("a", 4, None), (None, 5, 1.0), (None, 6, 2.0), ("b", 7, 3.0)]
     found = by(W.percent_rank_at(spark.createDataFrame(rows, "k string, pos long, v double"), ["k"], "v"), "pos")
-    assert {p: r["rank_inc"] for p, r in found.items()} == {1: 0.333, 2: 0.333, 3: 1.0, 4: 0.0, 5: 0.0, 6: 1.0, 7: 1.0}
-    assert {p: r["rank_exc"] for p, r in found.items()} == {1: 0.4, 2: 0.4, 3: 0.8, 4: 0.2, 5: 0.333, 6: 0.666, 7: 0.5}
+    assert {p: r["rank_inc"] for p, r in found.items()} == {1: 0.0, 2: 0.0, 3: 1.0, 4: None, 5: 0.0, 6: 1.0, 7: 1.0}  # blanks are skipped
+    assert {p: r["rank_exc"] for p, r in found.items()} == {1: 0.25, 2: 0.25, 3: 0.75, 4: None, 5: 0.333, 6: 0.666, 7: 0.5}
 
 
 def test_groups_without_keys(spark):
