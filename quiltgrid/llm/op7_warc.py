@@ -229,7 +229,7 @@ def captures_of(records: DataFrame) -> DataFrame:
     Those make chains; all links' components are found then, by the least id that spreads
     along links and from node to label until nothing moves.
     """
-    links = records.select(F.col("record_id").alias("u"), F.explode("concurrent_to").alias("v")).where("u is not null and u <> v").distinct()
+    links = materialize(records.select(F.col("record_id").alias("u"), F.explode("concurrent_to").alias("v")).where("u is not null and u <> v").distinct())
     several = links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
     chained = links.join(links.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u")
     if several.unionByName(chained).isEmpty():
@@ -284,7 +284,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     pages, key = row_key(spark, f"{sf_dir}/pages.parquet")
     write_warc(pages, path, key)
-    captures = materialize(assemble_transactions(read_warc(spark, path, keep_blocks=False)))
+    records = materialize(read_warc(spark, path, keep_blocks=False))  # archives are unpacked once
+    captures = materialize(assemble_transactions(records))
     return resolve_revisits(captures)
 
 
