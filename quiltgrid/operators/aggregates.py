@@ -300,17 +300,21 @@ CELL_CHARS = 32_767
 TOO_LONG = "#VALUE!"
 
 
-def text_agg(df: DataFrame, keys: list[str], value: str, pos: str, delimiter: str, skip_empty: bool = True) -> DataFrame:
+def text_agg(df: DataFrame, keys: list[str], value: str, pos: str, delimiter: str, skip_empty: bool = True, cell_chars: int | None = CELL_CHARS) -> DataFrame:
     """A group's texts in order of ``pos`` joined, and as an array's text; empty ones skipped, or kept as "".
 
-    A text longer than a cell holds is the error ``#VALUE!``. Lengths are summed first,
-    so that only groups that fit are brought together: 32,767 texts at most, or one more
-    where empty ones are joined by a delimiter.
+    A text longer than ``cell_chars``, what a cell holds, is the error ``#VALUE!``. Lengths
+    are summed first, so that only groups that fit are brought together: 32,767 texts at
+    most, or one more where empty ones are joined by a delimiter. If it is None, texts are
+    whole, whatever their length: ranges of (keys, ``pos``) are joined each for itself,
+    then a group's ranges.
     """
     text = F.col(value).cast("string")
     rows = df.select(*keys, F.col(pos).alias("_at"), (F.when(text != "", text) if skip_empty else F.coalesce(text, F.lit(""))).alias("_text"))
+    if cell_chars is None:
+        return _whole_text(rows, keys, delimiter)
     sized = with_totals(rows, keys, {"_chars": F.coalesce(F.sum(F.length("_text")), F.lit(0)), "_texts": F.count("_text")})
-    long = lambda between, around: F.col("_chars") + F.greatest(F.col("_texts") - 1, F.lit(0)) * len(between) + around > CELL_CHARS
+    long = lambda between, around: F.col("_chars") + F.greatest(F.col("_texts") - 1, F.lit(0)) * len(between) + around > cell_chars
     listed = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull() & ~long(delimiter[:1] if skip_empty else delimiter, 0), F.struct("_at", "_text"))))
     grouped = sized.groupBy(*keys).agg(listed.alias("_listed"), F.max("_chars").alias("_chars"), F.max("_texts").alias("_texts"))
     texts = F.transform("_listed", lambda s: s["_text"])
@@ -319,6 +323,17 @@ def text_agg(df: DataFrame, keys: list[str], value: str, pos: str, delimiter: st
     return grouped.select(*keys, joined.alias("joined"), quoted.alias("array_text"))
 
 
+def _whole_text(rows: DataFrame, keys: list[str], delimiter: str) -> DataFrame:
+    """``text_agg`` without a limit, of rows (keys, _at, _text): only a group's joined text is held in one row."""
+    ranged = rows.repartitionByRange(*keys, "_at", "_text").withColumn("_range", F.spark_partition_id())
+    listed = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_at", "_text"))))
+    parts = ranged.groupBy(*keys, "_range").agg(listed.alias("_listed")).withColumn("_texts", F.transform("_listed", lambda s: s["_text"]))
+    parts = parts.select(*keys, F.when(F.size("_texts") > 0, F.struct("_range", *(F.array_join("_texts", d).alias(c) for c, d in (("joined", delimiter), ("quoted", '","'))))).alias("_part"))
+    grouped = parts.groupBy(*keys).agg(F.array_sort(F.collect_list("_part")).alias("_parts"))
+    whole = lambda c, d: F.array_join(F.transform("_parts", lambda p: p[c]), d)
+    return grouped.select(*keys, whole("joined", delimiter).alias("joined"), F.concat(F.lit('{"'), whole("quoted", '","'), F.lit('"}')).alias("array_text"))
+
+
 def linear_predict(df: DataFrame, keys: list[str], y: str, x: str, at: list[float]) -> DataFrame:
     """A10: a group's line at given places, and the exponential curve fitted through ln y, of pairs that are both numbers."""
     y, x = number(y), number(x)
