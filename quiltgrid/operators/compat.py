@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quiltgrid.functions.values import ERROR_CODES, to_serial
 from quiltgrid.operators.scans import same_keys
 from quiltgrid.operators.tables import distinct_values
-from quiltgrid.session import materialize
+from quiltgrid.session import dealt, materialize
 
 # Parts of engine names, in the order in which they are tried, and the keys they give.
 LABELS = (("libreoffice", "libreoffice"), ("excel", "excel"), ("google", "google_sheets"), ("sheets", "google_sheets"))
@@ -192,40 +192,90 @@ def inverted_index(df: DataFrame, token: str, item: str) -> DataFrame:
 HOT = 1000
 
 
-def _top_shared(left: DataFrame, right: DataFrame, k: int, hot: int, apart: bool) -> DataFrame:
+#: Rows that a key may have for its items to be counted in one row; with ``HOT`` this bounds that row.
+KEY_TOKENS = 2000
+#: Items in lists that weigh as much as a row when rows are dealt out.
+LISTED = 16
+
+
+def _top_shared(left: DataFrame, right: DataFrame, k: int, hot: int, apart: bool, key_tokens: int = KEY_TOKENS) -> DataFrame:
     """(_key, _item, _score, _place): for each key of ``left`` (_key, _t) the k items of ``right`` (_item, _t) that share most tokens.
 
-    Pairs are listed by tokens of up to ``hot`` items. Tokens of more items are counted
-    between sets: items with the same set of them are alike but for their names, so that
-    of each set the first k + 1 names are kept, and sets that share such a token are
-    paired. Exact: what an item shares through frequent tokens alone can only be among the
-    first k of that order. ``apart`` leaves out an item's pair with itself.
+    A token's items travel to its keys as one list, and a key's lists are counted in its
+    row, so that no pair is a row of its own. Keys of more than ``key_tokens`` rows, and
+    all keys if a token has more than ``hot`` items, are counted pair by pair. ``apart``
+    leaves out an item's pair with itself.
     """
-    # Repeated rows may count a token as frequent that isn't: that makes no difference to the result.
-    often = materialize(right.groupBy("_t").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("_t"))
-    left, right = left.distinct(), right.distinct()
-    if often.isEmpty():
-        scored = left.join(right, "_t").groupBy("_key", "_item").agg(F.count("*").alias("_score"))
-    else:
-        sets = lambda df, c: materialize(df.join(often, "_t", "left_semi").groupBy(c).agg(F.array_sort(F.collect_set("_t")).alias(f"_set{c}")))
-        own, others = sets(left, "_key"), sets(right, "_item")
-        shared = F.when(F.col("_set_key").isNotNull() & F.col("_set_item").isNotNull(), F.size(F.array_intersect("_set_key", "_set_item"))).otherwise(0)
-        rare = left.join(right.join(often, "_t", "left_anti"), "_t").groupBy("_key", "_item").agg(F.count("*").alias("_c"))
-        rare = rare.join(own, "_key", "left").join(others, "_item", "left").select("_key", "_item", (F.col("_c") + shared).alias("_score"))
-        first = Window.partitionBy("_set_item").orderBy("_item")
-        names = others.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= k + 1)
-        each = lambda df, c: df.select(c).distinct().withColumn("_t", F.explode(c))
-        met = each(own, "_set_key").join(each(names, "_set_item"), "_t").groupBy("_set_key", "_set_item").agg(F.count("*").alias("_score"))
-        best = Window.partitionBy("_set_key").orderBy(F.col("_score").desc(), "_item")
-        ranked = met.join(names, "_set_item").withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= k + 1)
-        by_set = own.join(ranked, "_set_key").select("_key", "_item", "_score")
-        scored = rare.unionByName(by_set).groupBy("_key", "_item").agg(F.max("_score").alias("_score"))
+    # Repeated rows may count a token as frequent that isn't, or a key as large: that makes no difference to the result.
+    tokens = left.select("_t", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(right.select("_t", F.lit(0), F.lit(1))).groupBy("_t").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    size = tokens.agg(F.max("_r").alias("most"), F.sum("_l").alias("left"), F.sum("_r").alias("right"), F.sum(F.col("_l") * F.col("_r")).alias("pairs")).first()
+    if (size["most"] or 0) > hot:
+        often = materialize(tokens.where(F.col("_r") > hot).select("_t"))
+        return _best(_scored_by_sets(left.distinct(), right.distinct(), often, k), k, apart)
+    rows = max(size["left"] or 0, size["right"] or 0)
+    large = materialize(left.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > key_tokens).select("_key"))
+    some = not large.isEmpty()
+    lists = dealt(right, rows, "_t").groupBy("_t").agg(F.collect_set("_item").alias("_items"))
+    own = dealt(left.join(large, "_key", "left_anti") if some else left, rows, "_t").distinct()
+    met = dealt(own.join(lists, "_t").select("_key", "_items"), max(rows, (size["pairs"] or 0) // LISTED), "_key")
+    top = _best_of_lists(met.groupBy("_key").agg(F.flatten(F.collect_list("_items")).alias("_all")), k, apart)
+    if not some:
+        return top
+    pairs = left.join(large, "_key", "left_semi").distinct().join(right.distinct(), "_t")
+    return top.unionByName(_best(pairs.groupBy("_key", "_item").agg(F.count("*").alias("_score")), k, apart))
+
+
+def _best(scored: DataFrame, k: int, apart: bool) -> DataFrame:
+    """The first k of each key's rows (_key, _item, _score)."""
     if apart:
         scored = scored.where(F.col("_key") != F.col("_item"))
     order = Window.partitionBy("_key").orderBy(F.col("_score").desc(), "_item")
     return scored.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
 
 
+def _best_of_lists(keys: DataFrame, k: int, apart: bool) -> DataFrame:
+    """The same of rows (_key, _all), each item being in the list as often as it shares a token.
+
+    In the sorted list an item that was there before is a repeat; runs of repeats give the
+    scores above 1. Where these are fewer than k, the first of the other items follow.
+    """
+    sort = keys.select("_key", F.sort_array(F.array_remove("_all", F.col("_key")) if apart else "_all").alias("_all"))
+    sort = sort.withColumn("_again", F.filter("_all", lambda x, i: x == F.get("_all", i - 1)))
+    sort = sort.withColumn("_starts", F.array_compact(F.transform("_again", lambda x, i: F.when((i == 0) | (x != F.get("_again", i - 1)), i))))
+    run = lambda s, j: F.struct((s - F.coalesce(F.get("_starts", j + 1), F.size("_again")) - 1).alias("less"), F.get("_again", s).alias("item"))
+    sort = sort.withColumn("_best", F.slice(F.sort_array(F.transform("_starts", run)), 1, k))
+    # Fewer than k of the first 2 * k different items are among the best.
+    others = F.slice(F.array_except(F.slice(F.array_distinct("_all"), 1, 2 * k), F.transform("_best", lambda b: b["item"])), 1, k)
+    filled = F.slice(F.concat("_best", F.transform(others, lambda x: F.struct(F.lit(-1).alias("less"), x.alias("item")))), 1, k)
+    sort = sort.withColumn("_best", F.when(F.size("_best") < k, filled).otherwise(F.col("_best")))
+    # Outer: else a filter by the list's size would count every list twice.
+    each = sort.select("_key", F.posexplode_outer("_best").alias("_nth", "_b")).where(F.col("_nth").isNotNull())
+    return each.select("_key", F.col("_b.item").alias("_item"), (-F.col("_b.less")).cast("long").alias("_score"), (F.col("_nth") + 1).alias("_place"))
+
+
+def _scored_by_sets(left: DataFrame, right: DataFrame, often: DataFrame, k: int) -> DataFrame:
+    """(_key, _item, _score) where tokens ``often`` are frequent: all that may be among a key's first k.
+
+    Pairs are listed by the other tokens. Frequent ones are counted between sets: items
+    with the same set of them are alike but for their names, so that of each set the first
+    k + 1 names are kept, and sets that share such a token are paired. Exact: what an item
+    shares through frequent tokens alone can only be among the first k of that order.
+    """
+    sets = lambda df, c: materialize(df.join(often, "_t", "left_semi").groupBy(c).agg(F.array_sort(F.collect_set("_t")).alias(f"_set{c}")))
+    own, others = sets(left, "_key"), sets(right, "_item")
+    shared = F.when(F.col("_set_key").isNotNull() & F.col("_set_item").isNotNull(), F.size(F.array_intersect("_set_key", "_set_item"))).otherwise(0)
+    rare = left.join(right.join(often, "_t", "left_anti"), "_t").groupBy("_key", "_item").agg(F.count("*").alias("_c"))
+    rare = rare.join(own, "_key", "left").join(others, "_item", "left").select("_key", "_item", (F.col("_c") + shared).alias("_score"))
+    first = Window.partitionBy("_set_item").orderBy("_item")
+    names = others.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= k + 1)
+    each = lambda df, c: df.select(c).distinct().withColumn("_t", F.explode(c))
+    met = each(own, "_set_key").join(each(names, "_set_item"), "_t").groupBy("_set_key", "_set_item").agg(F.count("*").alias("_score"))
+    best = Window.partitionBy("_set_key").orderBy(F.col("_score").desc(), "_item")
+    ranked = met.join(names, "_set_item").withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= k + 1)
+    by_set = own.join(ranked, "_set_key").select("_key", "_item", "_score")
+    return rare.unionByName(by_set).groupBy("_key", "_item").agg(F.max("_score").alias("_score"))
+
+
 def related_items(df: DataFrame, token: str, item: str, k: int = 5, hot: int = HOT) -> DataFrame:
     """For each item, the k others that share most tokens (ties by name); a token that all items share isn't squared."""
     pairs = df.select(F.col(item).alias("_item"), F.col(token).alias("_t")).where("_item is not null and _t is not null")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -9,6 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that a task gets on average, at most, where rows are dealt out by their number.
+TASK_ROWS = 500_000
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="spark-")
     return (
@@ -45,3 +50,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df``, of about that many rows, dealt out by ``keys``: what a task holds stays the same however many rows there are.
+
+    Spark's own number of partitions is kept where it is enough.
+    """
+    tasks = math.ceil(rows / TASK_ROWS)
+    return df.repartition(*keys) if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
