@@ -6,6 +6,7 @@ import duck
 import pytest
 from pyspark.sql import functions as F
 
+from quiltgrid import session
 from quiltgrid.operators import aggregates as A
 from quiltgrid.operators import compat as P
 from quiltgrid.plans import registry
@@ -67,3 +68,12 @@ def test_best_of_lists_and_of_pairs(spark, named, key_tokens):
     own = P._top_shared(items.withColumnRenamed("_item", "_key"), items, 5, 1000, apart=True, key_tokens=key_tokens)
     assert {tuple(r) for r in own.collect()} == _pairs_and_best(rows, [(i, t) for t, i in rows], 5, True)
     assert P._top_shared(keys.limit(0), items, 6, 1000, apart=False, key_tokens=key_tokens).count() == 0
+
+
+def test_pairs_are_not_rows_and_tasks_grow_with_rows(spark, monkeypatch):
+    """Items travel as lists, in as many tasks as their number asks for."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    items = spark.range(3000).select((F.col("id") % 100).alias("g"), (F.col("id") % 300).alias("t"), F.col("id").alias("i"))
+    plan = P.items_for_group(items, items, "g", "t", "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(_items" in plan and "RepartitionByExpression [_t" in plan and "], 30" in plan
+    assert "RepartitionByExpression [_key" in plan
