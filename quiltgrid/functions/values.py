@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -492,8 +494,17 @@ def ppmt(rate, period, n, pv_, fv_=0.0, start: int = 0) -> Column:
 
 
 def cumipmt(rate, n, pv_, first, last, start: int = 0) -> Column:
-    """CUMIPMT: interest of payments ``first`` to ``last``."""
-    return F.aggregate(F.sequence(lit(first).cast("int"), lit(last).cast("int")), F.lit(0.0), lambda acc, k: acc + ipmt(rate, k, n, pv_, 0.0, start))
+    """CUMIPMT: interest of payments ``first`` to ``last``, in either order; null if one is outside 1 to n.
+
+    In closed form: what is owed grows by the interest and falls by the payments.
+    """
+    r, a, b = lit(rate), lit(first).cast("int"), lit(last).cast("int")
+    payment = payment_of(rate, n, pv_, 0.0, start)
+    low, high = F.least(a, b), F.greatest(a, b)
+    before = F.greatest(low - 1, F.lit(start))  # the first payment at the start of a period has no interest
+    grown = _balance(rate, high, payment, pv_, start) - _balance(rate, before, payment, pv_, start)
+    interest = F.when((r == 0) | (high <= before), 0.0).otherwise((high - before) * payment + grown / (1 + r * start))
+    return F.when((a >= 1) & (b >= 1) & (a <= lit(n)) & (b <= lit(n)), interest)
 
 
 def cumprinc(rate, n, pv_, first, last, start: int = 0) -> Column:
@@ -501,24 +512,27 @@ def cumprinc(rate, n, pv_, first, last, start: int = 0) -> Column:
     return (lit(last) - lit(first) + 1) * payment_of(rate, n, pv_, 0.0, start) - cumipmt(rate, n, pv_, first, last, start)
 
 
-def rate(n, payment, pv_, fv_=0.0, start: int = 0) -> Column:
-    """RATE: the rate of a period, by halving a range; null if the worth keeps its sign in (-0.99, 10)."""
-    n = lit(n)
-
-    def worth(r: Column) -> Column:
+def _rate(n: pd.Series, payment: pd.Series, pv: pd.Series, fv: pd.Series, start: pd.Series) -> pd.Series:
+    def worth(r: np.ndarray) -> np.ndarray:
         """Of all flows today; a huge discount factor is held below what a double overflows at."""
-        factor = F.exp(F.least(-n * F.log1p(r), F.lit(600.0)))
-        each = F.when(r == 0, n.cast("double")).otherwise((1 + r * start) * F.try_divide(1 - factor, r))
-        return lit(pv_) + lit(payment) * each + lit(fv_) * factor
-
-    def step(acc, _):
-        mid = (acc["low"] + acc["high"]) / 2
-        left = worth(acc["low"]) * worth(mid) <= 0
-        return F.struct(F.when(left, acc["low"]).otherwise(mid).alias("low"), F.when(left, mid).otherwise(acc["high"]).alias("high"))
-
-    ends = F.struct(F.lit(-0.99).alias("low"), F.lit(10.0).alias("high"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(60)), ends, step, lambda acc: (acc["low"] + acc["high"]) / 2)
-    return F.when(worth(F.lit(-0.99)) * worth(F.lit(10.0)) <= 0, found)
+        factor = np.exp(np.minimum(-n * np.log1p(r), 600.0))
+        each = np.where(r == 0, n, (1 + r * start) * (1 - factor) / np.where(r == 0, 1.0, r))
+        return pv + payment * each + fv * factor
+
+    n, payment, pv, fv, start = (x.to_numpy(float) for x in (n, payment, pv, fv, start))
+    low, high = np.full(len(n), -0.99), np.full(len(n), 10.0)
+    with np.errstate(all="ignore"):
+        sign, crosses = np.sign(worth(low)), worth(low) * worth(high) <= 0
+        for _ in range(60):  # a low end keeps its sign, so that only the middle is looked at
+            mid = (low + high) / 2
+            left = sign * np.sign(worth(mid)) <= 0
+            low, high = np.where(left, low, mid), np.where(left, mid, high)
+    return pd.Series(np.where(crosses, (low + high) / 2, np.nan))
+
+
+def rate(n, payment, pv_, fv_=0.0, start: int = 0) -> Column:
+    """RATE: the rate of a period, by halving a range for many rows at once; null if the worth keeps its sign in (-0.99, 10)."""
+    return F.pandas_udf(_rate, "double")(*(lit(x).cast("double") for x in (n, payment, pv_, fv_, start)))
 
 
 def nper(rate, payment, pv_, fv_=0.0) -> Column:
