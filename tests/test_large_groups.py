@@ -119,3 +119,11 @@ def test_rates_of_many_rows(spark):
         assert found.pop((None, -60.0, 1000.0, 0.0)) is None
         assert found == {r: None if (x := plain(*r, start)) is None else pytest.approx(x, abs=1e-9) for r in rows}
         assert 10 < sum(x is not None for x in found.values()) < len(rows)
+
+
+def test_lookups_are_counted_in_tasks_by_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    found = registry.queries()["j1_lookup_parts"](spark, duck.DATA)
+    rows = spark.read.parquet(f"{duck.DATA}/lineitem.parquet").count()
+    assert "RepartitionByExpression [l_partkey#" in (plan := found._jdf.queryExecution().optimizedPlan().toString()) and f"], {rows // 100}" in plan
+    duck.check(found, registry.oracle_sql()["j1_lookup_parts"])
