@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import materialize, table
+from quiltgrid.llm.common import in_small_batches, materialize, table
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -98,7 +98,7 @@ def hash_shingles(texts: list[str | None], width: int, distinct: bool, seed: int
     return (np.concatenate(found) if found else np.empty(0, np.uint64)), counts
 
 
-def _slices(texts: list, most_chars: int = 4_000_000):
+def _slices(texts: list, most_chars: int = 1_000_000):
     """Runs of texts of limited length together, so that a task's arrays stay small."""
     at, size = 0, 0
     for i, text in enumerate(texts):
@@ -123,7 +123,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 # Joining tries
@@ -408,7 +408,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     step = max(1, docs.count() // COMMON_DOCS)
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text")
-    counts = sample.mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST)
+    counts = in_small_batches(sample).mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST)
     rows = counts.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).collect()
     grams, n = np.array([r.gram for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
     order = np.argsort(grams)
@@ -459,7 +459,7 @@ def text_sketches(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), *columns], ["doc_id", "digest", "fps", "sketch", "n_grams", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, fps array<long>, sketch binary, n_grams long, rare array<long>")
+    return in_small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, fps array<long>, sketch binary, n_grams long, rare array<long>")
 
 
 def _grouped(rows: DataFrame, member: DataFrame) -> DataFrame:
@@ -593,7 +593,7 @@ def _verified(edges: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
                 near.append(both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(near, pa.bool_()))
 
-    return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+    return in_small_batches(pairs).select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -29,13 +29,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import table
+from quiltgrid.llm.common import in_small_batches, table
 
 ORDER = 3
 #: Different labelled texts that a language is learned from, as expected.
 TRAIN_DOCS = 1500
 #: Text bytes that are scored at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 PAD = b"\n" * ORDER
 UNKNOWN = "und"
 
@@ -75,7 +75,7 @@ def count_grams(sample: DataFrame) -> DataFrame:
                 gram, n = np.unique(gram[np.cumsum(own)[ORDER : len(x)] > 0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)], ["lang", "gram", "n"])
 
-    return sample.select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return in_small_batches(sample).select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def training_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: tuple[list[str], Trees] | None) -> DataFram
     from pyspark.sql import types as T
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return in_small_batches(docs).mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

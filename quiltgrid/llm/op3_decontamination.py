@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quiltgrid.llm.common import materialize, table
+from quiltgrid.llm.common import in_small_batches, materialize, table
 
 Q = 10
 PIECE, STRIDE = 100, 50
@@ -43,7 +43,7 @@ EDIT_RATE = 0.06
 #: Grams that more pieces than this hold are left out, as far as the bound stays at ``LEAST_SHARED``.
 COMMON, LEAST_SHARED = 4, 12
 BLOCK_CHARS = 1_000_000
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Shared grams that are counted at once, but for those of one match's length of text.
 MOST_SHARED = 1 << 21
 FILTER_BITS = 22
@@ -219,7 +219,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
                     rest = [pa.array([r[k] for r in rows], kind) for k, kind in ((1, to_arrow_type(item_type)), (2, pa.int64()), (3, pa.int64()))]
                     yield pa.RecordBatch.from_arrays([found, *rest], schema.fieldNames())
 
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
+        return in_small_batches(docs).select("doc_id", "text").mapInArrow(run, schema)
 
     found = []
     for index, alone in _indexes(benchmark, block_chars):
@@ -240,7 +240,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_C
                 leaking = {start + r[0] for start, some in _slices(batch.column("text")) for r in index.value.leaks(some)}
                 yield batch.filter(pa.array([i not in leaking for i in range(batch.num_rows)], pa.bool_()))
 
-        return docs.mapInArrow(run, docs.schema)
+        return in_small_batches(docs).mapInArrow(run, docs.schema)
 
     for index, alone in _indexes(benchmark, block_chars):
         docs = scan(docs, index) if alone else materialize(scan(docs, index))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows that a task gets on average, at most, where rows are dealt out by their number.
 TASK_ROWS = 500_000
+#: Rows of texts that go to Python in one batch, at most.
+BATCH_ROWS = 1000
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -52,6 +54,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends Python ``BATCH_ROWS`` rows at once at most: a batch is held several times, by the executor and its workers.
+
+    A smaller number that the session has is kept.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """``df``, of about that many rows, dealt out by ``keys``: what a task holds stays the same however many rows there are.
 

@@ -5,14 +5,17 @@ import hashlib
 import zlib
 
 import duck
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quiltgrid.llm import op1_language_id as lang
 from quiltgrid.llm import op2_mixing as mix
 from quiltgrid.llm import op3_decontamination as dec
 from quiltgrid.llm import op4_url_filter as url
 from quiltgrid.llm import op6_sharding as shard
 from quiltgrid.llm import op9_line_dedup as lines
+from quiltgrid.llm import op10_simhash as sim
 from quiltgrid.llm.common import told_apart
 
 
@@ -119,3 +122,25 @@ def test_written_shards_keep_own_columns(spark, tmp_path):
     shard.write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.doc_id, r["_row"], r["_own_shard"], r["_place"]) for r in back.collect()) == [(i, i, i + 5, "p") for i in range(40)]
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """A worker holds a slice of a small batch, however many rows a partition has; a session's smaller batches stay."""
+    key, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", 2500
+    docs = spark.range(rows).selectExpr("id as doc_id", "concat('a few words of text ', id) as text", "if(id % 2 = 0, 'en', 'de') as lang").repartition(1)
+    bench = spark.createDataFrame([(1, "something else that is in no text")], "item_id long, text string")
+    sizes = lambda batches: (b.select(["doc_id"]).slice(0, 1).set_column(0, "doc_id", pa.array([b.num_rows], pa.int64())) for b in batches)
+    steps = [lambda: lang.identify(docs, None), lambda: dec.drop_leaks(docs, bench), lambda: dec.find_leaks(docs, bench), lambda: sim.fingerprints(docs), lambda: sim.text_sketches(docs)]
+    before = spark.conf.get(key)
+    try:
+        for step in steps:
+            spark.conf.set(key, before)
+            step()
+            got = [r.doc_id for r in docs.select("doc_id").mapInArrow(sizes, "doc_id long").collect()]
+            assert sum(got) == rows and max(got) <= 1000
+        spark.conf.set(key, 10)
+        assert dec.drop_leaks(docs, bench).count() == rows and spark.conf.get(key) == "10"
+    finally:
+        spark.conf.set(key, before)
+    texts = pa.array([f"{i} " * 5000 for i in range(100)])
+    assert max(sum(map(len, some)) for _, some in dec._slices(texts)) < 300_000
