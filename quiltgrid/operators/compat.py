@@ -207,7 +207,9 @@ def _top_shared(left: DataFrame, right: DataFrame, k: int, hot: int, apart: bool
     leaves out an item's pair with itself.
     """
     # Repeated rows may count a token as frequent that isn't, or a key as large: that makes no difference to the result.
-    tokens = left.select("_t", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(right.select("_t", F.lit(0), F.lit(1))).groupBy("_t").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    # Dealt out first: a map of a whole input split's tokens grows with the table.
+    both = left.select("_t", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(right.select("_t", F.lit(0), F.lit(1)))
+    tokens = dealt(both, left.count() + right.count(), "_t").groupBy("_t").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     size = tokens.agg(F.max("_r").alias("most"), F.sum("_l").alias("left"), F.sum("_r").alias("right"), F.sum(F.col("_l") * F.col("_r")).alias("pairs")).first()
     if (size["most"] or 0) > hot:
         often = materialize(tokens.where(F.col("_r") > hot).select("_t"))

@@ -68,7 +68,11 @@ def in_small_batches(df: DataFrame) -> DataFrame:
 def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """``df``, of about that many rows, dealt out by ``keys``: what a task holds stays the same however many rows there are.
 
-    Spark's own number of partitions is kept where it is enough.
+    The number is named, as Spark merges partitions of its own number up to many times these
+    rows where they compress well; rows that one task may hold are left to Spark.
     """
-    tasks = math.ceil(rows / TASK_ROWS)
-    return df.repartition(*keys) if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
+    tasks, spark = math.ceil(rows / TASK_ROWS), df.sparkSession
+    if tasks <= 1:
+        return df.repartition(*keys)
+    own = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(max(tasks, own), *keys)

@@ -282,3 +282,20 @@ def test_units_in_columns(spark):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, v string, a string, b string")
     found = {r.id: r.converted for r in C.convert_units(df, "v", "a", "b").collect()}
     assert found == {0: pytest.approx(1 / 1.609344), 1: None, 2: None, 3: None, 4: None, 5: None, 6: pytest.approx(0)}
+
+
+def test_dealt_rows_are_not_merged_again(spark):
+    """Rows that compress well stay in as many tasks as their number asks for, below Spark's own number of partitions too."""
+    from pyspark.sql import functions as F
+
+    from quiltgrid import session
+
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set(key, "200")
+        rows = 20 * session.TASK_ROWS
+        few = spark.range(200_000).select((F.col("id") % 2000).alias("k"), F.lit("same").alias("x"))
+        sizes = session.dealt(few, rows, "k").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in sizes) == 200_000 and len(sizes) == 20
+    finally:
+        spark.conf.set(key, before)
