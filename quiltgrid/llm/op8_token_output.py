@@ -90,10 +90,12 @@ class Encoder:
 
     def _learn(self, new) -> tuple[np.ndarray, np.ndarray]:
         """The same of pieces after a space, encoded as short texts; bytes that tokens stand for tell them apart."""
+        import pyarrow as pa
         import pyarrow.compute as pc
 
-        some = new.to_pylist()
-        ids, _ = self._encode([" " + " ".join(some[i : i + 100]) for i in range(0, len(some), 100)])
+        lists = pa.LargeListArray.from_arrays(pa.array([*range(0, len(new), 100), len(new)], pa.int64()), new)
+        some = pc.binary_join(lists, pa.scalar(" ", new.type)).to_pylist()
+        ids, _ = self._encode([" " + s for s in some])
         ends = np.cumsum(pc.binary_length(new).to_numpy(zero_copy_only=False) + 1)
         cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, "right")
         return ids, np.diff(cuts, prepend=0)
@@ -174,7 +176,8 @@ def frequent_pairs(own: np.ndarray, least: int, most: int) -> np.ndarray:
     if len(own) < least:
         return own[:0]
     # Where a pair occurs often enough, the place ``least`` - 1 further holds it too.
-    often = np.unique(own[: len(own) - least + 1][own[: len(own) - least + 1] == own[least - 1 :]])
+    often = own[: len(own) - least + 1][own[: len(own) - least + 1] == own[least - 1 :]]
+    often = often[np.r_[True, often[1:] != often[:-1]][: len(often)]]  # sorted as it is
     count = np.searchsorted(own, often, "right") - np.searchsorted(own, often)
     return often[np.argsort(-count, kind="stable")[:most]]
 

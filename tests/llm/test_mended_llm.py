@@ -14,6 +14,7 @@ from quiltgrid.llm import op2_mixing as mix
 from quiltgrid.llm import op3_decontamination as dec
 from quiltgrid.llm import op4_url_filter as url
 from quiltgrid.llm import op6_sharding as shard
+from quiltgrid.llm import op8_token_output as tok
 from quiltgrid.llm import op9_line_dedup as lines
 from quiltgrid.llm import op10_simhash as sim
 from quiltgrid.llm.common import told_apart
@@ -144,3 +145,24 @@ def test_texts_go_to_python_in_small_batches(spark):
         spark.conf.set(key, before)
     texts = pa.array([f"{i} " * 5000 for i in range(100)])
     assert max(sum(map(len, some)) for _, some in dec._slices(texts)) < 300_000
+
+
+def test_new_pieces_are_joined_without_a_string_each(monkeypatch):
+    """Making a Python string of each new piece takes time and memory."""
+    import tracemalloc
+
+    import public_tokenizers
+
+    encode, texts = tok.Encoder(public_tokenizers.path(tok.TOKENIZER)), []
+    encode.open()
+    pieces = pa.array([f"word{i}" for i in range(100_050)], pa.large_string())
+    monkeypatch.setattr(encode, "_encode", lambda some: (texts.extend(some), (tok.np.zeros(1, "<u4"), None))[1])
+    tracemalloc.start()
+    try:
+        encode._learn(pieces)
+        assert tracemalloc.get_traced_memory()[1] < 8_000_000
+    finally:
+        tracemalloc.stop()
+    assert "".join(texts) == "".join(f" word{i}" for i in range(100_050))
+    assert tok.frequent_pairs(tok.np.array([5] * 3 + [7] * 2 + [9] * 4, tok.np.uint32), 3, 10).tolist() == [9, 5]
+    assert tok.frequent_pairs(tok.np.array([5, 6, 7], tok.np.uint32), 3, 10).tolist() == []
