@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import shared_dir, table, told_apart, words_of
+from quiltgrid.llm.common import freed_shuffles, shared_dir, table, told_apart, words_of
 from quiltgrid.llm.op1_language_id import UNKNOWN, identify, learn
 from quiltgrid.llm.op2_mixing import BLOCK_WORDS, blocks_of, plan_documents, times_taken, words_in
 from quiltgrid.llm.op3_decontamination import drop_leaks
@@ -92,6 +92,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         path = shared_dir(spark)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        rows = stage(spark, docs, sf_dir)
+        with freed_shuffles(spark):
+            rows.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

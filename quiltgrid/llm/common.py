@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiltgrid.session import in_small_batches, materialize, shared_dir  # noqa: F401  used by the operators
+from quiltgrid.session import freed_shuffles, in_small_batches, materialize, shared_dir  # noqa: F401  used by the operators
 
 #: The six ASCII white-space characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"

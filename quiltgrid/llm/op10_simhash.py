@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgrid.llm.common import in_small_batches, materialize, table
+from quiltgrid.llm.common import freed_shuffles, in_small_batches, materialize, table
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -408,8 +408,9 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     step = max(1, docs.count() // COMMON_DOCS)
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text")
-    counts = in_small_batches(sample).mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST)
-    rows = counts.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).collect()
+    with freed_shuffles(docs.sparkSession):
+        counts = in_small_batches(sample).mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST)
+        rows = counts.orderBy(F.desc("n"), "gram").limit(COMMON_MOST).collect()
     grams, n = np.array([r.gram for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
     order = np.argsort(grams)
     return grams[order], n[order]

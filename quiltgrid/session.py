@@ -6,6 +6,7 @@ import math
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,10 +48,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/quiltgrid-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Queries made and run within leave no shuffle files: these go when a query ends, not when the driver happens to collect its garbage.
+
+    Only for results that nothing runs again. Spark knows the setting from 4.1; earlier ones ignore it.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` in the shared folder and read it back: the lineage ends at files that outlive an executor."""
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import time
 import zlib
+from pathlib import Path
 
 import duck
 import pyarrow as pa
@@ -17,7 +19,7 @@ from quiltgrid.llm import op6_sharding as shard
 from quiltgrid.llm import op8_token_output as tok
 from quiltgrid.llm import op9_line_dedup as lines
 from quiltgrid.llm import op10_simhash as sim
-from quiltgrid.llm.common import told_apart
+from quiltgrid.llm.common import freed_shuffles, materialize, told_apart
 
 
 def test_mix_of_repeated_ids(spark):
@@ -166,3 +168,30 @@ def test_new_pieces_are_joined_without_a_string_each(monkeypatch):
     assert "".join(texts) == "".join(f" word{i}" for i in range(100_050))
     assert tok.frequent_pairs(tok.np.array([5] * 3 + [7] * 2 + [9] * 4, tok.np.uint32), 3, 10).tolist() == [9, 5]
     assert tok.frequent_pairs(tok.np.array([5, 6, 7], tok.np.uint32), 3, 10).tolist() == []
+
+
+def test_near_duplicates_leave_few_shuffle_files(spark):
+    """Shuffle files of all rounds together would take several times the texts' disk."""
+    top, key = Path(spark.sparkContext.getConf().get("spark.local.dir")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files = lambda: {p: p.stat().st_size for p in top.rglob("shuffle_*.data") if p.exists()}
+    before, was = set(files()), spark.conf.get(key)
+    left = lambda: sum(n for p, n in files().items() if p not in before)
+
+    def soon(most):
+        """Files are removed a moment after their query."""
+        for _ in range(20):
+            if left() <= most:
+                return True
+            time.sleep(0.5)
+        return False
+
+    counts = materialize(spark.range(10000).groupBy(F.col("id") % 7000).count())
+    assert soon(0) and counts.count() == 7000 and spark.conf.get(key) == was
+    before = set(files())
+    docs = spark.read.parquet(f"{duck.DATA}/documents.parquet").where("doc_id < 2000")
+    groups = sim.near_duplicates(docs)
+    assert soon(docs.agg(F.sum(F.octet_length("text"))).first()[0] // 10)
+    assert groups.count() == docs.count() and spark.conf.get(key) == was
+    with pytest.raises(ZeroDivisionError), freed_shuffles(spark):
+        assert spark.conf.get(key) == "true" and 1 / 0
+    assert spark.conf.get(key) == was
