@@ -11,9 +11,10 @@ the rest of its shard.
 
 Texts are encoded by the tokenizers library, special tokens included. The
 pre-tokenizer of byte-level BPE begins a new piece at each single space between two
-other characters, so such a text is cut there and each of a slice's different pieces
-is encoded once; other texts, and all texts of another kind of tokenizer, are encoded
-as they are.
+other characters, at the first of line feeds, and at a mark after a letter, so a text
+with no other white space is cut there and each of a slice's different parts is
+encoded once; other texts, and all texts of another kind of tokenizer, are encoded as
+they are. A worker remembers short parts and looks them up by hash.
 
 Scale: one shuffle, of the texts by id; shards bound what a task holds; starts are
 summed in two steps, within a partition by its task and over partitions by one row
@@ -27,6 +28,7 @@ ignored.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 
 import numpy as np
@@ -42,16 +44,66 @@ SHARD_IDS = 1_000_000
 PAIRS, LEAST_COUNT = 4096, 16
 #: Marks, as a power of two, by which places of chosen pairs are sought before they are compared.
 MARK_BITS = 16
-#: Encoded pieces that a worker remembers during a query (about 30 bytes each).
-MEMORY = 1_000_000
+#: Encoded pieces of texts, of at most LONGEST bytes, that a worker remembers during a query (about 50 bytes each), fewer than 2 ** PLACE_BITS.
+MEMORY, LONGEST = 1_000_000, 64
+#: Bits of a remembered piece's number beside those of its hash.
+PLACE_BITS = 24
 #: Characters of documents that are encoded together, but for the last one's.
 TOGETHER = 1 << 22
+#: White space but for spaces and line feeds, in a pattern's brackets.
+OTHER_BLANKS = "\t\r\x0b\x0c\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Texts are not cut where there are double spaces, spaces beside line feeds or ends, or any other white space.
-UNCUT = "  |\n | \n|^ | $|[\t\r\x0b\x0c\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+UNCUT = f"  |\n | \n|^ | $|[{OTHER_BLANKS}]"
+#: Bytes: ASCII marks, ASCII letters, and of the letters from U+00C0 to U+00FF the first and the later one.
+SPACE, LINE_FEED, FIRST_BYTE = 0x20, 0x0A, 0xC3
+STOP, LETTER, LATER_BYTE = (np.isin(np.arange(256), list(some)) for some in (string.punctuation.encode(), string.ascii_letters.encode(), {*range(0x80, 0xC0)} - {0x97, 0xB7}))
 
 SHARD_SCHEMA = "part int, nth int, before long, n_ids long, first_id long, last_id long, doc_ids array<long>, lengths array<long>, first_rule int, rules binary, symbols binary, expansion binary"
 
 
+class Places:
+    """Different strings in order of their coming, and where a string is among them.
+
+    A sorted table of hashes, each with its string's number below it, is kept and added
+    to, where a set would be made anew of all strings for each search. Whatever a hash
+    finds is compared as a string.
+    """
+
+    def __init__(self):
+        import pyarrow as pa
+
+        self.strings, self.table = pa.array([], pa.large_string()), np.empty(0, np.uint64)
+
+    def __len__(self) -> int:
+        return len(self.strings)
+
+    @staticmethod
+    def _hashes(some) -> np.ndarray:
+        return np.fromiter(map(hash, some.to_numpy(zero_copy_only=False)), np.int64, len(some)).view(np.uint64) >> PLACE_BITS << PLACE_BITS
+
+    def find(self, some) -> np.ndarray:
+        """The number of each of ``some``; -1 if it is not there."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        out, keys = np.full(len(some), -1), self._hashes(some)
+        at = np.searchsorted(self.table, keys)
+        within = np.flatnonzero(at < len(self.table))
+        entry = self.table[at[within]]
+        like = entry >> PLACE_BITS == keys[within] >> PLACE_BITS
+        within, place = within[like], (entry[like] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        same = pc.equal(self.strings.take(pa.array(place)), some.take(pa.array(within))).to_numpy(zero_copy_only=False)
+        out[within[same]] = place[same]
+        return out
+
+    def add(self, new):
+        import pyarrow as pa
+
+        numbers = np.arange(len(self.strings), len(self.strings) + len(new), dtype=np.uint64)
+        self.table = np.sort(np.concatenate([self.table, self._hashes(new) | numbers]))
+        self.strings = pa.concat_arrays([self.strings, new])
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, many texts at once.
 
@@ -66,7 +118,6 @@ class Encoder:
         return {"path": self.path, "end_id": self.end_id, "tokenizer": None}
 
     def open(self):
-        import pyarrow as pa
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
         from tokenizers.pre_tokenizers import ByteLevel
@@ -75,12 +126,12 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
             self.tokenizer = Tokenizer.from_file(self.path)
             rule, vocabulary = self.tokenizer.pre_tokenizer, self.tokenizer.get_vocab()
-            self.cuts = self.tokenizer.normalizer is None and isinstance(rule, ByteLevel) and rule.use_regex and not rule.add_prefix_space and isinstance(self.tokenizer.model, BPE)
             self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.cuts = self.tokenizer.normalizer is None and isinstance(rule, ByteLevel) and rule.use_regex and not rule.add_prefix_space and isinstance(self.tokenizer.model, BPE) and not any(set(" \n") & set(t) for t in self.special)
             self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
             for token, i in vocabulary.items():  # byte-level tokens have a character for each byte
                 self.n_bytes[i] = len(token)
-            self.pieces, self.ids, self.sizes = pa.array([], pa.large_string()), np.empty(0, "<u4"), np.empty(0, np.int64)
+            self.pieces, self.ids, self.sizes = Places(), np.empty(0, "<u4"), np.empty(0, np.int64)
         return self.tokenizer
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,28 +139,60 @@ class Encoder:
         found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate([np.empty(0, "<u4"), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
-    def _learn(self, new) -> tuple[np.ndarray, np.ndarray]:
-        """The same of pieces after a space, encoded as short texts; bytes that tokens stand for tell them apart."""
+    def _learn(self, new, space: str = " ") -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces after that white space, encoded as short texts; bytes that tokens stand for tell them apart."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
         lists = pa.LargeListArray.from_arrays(pa.array([*range(0, len(new), 100), len(new)], pa.int64()), new)
-        some = pc.binary_join(lists, pa.scalar(" ", new.type)).to_pylist()
-        ids, _ = self._encode([" " + s for s in some])
+        some = pc.binary_join(lists, pa.scalar(space, new.type)).to_pylist()
+        ids, _ = self._encode([space + s for s in some])
         ends = np.cumsum(pc.binary_length(new).to_numpy(zero_copy_only=False) + 1)
         cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, "right")
         return ids, np.diff(cuts, prepend=0)
 
-    def _uncut(self, texts):
+    def _encode_parts(self, new) -> tuple[np.ndarray, np.ndarray]:
+        """The same of parts: those that begin with white space and have no other may follow one another in one text."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        found, order, apart = [], [], np.ones(len(new), bool)
+        for space in " \n" if self.cuts else "":
+            own = pc.match_substring_regex(new, f"^{space}[^ \n{OTHER_BLANKS}]+$")
+            for token in self.special:
+                own = pc.and_not(own, pc.match_substring(new, token))
+            found.append(self._learn(pc.utf8_slice_codeunits(new.filter(own), 1), space))
+            order.append(np.flatnonzero(own.to_numpy(zero_copy_only=False)))
+            apart[order[-1]] = False
+        found.append(self._encode(new.filter(pa.array(apart)).to_numpy(zero_copy_only=False).tolist()))
+        order.append(np.flatnonzero(apart))
+        ids, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
+        back = np.argsort(np.concatenate(order))
+        return joined(ids, sizes, back), sizes[back]
+
+    def _uncut(self, texts) -> np.ndarray:
+        import pyarrow.compute as pc
+
         if not self.cuts:
-            return pa.array(np.ones(len(texts), bool))
-        out = pc.or_(pc.match_substring_regex(texts, UNCUT), pc.invert(pc.match_substring(texts, " ")))
+            return np.ones(len(texts), bool)
+        out = pc.match_substring_regex(texts, UNCUT)
         for token in self.special:
             out = pc.or_(out, pc.match_substring(texts, token))
-        return out
+        return out.to_numpy(zero_copy_only=False)
+
+    def _parts(self, texts):
+        """The parts of all texts in order as one Arrow array, and how many each text has."""
+        import pyarrow as pa
+
+        bounds, data = _buffers(texts)
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (data[1:] == SPACE) | (data[1:] == LINE_FEED) & (data[:-1] != LINE_FEED) | STOP[data[1:]] & LETTER[data[:-1]]
+        cut[2:] |= STOP[data[2:]] & LATER_BYTE[data[1:-1]] & (data[:-2] == FIRST_BYTE)
+        cut &= ~np.repeat(self._uncut(texts), np.diff(bounds))
+        cut[bounds[:-1][np.diff(bounds) > 0]] = True
+        at = np.flatnonzero(cut)
+        parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data))
+        return parts, np.diff(np.searchsorted(at, bounds))
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the Arrow array ``texts``, the end id after each, and how many each has with it."""
@@ -118,45 +201,33 @@ class Encoder:
 
         self.open()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        uncut = self._uncut(texts)
-        cut = pc.invert(uncut)
-        # Parts of all texts in order: an uncut text is one part; a cut one is its first piece and the others.
-        pieces = pc.split_pattern(texts.filter(cut), " ")
-        n_pieces = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = pc.list_flatten(pieces)
-        heads = np.cumsum(n_pieces) - n_pieces
-        n_parts = np.zeros(len(texts), np.int64)
-        at_cut = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
-        n_parts[at_cut] = n_pieces
-        whole = np.empty(len(texts), object)
-        whole[at_cut] = flat.take(pa.array(heads)).to_numpy(zero_copy_only=False)
-        whole[n_parts == 0] = texts.filter(uncut).to_numpy(zero_copy_only=False)
-        n_parts[n_parts == 0] = 1
-        head_ids, head_sizes = self._encode(whole.tolist())
-        known, rest = flat.dictionary_encode(), np.ones(len(flat), bool)
-        rest[heads] = False
-        place = pc.index_in(known.dictionary, value_set=self.pieces)
-        new = known.dictionary.filter(pc.is_null(place))
+        parts, n_parts = self._parts(texts)
+        known = parts.dictionary_encode()
+        entry = self.pieces.find(known.dictionary)
+        new = np.flatnonzero(entry < 0)
         ids, sizes = self.ids, self.sizes
         if len(new):
-            more, more_sizes = self._learn(new)
+            words = known.dictionary.take(pa.array(new))
+            more, more_sizes = self._encode_parts(words)
+            entry[new] = len(sizes) + np.arange(len(new))
             ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
-            if len(sizes) <= MEMORY:  # early pieces are the frequent ones and stay
-                self.ids, self.sizes = ids, sizes
-                self.pieces = pa.concat_arrays([self.pieces, new])
-        entry = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        entry[entry < 0] = len(sizes) - len(new) + np.arange(len(new))
-        # The table of parts: remembered pieces, this slice's heads, the end id.
-        ids = np.concatenate([ids, head_ids, np.array([self.end_id], "<u4")])
-        sizes = np.concatenate([sizes, head_sizes, [1]])
-        n_heads = len(head_sizes)
-        parts = np.full(n_parts.sum() + len(texts), len(sizes) - 1)
-        first = np.cumsum(n_parts + 1) - n_parts - 1
-        other = np.ones(len(parts), bool)
-        other[first] = other[first + n_parts] = False
-        parts[first] = len(sizes) - 1 - n_heads + np.arange(n_heads)
-        parts[other] = entry[known.indices.to_numpy(zero_copy_only=False)[rest]]
-        return joined(ids, sizes, parts), np.add.reduceat(sizes[parts], first) if len(first) else first
+            kept = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False) <= LONGEST)
+            if len(self.sizes) + len(kept) <= MEMORY:  # early parts are the frequent ones and stay
+                self.pieces.add(words.take(pa.array(kept)))
+                self.ids, self.sizes = np.concatenate([self.ids, joined(more, more_sizes, kept)]), np.concatenate([self.sizes, more_sizes[kept]])
+        # This slice's different parts, and the end id.
+        ids, sizes = np.append(joined(ids, sizes, entry), np.uint32(self.end_id)), np.append(sizes[entry], 1)
+        ends = np.cumsum(n_parts)
+        which = np.insert(known.indices.to_numpy(zero_copy_only=False), ends, len(entry))
+        n = np.cumsum(sizes[which])[ends + np.arange(len(ends))]
+        return joined(ids, sizes, which), np.diff(n, prepend=0)
+
+
+def _buffers(strings) -> tuple[np.ndarray, np.ndarray]:
+    """Where the strings of a large Arrow array begin and end among its bytes, and these."""
+    bounds = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset :][: len(strings) + 1] if len(strings) else np.zeros(1, np.int64)
+    data = strings.buffers()[2]
+    return bounds - bounds[0], np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data else np.empty(0, np.uint8)
 
 
 def joined(data: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -170,37 +241,49 @@ def joined(data: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray
     return data[at]
 
 
-def frequent_pairs(own: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The ``most`` commonest of the pairs ``own`` that occur ``least`` times, the commonest first."""
+def _often(own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs ``own`` occur ``least`` times, in ascending order, and how often."""
     own = np.sort(own)
     if len(own) < least:
-        return own[:0]
+        return own[:0], np.empty(0, np.int64)
     # Where a pair occurs often enough, the place ``least`` - 1 further holds it too.
     often = own[: len(own) - least + 1][own[: len(own) - least + 1] == own[least - 1 :]]
     often = often[np.r_[True, often[1:] != often[:-1]][: len(often)]]  # sorted as it is
-    count = np.searchsorted(own, often, "right") - np.searchsorted(own, often)
+    return often, np.searchsorted(own, often, "right") - np.searchsorted(own, often)
+
+
+def frequent_pairs(own: np.ndarray, least: int, most: int) -> np.ndarray:
+    """The ``most`` commonest of the pairs ``own`` that occur ``least`` times, the commonest first."""
+    often, count = _often(own, least)
     return often[np.argsort(-count, kind="stable")[:most]]
 
 
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rules (left, right), the remaining symbols, and the length of each rule's expansion."""
+    """Rules (left, right), the remaining symbols, and the length of each rule's expansion.
+
+    A pair of known symbols never gets commoner by a replacement. So places whose pair is
+    too rare are not counted again until one of its symbols is replaced.
+    """
     seq, rules = ids.astype(np.uint32), [np.empty((0, 2), np.int64)]
-    spans = np.ones(first_rule, np.int64)
+    spans, live = np.ones(first_rule, np.int64), np.ones(len(ids), bool)
     while len(seq) > 1:
+        at = np.flatnonzero(live[:-1])
+        left, right = seq[at], seq[at + 1]
         if len(spans) <= 1 << 16:  # a pair of symbols is one number, the narrower the faster
-            low, own = 16, seq[:-1] << np.uint32(16) | seq[1:]
+            low, own = 16, left << np.uint32(16) | right
         else:
-            low, own = 32, seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        twin = np.flatnonzero(seq[1:] == seq[:-1])
+            low, own = 32, left.astype(np.uint64) << np.uint64(32) | right
+        twin = np.flatnonzero(left == right)
+        counted = own
         if len(twin):  # in a run of equal symbols, every second pair counts: the others overlap it
-            run = np.cumsum(np.diff(twin, prepend=-2) > 1)
+            run = np.cumsum(np.diff(at[twin], prepend=-2) > 1)
             nth = np.arange(len(twin)) - np.flatnonzero(np.diff(run, prepend=0))[run - 1]
             apart = np.ones(len(own), bool)
             apart[twin[nth & 1 == 1]] = False
-            at = np.flatnonzero(apart)
-            own = own[at]
+            counted = own[apart]
+        often, count = _often(counted, LEAST_COUNT)
         lefts, rights, chosen = set(), set(), []
-        for p in frequent_pairs(own, LEAST_COUNT, PAIRS).tolist():  # a symbol is a left one, a right one or in its own pair: chosen pairs never overlap
+        for p in often[np.argsort(-count, kind="stable")[:PAIRS]].tolist():  # a symbol is a left one, a right one or in its own pair: chosen pairs never overlap
             a, b = p >> low, p & (1 << low) - 1
             if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
                 lefts.add(a)
@@ -209,19 +292,28 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         if not chosen:
             break
         chosen = np.sort(np.array(chosen, own.dtype))
-        mark = np.zeros(1 << MARK_BITS, bool)
+        mark = np.zeros(1 << MARK_BITS, np.uint8)
         place = lambda pairs: (pairs.astype(np.uint32) ^ (pairs >> low).astype(np.uint32)) * np.uint32(2654435761) >> np.uint32(32 - MARK_BITS)  # noqa: E731, B023
-        mark[place(chosen)] = True
-        some = np.flatnonzero(mark[place(own)])
-        rule = np.minimum(np.searchsorted(chosen, own[some]), len(chosen) - 1)
-        hit = chosen[rule] == own[some]
-        some, rule = some[hit], rule[hit]
+        mark[place(often)] = 1
+        mark[place(chosen)] = 2
+        slot = np.zeros(1 << MARK_BITS, np.int64)
+        slot[place(chosen)] = np.arange(len(chosen))
+        spot = place(own)
+        kind = mark[spot]
+        live[at[kind == 0]] = False
+        some = np.flatnonzero(kind == 2)
         if len(twin):
-            some = at[some]
+            some = some[apart[some]]
+        pairs, rule = own[some], slot[spot[some]]
+        other = np.flatnonzero(chosen[rule] != pairs)  # not chosen, or of two chosen pairs with one mark
+        rule[other] = np.minimum(np.searchsorted(chosen, pairs[other]), len(chosen) - 1)
+        hit = chosen[rule] == pairs
+        some, rule = at[some[hit]], rule[hit]
         kept = np.ones(len(seq), bool)
         kept[some + 1] = False
         seq[some] = len(spans) + rule
-        seq = seq[kept]
+        live[some] = live[np.maximum(some - 1, 0)] = True
+        seq, live = seq[kept], live[kept]
         new = np.stack([chosen >> low, chosen & (1 << low) - 1], 1).astype(np.int64)
         rules.append(new)
         spans = np.concatenate([spans, spans[new].sum(1)])

@@ -170,6 +170,90 @@ def test_new_pieces_are_joined_without_a_string_each(monkeypatch):
     assert tok.frequent_pairs(tok.np.array([5, 6, 7], tok.np.uint32), 3, 10).tolist() == []
 
 
+def _counted_again_each_round(ids, first_rule):
+    """The rules and symbols of pairs counted one by one, at all places in every round."""
+    seq, rules = ids.tolist(), []
+    while True:
+        count, places, i = collections.Counter(), collections.defaultdict(list), 0
+        while i + 1 < len(seq):
+            pair, n = (seq[i], seq[i + 1]), 1
+            if pair[0] == pair[1]:
+                while i + n < len(seq) and seq[i + n] == seq[i]:
+                    n += 1
+                for k in range(i, i + n - 1, 2):
+                    count[pair] += 1
+                    places[pair].append(k)
+                i += n - 1
+            else:
+                count[pair] += 1
+                places[pair].append(i)
+                i += 1
+        lefts, rights, chosen = set(), set(), []
+        for n, (a, b) in sorted((-n, p) for p, n in count.items() if n >= tok.LEAST_COUNT)[: tok.PAIRS]:
+            if a not in rights and b not in lefts and (a != b or a not in lefts and a not in rights):
+                lefts.add(a)
+                rights.add(b)
+                chosen.append((a, b))
+        if not chosen:
+            return rules, seq
+        for p in sorted(chosen):
+            for k in places[p]:
+                seq[k], seq[k + 1] = first_rule + len(rules), None
+            rules.append(p)
+        seq = [x for x in seq if x is not None]
+
+
+@pytest.mark.parametrize("first_rule", [100, 65530, 70000])
+def test_grammar_is_that_of_all_pairs_counted_in_every_round(first_rule, monkeypatch):
+    """Places of rare pairs are left out of later rounds, and no pair is lost by it."""
+    rng, counted, plain = tok.np.random.default_rng(3), [], tok._often
+    monkeypatch.setattr(tok, "_often", lambda own, least: (counted.append(len(own)), plain(own, least))[1])
+    monkeypatch.setattr(tok, "PAIRS", 5)
+    for ids in (rng.zipf(1.3, 4000) % 60, rng.integers(0, 3, 3000), tok.np.repeat(rng.integers(0, 4, 900), rng.integers(1, 9, 900)), tok.np.zeros(777, int), tok.np.arange(80)):
+        counted.clear()
+        rules, symbols, _ = tok.compress(ids.astype("<u4"), first_rule)
+        assert ([tuple(r) for r in rules.tolist()], symbols.tolist()) == _counted_again_each_round(ids, first_rule)
+        assert counted[-1] < len(symbols) / 2 or len(symbols) < 100
+
+def _encoder_and_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(tok.TOKENIZER)
+    encode, library = tok.Encoder(path), Tokenizer.from_file(path)
+    encode.open()
+
+    def check(group):
+        ids, sizes = encode(pa.array(group, pa.string()))
+        own = [x.tolist() for x in tok.np.split(ids, tok.np.cumsum(sizes))[: len(group)]]
+        assert own == [[*library.encode(x, add_special_tokens=False).ids, 2] for x in group]
+
+    return encode, check
+
+
+def test_words_are_encoded_once_whatever_marks_follow(monkeypatch):
+    encode, check = _encoder_and_library()
+    texts, plain = [], encode._encode
+    monkeypatch.setattr(encode, "_encode", lambda some: (texts.extend(some), plain(some))[1])
+    check(["so wendelor brindéé, wendelor, brindéé.\nSo wendelor; brindéé wendelor", "so brindéé! wendelor-brindéé"])
+    check(["so brindéé: wendelor. wendelor,"])
+    assert "".join(texts).count(" wendelor") == "".join(texts).count(" brindéé") == 1
+    check(["long " + "x" * 500 + " y"])
+    assert max(map(len, encode.pieces.strings.to_pylist())) <= tok.LONGEST  # long ones are not remembered
+    marks = ["a.b c", "a's 's b's", "é, è. ×. ÷, ñ! 日, 日本.\n日", "e\u0301, e\u0301. b", "a\n\nb c.\n\n\nd e\n", "f\n\n", "g\n", "²,º.\u00aa;_a_ __a 1. a1, 1a,", "\u200b, a\ufeff. b", "\x00. a\x00, b"]
+    for group in (marks, marks[::-1], ["".join(marks)]):
+        check(group)
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    """What the table of hashes finds is compared as a string."""
+    monkeypatch.setattr(tok.Places, "_hashes", staticmethod(lambda some: tok.np.zeros(len(some), tok.np.uint64)))
+    encode, check = _encoder_and_library()
+    for group in (["one two three"], ["three two one four", "two"], ["five one, two"]):
+        check(group)
+    assert encode.pieces.find(pa.array(["one", " nowhere"], pa.large_string())).tolist() == [0, -1]
+
+
 def test_near_duplicates_leave_few_shuffle_files(spark):
     """Shuffle files of all rounds together would take several times the texts' disk."""
     top, key = Path(spark.sparkContext.getConf().get("spark.local.dir")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
